@@ -1,3 +1,7 @@
 """Importing this module registers every query."""
 
 import checks.scans_sinks  # noqa: F401
+import checks.scalars  # noqa: F401
+import checks.joining  # noqa: F401
+import checks.aggregating  # noqa: F401
+import checks.semistructured  # noqa: F401

@@ -4,4 +4,19 @@ The text is plain SQL that Spark and the oracle both accept, so the marts on the
 Spark side and their SQL twins start from the same rows.
 """
 
-ENTITIES: dict[str, str] = {}
+ENTITIES: dict[str, str] = {
+    # Two-level category tree: ordinary tops, a self-parented top, a top that has a
+    # parent, children of each, and an orphan.
+    "category": """
+      select 1000 + r_regionkey as category_id,
+             case when r_regionkey = 4 then 1000 + r_regionkey when r_regionkey = 3 then 1000 end as parent_id, r_name as name from region
+      union all
+      select n_nationkey, case when n_nationkey = 7 then 9999 else 1000 + n_regionkey end, n_name from nation""",
+    # Campaign rules with open tests: one or two per nation.
+    "campaign_rule": """
+      select n_nationkey as rule_id, n_nationkey as nation, case when n_nationkey % 3 = 0 then cast(null as string) when n_nationkey % 3 = 1 then 'F' else 'O' end as status,
+             case when n_nationkey % 2 = 0 then cast(null as string) else '1-URGENT' end as priority,
+             case when n_nationkey % 5 = 0 then cast(null as double) else 200000.0e0 end as min_amount from nation
+      union all
+      select 100 + n_nationkey, n_nationkey, 'P', cast(null as string), 50000.0e0 from nation where n_nationkey > 10""",
+}
