@@ -5,3 +5,5 @@ import checks.scalars  # noqa: F401
 import checks.joining  # noqa: F401
 import checks.aggregating  # noqa: F401
 import checks.semistructured  # noqa: F401
+import checks.projections  # noqa: F401
+import checks.marts_core  # noqa: F401

@@ -5,18 +5,136 @@ Spark side and their SQL twins start from the same rows.
 """
 
 ENTITIES: dict[str, str] = {
-    # Two-level category tree: ordinary tops, a self-parented top, a top that has a
+    # Two-level src_category tree: ordinary tops, a self-parented top, a top that has a
     # parent, children of each, and an orphan.
-    "category": """
+    "src_category": """
       select 1000 + r_regionkey as category_id,
              case when r_regionkey = 4 then 1000 + r_regionkey when r_regionkey = 3 then 1000 end as parent_id, r_name as name from region
       union all
       select n_nationkey, case when n_nationkey = 7 then 9999 else 1000 + n_regionkey end, n_name from nation""",
     # Campaign rules with open tests: one or two per nation.
-    "campaign_rule": """
+    "src_rule": """
       select n_nationkey as rule_id, n_nationkey as nation, case when n_nationkey % 3 = 0 then cast(null as string) when n_nationkey % 3 = 1 then 'F' else 'O' end as status,
              case when n_nationkey % 2 = 0 then cast(null as string) else '1-URGENT' end as priority,
              case when n_nationkey % 5 = 0 then cast(null as double) else 200000.0e0 end as min_amount from nation
       union all
       select 100 + n_nationkey, n_nationkey, 'P', cast(null as string), 50000.0e0 from nation where n_nationkey > 10""",
+    # Members and their attributes.
+    "src_member": """
+      select 'M' || c_custkey as member_id, c_custkey as member_no,
+             case c_custkey % 8 when 0 then 'W' when 1 then 'L' when 2 then 'S' when 3 then 'V' when 4 then 'X' else 'A' end as status,
+             cast(c_custkey % 5 as int) as title, cast(8 + c_custkey % 101 as int) as age, cast(1 + c_custkey % 13 as int) as birth_mth, c_nationkey as district,
+             case c_nationkey % 4 when 0 then 'Home SAR' when 1 then 'Macau' when 2 then 'Taiwan' else 'Undefined' end as country_lang1,
+             case when c_custkey % 11 = 0 then 'South China' when c_custkey % 13 = 0 then 'Mainland X' else 'City' end as city_lang1,
+             case when c_custkey % 7 = 0 then '86' else '852' end as phone_prefix, 'R' || (c_custkey % 9) as referrer,
+             'F' || (c_custkey % 50) as first_name_lang1, 'L' || (c_custkey % 40) as last_name_lang1, c_nationkey as from_mall_id, 'U' || (c_custkey % 3) as created_by,
+             c_acctbal as balance, wallclock('2019-01-01 05:00:00') + interval '1' hour * (c_custkey % 20000) as registration_date,
+             wallclock('2021-01-01 00:00:00') + interval '1' minute * (c_custkey % 90000) as update_date from customer""",
+    "src_member_setting": """
+      select 'M' || c_custkey as member_id, cast(c_custkey % 5 as int) as default_language, cast(c_custkey % 2 as int) as receive_promotion_msg,
+             cast(c_custkey % 3 as int) as receive_promotion_sms, 1 as receive_promotion_email, 0 as receive_promotion_mail, cast(c_nationkey % 2 as int) as receive_promotion_call
+      from customer where c_acctbal >= 0""",
+    "src_member_profile": "select 'M' || c_custkey as member_id, cast(c_custkey % 6 as int) as member_level_id from customer",
+    "src_member_level": "select r_regionkey as member_level_id, r_name as name_lang1 from region",
+    "src_district": "select n_nationkey as district, n_name as district_name, lower(n_name) as district_cs from nation where n_nationkey < 22",
+    "src_surname": "select 'F' || (s_suppkey % 7) as surname from supplier union all select 'L' || (s_suppkey % 5) from supplier",
+    # Spending.
+    "src_receipt": """
+      select l_orderkey * 100000000 + l_partkey * 1000 + (l_suppkey % 100) * 10 + l_linenumber as receipt_id, '00INV-' || l_orderkey || 'r' || l_linenumber as invoice_no,
+             case when l_tax = 0.08 then 'none' else 'T' || l_orderkey end as spending_transaction_id, 'U' || l_suppkey as created_by, 'V' || l_suppkey as updated_by,
+             l_shipdate + interval '1' hour * (l_partkey % 24) as created_date, l_shipdate as receipt_date, l_shipdate + interval '1' minute * (l_partkey % 1440) as receipt_datetime,
+             case l_returnflag || l_linestatus when 'NO' then 'W' when 'RF' then 'R' when 'RO' then 'V' else 'A' end as status, cast(l_suppkey % 26 as int) as mall_id,
+             l_partkey as shop_id, case l_linenumber when 1 then 'BoC Pay' when 2 then 'UnionPay' when 3 then 'Visa' when 4 then 'Cash' end as payment_type_lang1,
+             cast(l_extendedprice as decimal(18, 2)) as original_amount, cast(l_extendedprice as decimal(18, 2)) as amount, l_shipdate + interval '2' day as updated_date, l_suppkey as ocr_id
+      from lineitem""",
+    "src_transaction": """
+      select 'T' || o_orderkey as spending_transaction_id, o_orderdate + interval '1' hour * (o_custkey % 24) as approval_date,
+             case when o_custkey % 9 = 0 then 'Unclear' end as reject_reason_lang1, case o_orderstatus when 'F' then 'B' when 'O' then 'G' else 'Z' end as type, 'M' || o_custkey as member_id,
+             case o_orderpriority when '1-URGENT' then 'api' when '2-HIGH' then 'counter' else 'app' end as platform, 'CH' || (o_custkey % 4) as channel,
+             case when o_orderpriority <> '5-LOW' then cast((o_custkey * 7) % 90000 as decimal(18, 2)) end as earned_points, o_custkey % 2 = 0 as auto_approved, o_orderdate as updated_date
+      from orders""",
+    "src_partner_link": "select 'T' || o_orderkey as result, o_custkey % 120 as partner_id, cast(o_custkey % 2 as int) as success from orders where o_orderstatus = 'F'",
+    "src_partner": "select s_suppkey as partner_id, s_name as name_lang1 from supplier",
+    "src_mall": """
+      select n_nationkey as mall_id, 'P' || (n_nationkey % 20) as property_id, case when n_regionkey = 4 then 'Partner' else r_name end as team, n_name as mall_name,
+             'D' || n_regionkey as district, case when n_nationkey % 2 = 0 then 'large' else 'small' end as mall_type from nation join region on n_regionkey = r_regionkey""",
+    "src_abnormal": "select receipt_id as value from src_receipt where original_amount < 1500",
+    "src_shop": """
+      select p_partkey as mapping_shop_id, p_name as shop_name, 'P' || (p_size % 20) as property_id, cast(p_size % 25 as int) as mall_id, 'A' || p_partkey as lms_agreement_no,
+             upper(p_name) as lms_trade_name, p_brand as lms_standard_brand_name, p_type as lms_standard_trade_category, 'G' || (p_size % 3) as lms_standard_group, p_size as lms_charge_area
+      from part where p_size < 48""",
+    "src_corrected": "select receipt_id, amount + 1 as correct_receipt_amount from src_receipt where original_amount > 90000",
+    "src_duplicate": "select receipt_id from src_receipt where payment_type_lang1 = 'Cash' and shop_id % 10 = 0",
+    "src_food_header": """
+      select '00INV-' || o_orderkey || 'r1' as invoice_no, cast(o_custkey % 2 as int) as payment_status, case o_orderstatus when 'F' then 2 when 'O' then 12 else 5 end as order_status,
+             case when o_orderpriority <> '3-MEDIUM' then 'Active' end as member_status_detail from orders""",
+    # Point ledger.
+    "src_points": """
+      select event_id as bonus_points_transaction_id, 'U' || (user_id % 4) as created_by, ts as created_date,
+             case event_type when 'signup' then 'A' when 'error' then 'E' when 'click' then 'S' when 'view' then case when user_id % 2 = 0 then 'D' else 'G' end
+               else case user_id % 3 when 0 then 'C' when 1 then 'R' else 'M' end end as action,
+             cast(user_id % 25 as int) as mall_id, case when event_type in ('error', 'purchase') then -1 else 1 end * cast(floor(value) as bigint) as points, 'm' || user_id as member_id,
+             'T' || event_id as spending_transaction_id, 'G' || event_id as redemption_transaction_id, 'C' || (user_id % 5) as campaign_id,
+             case when value > 100 then 'big' || chr(10) || 'one' when value > 50 then 'Clean-up adjustment' else 'note' end as remark, 'Reason ' || (user_id % 3) as adjust_reason_lang1,
+             case event_type when 'click' then '{"base_offer":"s' || (user_id % 3) || '"}'
+               when 'view' then '{"base_offer":"b","matched_date":"2024-01-01","extra_offer":[{"object_id":"' || user_id || '","name_lang1":" Offer ' || (user_id % 10) || ' "}]}'
+               when 'purchase' then '{"base_offer":"p","extra_offer":[{"object_id":"' || user_id || '"},{"object_id":"' || (user_id + 1000) || '","name_lang1":"Two"}]}'
+               when 'error' then '{"extra_offer":[]}' end as matched_rules_json, event_id as member_mall_bonus_points_id from events""",
+    "src_expiry": """
+      select event_id as member_mall_bonus_points_id, ts + interval '1' day as updated_date, case when value < 5 then wallclock('0001-01-01 00:00:00') else ts + interval '365' day end as expiry_date
+      from events where event_type <> 'error'""",
+    "src_expiry_map": """
+      select event_id as from_member_mall_bonus_points_id, case when value > 3 then ts + interval '365' day end as from_expiry_date,
+             case when user_id % 2 = 0 then ts + interval '400' day when value > 3 then ts + interval '365' day end as to_expiry_date from events where event_type in ('view', 'purchase')""",
+    # Gifts, coupons and their redemptions.
+    "src_gift": """
+      select cast(p_partkey as string) as gift_id, cast(p_size % 25 as int) as mall_id, cast(p_size % 30 as int) as gift_category_id, case when p_size % 10 = 0 then 'C' end as extra_function,
+             p_name as name_lang1, cast(p_retailprice as decimal(18, 2)) as value_amount, cast(p_size % 5 as int) as car_park_redeem_hours, case p_size % 3 when 0 then 'A' when 1 then 'I' else 'Q' end as status,
+             case p_partkey % 4 when 0 then 'S' when 1 then 'B' when 2 then 'N' else 'Q' end as type, cast(p_size % 6 as int) as bonus_point_1, cast(p_size * 10 as int) as car_park_min_spending_amount,
+             cast(p_size % 3 as int) as unlimited_inventory, wallclock('2018-06-01 00:00:00') + interval '1' day * p_size * 20 as created_date,
+             case when p_size % 7 = 0 then null else wallclock('2018-06-01 00:00:00') + interval '1' day * p_size * 10 end as reserve_expiry_date, cast(p_size % 9 as int) as reserve_expiry_day from part""",
+    "src_coupon": """
+      select cast(100000000 + s_suppkey as string) as coupon_id, cast(s_suppkey % 7 as int) as mall_id, cast(s_nationkey as int) as coupon_category_id,
+             case when s_suppkey % 5 = 0 then 'Mall e-Certificate ' || s_suppkey when s_suppkey % 6 = 0 then null else s_name end as name_lang1, cast(s_acctbal as decimal(18, 2)) as value_amount,
+             case s_suppkey % 4 when 0 then 'A' when 1 then 'V' else 'I' end as status, case s_suppkey % 4 when 0 then 'S' when 1 then 'N' else 'B' end as type,
+             cast(s_suppkey % 2 as int) as unlimited_inventory, wallclock('2020-01-01 00:00:00') + interval '1' day * s_suppkey as created_date,
+             wallclock('2018-12-20 00:00:00') + interval '1' day * s_suppkey as usage_expiry_date, cast(s_suppkey % 30 as int) as usage_expiry_day from supplier""",
+    "src_coupon_redeem": "select cast(100000000 + s_suppkey as string) as coupon_id, case s_suppkey % 3 when 0 then '0' when 1 then '1,500' else '20' end as bonus_point from supplier",
+    "src_gift_redemption": """
+      select 'G' || (l_orderkey * 100000000 + l_partkey * 1000 + (l_suppkey % 100) * 10 + l_linenumber) as gift_redemption_transaction_id,
+             case l_linenumber when 1 then 'P' when 2 then 'R' when 3 then 'C' when 4 then 'F' when 5 then 'L' else 'R' end as status, case l_suppkey % 4 when 0 then 'S' when 1 then 'B' when 2 then 'N' else 'Q' end as redeem_type,
+             l_shipdate + interval '1' hour * (l_partkey % 30) as reserve_datetime, l_shipdate + interval '30' day as reserve_expiry_date,
+             case when l_linenumber % 2 = 0 then l_shipdate + interval '3' day end as redeem_datetime, case when l_linenumber = 3 then l_shipdate + interval '1' day end as cancel_datetime,
+             'M' || (l_suppkey * 3) as member_id, cast(l_partkey as string) as gift_id, cast(l_suppkey % 25 as int) as mall_id, l_linenumber as redeemed_tier, cast(floor(l_quantity) as bigint) % 10 as redeemed_bonus_points,
+             cast(case when l_linenumber % 2 = 0 then 0 else l_quantity end as decimal(18, 2)) as redeemed_amount, 'Y' || l_orderkey as payment_transaction_id, l_shipdate as updated_date
+      from lineitem where l_returnflag = 'R'""",
+    "src_coupon_redemption": """
+      select 'C' || (l_orderkey * 100000000 + l_partkey * 1000 + (l_suppkey % 100) * 10 + l_linenumber) as coupon_redemption_transaction_id,
+             case l_linenumber when 1 then 'R' when 2 then 'U' when 3 then 'C' when 4 then 'E' when 5 then 'W' else 'U' end as status, case l_partkey % 4 when 0 then 'S' when 1 then 'B' when 2 then 'N' else 'Q' end as redeem_type,
+             l_shipdate + interval '1' hour * (l_partkey % 30) as redeem_datetime, l_shipdate + interval '60' day as expiry_date, case when l_linenumber % 2 = 0 then l_shipdate + interval '3' day end as used_datetime,
+             case when l_linenumber = 3 then l_shipdate + interval '1' day end as cancel_datetime, 'M' || (l_suppkey * 3) as member_id, cast(100000000 + l_suppkey as string) as coupon_id,
+             cast(l_partkey % 25 as int) as mall_id, l_linenumber as redeemed_tier, cast(floor(l_quantity) as bigint) % 10 as redeem_bonus_points,
+             cast(case when l_linenumber % 2 = 0 then 0 else l_quantity end as decimal(18, 2)) as redeemed_amount, 'REF' || l_orderkey as ref_code, cast(l_suppkey % 25 as int) as used_mall_id,
+             l_partkey as used_shop_id, 'Z' || l_orderkey as payment_transaction_id, l_shipdate as updated_date from lineitem where l_returnflag = 'A'""",
+    "src_pd_exchange": """
+      select 'X' || o_orderkey as trans_id, 'M' || o_custkey as member_id, o_custkey + 100 as points, 'P' || o_orderkey as point_dollar_transaction_id, o_orderdate + interval '1' day as updated_date from orders
+      union all select 'Y' || o_orderkey, 'M' || o_custkey, o_custkey, 'R' || o_orderkey, o_orderdate from orders where o_orderpriority in ('1-URGENT', '2-HIGH')""",
+    "src_pd": """
+      select 'P' || o_orderkey as trans_id, 'P' as trans_type, cast(null as string) as ori_trans_id, o_orderdate as trans_date, cast(o_totalprice as decimal(18, 2)) as amount,
+             cast(o_totalprice as decimal(18, 2)) + 10 as total_amount, cast(o_custkey % 25 as int) as mall_id, o_custkey as shop_id from orders where o_orderstatus <> 'P'
+      union all
+      select 'R' || o_orderkey, 'R', 'P' || o_orderkey, o_orderdate + interval '5' day, cast(o_totalprice as decimal(18, 2)), cast(o_totalprice as decimal(18, 2)), cast(o_custkey % 25 as int), o_custkey
+      from orders where o_orderpriority in ('1-URGENT', '3-MEDIUM')""",
+    "src_charging": """
+      select event_id as bonus_points_transaction_id, 'M' || user_id as member_id, cast(user_id % 25 as string) as mall_id, ts as created_datetime,
+             case when value > 15 then 5 else -1 * cast(floor(value) as bigint) - 1 end as points, ts + interval '1' hour as updated_date from events where event_type in ('purchase', 'view')""",
+    "src_gift_new_category": "select cast(p_partkey as string) as gift_id, case when p_size < 5 then 'NULL' when p_size < 10 then ' New ' end as new_gift_type, case when p_size > 40 then 'null' when p_size > 35 then 'Sub' end as new_sub_gift_type from part where p_size <> 20",
+    "src_gift_brand": "select cast(p_partkey as string) as gift_id, p_brand as reward_brand_id, upper(p_brand) as reward_brand_name, p_type as redeem_method_combination from part where p_partkey % 3 = 0",
+    "src_gift_detail": "select cast(p_partkey as string) as gift_id, p_type as trade_category, 'HK$' || case when p_size < 10 then '1,' else '' end || '250.5' as face_value from part where p_size < 30",
+    "src_stock": "select cast(p_partkey as string) as parent_id, cast(p_size % 25 as int) as mall_id, cast(p_size * 10 as int) as original_stock_level, cast(p_size * 4 as int) as stock_level from part where p_size % 6 <> 0 union all select cast(100000000 + s_suppkey as string), cast(s_suppkey % 25 as int), 500, 20 from supplier",
+    "src_condition": """
+      select cast(p_partkey as string) as parent_id, case when p_size % 4 = 0 then '' when p_size % 4 = 1 then '2018-05-01' else '2021-03-01' end as start_date, '2022-0' || (1 + p_size % 9) || '-15' as end_date,
+             'D' || (p_size % 3) as frequency_type, cast(p_size % 8 as int) as value, cast(p_size * 100 as int) as min_matched_receipt_total_amount, case when p_size % 5 = 0 then 132 else 7 end as condition_type
+      from part where p_size > 12""",
+    "src_api_flag": "select cast(p_partkey as string) as gift_id, cast(p_size % 2 as int) as show_in_api from part",
 }

@@ -28,12 +28,12 @@ def _(t):
 
 
 @check("join03_flatten_hierarchy", """
-    select category_id, name as top_name from category where parent_id is null or parent_id = category_id
+    select category_id, name as top_name from src_category where parent_id is null or parent_id = category_id
     union all
-    select c.category_id, p.name from category c left join category p on c.parent_id = p.category_id
+    select c.category_id, p.name from src_category c left join src_category p on c.parent_id = p.category_id
     where c.parent_id is not null and c.parent_id <> c.category_id and p.parent_id is null""")
 def _(t):
-    return joins.flatten_hierarchy(t.derived("category"), "category_id", "parent_id", "name")
+    return joins.flatten_hierarchy(t.derived("src_category"), "category_id", "parent_id", "name")
 
 
 @check("join04_composite_key", """
@@ -199,12 +199,12 @@ def _(t):
 
 
 @check("join20_wildcard_rules", """
-    select o_orderkey, rule_id from orders join customer on o_custkey = c_custkey join campaign_rule r on r.nation = c_nationkey
+    select o_orderkey, rule_id from orders join customer on o_custkey = c_custkey join src_rule r on r.nation = c_nationkey
       and (r.status is null or r.status = o_orderstatus) and (r.priority is null or r.priority = o_orderpriority)
       and (r.min_amount is null or o_totalprice >= r.min_amount)""")
 def _(t):
     facts = joins.enrich(t.orders, [(t.customer, {"c_custkey": "o_custkey"}, {"c_nationkey": "nk"})])
-    return matching.match_rules(facts, t.derived("campaign_rule"), {"nk": "nation"}, {"o_orderstatus": "status", "o_orderpriority": "priority"},
+    return matching.match_rules(facts, t.derived("src_rule"), {"nk": "nation"}, {"o_orderstatus": "status", "o_orderpriority": "priority"},
                                 {"o_totalprice": "min_amount"}, ["rule_id"]).select("o_orderkey", "rule_id")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,26 +23,34 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = prepare(spark)
         self.sf_dir = sf_dir.rstrip("/")
+        self._views: set[str] = set()
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name in TABLES:
-            return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        raise AttributeError(name)
+        if name not in TABLES:
+            raise AttributeError(name)
+        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        setattr(self, name, df)  # one footer read per query and table
+        return df
 
     def derived(self, name: str) -> DataFrame:
         """A source-shaped relation computed from the given tables."""
-        for table in TABLES:
+        text = with_entities(f"select * from {name}")
+        for table in set(re.findall(r"[a-z]+", text)) & set(TABLES) - self._views:
             getattr(self, table).createOrReplaceTempView(table)
-        return self.spark.sql(with_entities(f"select * from {name}"))
+            self._views.add(table)
+        return self.spark.sql(wall_clock(text, "to_timestamp_ntz('{}')"))
 
     def scratch(self, name: str) -> str:
         return scratch_path(self.spark, name)
 
 
-def with_entities(sql: str, extra: str = "") -> str:
-    """Prefix the definitions of the derived relations the text mentions."""
-    import re
+def wall_clock(sql: str, form: str) -> str:
+    """Write ``wallclock('...')`` as the dialect's literal for a timestamp without zone."""
+    return re.sub(r"wallclock\('([^']*)'\)", lambda m: form.format(m.group(1)), sql)
+
 
+def with_entities(sql: str) -> str:
+    """Prefix the definitions of the derived relations the text mentions."""
     used: list[str] = []
 
     def visit(text: str) -> None:
@@ -69,7 +78,7 @@ def check(name: str, sql: str | None = None):
             raise ValueError(f"duplicate query {name}")
         QUERIES[name] = lambda spark, sf_dir: fn(Tables(spark, sf_dir))
         if sql is not None:
-            ORACLES[name] = with_entities(sql)
+            ORACLES[name] = wall_clock(with_entities(sql), "timestamp '{}'")
         return fn
 
     return wrap
