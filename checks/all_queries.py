@@ -7,3 +7,4 @@ import checks.aggregating  # noqa: F401
 import checks.semistructured  # noqa: F401
 import checks.projections  # noqa: F401
 import checks.marts_core  # noqa: F401
+import checks.marts_parking  # noqa: F401

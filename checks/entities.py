@@ -137,4 +137,59 @@ ENTITIES: dict[str, str] = {
              'D' || (p_size % 3) as frequency_type, cast(p_size % 8 as int) as value, cast(p_size * 100 as int) as min_matched_receipt_total_amount, case when p_size % 5 = 0 then 132 else 7 end as condition_type
       from part where p_size > 12""",
     "src_api_flag": "select cast(p_partkey as string) as gift_id, cast(p_size % 2 as int) as show_in_api from part",
+    # Parking.
+    "src_visit": """
+      select l_returnflag as source_table, l_shipdate + interval '1' minute * (l_partkey % 1440) as car_in_datetime,
+             l_shipdate + interval '1' minute * ((l_partkey % 1440) + cast(floor(l_quantity) as bigint)) as car_out_datetime, ' ab' || l_suppkey || ' ' as car_plate,
+             case when l_linenumber > 5 then null else ' car ' end as car_type, 'm' || (l_suppkey * 3) as member_id, cast(floor(l_quantity) as int) as parked_minute, 'P' || (l_suppkey % 20) as property_id,
+             l_linenumber * 10 as total_paid_minute, l_linenumber * 5 as total_parking_fee, l_linenumber * 2 as total_redeem_minute from lineitem""",
+    "src_gate": """
+      select 2000 + cast(l_suppkey % 20 as int) as carparkid, l_shipdate + interval '1' minute * (l_partkey % 1440) as timestamp, 'AB' || l_suppkey as lpn, 'IN' as operation from lineitem where l_linestatus = 'O'""",
+    "src_site": "select 2000 + n_nationkey as id, case when n_nationkey = 3 then 'Site Three' else 'P' || n_nationkey end as name from nation",
+    "src_gate_log": """
+      select 'L' || user_id as lpn, 3 + cast(user_id % 3 as int) as carparkid, ts as timestamp, case event_type when 'click' then 'in' when 'purchase' then 'out' else 'other' end as operation from events""",
+    "src_hidden_member": "select member_id from src_member where status = 'V'",
+    "src_parking_invoice": """
+      select l_linestatus as source_table, l_shipdate + interval '10' hour as car_in_datetime, l_shipdate + interval '12' hour as car_out_datetime, ' pl' || l_suppkey as car_plate,
+             case when l_linenumber < 4 then 'M' || (l_suppkey * 3) else 'visitor' end as member_id, 'P' || (l_suppkey % 20) as property_id, cast(l_extendedprice as decimal(18, 2)) as invoice_amount,
+             '00INV-' || l_orderkey || 'r' || l_linenumber as invoice_no, l_shipdate + interval '11' hour as redemption_datetime, ' food ' as shop_category, cast(null as string) as shop_name, 'S' || l_partkey as shop_no
+      from lineitem where l_returnflag <> 'N'""",
+    "src_parking_redemption": """
+      select event_type as source_table, ts as car_in_datetime, ts + interval '2' hour as car_out_datetime, ts + interval '1' hour as redemption_datetime, ' x' || user_id as car_plate, 'M' || user_id as member_id,
+             case when value < 2 then '' else 'P' || (user_id % 20) end as property_id, cast(floor(value) as int) as redeemed_minute, cast(floor(value) as int) * 2 as redeemed_parking_fee, ' ccc ' as redemption_type from events""",
+    "src_vehicle": "select case when c_custkey % 17 = 0 then null else ' ab' || c_custkey end as lpn, case when c_custkey % 19 = 0 then '' else 'M' || c_custkey end as memberId, cast(c_custkey % 3 as int) as validationsts from customer",
+    "src_tid_log": "select event_id as rlog_id, 'G' || user_id as t_id from events where event_type = 'view'",
+    "src_activity_log": "select event_id as log_id, ' pl' || (user_id % 60) as lpn, ts as r_time from events",
+    "src_app_redemption": "select 'G' || c_custkey as transaction_id, case when c_custkey % 9 = 0 then '' else 'M' || c_custkey end as member_id, date '2024-01-25' as redeem_date from customer",
+    "src_session": """
+      select event_id as rsr_id, case event_type when 'click' then 'Settled' when 'view' then 'Unsettled' else 'Open' end as status, ts as createDttm, case when user_id % 4 > 0 then 'M' || user_id end as externalMemberId,
+             ' ev' || user_id as lp, 'in' || user_id as lpin, 'out' || user_id as lpOut, cast(value as decimal(18, 2)) as fee from events""",
+    "src_user_event": """
+      select event_id as log_id, ts as event_time, case when user_id % 23 = 0 then null else 'm' || user_id end as member_id, 'AB' || user_id as lpn, case event_type when 'click' then 7 when 'view' then 2 else 1 end as type,
+             cast(user_id % 7 as int) as carpark_id from events""",
+    "src_merchant": "select n_nationkey as carpark_id, cast(n_nationkey + 3 as int) as mall_id from nation where n_nationkey < 6",
+    "src_autopay_base": "select 'M' || c_custkey as member_id, 1 as autopayment_activate from customer where c_mktsegment = 'BUILDING'",
+    "src_autopay_log": "select ' M' || user_id as member_id, case event_type when 'signup' then '1' when 'error' then '-1' else '0' end as autopayment_activate, ts as created_at from events",
+    # Registration.
+    "src_reg_member": """
+      select member_id, registration_date, case when member_no % 6 = 0 then 'staff' || (member_no % 11) else 'api' end as created_by, phone_prefix,
+             case member_no % 10 when 1 then 5004 when 2 then 5005 when 3 then 5000 else cast(member_no % 25 as int) end as from_mall_id,
+             case member_no % 10 when 1 then 'oneclick' when 2 then 'bus' when 3 then 'PQ2_gate' else 'mall' || (member_no % 25) end as from_mall_name, member_no from src_member""",
+    "src_reg_activity": "select member_id, case when member_no % 4 = 3 then 5 else 6 end as action_type, 'k' || (member_no % 6) as api_key from src_reg_member",
+    "src_reg_key": "select 'k' || r_regionkey as api_key, case r_regionkey when 0 then 'Portal' when 1 then 'New Wechat key' when 2 then 'Kiosk' when 3 then 'Other' else 'MiniX' end as name from region",
+    "src_reg_placed": "select member_id, 17 as from_mall_id, 'placed' as from_mall_name from src_reg_member where member_no % 50 = 9",
+    "src_reg_log": """
+      select 'o' || user_id as openid, wallclock('2019-01-01 05:00:00') + interval '1' hour * (user_id % 20000) + interval '1' minute * (event_id % 60) as last_track_time,
+             case when event_type = 'error' then 'pages/other' else 'pages/register' end as path,
+             case event_type when 'click' then '{"path":"p","query":{"scene":"btl-p' || (user_id % 30) || '"},"phone":"1"}' when 'view' then '{"path":"p","query":{"oa":"key%3Dp' || (user_id % 30) || '"},"memberId":"m' || user_id || '"}'
+               when 'purchase' then '{"path":"p","query":{"key":"key=k' || (user_id % 4) || '"},"memberId":"m' || user_id || '"}' else '{"query":{"scene":"MGM-7"},"memberId":"M' || user_id || '"}' end as scene from events""",
+    "src_reg_receiver": "select 'M' || user_id as vip_num, 'o' || (user_id + case when event_type = 'view' then 1 else 0 end) as openid, ts as created_date from events",
+    "src_reg_link": """
+      select member_id, case member_no % 5 when 0 then 'https://h/x/new?inapp=true' when 1 then 'https://h/camp/a?utm_source=zz' when 2 then 'https://h/p?utm_source=s' || (member_no % 30) || '&utm_medium=qr&utm_campaign=c1'
+               when 3 then 'https://h/p?utm_mall=p' || (member_no % 30) else 'https://h/p' end as url_params from src_reg_member where member_no % 7 <> 0""",
+    "src_reg_fix": "select member_id, 'https://h/p?utm_source=fixed' as url_params from src_reg_member where member_no % 40 = 12",
+    "src_reg_user": "select 'Staff' || (s_suppkey % 13) as login_name, cast(s_suppkey % 25 as int) as mall_id, case when s_suppkey % 3 = 0 then 'A' else 'I' end as status, wallclock('2020-01-01') + interval '1' day * s_suppkey as updated_date from supplier",
+    "src_path_mall": "select 'p' || n_nationkey as trackingpath, 'P' || (n_nationkey % 20) as mall from nation where n_nationkey < 15",
+    "src_source_map": "select 'S' || n_nationkey as source, 'p' || (n_nationkey % 20) as allocate_source from nation where n_nationkey > 3",
+    "src_reg_mall": "select property_id, team, case when mall_id % 3 = 0 then 'Mall' else 'office' end as mall_type from src_mall where mall_id < 20",
 }
