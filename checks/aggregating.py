@@ -137,11 +137,11 @@ def _(t):
 
 
 @check("agg16_classify_mix", """
-    select l_orderkey, case when sum(l_discount) = 0 and sum(l_tax) = 0 then 'none' when sum(l_tax) = 0 then 'discount' when sum(l_discount) = 0 then 'tax'
-      when min(l_discount) > 0 and min(l_tax) > 0 then 'hybrid' else 'mixed' end as mix from lineitem group by 1""")
+    select l_orderkey, case when min(l_discount) = 0 and min(l_tax) = 0 then 'both zero' when sum(l_discount) > 0 and sum(l_tax) > 0 then 'hybrid' when sum(l_discount) = 0 then 'tax'
+      else 'discount' end as mix from lineitem group by 1""")
 def _(t):
-    labels = {"none": "none", "a_only": "discount", "b_only": "tax", "both": "hybrid", "mixed": "mixed"}
-    return aggregates.classify_mix(t.lineitem, ["l_orderkey"], "l_discount", "l_tax", labels).select("l_orderkey", "mix")
+    labels = {"both_zero": "both zero", "a_only": "discount", "b_only": "tax", "hybrid": "hybrid"}
+    return aggregates.classify_mix(t.lineitem, ["l_orderkey"], "l_discount", "l_tax", labels)
 
 
 @check("agg17_alias_keys", """

@@ -8,3 +8,4 @@ import checks.semistructured  # noqa: F401
 import checks.projections  # noqa: F401
 import checks.marts_core  # noqa: F401
 import checks.marts_parking  # noqa: F401
+import checks.marts_commerce  # noqa: F401

@@ -192,4 +192,64 @@ ENTITIES: dict[str, str] = {
     "src_path_mall": "select 'p' || n_nationkey as trackingpath, 'P' || (n_nationkey % 20) as mall from nation where n_nationkey < 15",
     "src_source_map": "select 'S' || n_nationkey as source, 'p' || (n_nationkey % 20) as allocate_source from nation where n_nationkey > 3",
     "src_reg_mall": "select property_id, team, case when mall_id % 3 = 0 then 'Mall' else 'office' end as mall_type from src_mall where mall_id < 20",
+    # Campaigns.
+    "src_cspend": """
+      select l_orderkey * 100000000 + l_partkey * 1000 + (l_suppkey % 100) * 10 + l_linenumber as receipt_id, 'IV-' || (l_partkey % 40) || 'r' as invoice_no,
+             o_orderdate + interval '9' hour + interval '6' second * l_linenumber as receipt_upload_datetime, cast(o_orderdate + interval '1' hour as date) as receipt_upload_date,
+             cast(o_orderdate + interval '1' day * cast(floor(l_linenumber / 5) as int) as date) as receipt_transaction_date, cast(l_suppkey % 4 as int) as mall_id, 'M' || o_custkey as member_id, l_partkey % 3 as shop_id,
+             case when l_linenumber % 2 = 0 then 'VISA' else 'Cash' end as payment_type, cast(l_extendedprice as decimal(18, 2)) as receipt_amount, case when l_tax < 0.05 then 'counter' else 'app' end as platform,
+             'B' || (l_partkey % 3) as lms_standard_brand_name, 'C' || (l_partkey % 3) as lms_standard_trade_category from lineitem join orders on l_orderkey = o_orderkey""",
+    "src_tier": """
+      select 10 * r_regionkey + 1 as tier_id, r_regionkey as spending_campaign_id, 1 as tier_order, 100 as redeem_amount from region
+      union all select 10 * r_regionkey + 2, r_regionkey, 2, 200 from region""",
+    "src_tier_reward": "select tier_id, 'V' || tier_id as reward_id, 1 as qty from src_tier where tier_id <> 32",
+    "src_campaign": """
+      select r_regionkey as spending_campaign_id, 'A' as status, wallclock('1995-01-01 00:00:00') as start_date, case when r_regionkey = 4 then wallclock('1996-01-01 00:00:00') else wallclock('2001-12-31 00:00:00') end as end_date,
+             'Campaign ' || r_name as name_lang1, 'coupon' as type, r_regionkey as condition_id from region""",
+    "src_owner": "select r_regionkey as spending_campaign_id, 'Team ' || r_name as ownership from region where r_regionkey < 3",
+    "src_spend_condition": "select r_regionkey as condition_id, case when r_regionkey = 1 then cast(40000 as decimal(18, 2)) end as min_receipt_amount from region",
+    "src_condition_mall": "select n_regionkey as condition_id, cast(n_nationkey % 4 as int) as mall_id from nation where n_regionkey in (1, 2) and n_nationkey % 4 < 3 group by 1, 2",
+    "src_condition_payment": "select r_regionkey as condition_id, 'VISA' as payment_method from region where r_regionkey = 2",
+    "src_condition_shop": "select r_regionkey as condition_id, cast(1 as bigint) as shop_id from region where r_regionkey in (0, 1) union all select r_regionkey, cast(2 as bigint) from region where r_regionkey = 0",
+    "src_conversion": """
+      select o_orderkey as id, 'M' || o_custkey as member_id, cast(o_custkey % 5 as int) as spending_campaign_id, 10 * cast(o_custkey % 5 as int) + 1 + cast(o_orderkey % 2 as int) as tier_id,
+             o_orderdate + interval '10' hour as redemption_date, cast(o_custkey % 4 as int) as mall_id, o_orderdate + interval '9' hour + interval '1' second * (o_custkey % 60) as created_date
+      from orders where o_orderpriority in ('1-URGENT', '2-HIGH', '3-MEDIUM')""",
+    "src_ccoupon": """
+      select 'K' || o_orderkey as coupon_redemption_transaction_id, case when o_orderstatus = 'F' then 'used' else 'open' end as redemption_status_detail, o_orderdate + interval '10' hour + interval '1' second * (o_custkey % 5 - 2) as coupon_redeem_datetime,
+             case when o_custkey % 3 > 0 then o_orderdate + interval '10' hour + interval '1' day * (o_custkey % 3 - 1) end as coupon_used_datetime, cast(o_custkey % 4 as int) as coupon_redeemed_mall_id, cast(o_orderkey % 4 as int) as coupon_used_in_mall_id,
+             o_orderkey % 3 as coupon_used_in_shop_id, cast(50 as decimal(18, 2)) as coupon_value_amount, 'M' || o_custkey as redeem_coupon_member_id,
+             'V' || (10 * cast(o_custkey % 5 as int) + 1 + cast(o_orderkey % 2 as int)) as coupon_id, cast(o_custkey % 120 as decimal(18, 2)) as min_spending_amount from orders""",
+    "src_ccoupon_map": "select o_orderkey as id, 'K' || o_orderkey as redemption_transaction_id from orders where o_orderstatus <> 'P'",
+    # Tenant sales and leases.
+    "src_lease": """
+      select 'E' || p_partkey as agreement_no, case when p_size % 9 = 0 then '#N/A' when p_size % 9 = 1 then ' ' when p_size % 9 = 2 then 'To Be Confirmed' else p_type end as standard_trade_category,
+             case when p_size % 11 = 0 then 'None' else p_brand end as standard_brand_name, p_name || '^s' as trade_name, 'U' || p_size as main_unit_no, 'P' || (p_size % 20) as property_id, 'G^' || (p_size % 3) as standard_group,
+             p_size as charge_area, case when p_size % 4 <> 0 then '20010' || (1 + p_size % 6) end as updated_month from part where p_size > 3""",
+    "src_tenant_sales": """
+      select 'E' || l_partkey as agreement_no, n_name || ' MALL' as mall, cast(year(l_shipdate) * 100 + month(l_shipdate) as int) as month, cast(l_extendedprice * 3 as decimal(18, 2)) as lms_sales
+      from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey where l_shipdate >= timestamp '2000-01-01' and l_quantity > 35""",
+    "src_sales_mall": "select 'P' || n_nationkey as property_id, case when n_nationkey % 2 = 0 then 'East' else 'West' end as team from nation where n_nationkey < 23",
+    "src_fact": """
+      select l_orderkey * 100000000 + l_partkey * 1000 + (l_suppkey % 100) * 10 + l_linenumber as receipt_id, 'M' || (l_suppkey * 3) as member_id, l_partkey as shop_id, 'P' || s_nationkey as property_id, case when s_nationkey % 2 = 0 then 'East' else 'West' end as team,
+             cast(l_shipdate as date) as receipt_transaction_date, l_shipdate + interval '10' hour as receipt_upload_datetime, cast(l_shipdate as date) as receipt_upload_date, cast(l_shipdate + interval '1' day * l_linenumber as date) as approve_or_reject_date,
+             cast(l_extendedprice as decimal(18, 2)) as receipt_amount, case when l_tax = 0.01 then 'api' else 'app' end as platform, case when p_size % 9 = 3 then '' else p_type end as lms_standard_trade_category, p_brand as lms_standard_brand_name,
+             case when l_returnflag = 'R' then 'Rejected' else 'Approved' end as receipt_status_detail, case when l_suppkey % 10 = 0 then 'Suspended' else 'Active' end as member_status_detail, case when l_tax = 0.02 then 1 else 0 end as abnormal_case,
+             'G' || (l_suppkey % 3) as gender, p_size as age, 'A' || (p_size % 5) as age_group, 'R' || (l_suppkey % 4) as residence, 'D' || (l_suppkey % 6) as district, 'S' || l_partkey as shop_name, l_quantity as earned_points,
+             'I|' || l_orderkey || ',' || l_linenumber as invoice_no, case when l_linenumber = 7 then null else 'pay' || l_linenumber end as payment_type
+      from lineitem join supplier on l_suppkey = s_suppkey join part on l_partkey = p_partkey""",
+    "src_pre_shoot": "select receipt_id from src_fact where receipt_amount > 90000",
+    "src_abnormal_shop": "select p_partkey as shop_id from part where p_size < 5",
+    "src_joined": "select 'P' || n_nationkey as property_id, 200006 as joined_month from nation where n_nationkey in (2, 5)",
+    # Shops.
+    "src_shop_raw": """
+      select p_partkey as shop_id, case p_size % 4 when 0 then 'A' when 1 then 'I' when 2 then 'V' else 'A' end as status, case when p_size % 2 = 0 then 'V' else 'I' end as visible, p_name || chr(10) as name_lang1,
+             'F' || (p_size % 4) as floor, case when p_size % 3 = 0 then 'L' || p_size || ',' else 'L' || p_size end as shop_no, cast(p_size % 27 as int) as mall_id from part""",
+    "src_mall_raw": "select n_nationkey as mall_id, case when n_nationkey % 3 = 0 then 'I' else 'A' end as status, n_name || chr(10) || 'x' as name_lang1 from nation",
+    "src_lease_map": """
+      select p_partkey as shop_id, 'E' || p_partkey as lms_agreement_no, '200105' as updated_month from part where p_size > 8
+      union all select p_partkey, 'E' || (p_partkey + 1), '200104' from part where p_size > 5""",
+    "src_cms_shop": "select p_partkey as id, p_name as shop_name, cast(p_size % 25 as int) as mall_id, p_size as display_main_cat, case when p_size % 5 = 0 then 0 else 1 end as status from part",
+    "src_cms_category": "select n_nationkey as id, n_name as category_name from nation",
+    "src_rfm_category": "select n_name as cms_trade_cat, lower(n_name) as rfm_trade_cat from nation where n_nationkey < 20",
 }

@@ -93,10 +93,14 @@ def split_code(col: Column, pattern: str, group: int, type_: str = "int") -> Col
 
 
 def stamp_rule_value(col: Column, want: str, sep: str = "|", inner: str = ":") -> Column:
-    """From ``value:count|value:count`` the value whose count equals ``want``."""
+    """From ``value:count|value:count`` the value whose count equals ``want``.
+
+    A text with a single pair gives its value whatever the count.
+    """
     parts = F.transform(F.split(col, re.escape(sep)), lambda p: F.split(p, re.escape(inner)))
     hits = F.filter(parts, lambda p: F.get(p, F.lit(1)) == F.lit(want))
-    return F.get(F.get(hits, F.lit(0)), F.lit(0))
+    chosen = F.when(F.size(parts) == 1, F.get(parts, F.lit(0))).otherwise(F.get(hits, F.lit(0)))
+    return F.get(chosen, F.lit(0))
 
 
 def route_first_char(col: Column, letters: bool) -> Column:

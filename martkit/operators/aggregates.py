@@ -130,18 +130,18 @@ def concentrated_buyers(df: DataFrame, member: str, category: str, ts: str, amou
 
 
 def classify_mix(df: DataFrame, keys: Sequence[str], a: str, b: str, labels: Mapping[str, str]) -> DataFrame:
-    """Which of two measures a group uses: ``none``, ``both``, ``a_only``, ``b_only`` or ``mixed``.
+    """How a group uses two measures, from their minima and sums.
 
-    ``both`` means every row uses both; ``mixed`` covers the other combinations.
+    ``both_zero`` when each is zero somewhere, else ``hybrid`` when both occur, else
+    ``b_only`` or ``a_only``.
     """
     stats = df.groupBy(*keys).agg(
         F.min(a).alias("min_a"), F.sum(a).alias("sum_a"), F.min(b).alias("min_b"), F.sum(b).alias("sum_b"))
-    kind = (F.when((F.col("sum_a") == 0) & (F.col("sum_b") == 0), F.lit(labels["none"]))
-            .when(F.col("sum_b") == 0, F.lit(labels["a_only"]))
+    kind = (F.when((F.col("min_a") == 0) & (F.col("min_b") == 0), F.lit(labels["both_zero"]))
+            .when((F.col("sum_a") > 0) & (F.col("sum_b") > 0), F.lit(labels["hybrid"]))
             .when(F.col("sum_a") == 0, F.lit(labels["b_only"]))
-            .when((F.col("min_a") > 0) & (F.col("min_b") > 0), F.lit(labels["both"]))
-            .otherwise(F.lit(labels["mixed"])))
-    return stats.withColumn("mix", kind)
+            .when(F.col("sum_b") == 0, F.lit(labels["a_only"])))
+    return stats.withColumn("mix", kind).drop("min_a", "sum_a", "min_b", "sum_b")
 
 
 def stock_position(items: DataFrame, movements: DataFrame, key: str, item_id: str, status: str, when_col: str,

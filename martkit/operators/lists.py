@@ -57,7 +57,8 @@ def explode_tiers(df: DataFrame, key: str, col: str, labels: tuple[str, str, str
     rows = df.select(F.col(key), F.explode(F.from_json(F.col(col), schema)).alias("_t"))
     number = lambda c: F.translate(F.col(c), ",", "").try_cast("double")
     out = rows.select(key, F.col("_t.tier").alias("tier"), number("_t.amount").alias("amount"), number("_t.bonus_point").alias("bonus_point"))
-    label = F.when(F.col("amount") == 0, labels[0]).when(F.col("bonus_point") == 0, labels[1]).otherwise(labels[2])
+    free, pointless = F.floor("amount") == 0, F.floor("bonus_point") == 0
+    label = F.when(free & ~pointless, labels[0]).when(~free & pointless, labels[1]).when(~free & ~pointless, labels[2]).otherwise("")
     return out.withColumn("tier_type", label)
 
 
