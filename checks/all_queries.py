@@ -9,3 +9,4 @@ import checks.projections  # noqa: F401
 import checks.marts_core  # noqa: F401
 import checks.marts_parking  # noqa: F401
 import checks.marts_commerce  # noqa: F401
+import checks.marts_services  # noqa: F401

@@ -252,4 +252,69 @@ ENTITIES: dict[str, str] = {
     "src_cms_shop": "select p_partkey as id, p_name as shop_name, cast(p_size % 25 as int) as mall_id, p_size as display_main_cat, case when p_size % 5 = 0 then 0 else 1 end as status from part",
     "src_cms_category": "select n_nationkey as id, n_name as category_name from nation",
     "src_rfm_category": "select n_name as cms_trade_cat, lower(n_name) as rfm_trade_cat from nation where n_nationkey < 20",
+    # Stamp programme.
+    "src_stamp_card": """
+      select s_suppkey as id, 'Card ' || s_suppkey as title_en, 'Banner ' || s_suppkey as banner_desc_en, 'Desc' as stamp_desc_en, cast(s_suppkey % 5 as int) as max_no_of_stamp, cast(s_suppkey % 4 as int) as max_no_of_receipt, 50 as max_earn_stamp,
+             wallclock('1996-01-01') as createtime, 'A' as status, case when s_suppkey % 6 = 0 then 0 else 19960101 + cast(s_suppkey % 28 as int) end as datefrom_collect, 20001231 as dateto_collect, 19960201 as datefrom_gift, 20010131 as dateto_gift,
+             case when s_suppkey % 3 = 0 then (s_suppkey * 10) || ':2' else (s_suppkey * 10) || ':1|500:2' end as earn_stamp_rule1_str, 'a|@|G' || s_suppkey || ':b|@|' || (s_suppkey * 2) as gift_tier_str, '5:10' as gift_stamp_required_str, '0:1' as gift_requires_approval_str
+      from supplier""",
+    "src_stamp_inventory": "select 'G' || p_partkey as gift_id, 'T' || p_size as team, 'A' as gift_status, wallclock('1999-05-05') as created_datetime, p_name as name_en, case when p_size % 2 = 0 then date '1999-06-01' end as redemption_date_start, date '2000-06-01' as redemption_date_end, p_size as original_stock_level from part where p_size > 20",
+    "src_stamp_record": """
+      select l_orderkey * 1000000 + l_partkey * 100 + l_linenumber * 10 + l_suppkey % 10 as id, 'M' || (l_suppkey * 3) as vid, l_suppkey as cardid, case when l_tax = 0.03 then 0 else 1 end as no_of_receipt, l_linenumber - 2 as earn_stamp,
+             l_shipdate + interval '5' hour as lastupdate, (l_orderkey * 100000000 + l_partkey * 1000 + (l_suppkey % 100) * 10 + l_linenumber) || '::' || (l_orderkey + 7) || '::0' as receipt_id from lineitem where l_returnflag = 'A'""",
+    "src_stamp_redemption": """
+      select 'M' || o_custkey as vid, o_custkey % 100 as cardid, case when o_custkey % 2 = 0 then 't|@|G' || o_custkey else 't|@|' || o_custkey end as gift_tier_str, cast(o_custkey % 20 as int) as gift_stamp_required, cast(o_custkey % 26 as int) as pickup_mall_id,
+             o_orderstatus as redeem_status, case when o_orderpriority = '5-LOW' then '0' else replace(cast(cast(o_orderdate as date) as string), '-', '') end as redeem_date, o_orderdate as recordtime from orders""",
+    "src_stamp_shop": "select p_partkey % 50 as cardid, case when p_size % 10 = 0 then 'bad' else (p_size % 25) || '-' || p_partkey end as shopid, p_name as shopname_en from part",
+    # Missions.
+    "src_mission_record": "select case when user_id % 2 = 0 then 'spending' else 'reward' end as mission_type, cast(user_id % 12 as int) as missionid, 'M' || user_id as vid, cast(floor(value) as int) as redeemed_bonus_points from events",
+    "src_mission": "select n_nationkey as id, case when n_nationkey % 3 = 0 then 'spending' when n_nationkey % 3 = 1 then 'reward' else 'other' end as mission_type, n_nationkey * 2 as spending_total_no_receipt, n_nationkey * 3 as reward_total_redeem from nation where n_nationkey < 10",
+    "src_mission_completed": "select cast(user_id % 12 as int) as missionid, 'M' || user_id as vid, case when event_type = 'purchase' and value > 40 then 'yes' else 'no' end as is_redeemed from events where user_id % 4 <> 1",
+    # Cross-business.
+    "src_linkage": """
+      select 'h' || c_custkey as hashmobileno, c_custkey as globalcustid, 'M' || c_custkey as member_id, case when c_custkey % 2 = 0 then 'Store Member' else 'none' end as lobmemid_store, case when c_custkey % 3 = 0 then 'TELCO member' end as lobmemid_telco,
+             wallclock('2022-01-01') as createdttm from customer""",
+    "src_store_profile": "select 'h' || o_custkey as hashmobileno, o_orderdate as regdttm from orders where o_orderstatus = 'F'",
+    "src_telco_profile": "select 'h' || o_custkey as hashmobileno, o_orderdate as regdttm from orders where o_orderstatus = 'P' and o_totalprice > 200000",
+    "src_attribute": "select c_custkey as id, c_mktsegment as cat, case when c_custkey % 5 = 0 then 'n/a' else '2022-0' || (1 + c_custkey % 9) || '-11 08:00:00' end as createdttm from customer",
+    "src_rfm": "select c_custkey as id, cast(c_custkey % 90 as string) as recency, case when c_custkey % 7 = 0 then '' else cast(c_nationkey as string) end as frequency, cast(c_custkey % 100 as string) || '.5' as monetary, '2022-01-15 00:00' as ref_date from customer",
+    "src_car_profile": "select 'M' || o_custkey as member_id, ' brand' || (o_custkey % 40) || ' ' as brand, ' ab' || (o_custkey % 200) as car_plate, replace(cast(cast(o_orderdate as date) as string), '-', '') as last_seen from orders",
+    "src_calendar": "select cast(cast(l_shipdate as date) as string) as tag, case when l_tax = 0.08 then 12 else 3 end as type, case when l_linenumber = 1 then 'I' else 'A' end as status from lineitem where l_quantity = 50",
+    # Content.
+    "src_coupon_json": """
+      select s_suppkey as coupon_id, case when s_suppkey % 4 <> 0 then '{"' || s_nationkey || '":["' || s_suppkey || '","x"],"9":["' || s_nationkey || '"]}' end as usage_shop_id,
+             case when s_suppkey % 5 = 0 then 'bad json' when s_suppkey % 5 = 1 then '[{"bonus_point":"1,' || (100 + s_suppkey % 800) || '","member_level_id":"1"},{"bonus_point":"7"}]' when s_suppkey % 5 < 4 then '[{"bonus_point":"' || s_suppkey || '"}]' end as redeem_bonus_points,
+             case when s_suppkey % 3 = 0 then wallclock('0001-01-01') else wallclock('2022-01-01') end as usage_expiry_date, s_name as name_lang1,
+             case when s_suppkey % 2 = 0 then '[{"tier":1,"amount":"0","bonus_point":"' || s_suppkey || '"},{"tier":2,"amount":"' || s_nationkey || '","bonus_point":"5"}]' end as redeem_bonus_points_with_cash,
+             case when s_suppkey % 10 = 0 then 9999999 else cast(s_nationkey as int) end as reward_brand_id from supplier""",
+    "src_gift_json": """
+      select p_partkey as gift_id, p_name as name_lang1, case when p_size % 8 = 0 then wallclock('0001-01-01') when p_size % 8 = 1 then null else wallclock('2022-01-01') end as reserve_expiry_date,
+             '[{"bonus_point":"' || p_size || '","member_level_id":"' || (p_size % 4) || '"}]' as redeem_bonus_points, case when p_size % 3 = 0 then '{"car_park_redeem_hours":' || (p_size % 5) || '}' end as extra_data,
+             case when p_size % 4 = 0 then '[{"tier":1,"amount":"' || p_size || '","bonus_point":"0"},{"tier":2,"amount":"' || (p_size + 1) || '","bonus_point":"0"}]' when p_size % 4 = 1 then '[{"tier":1,"amount":"0","bonus_point":"0"}]' end as redeem_bonus_points_with_cash,
+             cast(p_size as int) as reward_brand_id from part""",
+    "src_typed_condition": """
+      select p_partkey as parent_id, 'T' || (p_size % 3) as type, 'A' as status, 1 as condition_type, '{"frequency_type":"D' || (p_size % 4) || '","value":"' || p_size || '"}' as condition_json from part
+      union all select p_partkey, 'T' || (p_size % 3), 'A', 2, '{"weekday":["' || (p_size % 7) || '","' || ((p_size + 1) % 7) || '"]}' from part where p_size % 2 = 0""",
+    "src_brand": "select s_suppkey as brand_id, s_name as brand_name, cast(s_nationkey as int) as brand_category_id, case when s_suppkey % 6 = 0 then '[]' else '[{\"mall_id\":' || s_nationkey || ',\"shop_id\":[' || s_suppkey || ',7]},{\"mall_id\":3,\"shop_id\":[9]}]' end as shop_id_list from supplier",
+    "src_brand_category": "select n_nationkey as brand_category_id, n_name as name_lang1 from nation where n_nationkey < 20",
+    # Feeds.
+    "src_food_order": """
+      select case when o_orderpriority = '5-LOW' then 'X' || o_orderkey else 'M' || (o_custkey % 25) || 'S' || o_custkey || 'R' || o_orderkey end as invoice_no, o_orderdate as purchase_date, o_orderdate + interval '20' hour as create_date,
+             case o_orderstatus when 'F' then 0 when 'O' then 12 else 7 end as status, 'M' || o_custkey as member_no, cast(o_totalprice as decimal(18, 2)) as original_amount, cast(o_totalprice as decimal(18, 2)) - 5 as sales_amount, o_orderdate + interval '30' hour as last_update_date from orders""",
+    "src_food_payment": "select invoice_no, case when status = 0 then -1 when status = 12 then 1 else 5 end as payment_status, 'card' as pay_method from src_food_order where status <> 7",
+    "src_history_row": "select event_id, user_id, cast(user_id % 9 as int) as action_type, '10.0.0.1' as ip_address from events",
+    "src_carpark_member": "select c_custkey as id, 'M' || c_custkey as memid, cast(c_custkey % 4 as int) as status_fa, cast(c_custkey % 3 as int) as status_ps from customer",
+    "src_update_record": "select 'M' || user_id as mem_id, cast(user_id % 4 as int) as action, ts as created_at from events",
+    "src_autopay_list": "select event_id as id, cast(user_id % 6 as int) as carpark_id, 'M' || user_id as member_id, case when user_id % 10 = 0 then null else 'ab' || user_id end as car_plate, cast(user_id % 5 as int) as payment_type, cast(event_id % 5 as int) as payment_result from events",
+    "src_carpark_list": "select n_nationkey as carparkid, n_nationkey * 10 as mallid from nation where n_nationkey < 5",
+    "src_partner_mapping": "select o_orderkey as mapping_id, 'p' || (o_custkey % 1600) as phone, o_orderstatus as status from orders",
+    "src_phone": "select 'p' || c_custkey as phone, 'M' || c_custkey as member_id from customer",
+    "src_reward_tag": "select event_id as id, cast(user_id % 30 as int) as tag_id from events",
+    "src_tag": "select n_nationkey as tag_id, n_name as name_lang1 from nation",
+    "src_sso": "select event_id as mapping_id, cast(user_id % 8 as int) as app_id, 'acc' || user_id as account_id, case when event_type = 'view' then null when event_type = 'click' then 'h1,h' || user_id || ';' else 'h' || user_id end as data from events",
+    "src_application": "select r_regionkey as app_id, r_name as app_name from region",
+    "src_earn": "select event_id as id, ts as datetime, case event_type when 'view' then 'N' when 'click' then 'W' when 'error' then 'P' else 'Z' end as valid_to_earn_point from events",
+    "src_device": "select event_id, 'M' || user_id as member_id, ts as created_date, ts + interval '30' hour as updated_date from events",
+    "src_profile_text": "select 'M' || c_custkey as member_id, case when c_custkey % 9 = 0 then '' else cast(c_nationkey as string) end as visits, case when c_custkey % 7 = 0 then 'x' else cast(c_custkey as string) || '.25' end as spend, '2022/0' || (1 + c_custkey % 9) || '/03' as joined from customer",
+    "src_migrated": "select 'M' || c_custkey as member_id, 1 as is_migrated_any, cast(c_custkey % 2 as int) as is_migrated_p1 from customer where c_mktsegment = 'BUILDING'",
 }
