@@ -10,3 +10,4 @@ import checks.marts_core  # noqa: F401
 import checks.marts_parking  # noqa: F401
 import checks.marts_commerce  # noqa: F401
 import checks.marts_services  # noqa: F401
+import checks.marts_exchange  # noqa: F401

@@ -317,4 +317,44 @@ ENTITIES: dict[str, str] = {
     "src_device": "select event_id, 'M' || user_id as member_id, ts as created_date, ts + interval '30' hour as updated_date from events",
     "src_profile_text": "select 'M' || c_custkey as member_id, case when c_custkey % 9 = 0 then '' else cast(c_nationkey as string) end as visits, case when c_custkey % 7 = 0 then 'x' else cast(c_custkey as string) || '.25' end as spend, '2022/0' || (1 + c_custkey % 9) || '/03' as joined from customer",
     "src_migrated": "select 'M' || c_custkey as member_id, 1 as is_migrated_any, cast(c_custkey % 2 as int) as is_migrated_p1 from customer where c_mktsegment = 'BUILDING'",
+    # Activity feed.
+    "src_feed_ledger": """
+      select event_id as bonus_points_transaction_id, case event_type when 'view' then 'D' when 'signup' then 'A' when 'error' then case when user_id % 2 = 0 then 'E' else 'Z' end else case user_id % 4 when 0 then 'C' when 1 then 'M' when 2 then 'R' else 'T' end end as action,
+             cast(user_id % 25 as int) as mall_id, 'A' as status, 'M' || user_id as member_id, cast(floor(value) as bigint) as points, case when value > 20 then 'Used Point Dollar Spending' when value > 10 then 'Other' end as adjust_reason_lang1,
+             case when event_type = 'signup' then 'X' || event_id when event_type = 'click' then 'GR' || event_id when event_type = 'purchase' then case user_id % 3 when 0 then 'CR' || event_id when 1 then 'ER' || event_id end end as redemption_transaction_id,
+             case when event_type in ('view', 'click') then '{"extra_offer":[{"name_lang1":"' || case when user_id % 2 = 0 then 'Point Conversion ' else 'Gift ' end || user_id || '"}]}' end as matched_rules_json, 'T' || event_id as spending_transaction_id,
+             ts as created_date, ts + interval '1' hour as updated_date from events""",
+    "src_feed_exchange": "select 'X' || event_id as trans_id, 'PD' || event_id as point_dollar_transaction_id, 'S' as status from events where event_type = 'signup' and user_id % 5 <> 0",
+    "src_feed_pd": "select 'PD' || event_id as trans_id, 'P' as trans_type, cast(user_id % 25 as int) as mall_id, user_id as shop_id, event_id as amount from events where event_type = 'signup'",
+    "src_feed_gift_redemption": """
+      select 'GR' || event_id as gift_redemption_transaction_id, user_id as gift_id, 'R' as status, 'B' as redeem_type, cast(user_id % 7 as int) as mall_id, event_id as redeemed_amount, case when user_id % 2 = 0 then ts + interval '1' day end as cancel_datetime,
+             'Y' || event_id as payment_transaction_id, ts + interval '2' hour as updated_date from events where event_type = 'click' and user_id % 11 <> 0""",
+    "src_feed_gift": "select c_custkey as gift_id, case when c_custkey % 3 = 0 then 'Free Parking ' || c_custkey else 'Mug \"' || c_custkey || '\"' end as name_lang1 from customer",
+    "src_feed_coupon_redemption": """
+      select 'CR' || event_id as coupon_redemption_transaction_id, user_id as coupon_id, 'U' as status, 'N' as redeem_type, cast(user_id % 7 as int) as mall_id, cast(user_id % 9 as int) as used_mall_id, user_id as used_shop_id, event_id as redeemed_amount,
+             ts + interval '30' day as expiry_date, cast(null as timestamp) as cancel_datetime, ts + interval '3' day as used_datetime, 'Y' || event_id as payment_transaction_id, ts - interval '2' hour as updated_date from events where event_type = 'purchase'""",
+    "src_feed_coupon": "select c_custkey as coupon_id, 'Coupon ' || c_custkey as name_lang1 from customer",
+    "src_feed_event_redemption": "select 'ER' || event_id as event_redemption_transaction_id, user_id as event_id, 'R' as status, 'B' as redeem_type, cast(user_id % 7 as int) as mall_id, 'Show ' || user_id as event_name, ts + interval '9' day as session_end, ts + interval '9' hour as updated_date from events where event_type = 'purchase'",
+    "src_feed_event": "select c_custkey as event_id, 'Event ' || c_custkey as name_lang1 from customer where c_custkey < 100",
+    "src_feed_payment": "select 'Y' || event_id as payment_transaction_id, 'REF' || event_id as order_reference_no, 'card' as payment_type, 'P' as status, ts + interval '5' minute as created_date from events where user_id % 3 <> 1",
+    # Customer system.
+    "src_crm_member": """
+      select member_id, member_no, title, first_name_lang1, last_name_lang1, from_mall_id, age, birth_mth, registration_date, update_date, status, country_lang1, 'p' || member_no as phone,
+             case when member_no % 4 = 0 then 'N/A' when member_no % 9 = 0 then null else 'D' || district end as district_lang1, case when member_no % 3 = 0 then 'N/A' else 'S' || district end as sub_district_lang1 from src_member""",
+    "src_crm_setting": "select member_id, default_language, receive_promotion_msg, receive_promotion_sms, receive_promotion_email, receive_promotion_mail, receive_promotion_call, wallclock('2021-02-01 00:00:00') as updated_date from src_member_setting",
+    "src_crm_binding": "select 'p' || o_custkey as phone, 5000 + cast(o_orderkey % 5 as int) as app_id, case when o_orderstatus = 'F' then 'A' else 'I' end as status, o_orderdate + interval '7305' day as updated_date from orders",
+    "src_crm_vehicle": "select case when c_custkey % 17 = 0 then null else ' ab' || c_custkey end as lpn, 'm' || c_custkey as memberId, cast(c_custkey % 3 as int) as validationsts from customer where c_custkey % 2 = 0",
+    "src_crm_carpark": "select n_nationkey as id, n_nationkey + 40 as mallid from nation where n_nationkey < 5",
+    # Directory.
+    "src_dir_mall": "select case when n_nationkey < 5 then 2000 + n_nationkey when n_nationkey < 8 then 5000 + n_nationkey when n_nationkey < 10 then 6000 + n_nationkey when n_nationkey < 12 then 7000 + n_nationkey when n_nationkey = 12 then 950 else n_nationkey end as mall_id, n_nationkey as cms_mall_id, n_name as name_lang1, case n_nationkey % 4 when 0 then 'A' when 1 then 'I' when 2 then 'V' else 'Q' end as status from nation",
+    "src_dir_site": "select n_nationkey as id, lower(n_name) as mall_name_en, case when n_nationkey % 5 = 4 then null else n_nationkey % 3 end as district, case when n_nationkey % 2 = 0 then 'www.x' || n_nationkey else 'https://y' end as website_url, cast(n_nationkey % 2 as int) as status, case when n_nationkey % 3 = 0 then 'Road ' || n_nationkey end as loc_long_en from nation where n_nationkey < 22",
+    "src_dir_carpark": "select s_suppkey as carpark_id, s_name as name, cast(s_nationkey as int) as mallid from supplier",
+    "src_dir_carpark_site": "select s_suppkey as id, lower(s_name) as name_en from supplier where s_suppkey % 3 = 0",
+    "src_dir_floor": "select p_partkey as id, case when p_size % 3 = 0 then null else wallclock('2020-01-01') end as create_date, case when p_size % 4 = 0 then null else wallclock('2021-01-01') end as last_update_date, 'F' || p_size as floor_name_en, cast(p_size % 25 as int) as mall_id, cast(p_size % 2 as int) as status, cast(p_size % 7 as int) as floor_phase from part",
+    "src_dir_phase": "select s_suppkey as phase_id, case when s_suppkey % 2 = 0 then '' else 'tel' end as phone, case when s_suppkey % 3 = 0 then '' else 'Phase ' || s_suppkey end as phase_name_en, cast(s_nationkey as int) as mall, cast(s_suppkey % 4 as int) as status from supplier",
+    "src_dir_category": "select p_partkey as id, p_name as category_name_en, case when p_size % 5 = 0 then null else cast(p_partkey % 40 as bigint) end as main_cat, case when p_size % 7 = 0 then 0 else 1 end as status, cast(p_size % 2 as int) as type from part",
+    "src_dir_partner": "select s_suppkey as partner_id, s_name as name_lang1 from supplier",
+    "src_dir_brand": "select p_partkey as brand_id, cast(p_size as bigint) as brand_category_id, case when p_size % 2 = 0 then 'A' else 'I' end as status from part",
+    "src_dir_shop": "select p_partkey as id, p_name as shop_name, cast(p_size % 4 as int) as ticket_type, case when p_size % 5 = 0 then 0 else 1 end as status, cast(p_size % 25 as int) as mall_id, case when p_size % 9 = 0 then '' else p_size || ', ' || (p_size + 11) || ',' || (p_size % 10) || ',1' || p_size end as floor from part",
+    "src_dir_partner_shop": "select p_partkey as shop_id, 5001 as partner_id, 'Y' || p_partkey as partner_shop_id from part where p_size % 2 = 0 union all select p_partkey, 5004, 'Z' || p_partkey from part where p_size % 3 = 0",
 }

@@ -183,14 +183,14 @@ def _(t):
 
 
 @check("prj22_join_address_parts", """
-    select c_custkey, case when n_name = 'NATION_3' and r_name = 'ASIA' then null when n_name = 'NATION_3' then r_name
-      when r_name = 'ASIA' then n_name else n_name || ', ' || r_name end as address
+    select c_custkey, case when n_name in ('NATION_3', 'NATION_4') and r_name = 'ASIA' then null when r_name = 'ASIA' then n_name when n_name in ('NATION_3', 'NATION_4') then r_name
+      when n_name = 'NATION_5' then null else n_name || ' , ' || r_name end as address
     from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey""")
 def _(t):
     df = joins.enrich(t.customer, [(t.nation, {"n_nationkey": "c_nationkey"}, {"n_name": "n_name", "n_regionkey": "rk"}),
                                    (t.region, {"r_regionkey": "rk"}, {"r_name": "r_name"})])
-    a = F.when(F.col("n_name") == "NATION_3", "n/a").otherwise(F.col("n_name"))
-    b = F.when(F.col("r_name") == "ASIA", "").otherwise(F.col("r_name"))
+    a = F.when(F.col("n_name").isin("NATION_3", "NATION_4"), "N/A").when(F.col("n_name") != "NATION_5", F.col("n_name"))
+    b = F.when(F.col("r_name") == "ASIA", "N/A").otherwise(F.col("r_name"))
     return df.select("c_custkey", text.join_parts(a, b).alias("address"))
 
 

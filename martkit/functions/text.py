@@ -24,12 +24,11 @@ def first_present(*cols: Column) -> Column:
     return F.coalesce(*[F.nullif(c, F.lit("")) for c in cols[:-1]], cols[-1])
 
 
-def join_parts(first: Column, second: Column, na: str = "N/A", sep: str = ", ") -> Column:
-    """Two address parts in one text; ``na`` and empty parts are left out."""
-    def usable(c: Column) -> Column:
-        return F.when((F.trim(c) != F.lit("")) & (F.upper(F.trim(c)) != F.lit(na)), c)
-
-    return F.nullif(F.concat_ws(sep, usable(first), usable(second)), F.lit(""))
+def join_parts(first: Column, second: Column, na: str = "N/A", sep: str = " , ") -> Column:
+    """Two address parts in one text. ``na`` stands for a part left out; a null part makes the result null."""
+    no_first, no_second = first == F.lit(na), second == F.lit(na)
+    return (F.when(no_first & no_second, F.lit(None)).when(~no_first & no_second, first).when(no_first & ~no_second, second)
+            .when(~no_first & ~no_second, F.concat(first, F.lit(sep), second)))
 
 
 def fold_key(col: Column) -> Column:
