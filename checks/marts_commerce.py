@@ -157,10 +157,9 @@ def _(t):
     select r.* replace (cast(receipt_amount as double) as receipt_amount), campaign_tier, campaign_name, property_id as redemption_property_id
     from rows r left join (select distinct tier_id, campaign_tier, campaign_name from mech) m on r.tier_id = m.tier_id left join src_mall a on redemption_mall_id = a.mall_id""")
 def _(t):
-    mech, sp, direct, given = campaign_parts(t)
-    linked = campaign.without_repeats(campaign.linked_spending(sp, direct, given))
-    missing = campaign.used_without_invoice(given, linked, t.derived("src_shop"), linked, used_status="used")
-    out = campaign.campaign_transactions([linked, missing], mech, t.derived("src_mall"))
+    rules = campaign.conditions(t.derived("src_spend_condition"), t.derived("src_condition_mall"), t.derived("src_condition_payment"), t.derived("src_condition_shop"))
+    out = campaign.campaign_linked_spending(t.derived("src_cspend"), mechanism(t), t.derived("src_conversion"), rules, t.derived("src_ccoupon"), t.derived("src_ccoupon_map"), t.derived("src_shop"),
+                                            t.derived("src_mall"), switch="1998-06-01", used_status="used", stage=t.stage)
     return out.drop("receipt_upload_datetime", "receipt_upload_date", "platform", "campaign_start_date", "campaign_end_date").withColumns(doubles("receipt_amount"))
 
 

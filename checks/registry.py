@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from checks.entities import ENTITIES
 from martkit.session import prepare, scratch_path
+from martkit.sources.staging import table_stage
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
           "conversations").split()
@@ -40,6 +41,9 @@ class Tables:
             self._views.add(table)
         return self.spark.sql(wall_clock(text, "to_timestamp_ntz('{}')"))
 
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        return table_stage(self.spark)(df, name)
+
     def scratch(self, name: str) -> str:
         return scratch_path(self.spark, name)
 

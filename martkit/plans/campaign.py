@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from martkit.functions import dates, numbers, text
 from martkit.operators import joins, latest, matching, sets
+from martkit.sources.staging import Stage, recompute
 
 # Kinds of linked spending, strongest first, and the verdicts.
 FIRST, SECOND, FIRST_INDIRECT, SECOND_INDIRECT = "First Direct Spend", "Second Direct Spend", "First Indirect Spend", "Second Indirect Spend"
@@ -151,3 +152,17 @@ def campaign_transactions(parts: Sequence[DataFrame], mechanism: DataFrame, mall
     tiers = mechanism.select("tier_id", "campaign_tier", "campaign_name", "campaign_start_date", "campaign_end_date").distinct()
     return joins.enrich(sets.union_distinct(*parts), [
         (tiers, {"tier_id": "tier_id"}, {c: c for c in tiers.columns if c != "tier_id"}), (mall, {"mall_id": "redemption_mall_id"}, {"property_id": "redemption_property_id"})])
+
+
+def campaign_linked_spending(spending: DataFrame, mechanism: DataFrame, redemption: DataFrame, rules: DataFrame, coupon: DataFrame, mapping: DataFrame, shop: DataFrame, mall: DataFrame, *,
+                             switch: date | str, used_status: str, stage: Stage = recompute) -> DataFrame:
+    """The whole mart. Direct spending, coupons and linked spending are used several times each, so they are staged."""
+    chosen = selected(mechanism)
+    receipts = campaign_spending(spending)
+    conversion = conversions(redemption, chosen)
+    direct = stage(first_direct(receipts, conversion, rules), "first-direct")
+    given = stage(coupons_redeemed(coupon, chosen, conversion, mapping, switch=switch), "campaign-coupons")
+    linked = stage(linked_spending(receipts, direct, given), "linked-spending")
+    cleaned = stage(without_repeats(linked), "linked-spending-clean")
+    missing = used_without_invoice(given, cleaned, shop, cleaned, used_status=used_status)
+    return campaign_transactions([cleaned, missing], mechanism, mall)
