@@ -121,7 +121,7 @@ def _(t):
 
 @check("mart_spending_full_variant", f"""
     with {LINES}, {POINTS}
-    select l.receipt_id, invoice_no, receipt_status_detail, member_id, platform, partner, cast(coalesce(c.correct_receipt_amount, receipt_amount) as double) as receipt_amount,
+    select distinct l.receipt_id, invoice_no, receipt_status_detail, member_id, platform, partner, cast(coalesce(c.correct_receipt_amount, receipt_amount) as double) as receipt_amount,
            cast(pts.earned_points as double) as earned_points, case when d.receipt_id is not null then 1 else abnormal_case end as abnormal_case
     from lines l left join pts on l.receipt_id = pts.receipt_id left join src_corrected c on l.receipt_id = c.receipt_id left join src_duplicate d on l.receipt_id = d.receipt_id
     where invoice_no not in (select invoice_no from src_food_header where payment_status = 0 or order_status not in (2, 12, 99) or member_status_detail is null)""")
