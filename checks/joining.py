@@ -54,14 +54,14 @@ def _(t):
 
 
 @check("join06_match_key", """
-    select a.o_orderkey, b.o_orderkey as twin from orders a join orders b
-      on a.o_custkey = b.o_custkey and a.o_orderdate = b.o_orderdate and nullif(a.o_orderstatus, 'P') = nullif(b.o_orderstatus, 'P')
-    where a.o_orderkey <> b.o_orderkey""")
+    select o_orderkey, first_order, n_same from orders a join (
+      select o_custkey as c, o_orderdate as d, nullif(o_orderstatus, 'P') as s, min(o_orderkey) as first_order, count(*) as n_same from orders group by 1, 2, 3) b
+      on a.o_custkey = c and a.o_orderdate = d and nullif(a.o_orderstatus, 'P') = s""")
 def _(t):
     key = text.match_key(F.to_date("o_orderdate"), F.col("o_custkey"), F.nullif("o_orderstatus", F.lit("P")))
-    a = t.orders.select("o_orderkey", key.alias("key"))
-    b = a.select(F.col("o_orderkey").alias("twin"), F.col("key").alias("bkey"))
-    return a.join(b, (F.col("key") == F.col("bkey")) & (F.col("o_orderkey") != F.col("twin"))).select("o_orderkey", "twin")
+    rows = t.orders.select("o_orderkey", key.alias("key"))
+    known = rows.groupBy(F.col("key").alias("known_key")).agg(F.min("o_orderkey").alias("first_order"), F.count(F.lit(1)).alias("n_same"))
+    return rows.join(known, F.col("key") == F.col("known_key")).select("o_orderkey", "first_order", "n_same")
 
 
 @check("join07_timestamp_condition_list", """

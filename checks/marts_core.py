@@ -109,7 +109,7 @@ def _(t):
 POINTS = """
     pts as (
       select r.receipt_id, r.spending_transaction_id, case when t.earned_points - coalesce(prior, 0) > amount then amount when t.earned_points - coalesce(prior, 0) > 0 then t.earned_points - coalesce(prior, 0)
-        else 0 end as earned_points from (select receipt_id, spending_transaction_id, amount, sum(amount) over (partition by spending_transaction_id order by receipt_id rows between unbounded preceding and 1 preceding) as prior
+        else 0 end as earned_points from (select receipt_id, spending_transaction_id, amount, sum(amount) over (partition by spending_transaction_id order by receipt_id range between unbounded preceding and current row exclude group) as prior
         from src_receipt) r left join src_transaction t on r.spending_transaction_id = t.spending_transaction_id)"""
 
 

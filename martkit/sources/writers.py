@@ -39,14 +39,13 @@ def append_log(df: DataFrame, path: str, by: str, stamp: date | str | None = Non
 
 
 def export_csv(df: DataFrame, path: str, sep: str = ",", single_file: bool = True, compression: str = "gzip",
-               timestamp_format: str = "yyyy-MM-dd HH:mm:ss", date_format: str = "yyyy-MM-dd", header: bool = True) -> None:
-    """Delimited export with fixed formats.
+               timestamp_format: str = "yyyy-MM-dd HH:mm:ss", date_format: str = "yyyy-MM-dd", header: bool = True, max_rows: int = 1_000_000) -> None:
+    """Delimited export with fixed formats. Spark adds the ``_SUCCESS`` marker itself.
 
-    ``single_file`` is for receivers that take one file: the result is computed in
-    parallel and only its finished rows are moved to one writer. Spark adds
-    the ``_SUCCESS`` marker itself.
+    ``single_file`` is for receivers that take one file. It is granted up to ``max_rows`` counted rows;
+    a larger export keeps its parallel parts, complete, instead of going through one task.
     """
-    out = df.repartition(1) if single_file else df
+    out = df.repartition(1) if single_file and df.count() <= max_rows else df
     (out.write.mode("overwrite").option("sep", sep).option("header", header).option("compression", compression)
      .option("timestampFormat", timestamp_format).option("timestampNTZFormat", timestamp_format)
      .option("dateFormat", date_format).option("emptyValue", "").csv(path))

@@ -62,6 +62,13 @@ def test_export_formats_and_marker(spark, tmp_path):
     assert rows(back.select("id", "ts")) == [(1, "2024-01-01 15:02:03"), (2, None)]
 
 
+def test_a_large_export_keeps_its_parts(spark, tmp_path):
+    path = str(tmp_path / "parts")
+    writers.export_csv(spark.range(0, 100, 1, 4), path, max_rows=50)
+    assert sum(f.endswith(".csv.gz") for f in os.listdir(path)) == 4
+    assert readers.read_delimited(spark, path, "id bigint").count() == 100
+
+
 def test_backup_stops_on_a_failed_check(spark, tmp_path):
     live = str(tmp_path / "live")
     df = spark.createDataFrame([(1, date(2024, 1, 1)), (2, date(2024, 1, 2))], "id int, d date")
