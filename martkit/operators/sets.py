@@ -27,16 +27,18 @@ def union_evidence(parts: Sequence[DataFrame], schema: StructType) -> DataFrame:
     return union_all(*[pad_to(p, schema) for p in parts])
 
 
-def overlay(history: DataFrame, delta: DataFrame, date_col: str, cut: date | str) -> DataFrame:
-    """Frozen history before ``cut`` plus the recomputed delta from ``cut`` on.
+def overlay(history: DataFrame, delta: DataFrame, date_col: str, cut: date | str, trusted_history: bool = False) -> DataFrame:
+    """Frozen history before ``cut`` plus the recomputed delta from ``cut`` on, without duplicates.
 
     Both sides use one date column, so no row is lost or doubled between them; the
-    history bound is a literal and prunes partitions.
+    history bound is a literal and prunes partitions. A history that is this overlay's
+    own earlier output has no duplicates: with ``trusted_history`` only the delta
+    is shuffled for removing them, and the frozen days pass straight through.
     """
     cut = dates.as_date(cut)
     old = history.filter(F.col(date_col) < F.lit(cut))
     new = delta.filter(F.col(date_col) >= F.lit(cut))
-    return old.unionByName(new).distinct()
+    return old.unionByName(new.distinct()) if trusted_history else old.unionByName(new).distinct()
 
 
 def override_rows(base: DataFrame, fixes: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -81,7 +81,7 @@ def ledger_lines(ledger: DataFrame, expiry: DataFrame, gift: DataFrame, coupon:
 def ledger_fact(lines: DataFrame, history: DataFrame, member: DataFrame, *, cut: date | str, staff_before: date | str,
                 exclude_members: Sequence[str] = ()) -> DataFrame:
     """Overlay on the frozen history, known members only, with today's member attributes."""
-    base = sets.overlay(history.select(*lines.columns), lines, "created_date", cut)
+    base = sets.overlay(history.select(*lines.columns), lines, "created_date", cut, trusted_history=True)
     if exclude_members:
         base = base.filter(~F.col("member_id").isin(list(exclude_members)))
     out = base.join(member.select("member_id", "registration_date", *MEMBER_COLUMNS), "member_id")

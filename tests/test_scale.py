@@ -108,3 +108,13 @@ def test_row_level_operators_never_use_one_task(spark):
         assert "SinglePartition" not in plan_of(df)
     numbered = plan_of(rowids.add_row_id(t.orders, ["o_orderdate", "o_orderkey"], "id", F.trunc("o_orderdate", "month")))
     assert numbered.count("SinglePartition") == 1
+
+
+def test_a_trusted_history_is_not_shuffled(spark):
+    t = Tables(spark, SF)
+    rows = t.orders.select("o_orderkey", F.to_date("o_orderdate").alias("d"))
+    df = sets.overlay(rows, rows, "d", "2001-05-03", trusted_history=True)
+    plan = plan_of(df)
+    assert plan.count("Arguments: hashpartitioning") == 1
+    assert plan.index("Union") < plan.index("HashAggregate")  # only one branch below the union is aggregated
+    assert df.count() == rows.count()
