@@ -114,11 +114,12 @@ def _(t):
     select m.mall_id, coalesce(mall_name_en, name_lang1) as name_en, coalesce(loc_long_en, '') as address_en, case when district is null then '' when district = 0 then 'HONG_KONG_ISLAND' when district = 1 then 'KOWLOON' else 'NEW_TERRITORIES' end as district,
            case when left(website_url, 3) = 'www' then 'http://' || website_url else website_url end as website_url, case when m.status = 'A' then 1 else 0 end as under_loyalty_program,
            case when m.mall_id in (14) then 'ACTIVE' when m.status = 'A' then 'ACTIVE' when m.status = 'I' then 'INACTIVE' when m.status = 'V' then 'INVALID' else m.status end as status,
-           case when m.mall_id between 2000 and 2100 then 'SMART_PARKING' when m.mall_id between 6000 and 6100 then 'GO_ROYAL' when m.mall_id between 5000 and 5100 then 'PARTNER' when m.mall_id >= 7000 then 'PARTNER' when m.mall_id < 900 then 'THE_POINT' else 'OTHER' end as mall_type,
+           case when m.mall_id between 2000 and 2100 then 'GATED' when m.mall_id between 6000 and 6100 then 'CLUB' when m.mall_id between 5000 and 5100 then 'PARTNER' when m.mall_id >= 7000 then 'PARTNER' when m.mall_id < 900 then 'OWN' else 'OTHER' end as mall_type,
            coalesce(s.status, 0) as show_in_api
     from src_dir_mall m left join src_dir_site s on s.id = case when m.mall_id = 13 then 1 else cms_mall_id end where m.mall_id <> 20""")
 def _(t):
-    return directory.malls(t.derived("src_dir_mall"), t.derived("src_dir_site"), site_ids={13: 1}, active=[14], excluded=[20])
+    return directory.malls(t.derived("src_dir_mall"), t.derived("src_dir_site"), site_ids={13: 1}, active=[14], excluded=[20],
+                           kinds=[(0, 899, "OWN"), (2000, 2100, "GATED"), (6000, 6100, "CLUB"), (5000, 5100, "PARTNER"), (7000, None, "PARTNER")])
 
 
 @check("mart_directory_car_parks", """
@@ -169,11 +170,11 @@ def _(t):
 
 
 @check("mart_directory_shops", """
-    select c.id, shop_name as name_en, case ticket_type when 1 then 'EAT_EASY' when 2 then 'MAXIM' when 3 then 'kabu' else 'none' end as ticket_type, case when c.status = 1 then 1 else 0 end as display_in_directory, shop_no, c.mall_id,
+    select c.id, shop_name as name_en, case ticket_type when 1 then 'ticket a' when 2 then 'ticket b' when 3 then 'ticket c' else 'none' end as ticket_type, case when c.status = 1 then 1 else 0 end as display_in_directory, shop_no, c.mall_id,
            a.partner_shop_id as store_shop_code, b.partner_shop_id as telco_shop_code, case when s.status = 'A' then 'ACTIVE' when s.status = 'V' then 'INVALID' else 'INACTIVE' end as status
     from src_dir_shop c left join src_shop_raw s on c.id = s.shop_id left join (select * from src_dir_partner_shop where partner_id = 5001) a on c.id = a.shop_id left join (select * from src_dir_partner_shop where partner_id = 5004) b on c.id = b.shop_id""")
 def _(t):
-    return directory.shops(t.derived("src_dir_shop"), t.derived("src_shop_raw"), t.derived("src_dir_partner_shop"), APPS)
+    return directory.shops(t.derived("src_dir_shop"), t.derived("src_shop_raw"), t.derived("src_dir_partner_shop"), APPS, {1: "ticket a", 2: "ticket b", 3: "ticket c"})
 
 
 @check("mart_directory_shop_floor_links", """

@@ -11,9 +11,7 @@ from martkit.operators import joins, lists, ordered
 
 # Codes and labels of the directory.
 STATUS = {"A": "ACTIVE", "I": "INACTIVE", "V": "INVALID"}
-MALL_KINDS = [(2000, 2100, "SMART_PARKING"), (6000, 6100, "GO_ROYAL"), (5000, 5100, "PARTNER"), (7000, None, "PARTNER")]
 DISTRICTS = {0: "HONG_KONG_ISLAND", 1: "KOWLOON"}
-TICKETS = {1: "EAT_EASY", 2: "MAXIM", 3: "kabu"}
 
 
 def web_address(url: Column) -> Column:
@@ -21,12 +19,15 @@ def web_address(url: Column) -> Column:
     return F.when(F.left(url, F.lit(3)) == "www", F.concat(F.lit("http://"), url)).otherwise(url)
 
 
-def malls(mall: DataFrame, site: DataFrame, *, site_ids: Mapping[int, int], own_below: int = 900, active: Sequence[int] = (), excluded: Sequence[int] = ()) -> DataFrame:
-    """Malls with their site record, found by a corrected id for those in ``site_ids``."""
+def malls(mall: DataFrame, site: DataFrame, *, site_ids: Mapping[int, int], kinds: Sequence[tuple], other: str = "OTHER", active: Sequence[int] = (), excluded: Sequence[int] = ()) -> DataFrame:
+    """Malls with their site record, found by a corrected id for those in ``site_ids``.
+
+    ``kinds`` are closed id ranges ``(low, high, kind)`` with an open top.
+    """
     df = mall.filter(~F.col("mall_id").isin(list(excluded))) if excluded else mall
     key = codes.override(codes.decode(F.col("mall_id"), site_ids), F.col("cms_mall_id"))
     df = joins.enrich(df, [(site, {"id": key}, {"mall_name_en": "_name", "district": "_district", "website_url": "_url", "status": "_shown", "loc_long_en": "_address"})])
-    kind = F.coalesce(codes.band(F.col("mall_id"), MALL_KINDS), F.when(F.col("mall_id") < own_below, "THE_POINT").otherwise("OTHER"))
+    kind = codes.band(F.col("mall_id"), kinds, other)
     district = F.when(F.col("_district").isNull(), "").otherwise(codes.decode(F.col("_district"), DISTRICTS, "NEW_TERRITORIES"))
     status = F.when(F.col("mall_id").isin(list(active)), "ACTIVE").otherwise(codes.override(codes.decode(F.col("status"), STATUS), F.col("status")))
     return df.select("mall_id", F.coalesce("_name", "name_lang1").alias("name_en"), F.coalesce("_address", F.lit("")).alias("address_en"), district.alias("district"), web_address(F.col("_url")).alias("website_url"),
@@ -82,12 +83,12 @@ def brand_category_links(brand: DataFrame, *, brand_ids: Mapping[int, int]) -> D
     return brand.filter("status = 'A'").select(codes.override(codes.decode(F.col("brand_id"), brand_ids), F.col("brand_id")).alias("brand_id"), "brand_category_id").distinct()
 
 
-def shops(site_shop: DataFrame, shop: DataFrame, partner_shop: DataFrame, partners: Mapping[str, int]) -> DataFrame:
+def shops(site_shop: DataFrame, shop: DataFrame, partner_shop: DataFrame, partners: Mapping[str, int], tickets: Mapping[int, str]) -> DataFrame:
     """Site shops with programme data and one code column per partner."""
     wide = joins.pivot_codes(partner_shop, ["shop_id"], "partner_id", "partner_shop_id", list(partners.values()))
     df = joins.enrich(site_shop, [(shop, {"shop_id": "id"}, {"status": "_status", "shop_no": "shop_no", "visible": "_visible"}),
                                   (wide, {"shop_id": "id"}, {f"partner_shop_id_{p}": f"{n}_shop_code" for n, p in partners.items()})])
-    return df.select("id", F.col("shop_name").alias("name_en"), codes.decode(F.col("ticket_type"), TICKETS, "none").alias("ticket_type"), F.when(F.col("status") == 1, 1).otherwise(0).alias("display_in_directory"), "shop_no",
+    return df.select("id", F.col("shop_name").alias("name_en"), codes.decode(F.col("ticket_type"), tickets, "none").alias("ticket_type"), F.when(F.col("status") == 1, 1).otherwise(0).alias("display_in_directory"), "shop_no",
                      "mall_id", *[f"{n}_shop_code" for n in partners], F.when(F.col("_status") == "A", "ACTIVE").when(F.col("_status") == "V", "INVALID").otherwise("INACTIVE").alias("status"))
 
 
