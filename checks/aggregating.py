@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import check
 from martkit.functions import dates, numbers, text
-from martkit.operators import aggregates, joins, latest, lists, ordered, quality, sets
+from martkit.operators import aggregates, joins, latest, ordered, quality, sets
 
 
 def money(c):

@@ -7,7 +7,6 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from checks.registry import Tables, check
-from martkit.operators import joins
 from martkit.plans import inventory, member, points, redemption, spending
 
 AGE = "case " + " ".join(f"when age between {a} and {b or 999} then '{n}'" for a, b, n in member.AGE_BANDS) + " end"

@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from martkit.functions import codes, dates, text
+from martkit.functions import dates, text
 from martkit.operators import filters, joins, latest, sets
 from martkit.sources.writers import upsert
 

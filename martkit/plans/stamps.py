@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from martkit.functions import codes, dates, text
-from martkit.operators import aggregates, joins, lists, latest
+from martkit.operators import aggregates, joins, lists
 
 TAG, LIST, MEMBER = "|@|", ":", ("gender", "age", "age_group", "residence", "district")
 

@@ -63,10 +63,3 @@ def _local_root() -> str:
     if not _LOCAL or not os.path.isdir(_LOCAL[0]):
         _LOCAL[:] = [tempfile.mkdtemp(prefix="martkit-")]
     return _LOCAL[0]
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` usable without replacing a cluster's folder."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(configured or scratch_path(spark, "checkpoint"))
