@@ -12,29 +12,44 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkit.llm import decontaminate, packing, quality
-from martkit.llm.frames import Workspace, table
-from martkit.session import prepare
+from martkit.llm import decontaminate, nearcopies, packing, quality, repeats
+from martkit.llm.frames import Workspace, ready, table
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
-    model = quality.train(docs, table(prepare(spark), sf_dir, "labels"))
+    model = quality.train(docs, table(ready(spark), sf_dir, "labels"))
     return quality.score_documents(docs, model).where(F.col("score") >= 0.5).select(docs.columns)
 
 
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near copies; all others, and rows without id, stay."""
+    ready(spark)
+    gone = nearcopies.near_copies(docs).where("not kept and doc_id is not null").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the byte strings that start earlier in the corpus."""
+    ready(spark)
+    return repeats.without_repeats(docs)
+
+
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    return decontaminate.keep_clean(docs, table(prepare(spark), sf_dir, "benchmark"))
+    return decontaminate.keep_clean(docs, table(ready(spark), sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of the remaining documents with their places in sequences."""
+    ready(spark)
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality classifier", keep_good),
+    ("MinHash near-dedup", one_of_each),
+    ("suffix-array dedup", drop_repeats),
     ("benchmark decontamination", drop_leaks),
     ("best-fit packing", pack),
 ]
@@ -43,7 +58,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents."""
-    work = Workspace(prepare(spark), "pipeline")
+    work = Workspace(ready(spark), "pipeline")
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         done = work.put(stage(spark, docs, sf_dir))

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkit.session import scratch_path
+import martkit
+from martkit.session import prepare, scratch_path
 
 # Fixed: ASCII letters lower-cased, every other ASCII character that is no digit becomes a space.
 ALNUM = bytes(
@@ -43,6 +47,20 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
     return df.mapInArrow(run, schema)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ready(spark: SparkSession) -> SparkSession:
+    """Apply the library's settings and hand its code to the executors, once for each application."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        _SHIPPED.add(app)
+        root = os.path.dirname(os.path.abspath(martkit.__file__))
+        archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "martkit_code"), "zip", os.path.dirname(root), os.path.basename(root))
+        spark.sparkContext.addPyFile(archive)
+    return prepare(spark)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*columns) if columns else df

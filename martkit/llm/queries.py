@@ -8,21 +8,28 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkit.llm import decontaminate, htmltext, licenses, neighbours, packing, quality, tokencount, urlfilter
-from martkit.llm.frames import joined_sha256, table
-from martkit.session import prepare
+from martkit.llm import decontaminate, htmltext, licenses, nearcopies, neighbours, packing, quality, repeats, tokencount, urlfilter
+from martkit.llm.frames import joined_sha256, ready, table
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urlfilter.judge_urls(table(prepare(spark), sf_dir, "pages"))
+    return urlfilter.judge_urls(table(ready(spark), sf_dir, "pages"))
 
 
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return htmltext.extract_pages(table(prepare(spark), sf_dir, "pages"))
+    return htmltext.extract_pages(table(ready(spark), sf_dir, "pages"))
+
+
+def op3_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearcopies.near_copies(table(ready(spark), sf_dir, "documents"))
+
+
+def op4_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeated_bytes(table(ready(spark), sf_dir, "documents"))
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontaminate.find_leaks(table(prepare(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontaminate.find_leaks(table(ready(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
         "doc_id",
         "n_words",
@@ -34,28 +41,28 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(prepare(spark), sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack_documents(table(ready(spark), sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neighbours.search(table(prepare(spark), sf_dir, "embeddings"))
+    return neighbours.search(table(ready(spark), sf_dir, "embeddings"))
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan_licenses(table(prepare(spark), sf_dir, "documents"))
+    return licenses.scan_licenses(table(ready(spark), sf_dir, "documents"))
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokencount.count_tokens(table(prepare(spark), sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return tokencount.count_tokens(table(ready(spark), sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judge_quality(table(prepare(spark), sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality.judge_quality(table(ready(spark), sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_url_filter, op2_html_extraction, op5_decontamination, op6_packing, op7_neighbours, op8_license_scan, op9_token_counts, op10_quality)
+    for f in (op1_url_filter, op2_html_extraction, op3_near_copies, op4_repeated_bytes, op5_decontamination, op6_packing, op7_neighbours, op8_license_scan, op9_token_counts, op10_quality)
 }
 
 # Twins in DuckDB, where SQL can express the query.
