@@ -24,7 +24,7 @@ from martkit.llm.frames import map_batches
 FIT_ROWS = 20_000
 BRANCHES = 8
 LEAF_ROWS = 64  # of the sample
-TARGET_RECALL = 0.97
+TARGET_RECALL = 0.98
 CALIBRATION_QUERIES = 256
 BLOCK_ROWS = 4096
 K = 10
@@ -107,7 +107,9 @@ def calibrate(tree: Tree, sample: np.ndarray, k: int, target: float, queries: in
     """Leaves to visit so that sample queries find the target share of their true neighbours in the sample."""
     if len(sample) <= k + 1 or tree.n_leaves == 1:
         return 1
-    leaves, asked = tree.assign(sample), np.linspace(0, len(sample) - 1, min(queries, len(sample))).astype(int)
+    leaves, distinct = tree.assign(sample), np.unique(sample, axis=0, return_index=True)[1]
+    distinct.sort()  # a vector that many rows hold is one query
+    asked = distinct[np.linspace(0, len(distinct) - 1, min(queries, len(distinct))).astype(int)]
     needed = []
     for i in asked:
         distance = ((sample - sample[i]) ** 2).sum(1)

@@ -68,9 +68,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 # Twins in DuckDB, where SQL can express the query.
 _URL_SQL = """
 with parts as (
-    select page_id, coalesce(url, '') as u, strpos(coalesce(url, ''), '://') as at from pages
+    select page_id, coalesce(url, '') as u, strpos(coalesce(url, ''), '://') as mark from pages
 ), rest as (
-    select page_id, case when at > 0 then substr(u, at + 3) else '' end as r from parts
+    select page_id, case when mark > 0 then substr(u, mark + 3) else '' end as r from parts
 ), split as (
     select page_id, regexp_extract(r, '^[^/?#]*') as raw, r from rest
 ), named as (
