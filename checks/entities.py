@@ -236,7 +236,8 @@ ENTITIES: dict[str, str] = {
              cast(l_extendedprice as decimal(18, 2)) as receipt_amount, case when l_tax = 0.01 then 'api' else 'app' end as platform, case when p_size % 9 = 3 then '' else p_type end as lms_standard_trade_category, p_brand as lms_standard_brand_name,
              case when l_returnflag = 'R' then 'Rejected' else 'Approved' end as receipt_status_detail, case when l_suppkey % 10 = 0 then 'Suspended' else 'Active' end as member_status_detail, case when l_tax = 0.02 then 1 else 0 end as abnormal_case,
              'G' || (l_suppkey % 3) as gender, p_size as age, 'A' || (p_size % 5) as age_group, 'R' || (l_suppkey % 4) as residence, 'D' || (l_suppkey % 6) as district, 'S' || l_partkey as shop_name, l_quantity as earned_points,
-             'I|' || l_orderkey || ',' || l_linenumber as invoice_no, case when l_linenumber = 7 then null else 'pay' || l_linenumber end as payment_type
+             'I|' || l_orderkey || ',' || l_linenumber as invoice_no, case when l_linenumber = 7 then null else 'pay' || l_linenumber end as payment_type,
+             case l_partkey % 3 when 1 then 'partner ' || (l_orderkey % 2) when 2 then 'direct' end as partner
       from lineitem join supplier on l_suppkey = s_suppkey join part on l_partkey = p_partkey""",
     "src_pre_shoot": "select receipt_id from src_fact where receipt_amount > 90000",
     "src_abnormal_shop": "select p_partkey as shop_id from part where p_size < 5",

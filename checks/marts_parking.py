@@ -85,7 +85,7 @@ def _(t):
 
 def spending_side(t: Tables):
     """Receipts in the shape of the spending fact, at the places the parking invoices know."""
-    return t.lineitem.filter("l_returnflag <> 'N'").select(
+    return t.lineitem.select(
         F.concat(F.lit("M"), (F.col("l_suppkey") * 3).cast("string")).alias("member_id"), F.concat(F.lit("P"), (F.col("l_suppkey") % 20).cast("string")).alias("property_id"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("receipt_id"), F.to_date("l_shipdate").alias("receipt_transaction_date"),
         F.concat(F.lit("0INV-"), "l_orderkey", F.lit("r"), "l_linenumber").alias("invoice_no"), F.lit("shop").alias("shop_name"), F.col("l_extendedprice").cast("decimal(18,2)").alias("receipt_amount"))
@@ -94,7 +94,7 @@ def spending_side(t: Tables):
 HISTORY = f"""{INVOICES},
     spend as (
       select 'M' || (l_suppkey * 3) as member_id, 'P' || (l_suppkey % 20) as property_id, l_orderkey * 10 + l_linenumber as receipt_id, cast(l_shipdate as date) as receipt_transaction_date,
-             '0INV-' || l_orderkey || 'r' || l_linenumber as invoice_no, 'shop' as shop_name, cast(l_extendedprice as decimal(18, 2)) as receipt_amount from lineitem where l_returnflag <> 'N'),
+             '0INV-' || l_orderkey || 'r' || l_linenumber as invoice_no, 'shop' as shop_name, cast(l_extendedprice as decimal(18, 2)) as receipt_amount from lineitem),
     evidence as (
       select 'identify by Invoice' as identify_type, s.member_id, upper(trim(i.car_plate)) as car_plate, s.property_id, s.receipt_id, s.receipt_transaction_date, s.invoice_no, s.shop_name, s.receipt_amount,
              i.property_id as property_id_parking, i.redemption_datetime as redeemed_at, i.invoice_no as invoice_no_parking, i.invoice_amount as receipt_amount_parking, cast(null as string) as redemption_transaction_id,

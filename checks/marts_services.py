@@ -209,12 +209,11 @@ def _(t):
       select s_suppkey as coupon_id, s_nationkey as nation from supplier where s_suppkey % 4 <> 0 and s_nationkey <> 9
       ) a union all select s_suppkey, '9' from supplier where s_suppkey % 4 <> 0 and s_nationkey = 9) y""")
 def _(t):
-    return content.item_links(t.derived("src_coupon_json").filter("usage_shop_id is null or usage_shop_id not like '{\"9\":%'"), "coupon_id", "usage_shop_id", "shop_id").unionByName(
-        t.supplier.filter("s_suppkey % 4 <> 0 and s_nationkey = 9").select(F.col("s_suppkey").alias("coupon_id"), F.lit("9").alias("shop_id")))
+    return content.item_links(t.derived("src_coupon_json"), "coupon_id", "usage_shop_id", "shop_id")
 
 
 @check("mart_coupon_points", """
-    select s_suppkey as coupon_id, case when s_suppkey % 5 = 1 then cast(1000 + 100 + s_suppkey % 800 as int) when s_suppkey % 5 in (2, 3) then cast(s_suppkey as int) end as bonus_point,
+    select s_suppkey as coupon_id, case when s_suppkey % 5 = 1 then 7 when s_suppkey % 5 in (2, 3) then cast(s_suppkey as int) end as bonus_point,
            case when s_suppkey % 5 = 1 then '1' end as member_level_id from supplier where s_suppkey % 5 <> 4""")
 def _(t):
     return content.coupon_points(t.derived("src_coupon_json"))
@@ -225,14 +224,14 @@ def _(t):
            case when s_suppkey % 5 = 1 then '1,' || (100 + s_suppkey % 800) when s_suppkey % 5 in (2, 3) then cast(s_suppkey as string) else '' end as bonus_point_1, case when s_suppkey % 5 = 1 then '1' else '' end as member_level_id_1,
            case when s_suppkey % 5 = 1 then '7' else '' end as bonus_point_2, '' as member_level_id_2 from supplier""")
 def _(t):
-    return content.coupon_content(t.derived("src_coupon_json").drop("usage_shop_id", "redeem_bonus_points_with_cash", "reward_brand_id"), n=2)
+    return content.coupon_content(t.derived("src_coupon_json").drop("usage_shop_id", "redeem_bonus_points_with_cash", "reward_brand_id"))
 
 
 @check("mart_gift_content", """
     select p_partkey as gift_id, p_name as name_lang1, reserve_expiry_date, cast(p_size as double) as bonus_point_1, cast(p_size % 4 as string) as member_level_id_1, case when p_size % 3 = 0 then cast(p_size % 5 as string) end as car_park_redeem_hours,
            cast(null as string) as car_park_min_spending_amount from part join src_gift_json on p_partkey = gift_id where p_size % 8 <> 0""")
 def _(t):
-    return content.gift_content(t.derived("src_gift_json").drop("redeem_bonus_points_with_cash", "reward_brand_id"), n=1)
+    return content.gift_content(t.derived("src_gift_json").drop("redeem_bonus_points_with_cash", "reward_brand_id"))
 
 
 @check("mart_redeem_conditions", """
@@ -384,15 +383,15 @@ COUNTABLE = f"receipt_transaction_date >= date '2000-08-01' and receipt_status_d
 
 @check("mart_export_spending", f"select receipt_id, replace(left(invoice_no, 30), '|', ' ') as invoice_no, receipt_transaction_date, member_id, shop_name, cast(receipt_amount as double) as receipt_amount from src_fact where {COUNTABLE}")
 def _(t):
-    return feeds.spending_export(t.derived("src_fact"), as_of="2001-08-01", columns=["receipt_id", "invoice_no", "receipt_transaction_date", "member_id", "shop_name", "receipt_amount"]).withColumns(doubles("receipt_amount"))
+    return feeds.spending_export(t.derived("src_fact"), as_of="2001-08-01", invoice_width=30, columns=["receipt_id", "invoice_no", "receipt_transaction_date", "member_id", "shop_name", "receipt_amount"]).withColumns(doubles("receipt_amount"))
 
 
 @check("mart_export_monthly_spending", f"""
-    select *, row_number() over (order by year_id, month_id, member_id, property_id, lms_standard_trade_category, platform) as spending_aggregate_id from (
-      select strftime(receipt_transaction_date, '%Y') as year_id, strftime(receipt_transaction_date, '%m') as month_id, member_id, property_id, coalesce(lms_standard_trade_category, 'Others') as lms_standard_trade_category, platform,
+    select *, row_number() over (order by year_id, month_id, member_id, property_id nulls first, lms_standard_trade_category, platform nulls first, partner nulls first) as spending_aggregate_id from (
+      select strftime(receipt_transaction_date, '%Y') as year_id, strftime(receipt_transaction_date, '%m') as month_id, member_id, property_id, coalesce(lms_standard_trade_category, 'Others') as lms_standard_trade_category, platform, partner,
              cast(sum(receipt_amount) as double) as spending_amount, count(distinct receipt_id) as number_of_receipt from src_fact where {COUNTABLE} group by all) x""")
 def _(t):
-    return feeds.monthly_spending(t.derived("src_fact"), as_of="2001-08-01").withColumns(doubles("spending_amount"))
+    return feeds.monthly_spending(t.derived("src_fact"), t.stage, as_of="2001-08-01").withColumns(doubles("spending_amount"))
 
 
 @check("mart_export_points", f"""

@@ -174,7 +174,7 @@ def _(t):
     select o_orderkey, row_number() over (order by o_orderdate, o_orderkey) as row_id from orders""")
 def _(t):
     df = t.orders.select("o_orderkey", "o_orderdate")
-    return rowids.add_row_id(df, ["o_orderdate", "o_orderkey"], "row_id", F.trunc("o_orderdate", "month")).select("o_orderkey", "row_id")
+    return rowids.add_row_id(df, ["o_orderdate", "o_orderkey"], "row_id", t.stage).select("o_orderkey", "row_id")
 
 
 @check("prj21_launch_flag", "select o_orderkey, case when o_orderdate < timestamp '1998-03-12' then 1 else 0 end as before_launch from orders")

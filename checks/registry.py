@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from checks.entities import ENTITIES
 from martkit.session import prepare, scratch_path
-from martkit.sources.staging import table_stage
+from martkit.sources.staging import StagedTables
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
           "conversations").split()
@@ -25,6 +25,7 @@ class Tables:
         self.spark = prepare(spark)
         self.sf_dir = sf_dir.rstrip("/")
         self._views: set[str] = set()
+        self._staged: StagedTables | None = None
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
@@ -42,7 +43,10 @@ class Tables:
         return self.spark.sql(wall_clock(text, "to_timestamp_ntz('{}')"))
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
-        return table_stage(self.spark)(df, name)
+        """Write once to the shared scratch folder; the result is lazy, so its tables outlive the call."""
+        if self._staged is None:
+            self._staged = StagedTables(self.spark, self.scratch("stage"))
+        return self._staged(df, name)
 
     def scratch(self, name: str) -> str:
         return scratch_path(self.spark, name)

@@ -24,7 +24,7 @@ def _(t):
     parts = []
     for sep, part in ((";", t.customer.filter("c_nationkey < 10")), ("|", t.customer.filter("c_nationkey >= 10"))):
         path = t.scratch("csv")
-        writers.export_csv(part, path, sep=sep, single_file=False)
+        writers.export_csv(part, path, sep=sep)
         parts.append(readers.read_delimited(t.spark, path, CUSTOMER, sep=sep))
     return sets.union_all(*parts)
 
@@ -46,8 +46,8 @@ def _(t):
     t.events.drop("props").write.partitionBy("event_type").parquet(root)
     control = t.events.select("event_type").distinct().withColumn(
         "kind", F.when(F.col("event_type").isin("click", "view"), "browse").otherwise("other"))
-    return readers.read_union(control, "kind", "browse", "event_type", lambda name: t.spark.read.parquet(
-        f"{root}/event_type={name}").withColumn("event_type", F.lit(name)))
+    return readers.read_union(control, "kind", "browse", "event_type", lambda names: t.spark.read.option("basePath", root).parquet(
+        *[f"{root}/event_type={name}" for name in names]))
 
 
 @check("src08_code_table", """
@@ -94,7 +94,7 @@ def _(t):
 @check("snk05_export_multi_part", "select p_partkey, p_name, p_retailprice from part")
 def _(t):
     path = t.scratch("parts")
-    writers.export_csv(t.part.select("p_partkey", "p_name", "p_retailprice"), path, single_file=False)
+    writers.export_csv(t.part.select("p_partkey", "p_name", "p_retailprice"), path)
     return readers.read_delimited(t.spark, path, "p_partkey bigint, p_name string, p_retailprice double")
 
 
@@ -109,7 +109,7 @@ def _(t):
     rows = t.orders.select("o_orderkey", "o_totalprice", F.trunc("o_orderdate", "month").alias("mon"))
     writers.write_snapshot(rows, path, ["mon"], spread=1)
     fresh = rows.filter("mon >= date'2001-01-01' and mon < date'2001-07-01'").withColumn("o_totalprice", F.col("o_totalprice") + 1)
-    writers.replace_range(fresh, path, "mon", "2001-01-01")
+    writers.replace_range(fresh, path, "mon", "2001-01-01", t.stage)
     return t.spark.read.parquet(path)
 
 
@@ -161,7 +161,7 @@ def _(t):
 def _(t):
     one, two = t.scratch("mall"), t.scratch("partner")
     df = t.orders.select("o_orderkey", F.nullif("o_orderpriority", F.lit("5-LOW")).alias("p"))
-    writers.write_split(df, F.col("p") != "1-URGENT", one, two)
+    writers.write_split(df, F.col("p") != "1-URGENT", one, two, t.stage)
     return sets.union_all(*[t.spark.read.parquet(p).select("o_orderkey", F.lit(n).alias("sink")) for p, n in ((one, "mall"), (two, "partner"))])
 
 
@@ -186,7 +186,7 @@ def _(t):
     paths = []
     for df, key, name in ((t.customer, "c_custkey", "c_name"), (t.supplier, "s_suppkey", "s_name")):
         paths.append(t.scratch("files"))
-        writers.export_csv(df.select(F.col(key).alias("c_custkey"), F.col(name).alias("c_name")), paths[-1], single_file=False)
+        writers.export_csv(df.select(F.col(key).alias("c_custkey"), F.col(name).alias("c_name")), paths[-1])
     return readers.read_delimited(t.spark, paths, "c_custkey bigint, c_name string")
 
 
@@ -225,6 +225,6 @@ def _(t):
     rows = t.orders.select("o_orderkey", "o_totalprice", F.trunc("o_orderdate", "month").alias("mon"))
     writers.write_snapshot(rows, live, ["mon"], spread=1)
     fresh = rows.filter("mon >= date'2001-06-01'").withColumn("o_totalprice", F.col("o_totalprice") * 2)
-    writers.backup_and_replace(fresh, live, backup, "mon", "2001-06-01")
+    writers.backup_and_replace(fresh, live, backup, "mon", "2001-06-01", t.stage)
     return sets.union_all(*[t.spark.read.parquet(p).select(F.lit(n).alias("copy"), "o_orderkey", "o_totalprice")
                             for n, p in (("live", live), ("backup", backup))])

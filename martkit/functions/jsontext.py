@@ -12,9 +12,16 @@ def json_path(col: Column, path: str) -> Column:
     return F.get_json_object(col, path)
 
 
+def last_entries(parsed: Column) -> Column:
+    """A map from JSON with the last entry of each repeated key."""
+    entries = F.map_entries(parsed)
+    later = lambda e, i: F.exists(F.slice(entries, i + 2, F.size(entries)), lambda x: x["key"] == e["key"])
+    return F.map_from_entries(F.filter(entries, lambda e, i: ~later(e, i)))
+
+
 def drop_json_keys(col: Column, keys: Sequence[str]) -> Column:
-    """Remove top-level keys; text that is no JSON object gives null."""
-    parsed = F.from_json(col, "map<string,string>")
+    """Remove top-level keys; text that is no JSON object gives null, and of a repeated key the last entry stays."""
+    parsed = last_entries(F.from_json(col, "map<string,string>"))
     return F.to_json(F.map_filter(parsed, lambda k, v: ~k.isin(list(keys))))
 
 
@@ -43,6 +50,20 @@ def tracking_label(col: Column, patterns: Sequence[tuple[str, str, str]], defaul
 
 
 def wide_json(col: Column, fields: Sequence[str], n: int) -> dict[str, Column]:
-    """``field_1 .. field_n`` from an array of objects; bad JSON gives nulls."""
+    """``field_1 .. field_n`` from an array of objects; bad JSON gives nulls.
+
+    ``n`` should be the longest array's size (``lists.longest_array``); ``lists.explode_objects`` is the form without it.
+    """
     parsed = F.from_json(col, "array<struct<" + ",".join(f"{f}:string" for f in fields) + ">>")
     return {f"{f}_{i + 1}": F.get(parsed, F.lit(i))[f] for i in range(n) for f in fields}
+
+
+def last_of(col: Column, fields: Sequence[str]) -> dict[str, Column]:
+    """Each field's value in the last object of an array that has it."""
+    parsed = F.from_json(col, "array<struct<" + ",".join(f"{f}:string" for f in fields) + ">>")
+
+    def last(field: str) -> Column:
+        given = F.filter(F.transform(parsed, lambda o: o[field]), lambda v: v.isNotNull())
+        return F.try_element_at(given, F.lit(-1))
+
+    return {f: last(f) for f in fields}

@@ -1,8 +1,10 @@
 """Equi-joins and their variants.
 
 No operator here forces a broadcast: Spark compares the size estimate with
-``spark.sql.autoBroadcastJoinThreshold`` and AQE re-plans with the real size,
-splitting skewed partitions of the large side when the join is a sort merge.
+``spark.sql.autoBroadcastJoinThreshold`` and AQE re-plans with the real size.
+AQE splits a skewed partition of a single sort-merge join only, not of chains on one key or of joins
+below an aggregation on it. So rows that cannot match, with a null key or a listed filler, are
+dealt out by a hash of the whole row, and hot keys that do match can be salted (``salt``).
 """
 
 from __future__ import annotations
@@ -25,17 +27,54 @@ def code_table(df: DataFrame, mapping: Mapping, key: str, value: str) -> DataFra
     return df.sparkSession.range(1).select(F.inline(F.array(*rows)))
 
 
-def enrich(df: DataFrame, dims: Sequence[tuple[DataFrame, Mapping[str, str | Column], Mapping[str, str]]]) -> DataFrame:
+SPREAD = 256  # places for the rows of a key that cannot match
+
+
+def _place(df: DataFrame, keys: Sequence[Column], fillers: Sequence) -> Column:
+    """0 for rows whose keys may match, else a place from 1 on by a hash of the row."""
+    hopeless = reduce(lambda a, b: a | b, [k.isNull() for k in keys])
+    for k in keys if fillers else []:
+        hopeless = hopeless | F.coalesce(k.isin(list(fillers)), F.lit(False))
+    row = [f.name for f in df.schema if f.dataType.typeName() not in ("map", "variant")]
+    return F.when(hopeless, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in row]), F.lit(SPREAD)) + 1).otherwise(F.lit(0)).cast("int")
+
+
+def _at_zero(*keys: str) -> Column:
+    """Always 0, but a column of the row: a constant would be taken out of the join's key."""
+    return F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int")
+
+
+def enrich(df: DataFrame, dims: Sequence[tuple[DataFrame, Mapping[str, str | Column], Mapping[str, str]]],
+           fillers: Mapping[str, Sequence] | None = None) -> DataFrame:
     """Left-join a chain of dimensions.
 
     Each entry is ``(dim, {dim key: fact column or expression}, {dim column: output name})``.
-    A dimension must be unique on its key, otherwise facts fan out as in SQL.
+    A dimension must be unique on its key, otherwise facts fan out as in SQL. ``fillers`` names values of fact
+    columns that stand for "none" and are in no dimension; like null keys they don't meet in one task.
     """
+    places: dict[tuple, str] = {}
     for i, (dim, keys, columns) in enumerate(dims):
+        facts = [F.col(v) if isinstance(v, str) else v for v in keys.values()]
         side = dim.select([F.col(k).alias(f"_k{i}_{k}") for k in keys] + [F.col(c).alias(n) for c, n in columns.items()])
-        conds = [(F.col(v) if isinstance(v, str) else v) == F.col(f"_k{i}_{k}") for k, v in keys.items()]
-        df = df.join(side, all_of(conds), "left").drop(*[f"_k{i}_{k}" for k in keys])
-    return df
+        side = side.withColumn(f"_k{i}_at", _at_zero(*[f"_k{i}_{k}" for k in keys]))
+        named = tuple(v if isinstance(v, str) else i for v in keys.values())
+        if named not in places:  # joins on one key share the column and so the shuffle
+            places[named] = f"_at{i}"
+            listed = [x for v in keys.values() if isinstance(v, str) for x in (fillers or {}).get(v, ())]
+            df = df.withColumn(f"_at{i}", _place(df, facts, listed))
+        conds = [fact == F.col(f"_k{i}_{k}") for k, fact in zip(keys, facts, strict=True)] + [F.col(places[named]) == F.col(f"_k{i}_at")]
+        df = df.join(side, all_of(conds), "left").drop(*[f"_k{i}_{k}" for k in keys], f"_k{i}_at")
+    return df.drop(*places.values())
+
+
+def enrich_salted(df: DataFrame, dim: DataFrame, keys: Mapping[str, str], columns: Mapping[str, str], salt: int) -> DataFrame:
+    """``enrich`` with one dimension for facts with hot keys that match: the dimension is copied ``salt`` times."""
+    side = dim.select([F.col(k).alias(f"_k_{k}") for k in keys] + [F.col(c).alias(n) for c, n in columns.items()])
+    side = side.withColumn("_k_at", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    row = [f"`{f.name}`" for f in df.schema if f.dataType.typeName() not in ("map", "variant")]
+    df = df.withColumn("_at", F.pmod(F.xxhash64(*row), F.lit(salt)).cast("int"))
+    conds = [F.col(v) == F.col(f"_k_{k}") for k, v in keys.items()] + [F.col("_at") == F.col("_k_at")]
+    return df.join(side, all_of(conds), "left").drop(*[f"_k_{k}" for k in keys], "_k_at", "_at")
 
 
 def enrich_roles(df: DataFrame, dim: DataFrame, key: str, roles: Mapping[str, str], columns: Sequence[str]) -> DataFrame:
@@ -46,8 +85,10 @@ def enrich_roles(df: DataFrame, dim: DataFrame, key: str, roles: Mapping[str, st
 def enrich_gated(df: DataFrame, dim: DataFrame, keys: Mapping[str, str], when: Column, columns: Mapping[str, str]) -> DataFrame:
     """Left join whose extra one-sided condition belongs to the match, not to a filter."""
     side = dim.select([F.col(k).alias(f"_g_{k}") for k in keys] + [F.col(c).alias(n) for c, n in columns.items()])
-    conds = [F.col(v) == F.col(f"_g_{k}") for k, v in keys.items()] + [when]
-    return df.join(side, all_of(conds), "left").drop(*[f"_g_{k}" for k in keys])
+    side = side.withColumn("_g_at", _at_zero(*[f"_g_{k}" for k in keys]))
+    df = df.withColumn("_at", _place(df, [F.col(v) for v in keys.values()], ()))
+    conds = [F.col(v) == F.col(f"_g_{k}") for k, v in keys.items()] + [F.col("_at") == F.col("_g_at"), when]
+    return df.join(side, all_of(conds), "left").drop(*[f"_g_{k}" for k in keys], "_g_at", "_at")
 
 
 def decode_join(df: DataFrame, codes: DataFrame, col: str, key: str, value: str, name: str) -> DataFrame:
@@ -55,11 +96,25 @@ def decode_join(df: DataFrame, codes: DataFrame, col: str, key: str, value: str,
     return enrich(df, [(codes, {key: col}, {value: name})])
 
 
-def flag_exists(df: DataFrame, keys_df: DataFrame, on: Mapping[str, str], name: str) -> DataFrame:
-    """0/1 flag for a match. The keys are made distinct first, so nothing fans out."""
+def flag_exists(df: DataFrame, keys_df: DataFrame, on: Mapping[str, str], name: str, fillers: Sequence = (), salt: int = 1) -> DataFrame:
+    """0/1 flag for a match. The keys are made distinct first, so nothing fans out.
+
+    Rows with a null key or a value in ``fillers`` match nothing and are dealt over all tasks. With ``salt`` the
+    distinct keys are copied so many times, and the rows of a hot key that does match are spread as well.
+    """
     side = keys_df.select([F.col(k).alias(f"_e_{k}") for k in on]).distinct().withColumn("_hit", F.lit(1))
-    out = df.join(side, all_of([F.col(v) == F.col(f"_e_{k}") for k, v in on.items()]), "left")
-    return out.withColumn(name, F.coalesce(F.col("_hit"), F.lit(0))).drop("_hit", *[f"_e_{k}" for k in on])
+    if fillers:
+        side = side.filter(~reduce(lambda a, b: a | b, [F.col(f"_e_{k}").isin(list(fillers)) for k in on]))
+    place = _place(df, [F.col(v) for v in on.values()], fillers)
+    if salt > 1:
+        row = [f"`{f.name}`" for f in df.schema if f.dataType.typeName() not in ("map", "variant")]
+        place = F.when(place == 0, -F.pmod(F.xxhash64(*row), F.lit(salt)).cast("int")).otherwise(place)
+        side = side.withColumn("_e_at", F.explode(F.sequence(F.lit(1 - salt), F.lit(0))))
+    else:
+        side = side.withColumn("_e_at", _at_zero(*[f"_e_{k}" for k in on]))
+    out = df.withColumn("_at", place)
+    out = out.join(side, all_of([F.col(v) == F.col(f"_e_{k}") for k, v in on.items()] + [F.col("_at") == F.col("_e_at")]), "left")
+    return out.withColumn(name, F.coalesce(F.col("_hit"), F.lit(0))).drop("_hit", "_at", "_e_at", *[f"_e_{k}" for k in on])
 
 
 def semi(df: DataFrame, other: DataFrame, on: Mapping[str, str | Column]) -> DataFrame:

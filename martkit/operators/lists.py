@@ -7,6 +7,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from martkit.functions import jsontext
+
 
 def explode_list(df: DataFrame, col: str, sep: str, name: str, remove: str = "", drop_values: Sequence[str] = ("",)) -> DataFrame:
     """One row per token; listed values are dropped."""
@@ -39,8 +41,9 @@ def explode_json(df: DataFrame, col: str, schema: str, array: str, scalars: Sequ
 
 
 def explode_map_of_lists(df: DataFrame, key: str, col: str, group: str, item: str) -> DataFrame:
-    """``{"10": ["1", "2"]}`` to rows (key, group, item)."""
-    rows = df.select(F.col(key), F.explode(F.from_json(F.col(col), "map<string,array<string>>")).alias(group, "_items"))
+    """``{"10": ["1", "2"]}`` to rows (key, group, item); of a repeated key the last entry counts."""
+    parsed = jsontext.last_entries(F.from_json(F.col(col), "map<string,array<string>>"))
+    rows = df.select(F.col(key), F.explode(parsed).alias(group, "_items"))
     return rows.select(key, group, F.explode("_items").alias(item))
 
 
@@ -62,10 +65,26 @@ def explode_tiers(df: DataFrame, key: str, col: str, labels: tuple[str, str, str
     return out.withColumn("tier_type", label)
 
 
-def infer_json_schema(df: DataFrame, col: str, rows: int = 1000) -> str:
-    """Schema text of a JSON column, inferred from some rows; an action, meant for exploring.
+def explode_objects(df: DataFrame, keys: Sequence[str], col: str, fields: Sequence[str]) -> DataFrame:
+    """Every field of every object of a JSON array: (keys, 1-based position, field, value). Bad JSON gives no rows."""
+    schema = "array<struct<" + ",".join(f"{f}:string" for f in fields) + ">>"
+    rows = df.select(*keys, F.posexplode(F.from_json(F.col(col), schema)).alias("_pos", "_o"))
+    entry = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"_o.{f}").alias("value")) for f in fields])).alias("_f")
+    return rows.select(*keys, (F.col("_pos") + 1).alias("position"), entry).select(*keys, "position", "_f.field", "_f.value")
+
+
+def longest_array(df: DataFrame, *cols: str) -> int:
+    """Most items that any JSON array in these columns has (0 if there is none); an action."""
+    sizes = [F.max(F.coalesce(F.json_array_length(c), F.lit(0))) for c in cols]
+    return df.agg(F.greatest(*sizes, F.lit(0), F.lit(0))).first()[0] or 0
+
+
+def infer_json_schema(df: DataFrame, col: str) -> str:
+    """Schema text of a JSON column over all its rows, in one aggregation; an action, meant for exploring.
 
-    Jobs pin the text this prints: a schema inferred at run time changes with the data.
+    Malformed texts are skipped; fields of conflicting types are strings. Jobs pin the text this prints:
+    a schema inferred at run time changes with the data.
     """
-    texts = df.filter(F.col(col).isNotNull()).select(col).limit(rows)
-    return df.sparkSession.read.json(texts.rdd.map(lambda r: r[0])).schema.simpleString()
+    found = df.agg(F.schema_of_variant_agg(F.try_parse_json(F.col(col)))).first()[0]
+    typed = re.sub(r"(?<=: )(VOID|VARIANT)\b|(?<=ARRAY<)(VOID|VARIANT)\b", "STRING", found).replace("OBJECT<", "STRUCT<")
+    return typed.lower() if typed in ("VOID", "VARIANT") else typed

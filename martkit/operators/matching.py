@@ -64,8 +64,8 @@ def match_rules(df: DataFrame, rules: DataFrame, on: Mapping[str, str], wildcard
     ``on`` holds plain equality keys, ``wildcard`` equality tests that a null rule
     value switches off, ``at_least`` fact >= rule tests with the same null rule; all map
     fact to rule columns. Each rule gets the bit pattern of its open tests and each
-    fact row probes the patterns, which makes the whole match an equi-join that
-    needs no broadcast nested loop. There are 2^len(wildcard) patterns.
+    fact row probes the patterns that occur among the rules of its ``on`` keys, which makes the
+    whole match an equi-join that needs no broadcast nested loop.
     """
     tests = list(wildcard.items())
     mask = F.lit(0)
@@ -75,7 +75,12 @@ def match_rules(df: DataFrame, rules: DataFrame, on: Mapping[str, str], wildcard
         mask.alias("_rmask"), *[F.col(r).alias(f"_on_{r}") for r in on.values()],
         *[F.col(r).alias(f"_w_{r}") for _, r in tests], *[F.col(r).alias(f"_m_{r}") for r in (at_least or {}).values()],
         *[F.col(c) for c in columns])
-    lhs = df.withColumn("_mask", F.explode(F.array(*[F.lit(i) for i in range(1 << len(tests))])))
+    if on:
+        used = side.groupBy(*[F.col(f"_on_{r}").alias(f"_p_{r}") for r in on.values()]).agg(F.collect_set("_rmask").alias("_masks"))
+        lhs = df.join(used, all_of([F.col(f) == F.col(f"_p_{r}") for f, r in on.items()])).drop(*[f"_p_{r}" for r in on.values()])
+    else:
+        lhs = df.withColumn("_masks", F.array(*[F.lit(i) for i in range(1 << len(tests))]))
+    lhs = lhs.withColumn("_mask", F.explode("_masks")).drop("_masks")
     conds: list[Column] = [F.col("_mask") == F.col("_rmask")]
     conds += [F.col(f) == F.col(f"_on_{r}") for f, r in on.items()]
     for i, (f, r) in enumerate(tests):

@@ -21,22 +21,30 @@ def item_links(content: DataFrame, key: str, col: str, item: str) -> DataFrame:
 
 
 def coupon_points(coupon: DataFrame) -> DataFrame:
-    """First redemption tier of a coupon with numeric points."""
-    wide = jsontext.wide_json(F.col("redeem_bonus_points"), ["bonus_point", "member_level_id"], 1)
-    df = coupon.filter(F.col("redeem_bonus_points").isNotNull()).withColumns(wide)
-    return df.select("coupon_id", text.currency_number(F.col("bonus_point_1"), "int").alias("bonus_point"), F.col("member_level_id_1").alias("member_level_id"))
+    """Numeric points and member level of a coupon: of each field the last tier that has it."""
+    last = jsontext.last_of(F.col("redeem_bonus_points"), ["bonus_point", "member_level_id"])
+    df = coupon.filter(F.col("redeem_bonus_points").isNotNull())
+    return df.select("coupon_id", text.currency_number(last["bonus_point"], "int").alias("bonus_point"), last["member_level_id"].alias("member_level_id"))
 
 
-def coupon_content(coupon: DataFrame, *, n: int = 5) -> DataFrame:
-    """Coupons with numbered tier columns; missing tiers are empty text and the expiry is plausible."""
+def coupon_content(coupon: DataFrame, *, n: int | None = None) -> DataFrame:
+    """Coupons with numbered tier columns; missing tiers are empty text and the expiry is plausible.
+
+    Without ``n`` there are as many columns as the longest list has tiers (one aggregation).
+    """
+    n = lists.longest_array(coupon, "redeem_bonus_points") if n is None else n
     wide = jsontext.wide_json(F.col("redeem_bonus_points"), ["bonus_point", "member_level_id"], n)
     df = coupon.withColumns({k: F.coalesce(v, F.lit("")) for k, v in wide.items()})
     return df.withColumn("usage_expiry_date", dates.clamp_year(F.col("usage_expiry_date"), 1970, F.lit(EPOCH_END_OF_DAY).cast("timestamp_ntz"))).drop("redeem_bonus_points")
 
 
-def gift_content(gift: DataFrame, *, n: int = 5, extra: Sequence[str] = ("car_park_redeem_hours", "car_park_min_spending_amount")) -> DataFrame:
-    """Gifts with numbered tiers and the parking values of their extra data."""
+def gift_content(gift: DataFrame, *, n: int | None = None, extra: Sequence[str] = ("car_park_redeem_hours", "car_park_min_spending_amount")) -> DataFrame:
+    """Gifts with numbered tiers and the parking values of their extra data.
+
+    Without ``n`` there are as many columns as the longest list has tiers (one aggregation), at least one.
+    """
     ok = gift.filter(F.col("reserve_expiry_date").isNull() | (F.year("reserve_expiry_date") > 1900))
+    n = max(1, lists.longest_array(ok, "redeem_bonus_points")) if n is None else n
     wide = jsontext.wide_json(F.col("redeem_bonus_points"), ["bonus_point", "member_level_id"], n)
     df = ok.withColumns({**wide, **{e: F.get_json_object("extra_data", f"$.{e}") for e in extra}})
     return df.withColumn("bonus_point_1", text.currency_number(F.col("bonus_point_1"))).drop("redeem_bonus_points", "extra_data")

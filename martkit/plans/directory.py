@@ -93,7 +93,10 @@ def shops(site_shop: DataFrame, shop: DataFrame, partner_shop: DataFrame, partne
 
 
 def shop_links(site_shop: DataFrame, col: str, target: str, *, excluded: Sequence[int] = (), min_len: int = 2) -> DataFrame:
-    """(shop, target id, position) of a comma list; every position of the list and none past its end."""
+    """(shop, target id, position) of a comma list; every position of the list and none past its end.
+
+    A rule of the lists drops rows: tokens of fewer than ``min_len`` characters are no ids.
+    """
     rows = lists.link_positions(site_shop.filter("status = 1").withColumn(col, F.replace(col, F.lit(" "), F.lit(""))), "id", col, min_len=min_len)
     out = rows.select(F.col("id").alias("shop_id"), F.col("token").try_cast("int").alias(target), F.col("position").alias("shop_order"))
     return out.filter(~F.col(target).isin(list(excluded))) if excluded else out

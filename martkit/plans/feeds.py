@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from martkit.functions import codes, dates, privacy, text
 from martkit.operators import filters, joins, lists, projection, rowids, sets
+from martkit.sources.staging import Stage
 
 # Codes and labels of the feeds.
 ORDER_STATUS = {0: "Cancelled Order", 1: "Waiting Payment Confirmation", 2: "Processing Order", 12: "Ready for Pickup", 99: "Order Completed"}
@@ -128,26 +129,23 @@ def _countable_spending(fact: DataFrame, as_of: date | str, months: int) -> Data
     return df.filter(F.col("receipt_upload_date") < F.lit(dates.as_date(as_of)))
 
 
-def spending_export(fact: DataFrame, *, as_of: date | str, months: int = 12, columns: Sequence[str], sep: str = "|") -> DataFrame:
-    """Countable receipts with texts free of the delimiter and invoice numbers of at most 30 characters."""
-    df = _countable_spending(fact, as_of, months).withColumn("invoice_no", F.left(F.col("invoice_no"), F.lit(30))).select(*columns)
+def spending_export(fact: DataFrame, *, as_of: date | str, months: int = 12, columns: Sequence[str], sep: str = "|", invoice_width: int | None = None) -> DataFrame:
+    """Countable receipts with texts free of the delimiter; invoice numbers are cut where the receiver's field has a width."""
+    df = _countable_spending(fact, as_of, months)
+    df = (df.withColumn("invoice_no", F.left(F.col("invoice_no"), F.lit(invoice_width))) if invoice_width else df).select(*columns)
     names = [n for n, kind in df.dtypes if kind == "string"]
     return df.withColumns({n: F.translate(n, sep, " ") for n in names})
 
 
-def monthly_spending(fact: DataFrame, *, as_of: date | str, months: int = 12, other: str = "Others", prefix: int = 4) -> DataFrame:
-    """One numbered row per member, month, place, category, platform and partner.
-
-    The number follows month and member; ``prefix`` characters of the member id cut each
-    month into pieces for the numbering.
-    """
-    keys = ["year_id", "month_id", "member_id", "property_id", "lms_standard_trade_category", "platform"]
+def monthly_spending(fact: DataFrame, stage: Stage, *, as_of: date | str, months: int = 12, other: str = "Others") -> DataFrame:
+    """One numbered row per member, month, place, category, platform and partner; the number follows month and member."""
+    keys = ["year_id", "month_id", "member_id", "property_id", "lms_standard_trade_category", "platform", "partner"]
     day = F.col("receipt_transaction_date")
     df = _countable_spending(fact, as_of, months).groupBy(
         F.date_format(day, "yyyy").alias("year_id"), F.date_format(day, "MM").alias("month_id"), "member_id", "property_id",
-        F.coalesce("lms_standard_trade_category", F.lit(other)).alias("lms_standard_trade_category"), "platform").agg(
+        F.coalesce("lms_standard_trade_category", F.lit(other)).alias("lms_standard_trade_category"), "platform", "partner").agg(
         F.sum("receipt_amount").alias("spending_amount"), F.count_distinct("receipt_id").alias("number_of_receipt"))
-    return rowids.add_row_id(df, keys, "spending_aggregate_id", F.concat("year_id", "month_id", F.left(F.col("member_id"), F.lit(prefix))))
+    return rowids.add_row_id(df, keys, "spending_aggregate_id", stage)
 
 
 def points_export(fact: DataFrame, *, as_of: date | str, months: int = 12) -> DataFrame:

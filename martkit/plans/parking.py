@@ -30,7 +30,7 @@ def _placed(df: DataFrame, carparks: Mapping[str, str], properties: Mapping[str,
 
 def _hashed(df: DataFrame, hidden: DataFrame) -> DataFrame:
     """Plates of the members in ``hidden`` become pseudonyms; ids are compared in upper case."""
-    df = joins.flag_exists(df.withColumn("_mid", F.upper("member_id")), hidden.select(F.upper("member_id").alias("mid")), {"mid": "_mid"}, "_hide")
+    df = joins.flag_exists(df.withColumn("_mid", F.upper("member_id")), hidden.select(F.upper("member_id").alias("mid")), {"mid": "_mid"}, "_hide", fillers=[""])
     return df.withColumn("car_plate", privacy.hash_when(F.col("car_plate"), F.col("_hide") == 1)).drop("_hide", "_mid")
 
 

@@ -128,7 +128,7 @@ def registration_attribution(channel: DataFrame, website: DataFrame, by_member:
     df = df.withColumns({"link": link, "source": F.upper(source)})
     df = joins.enrich(df, [(path_malls.select(F.upper("trackingpath").alias("_path"), "mall").distinct(), {"_path": "source"}, {"mall": "_path_mall"})])
     lost = [((mall_id == m) & F.startswith("from_mall_name", F.lit(p)) & F.col("link").isNull(), p, med, camp) for m, p, med, camp in rules.lost_links]
-    tail = lambda p: F.substring("from_mall_name", len(p) + 1, 1000)
+    tail = lambda p: F.substring(F.col("from_mall_name"), F.lit(len(p) + 1), F.length("from_mall_name"))
     partner = F.upper(codes.decode(mall_id, rules.api_malls))
     final_source = codes.first_match([*[(c, F.upper(tail(p))) for c, p, _, _ in lost], (mini & F.col("_path_mall").isNotNull(), F.upper("_path_mall"))],
                                      codes.override(codes.decode(F.col("source"), rules.source_names), F.coalesce("source", F.lit(rules.other_source))))

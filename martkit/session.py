@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -62,4 +64,5 @@ _LOCAL: list[str] = []
 def _local_root() -> str:
     if not _LOCAL or not os.path.isdir(_LOCAL[0]):
         _LOCAL[:] = [tempfile.mkdtemp(prefix="martkit-")]
+        atexit.register(shutil.rmtree, _LOCAL[0], ignore_errors=True)
     return _LOCAL[0]

@@ -7,8 +7,6 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from martkit.operators.sets import union_all
-
 
 def read_table(spark: SparkSession, name: str, schema: StructType | None = None) -> DataFrame:
     """A catalog table by name, or a Parquet folder by path."""
@@ -32,19 +30,17 @@ def read_json(spark: SparkSession, paths: str | Sequence[str], schema: StructTyp
     return spark.read.schema(schema).json(list(paths) if not isinstance(paths, str) else paths)
 
 
-def read_union(control: DataFrame, kind_col: str, kind: str, name_col: str, loader: Callable[[str], DataFrame],
-               max_tables: int = 10_000, distinct: bool = True) -> DataFrame:
+def read_union(control: DataFrame, kind_col: str, kind: str, name_col: str, load: Callable[[list[str]], DataFrame],
+               distinct: bool = True) -> DataFrame:
     """Union of the tables a control table lists for one kind.
 
-    The names are needed to build the plan, so they are collected; the list is metadata and
-    its length is checked. Duplicates are removed once, after the union.
+    The names are metadata that the plan needs, so they are collected; ``load`` gets all of them and makes
+    one scan over many paths. Duplicates are removed once.
     """
-    names = [r[0] for r in control.filter(F.col(kind_col) == kind).select(name_col).distinct().orderBy(name_col).limit(max_tables + 1).collect()]
+    names = sorted(r[0] for r in control.filter(F.col(kind_col) == kind).select(name_col).distinct().collect())
     if not names:
         raise ValueError(f"no tables of kind {kind!r}")
-    if len(names) > max_tables:
-        raise ValueError(f"more than {max_tables} tables of kind {kind!r}")
-    out = union_all(*[loader(n) for n in names])
+    out = load(names)
     return out.distinct() if distinct else out
 
 

@@ -6,8 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martkit.session import scratch_path
-
 Stage = Callable[[DataFrame, str], DataFrame]
 
 
@@ -16,15 +14,28 @@ def recompute(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def table_stage(spark: SparkSession, root: str | None = None) -> Stage:
-    """Write each staged result once to the shared folder and continue from the files.
+class StagedTables:
+    """Writes each result once below a folder that all executors share, and continues from the files.
 
-    The lineage ends there, so a lost executor costs a re-read and not the whole chain.
+    The lineage ends there, so a lost executor costs a re-read and not the whole chain. The owner
+    removes the tables with ``close`` (or a ``with`` block) when nothing reads them any more.
     """
 
-    def stage(df: DataFrame, name: str) -> DataFrame:
-        path = f"{root.rstrip('/')}/{name}" if root else scratch_path(spark, name)
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root, self.made = spark, root.rstrip("/"), 0
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        self.made += 1
+        path = f"{self.root}/{self.made}-{name}"
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+    def __enter__(self) -> StagedTables:
+        return self
 
-    return stage
+    def __exit__(self, *error: object) -> None:
+        self.close()

@@ -6,9 +6,12 @@ from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DateType
 
 from martkit.functions import dates
 from martkit.operators import projection
+from martkit.operators.sets import split_by
+from martkit.sources.staging import Stage
 
 
 def write_snapshot(df: DataFrame, path: str, by: Sequence[str] = (), spread: int | None = None) -> None:
@@ -25,28 +28,23 @@ def write_snapshot(df: DataFrame, path: str, by: Sequence[str] = (), spread: int
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
 
-def append_log(df: DataFrame, path: str, by: str, stamp: date | str | None = None) -> None:
+def append_log(df: DataFrame, path: str, by: str, stamp: date | str) -> None:
     """Append a snapshot to a log partitioned by its day.
 
-    With ``stamp`` the rows get that day, and running the load twice replaces the day
+    The rows get the day ``stamp``, and running the load twice replaces the day
     instead of doubling it.
     """
-    if stamp is None:
-        df.write.mode("append").partitionBy(by).parquet(path)
-        return
     stamped = df.withColumn(by, F.lit(dates.as_date(stamp)))
     stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
 
 
-def export_csv(df: DataFrame, path: str, sep: str = ",", single_file: bool = True, compression: str = "gzip",
-               timestamp_format: str = "yyyy-MM-dd HH:mm:ss", date_format: str = "yyyy-MM-dd", header: bool = True, max_rows: int = 1_000_000) -> None:
-    """Delimited export with fixed formats. Spark adds the ``_SUCCESS`` marker itself.
+def export_csv(df: DataFrame, path: str, sep: str = ",", compression: str = "gzip",
+               timestamp_format: str = "yyyy-MM-dd HH:mm:ss", date_format: str = "yyyy-MM-dd", header: bool = True) -> None:
+    """Delimited export with fixed formats, always in parallel parts. Spark adds the ``_SUCCESS`` marker itself.
 
-    ``single_file`` is for receivers that take one file. It is granted up to ``max_rows`` counted rows;
-    a larger export keeps its parallel parts, complete, instead of going through one task.
+    A receiver of one file joins the parts: gzip members may be joined end to end (write without header then).
     """
-    out = df.repartition(1) if single_file and df.count() <= max_rows else df
-    (out.write.mode("overwrite").option("sep", sep).option("header", header).option("compression", compression)
+    (df.write.mode("overwrite").option("sep", sep).option("header", header).option("compression", compression)
      .option("timestampFormat", timestamp_format).option("timestampNTZFormat", timestamp_format)
      .option("dateFormat", date_format).option("emptyValue", "").csv(path))
 
@@ -66,15 +64,19 @@ def snapshot_tables(tables: Mapping[str, DataFrame], root: str, by: Mapping[str,
     return paths
 
 
-def replace_range(df: DataFrame, path: str, by: str, first: date | str) -> None:
+def replace_range(df: DataFrame, path: str, by: str, first: date | str, stage: Stage) -> None:
     """Replace all days from ``first`` on: days of the new rows are overwritten, other old days removed.
 
-    Both steps can be repeated after a failure. Earlier days are not touched.
+    The rows are computed once, into a staged table, before the target is touched; so they may be computed from
+    the target itself. Both later steps can be repeated after a failure. Earlier days are not touched.
+    ``by`` must be a date column.
     """
+    if not isinstance(df.schema[by].dataType, DateType):
+        raise ValueError(f"{by} must be a date column, not {df.schema[by].dataType.simpleString()}")
     first = dates.as_date(first)
-    fresh = df.filter(F.col(by) >= F.lit(first))
+    fresh = stage(df.filter(F.col(by) >= F.lit(first)), "fresh")
+    keep = {str(r[0]) for r in fresh.select(by).distinct().collect()}  # one entry per calendar day
     fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
-    keep = {str(r[0]) for r in fresh.select(by).distinct().collect()}
     for name, folder in _partition_folders(df.sparkSession, path, by):
         if name != "__HIVE_DEFAULT_PARTITION__" and date.fromisoformat(name) >= first and name not in keep:
             _delete(df.sparkSession, folder)
@@ -119,28 +121,23 @@ def upsert(target: DataFrame, staging: DataFrame, keys: Sequence[str], cols: Seq
     return out.withColumns(changes).drop("_hit", *[f"_s_{k}" for k in keys], *[f"_n_{c}" for c in cols])
 
 
-def write_split(df: DataFrame, cond: Column, first: str, second: str, by: Sequence[str] = (), null_to_first: bool = True) -> None:
-    """One result to two folders. The frame is cached for the two writes and released."""
-    from martkit.operators.sets import split_by
+def write_split(df: DataFrame, cond: Column, first: str, second: str, stage: Stage, by: Sequence[str] = (), null_to_first: bool = True) -> None:
+    """One result to two folders; it is computed once, into a staged table."""
+    a, b = split_by(stage(df, "split"), cond, null_to_first)
+    write_snapshot(a, first, by)
+    write_snapshot(b, second, by)
 
-    df = df.persist()
-    try:
-        a, b = split_by(df, cond, null_to_first)
-        write_snapshot(a, first, by)
-        write_snapshot(b, second, by)
-    finally:
-        df.unpersist()
 
-
-def backup_and_replace(df: DataFrame, path: str, backup: str, by: str, first: date | str,
+def backup_and_replace(df: DataFrame, path: str, backup: str, by: str, first: date | str, stage: Stage,
                        check: Callable[[DataFrame], bool] | None = None) -> None:
-    """Copy the days about to change, then replace them from ``first`` on."""
+    """Copy the days about to change, then replace them from ``first`` on. The new rows are computed once."""
+    df = stage(df, "new")
     spark = df.sparkSession
     old = spark.read.parquet(path).filter(F.col(by) >= F.lit(dates.as_date(first)))
     write_snapshot(old, backup, [by])
     if check is not None and not check(df):
         raise ValueError("the new rows failed the check; nothing was replaced")
-    replace_range(df, path, by, first)
+    replace_range(df, path, by, first, stage)
 
 
 def export_ready(df: DataFrame, renames: Mapping[str, str] | None = None, sep: str = ",") -> DataFrame:

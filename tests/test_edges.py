@@ -183,6 +183,30 @@ def test_json_samples(spark):
     assert [r[0] for r in p.select(jsontext.drop_json_keys(F.col("j"), ["phone"])).collect()] == ['{"a":"2"}', None]
 
 
+def test_of_a_repeated_json_key_the_last_entry_counts(spark):
+    m = spark.createDataFrame([(1, '{"9":["1"],"9":["2","3"],"8":["4"]}')], "id int, j string")
+    assert rows(lists.explode_map_of_lists(m, "id", "j", "g", "i"), "g", "i") == [("8", "4"), ("9", "2"), ("9", "3")]
+    p = spark.createDataFrame([('{"a":"1","a":"2","phone":"3"}',)], "j string")
+    assert p.select(jsontext.drop_json_keys(F.col("j"), ["phone"])).first()[0] == '{"a":"2"}'
+
+
+def test_json_schema_is_inferred_from_all_rows(spark):
+    df = spark.range(1500).select(F.when(F.col("id") < 1200, '{"a":1}').when(F.col("id") < 1201, "{bad").otherwise('{"a":1,"late":[{"x":null}],"odd":"s"}').alias("j"))
+    parsed = df.select(F.from_json("j", lists.infer_json_schema(df, "j")).alias("s"))
+    assert parsed.select("s.*").columns == ["a", "late", "odd"]
+    assert parsed.filter("s.odd = 's'").count() == 299
+
+
+def test_all_tiers_of_a_list(spark):
+    seven = ",".join(f'{{"bonus_point":"{i}"}}' for i in range(1, 8))
+    df = spark.createDataFrame([(1, f"[{seven}]"), (2, "bad"), (3, '[{"bonus_point":"5","member_level_id":"2"},{"bonus_point":null}]')], "id int, j string")
+    assert lists.longest_array(df, "j") == 7
+    long = lists.explode_objects(df, ["id"], "j", ["bonus_point", "member_level_id"])
+    assert rows(long.filter("id = 1 and value is not null"), "position", "field", "value") == [(i, "bonus_point", str(i)) for i in range(1, 8)]
+    last = jsontext.last_of(F.col("j"), ["bonus_point", "member_level_id"])
+    assert [tuple(r) for r in df.orderBy("id").select(*last.values()).collect()] == [("7", None), (None, None), ("5", "2")]
+
+
 def test_text_samples(spark):
     one = spark.range(1)
     get = lambda c: one.select(c).first()[0]

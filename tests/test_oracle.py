@@ -6,10 +6,10 @@ import io
 import pytest
 
 import __spark_entry__ as entry
-from checks import compare
+from checks import compare, registry
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = registry.QUERIES, registry.ORACLES
 
 
 @pytest.fixture(scope="module")

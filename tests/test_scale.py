@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import Tables
 from martkit.operators import filters, joins, latest, ordered, rowids, sets
+from martkit.sources import staging
 from tests.test_oracle import plan_of
 
 SF = "/root/testdata/sf0.001"
@@ -49,15 +50,55 @@ def test_allocation_never_exceeds_the_pool(hot):
     assert all(r.got == min(r.a, 900) for r in out.collect())
 
 
+@pytest.fixture
+def plain_joins(spark):
+    """No broadcasts and no merged partitions, so that the dealing itself is seen."""
+    keep = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k) for k in keep}
+    for k, v in keep.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def largest_share(df):
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    return max(sizes) / sum(sizes)
+
+
+def test_hopeless_keys_are_dealt_out(spark, plain_joins):
+    """Two thirds of the facts have no key or a filler; no task gets more than a quarter of the rows."""
+    facts = spark.range(30_000).select("id", F.when(F.col("id") % 3 == 0, F.lit("none")).when(F.col("id") % 3 == 1, F.concat(F.lit("k"), F.col("id") % 900)).alias("k"))
+    dim = spark.range(900).select(F.concat(F.lit("k"), F.col("id")).alias("key"), F.col("id").alias("v"), (F.col("id") * 2).alias("w"))
+    flagged = joins.flag_exists(facts, dim, {"key": "k"}, "hit", fillers=["none"])
+    chained = joins.enrich(facts, [(dim, {"key": "k"}, {"v": "v"}), (dim, {"key": "k"}, {"w": "w"})], fillers={"k": ["none"]})
+    for out, column in ((flagged, "hit"), (chained, "w")):
+        assert largest_share(out) < 0.25
+        assert out.columns[:2] == ["id", "k"] and out.count() == 30_000
+        assert out.filter(f"{column} > 0").count() == facts.filter("k like 'k%' and k <> 'none'" + (" and k <> 'k0'" if column == "w" else "")).count()
+    assert plan_of(chained).count("Exchange") == plan_of(joins.enrich(facts, [(dim, {"key": "k"}, {"v": "v"})])).count("Exchange") + 2  # named twice each: one key, one shuffle of the facts
+
+
+def test_a_hot_key_that_matches_is_salted(spark, plain_joins):
+    facts = spark.range(30_000).select("id", F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 900)).alias("k"))
+    dim = spark.range(900).select(F.concat(F.lit("k"), F.col("id")).alias("key"), F.col("id").alias("v")).unionByName(spark.range(1).select(F.lit("hot").alias("key"), F.lit(-1).cast("long").alias("v")))
+    flagged = joins.flag_exists(facts, dim, {"key": "k"}, "hit", salt=32)
+    joined = joins.enrich_salted(facts, dim, {"key": "k"}, {"v": "v"}, 32)
+    for out in (flagged, joined):
+        assert largest_share(out) < 0.25 and out.count() == 30_000
+    assert flagged.filter("hit = 1").count() == joined.filter("v is not null").count() == 30_000
+
+
 def test_no_task_holds_a_hot_key(hot):
     """The rows of the hot key end up in many window groups."""
     groups = hot.withColumn("seg", ordered.id_blocks("t", 50)).groupBy("k", "seg").count()
     assert groups.agg(F.max("count")).first()[0] < hot.count() / 10
 
 
-def test_row_ids_are_gap_free(hot):
+def test_row_ids_are_gap_free(hot, tmp_path):
     unique = hot.withColumn("u", F.monotonically_increasing_id())
-    out = rowids.add_row_id(unique, ["t", "u"], "id", ordered.id_blocks("t", 20))
+    out = rowids.add_row_id(unique, ["t", "u"], "id", staging.StagedTables(hot.sparkSession, str(tmp_path)))
     assert sorted(r.id for r in out.select("id").collect()) == list(range(1, 1501))
     assert out.orderBy("id").select("t").collect() == unique.orderBy("t", "u").select("t").collect()
 
@@ -99,14 +140,14 @@ def test_existence_is_planned_as_semi_and_anti_joins(spark):
     assert "LeftSemi" in plan_of(joins.semi(t.orders, t.lineitem, {"l_orderkey": "o_orderkey"}))
 
 
-def test_row_level_operators_never_use_one_task(spark):
-    """The numbering itself is split by bucket; only the bucket sizes meet in one task."""
+def test_row_level_operators_never_use_one_task(spark, tmp_path):
+    """The numbering itself is split by piece; only the pieces' sizes meet in one task."""
     t = Tables(spark, SF)
     seg = ordered.day_blocks("ts")
     for df in (ordered.pair_next(t.events, ["user_id"], "ts", "event_type", "click", "purchase", "o", seg), ordered.running_sum(t.events, ["user_id"], "ts", "value", "s", seg),
                ordered.ordinal(t.events, ["event_type"], "ts", "p", seg)):
         assert "SinglePartition" not in plan_of(df)
-    numbered = plan_of(rowids.add_row_id(t.orders, ["o_orderdate", "o_orderkey"], "id", F.trunc("o_orderdate", "month")))
+    numbered = plan_of(rowids.add_row_id(t.orders, ["o_orderdate", "o_orderkey"], "id", staging.StagedTables(spark, str(tmp_path))))
     assert numbered.count("SinglePartition") == 1
 
 
