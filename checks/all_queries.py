@@ -11,3 +11,4 @@ import checks.marts_parking  # noqa: F401
 import checks.marts_commerce  # noqa: F401
 import checks.marts_services  # noqa: F401
 import checks.marts_exchange  # noqa: F401
+import checks.platform_exports  # noqa: F401

@@ -354,6 +354,29 @@ def _(t):
     return feeds.member_profile(t.derived("src_profile_text"), {"visits": "int", "spend": "double", "joined": "date"}, {"joined": "yyyy/MM/dd"})
 
 
+def _log_parts(t: Tables, name: str):
+    text_ = F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias(name)
+    return [text_, *[F.date_format("ts", f).alias(f"{name}_{p}") for p, f in (("year", "yyyy"), ("month", "MM"), ("day", "dd"))]]
+
+
+@check("mart_tracking_log", """
+    select event_id, event_type, date_trunc('second', ts) as log_date, cast(year(ts) as int) as log_date_year, cast(month(ts) as int) as log_date_month, cast(day(ts) as int) as log_date_day,
+           year(ts) || '-' || month(ts) || '-' || day(ts) as partition_key from events where cast(ts as date) = date '2024-01-15'""")
+def _(t):
+    out = feeds.daily_log(t.events.select("event_id", "event_type", *_log_parts(t, "log_date")), feeds.TRACKING_LOG, day="2024-01-15")
+    return out.withColumn("log_date", F.col("log_date").cast("timestamp_ntz"))
+
+
+@check("mart_location_log", """
+    select user_id, cast(event_id % 500 as int) as point_of_interest_radius, cast(cast(user_id as double) / 4 as float) as latitude, cast(-cast(user_id + 1 as double) / 8 as float) as longitude, date_trunc('second', ts) as visited_time,
+           cast(year(ts) as int) as visited_time_year, cast(month(ts) as int) as visited_time_month, cast(day(ts) as int) as visited_time_day, year(ts) || '-' || month(ts) || '-' || day(ts) as partition_key
+    from events where cast(ts as date) = date '2024-01-15'""")
+def _(t):
+    number = lambda c: c.cast("string")
+    raw = t.events.select("user_id", number(F.col("event_id") % 500).alias("point_of_interest_radius"), number(F.col("user_id") / 4).alias("latitude"), number(-(F.col("user_id") + 1) / 8).alias("longitude"), *_log_parts(t, "visited_time"))
+    return feeds.daily_log(raw, feeds.LOCATION_LOG, day="2024-01-15").withColumn("visited_time", F.col("visited_time").cast("timestamp_ntz"))
+
+
 @check("mart_delivery_log", """
     select event_id as delivery_log_id, 'M' || user_id as member_id, date_trunc('second', ts) as event_date, cast(ts as date) as dt from events where cast(ts as date) = date '2024-01-15'""")
 def _(t):
@@ -396,12 +419,28 @@ def _(t):
 
 @check("mart_export_points", f"""
     with {DIM}, {LEDGER}
-    select distinct bonus_points_transaction_id, created_datetime, l.mall_id, m.property_id, l.member_id, bp_transaction_type, points, translate(remark, '|', ' ') as remark, expiry_date
+    select distinct bonus_points_transaction_id, created_datetime, l.mall_id, m.property_id, l.member_id, bp_transaction_type, replace(bp_transaction_type_detail_1, '"', '') as bp_transaction_type_detail_1, replace(bp_transaction_type_detail_2, '"', '') as bp_transaction_type_detail_2,
+           points, translate(remark, '|', ' ') as remark, expiry_date, updated_date
     from ledger l join dim d on l.member_id = d.member_id left join src_mall m on l.mall_id = m.mall_id where l.member_id <> 'M7' and created_datetime_before_launch = 0 and created_date >= date '2023-01-01' and member_status_detail not in {BAD}""")
 def _(t):
     return feeds.points_export(ledger_fact(t), as_of="2024-01-31").distinct()
 
 
+@check("mart_export_registration", """
+    select 'M' || c_custkey as member_id, case when c_nationkey = 3 then 'NULL' else cast(c_nationkey as string) end as from_mall_id, 'web ' || c_mktsegment as channel, replace(c_name, '#', ' ') as link, c_mktsegment as source from customer""")
+def _(t):
+    registration = t.customer.select(
+        F.concat(F.lit("M"), "c_custkey").alias("member_id"), F.when(F.col("c_nationkey") == 3, "__HIVE_DEFAULT_PARTITION__").otherwise(F.col("c_nationkey").cast("string")).alias("from_mall_id"),
+        F.concat(F.lit("web|"), "c_mktsegment").alias("channel"), F.translate("c_name", "#", "|").alias("link"), F.col("c_mktsegment").alias("source"), F.lit(1).alias("internal"))
+    return feeds.registration_export(registration, ["member_id", "from_mall_id", "channel", "link", "source"])
+
+
+@check("mart_export_point_lots", "select event_id as member_mall_bonus_points_id, ts as created_date, user_id as member_id, value as bonus_points, event_type as type from events")
+def _(t):
+    lots = t.events.select(F.col("event_id").alias("member_mall_bonus_points_id"), F.col("ts").alias("created_date"), F.col("user_id").alias("member_id"), F.col("value").alias("bonus_points"), F.col("event_type").alias("type"), "props")
+    return feeds.point_lot_export(lots, [c for c in feeds.POINT_LOT if c in lots.columns])
+
+
 @check("mart_export_members", f"""
     with {DIM} select d.member_id, registration_date, coalesce(is_migrated_any, 0) as is_migrated_any, coalesce(is_migrated_p1, 0) as is_migrated_p1, case when registration_date < date '2019-01-20' then 1 else 0 end as registration_date_before_launch,
            case when registration_date < date '2019-01-20' then 1 else 0 end as is_staff, '' as phone from dim d left join src_migrated m on d.member_id = m.member_id where registration_date < date '2019-02-20'""")

@@ -151,7 +151,36 @@ def monthly_spending(fact: DataFrame, stage: Stage, *, as_of: date | str, months
 def points_export(fact: DataFrame, *, as_of: date | str, months: int = 12) -> DataFrame:
     df = filters.since_month_start(fact, "created_date", months, as_of)
     df = filters.standard_exclusions(df, keep={"abnormal_case": [0], "created_datetime_before_launch": [0]}, drop={"member_status_detail": list(BAD_MEMBERS)})
-    return df.select("bonus_points_transaction_id", "created_datetime", "mall_id", "property_id", "member_id", "bp_transaction_type", "points", F.translate("remark", "|", " ").alias("remark"), "expiry_date")
+    plain = lambda c: F.translate(c, '"', "").alias(c)
+    return df.select("bonus_points_transaction_id", "created_datetime", "mall_id", "property_id", "member_id", "bp_transaction_type", plain("bp_transaction_type_detail_1"), plain("bp_transaction_type_detail_2"),
+                     "points", F.translate("remark", "|", " ").alias("remark"), "expiry_date", "updated_date")
+
+
+def registration_export(registration: DataFrame, columns: Sequence[str], *, sep: str = "|", unknown: str = "NULL", no_partition: str = "__HIVE_DEFAULT_PARTITION__") -> DataFrame:
+    """How members registered; a missing mall partition is spelled out, channel and link are free of the delimiter."""
+    mall = F.when(F.col("from_mall_id") == no_partition, unknown).otherwise(F.col("from_mall_id"))
+    return registration.withColumns({"from_mall_id": mall, **{c: F.translate(c, sep, " ") for c in ("channel", "link")}}).select(*columns)
+
+
+POINT_LOT = "member_mall_bonus_points_id created_by created_date status updated_by updated_date bonus_points expiry_date init_date mall_id member_id type".split()
+
+
+def point_lot_export(lots: DataFrame, columns: Sequence[str] = POINT_LOT) -> DataFrame:
+    """Every point lot with its expiry."""
+    return lots.select(*columns)
+
+
+# Column types of the daily logs of the marketing tool, and the parts of their partition key.
+TRACKING_LOG = ({"log_date": "timestamp", "log_date_year": "int", "log_date_month": "int", "log_date_day": "int"}, "log_date")
+LOCATION_LOG = ({"visited_time": "timestamp", "point_of_interest_radius": "int", "latitude": "float", "longitude": "float",
+                 "visited_time_year": "int", "visited_time_month": "int", "visited_time_day": "int"}, "visited_time")
+
+
+def daily_log(raw: DataFrame, spec: tuple[Mapping[str, str], str], *, day: date | str, pattern: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
+    """One day of a log: texts typed, and the key of year, month and day that it is stored under."""
+    types, ts = spec
+    df = projection.cast_columns(raw, types, {ts: pattern})
+    return filters.between_dates(df, ts, day, day).withColumn("partition_key", F.concat_ws("-", *[f"{ts}_{p}" for p in ("year", "month", "day")]))
 
 
 def member_export(dimension: DataFrame, migrated: DataFrame, *, as_of: date | str, launch: date | str, flags: Sequence[str]) -> DataFrame:

@@ -72,15 +72,21 @@ def gate_visits(gate_log: DataFrame, mall: DataFrame, *, prefix: str, segment: s
 
 
 def daily_visits(visits: DataFrame, *, offset_hours: int = 8) -> DataFrame:
-    """Frequencies and totals per place, local day and plate, overall and contactless."""
-    visit = F.concat("carpark_id", "car_plate", F.col("car_in_datetime").cast("string"))
+    """Frequencies and totals per place, local day and plate, overall and contactless.
+
+    A visit is a place, a plate and a time of entry. Place and plate are group keys, so rows are first summed up per time of
+    entry, and counting those rows is counting distinct visits; a visit without place or plate is not counted.
+    """
     touch = F.col("is_contactless") == 1
     measures = ["parked_minute", "total_paid_minute", "total_parking_fee", "total_redeem_minute"]
     name = lambda m: m if m.startswith("total_") else f"total_{m}"
-    return visits.groupBy("property_id", "carpark_id", dates.local_date(F.col("car_in_datetime"), offset_hours).alias("car_in_date"), "car_plate").agg(
-        F.count_distinct(visit).alias("total_freq"), *[F.sum(m).alias(name(m)) for m in measures],
-        aggregates.count_distinct_when(visit, touch).alias("total_freq_with_contactless"),
-        *[aggregates.sum_when(F.col(m), touch).alias(f"{name(m)}_with_contactless") for m in measures])
+    keys = ["property_id", "carpark_id", "car_in_date", "car_plate"]
+    timed = visits.withColumn("car_in_date", dates.local_date(F.col("car_in_datetime"), offset_hours)).groupBy(*keys, "car_in_datetime").agg(
+        F.max(touch).alias("_touch"), *[F.sum(m).alias(m) for m in measures], *[aggregates.sum_when(F.col(m), touch).alias(f"_{m}") for m in measures])
+    known = F.col("carpark_id").isNotNull() & F.col("car_plate").isNotNull() & F.col("car_in_datetime").isNotNull()
+    return timed.groupBy(*keys).agg(
+        F.count(F.when(known, 1)).alias("total_freq"), *[F.sum(m).alias(name(m)) for m in measures], F.count(F.when(known & F.col("_touch"), 1)).alias("total_freq_with_contactless"),
+        *[F.sum(f"_{m}").alias(f"{name(m)}_with_contactless") for m in measures])
 
 
 def parking_invoices(parts: Sequence[DataFrame], hidden: DataFrame, *, carparks: Mapping[str, str], properties: Mapping[str, str],
