@@ -220,11 +220,14 @@ def _(t):
 
 
 @check("mart_coupon_content", """
+    with c as (select *, s_suppkey % 2 = 0 as mixed, s_suppkey % 5 as kind from supplier)
     select s_suppkey as coupon_id, s_name as name_lang1, case when s_suppkey % 3 = 0 then timestamp '1970-01-01 23:59:59' else timestamp '2022-01-01' end as usage_expiry_date,
-           case when s_suppkey % 5 = 1 then '1,' || (100 + s_suppkey % 800) when s_suppkey % 5 in (2, 3) then cast(s_suppkey as string) else '' end as bonus_point_1, case when s_suppkey % 5 = 1 then '1' else '' end as member_level_id_1,
-           case when s_suppkey % 5 = 1 then '7' else '' end as bonus_point_2, '' as member_level_id_2 from supplier""")
+           case when mixed then '0' else '' end as amount_1, case when mixed then cast(s_nationkey as string) else '' end as amount_2,
+           case when mixed then cast(s_suppkey as string) when kind = 1 then '1,' || (100 + s_suppkey % 800) when kind in (2, 3) then cast(s_suppkey as string) else '' end as bonus_point_1,
+           case when mixed then '5' when kind = 1 then '7' else '' end as bonus_point_2, case when kind = 1 then '1' else '' end as member_level_id_1, '' as member_level_id_2,
+           case when mixed then '1' else '' end as tier_1, case when mixed then '2' else '' end as tier_2 from c""")
 def _(t):
-    return content.coupon_content(t.derived("src_coupon_json").drop("usage_shop_id", "redeem_bonus_points_with_cash", "reward_brand_id"))
+    return content.coupon_content(t.derived("src_coupon_json").drop("usage_shop_id", "reward_brand_id"))
 
 
 @check("mart_gift_content", """

@@ -58,6 +58,12 @@ def wide_json(col: Column, fields: Sequence[str], n: int) -> dict[str, Column]:
     return {f"{f}_{i + 1}": F.get(parsed, F.lit(i))[f] for i in range(n) for f in fields}
 
 
+def widest(cols: Sequence[Column], fields: Sequence[str], n: int) -> dict[str, Column]:
+    """``field_1 .. field_n`` from several arrays of objects; where two arrays give a place, the later one counts."""
+    parsed = [F.from_json(c, "array<map<string,string>>") for c in cols]
+    return {f"{f}_{i + 1}": F.coalesce(*[F.element_at(F.get(p, F.lit(i)), F.lit(f)) for p in reversed(parsed)]) for f in fields for i in range(n)}
+
+
 def last_of(col: Column, fields: Sequence[str]) -> dict[str, Column]:
     """Each field's value in the last object of an array that has it."""
     parsed = F.from_json(col, "array<struct<" + ",".join(f"{f}:string" for f in fields) + ">>")

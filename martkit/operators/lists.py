@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from martkit.functions import jsontext
 
@@ -73,7 +73,14 @@ def explode_objects(df: DataFrame, keys: Sequence[str], col: str, fields: Sequen
     return rows.select(*keys, (F.col("_pos") + 1).alias("position"), entry).select(*keys, "position", "_f.field", "_f.value")
 
 
-def longest_array(df: DataFrame, *cols: str) -> int:
+def object_fields(df: DataFrame, *cols: Column) -> list[str]:
+    """Names of all fields in JSON arrays of objects, sorted; an action whose result is a schema, not rows."""
+    objects = F.flatten(F.array(*[F.coalesce(F.from_json(c, "array<map<string,string>>"), F.array().cast("array<map<string,string>>")) for c in cols]))
+    keys = df.select(F.explode(objects).alias("o")).select(F.explode(F.map_keys("o")).alias("k")).distinct()
+    return sorted(r["k"] for r in keys.collect())
+
+
+def longest_array(df: DataFrame, *cols: str | Column) -> int:
     """Most items that any JSON array in these columns has (0 if there is none); an action."""
     sizes = [F.max(F.coalesce(F.json_array_length(c), F.lit(0))) for c in cols]
     return df.agg(F.greatest(*sizes, F.lit(0), F.lit(0))).first()[0] or 0

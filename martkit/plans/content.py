@@ -27,27 +27,36 @@ def coupon_points(coupon: DataFrame) -> DataFrame:
     return df.select("coupon_id", text.currency_number(last["bonus_point"], "int").alias("bonus_point"), last["member_level_id"].alias("member_level_id"))
 
 
-def coupon_content(coupon: DataFrame, *, n: int | None = None) -> DataFrame:
-    """Coupons with numbered tier columns; missing tiers are empty text and the expiry is plausible.
+# JSON columns of coupons that hold tiers.
+COUPON_TIERS = ("redeem_bonus_points", "redeem_with_cash", "redeem_bonus_points_with_cash")
 
-    Without ``n`` there are as many columns as the longest list has tiers (one aggregation).
+
+def coupon_content(coupon: DataFrame, *, tiers: Sequence[str] = COUPON_TIERS, fields: Sequence[str] | None = None, n: int | None = None) -> DataFrame:
+    """Coupons with a numbered column for every field and tier; missing ones are empty text and the expiry is plausible.
+
+    Without ``fields`` and ``n`` these are all that occur (one aggregation each). Where two JSON columns
+    hold a field of one tier, the later column counts.
     """
-    n = lists.longest_array(coupon, "redeem_bonus_points") if n is None else n
-    wide = jsontext.wide_json(F.col("redeem_bonus_points"), ["bonus_point", "member_level_id"], n)
-    df = coupon.withColumns({k: F.coalesce(v, F.lit("")) for k, v in wide.items()})
-    return df.withColumn("usage_expiry_date", dates.clamp_year(F.col("usage_expiry_date"), 1970, F.lit(EPOCH_END_OF_DAY).cast("timestamp_ntz"))).drop("redeem_bonus_points")
+    cols = [F.col(c) for c in tiers if c in coupon.columns]
+    fields = lists.object_fields(coupon, *cols) if fields is None else fields
+    n = lists.longest_array(coupon, *cols) if n is None else n
+    df = coupon.withColumns({k: F.coalesce(v, F.lit("")) for k, v in jsontext.widest(cols, fields, n).items()})
+    return df.withColumn("usage_expiry_date", dates.clamp_year(F.col("usage_expiry_date"), 1970, F.lit(EPOCH_END_OF_DAY).cast("timestamp_ntz"))).drop(*tiers)
 
 
-def gift_content(gift: DataFrame, *, n: int | None = None, extra: Sequence[str] = ("car_park_redeem_hours", "car_park_min_spending_amount")) -> DataFrame:
-    """Gifts with numbered tiers and the parking values of their extra data.
+def gift_content(gift: DataFrame, *, fields: Sequence[str] | None = None, n: int | None = None, extra: Sequence[str] = ("car_park_redeem_hours", "car_park_min_spending_amount")) -> DataFrame:
+    """Gifts with a numbered column for every field and tier, and the parking values of their extra data.
 
-    Without ``n`` there are as many columns as the longest list has tiers (one aggregation), at least one.
+    Extra data is one object: its other fields are numbered as a first tier. Without ``fields`` and ``n`` these are all that
+    occur (one aggregation each).
     """
     ok = gift.filter(F.col("reserve_expiry_date").isNull() | (F.year("reserve_expiry_date") > 1900))
-    n = max(1, lists.longest_array(ok, "redeem_bonus_points")) if n is None else n
-    wide = jsontext.wide_json(F.col("redeem_bonus_points"), ["bonus_point", "member_level_id"], n)
-    df = ok.withColumns({**wide, **{e: F.get_json_object("extra_data", f"$.{e}") for e in extra}})
-    return df.withColumn("bonus_point_1", text.currency_number(F.col("bonus_point_1"))).drop("redeem_bonus_points", "extra_data")
+    cols = [F.col("redeem_bonus_points"), F.concat(F.lit("["), F.col("extra_data"), F.lit("]"))]
+    fields = [f for f in (lists.object_fields(ok, *cols) if fields is None else fields) if f not in extra]
+    n = lists.longest_array(ok, *cols) if n is None else n
+    df = ok.withColumns({**jsontext.widest(cols, fields, n), **{e: F.get_json_object("extra_data", f"$.{e}") for e in extra}})
+    points = {"bonus_point_1": text.currency_number(F.col("bonus_point_1"))} if "bonus_point_1" in df.columns else {}
+    return df.withColumns(points).drop("redeem_bonus_points", "extra_data")
 
 
 def redeem_conditions(condition: DataFrame, fields: Mapping[str, Sequence[str]]) -> DataFrame:
