@@ -16,16 +16,18 @@ places it could meet its copies:
    induced sorting, and strings with a common prefix of ``LENGTH`` bytes are
    found from the permuted common prefixes; all but the first of them go.
 
-A gram with very many contexts (a common line) is not led to one shard: its
-contexts go once by the bytes to the left of the gram and once by those to the
-right, since each of their strings holds half of its other bytes on one
-side; what is still too large for a shard meets by the hash of each whole string.
+A gram with very many contexts (a common line, the edges of a common passage)
+is not led to one shard. Each string holds more than half of its bytes besides
+the gram on one side, so its contexts go once by a key that is longer to the
+left and once by one longer to the right. What is still too large for a shard
+is parted again in the same way, until a key is a whole string.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,11 +40,10 @@ from martkit.llm.suffixes import common_prefixes, suffix_array
 LENGTH = 100
 GRAM = 24
 REACH = LENGTH - GRAM  # bytes that a string can have on one side of its gram
-HALF = REACH // 2
 WIDE = REACH + LENGTH
 CHUNK_BYTES = 1 << 17
 SHARD_BYTES = 1_000_000
-MANY_CONTEXTS = 2_000  # contexts of one gram beyond which they are led on by their sides
+MANY_CONTEXTS = 2_000  # contexts of one gram beyond which they are parted at once
 END = 255  # a byte that no UTF-8 text holds
 
 _RNG = np.random.default_rng(40)
@@ -230,35 +231,61 @@ def _settle(rows: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, f"gram long, {SPAN}")
 
 
+MEETING = "key long, doc_id long, start long, part binary, at int, left int, right int"
+_MEETING = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int32()]
+
+
+def _halves(text: bytes, at: int, left: int, right: int) -> Iterator[tuple[int, int, int, int, int]]:
+    """The strings around the gram at ``at`` with at least so many bytes on its sides, by two longer keys.
+
+    Gives key, begin and end of the part that holds the strings, and the new least numbers of bytes.
+    """
+    slack = REACH - left - right
+    more = (slack + 1) // 2
+    for l, r in ((left + more, right), (left, right + slack - more + 1)):
+        begin, end = max(0, at - (REACH - r)), min(len(text), at + GRAM + REACH - l)
+        if at >= l and at + GRAM + r <= len(text) and end - begin >= LENGTH:
+            digest = hashlib.blake2b(text[at - l : at + GRAM + r], digest_size=8, salt=bytes((l, r))).digest()
+            yield int.from_bytes(digest, "little", signed=True), begin, end, l, r
+
+
+def _meeting(rows: list[tuple]) -> pa.RecordBatch:
+    columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(_MEETING)]
+    return pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "start", "part", "at", "left", "right"])
+
+
 def _cut(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """Contexts with their bytes and the key of the shard where they meet others.
 
-    ``wanted`` has doc_id and places (gram, start, many); anchors of a gram with many contexts give two parts.
+    ``wanted`` has doc_id and places (gram, start, many); anchors of a gram with many contexts are parted.
     """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keys, ids, offsets, parts, many = [], [], [], [], []
-
-        def add(key: int, doc: int, offset: int, part: bytes, hot: bool) -> None:
-            for column, value in zip((keys, ids, offsets, parts, many), (key, doc, offset, part, hot), strict=True):
-                column.append(value)
-
+        rows = []
         for doc, text, places in zip(batch.column(0).to_pylist(), blobs(batch.column(1)), batch.column(2).to_pylist(), strict=True):
             for place in places:
-                at, gram = place["start"], place["gram"]
-                lo, hi = max(0, at - REACH), min(len(text), at + LENGTH)
-                if not place["many"]:
-                    add(gram, doc, lo, text[lo:hi], False)
-                    continue
-                for begin, end, inner in ((lo, min(hi, at + GRAM + HALF), (at - HALF, at + GRAM)), (max(lo, at - HALF), hi, (at, at + GRAM + HALF))):
-                    if end - begin >= LENGTH and inner[0] >= 0 and inner[1] <= len(text):
-                        key = hashlib.blake2b(text[slice(*inner)], digest_size=8).digest()
-                        add(int.from_bytes(key, "little", signed=True), doc, begin, text[begin:end], True)
-        columns = [pa.array(keys, pa.int64()), pa.array(ids, pa.int64()), pa.array(offsets, pa.int64()), pa.array(parts, pa.binary()), pa.array(many, pa.bool_())]
-        return pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "start", "part", "many"])
+                at = place["start"]
+                if place["many"]:
+                    rows += [(key, doc, lo, text[lo:hi], at - lo, left, right) for key, lo, hi, left, right in _halves(text, at, 0, 0)]
+                else:
+                    lo, hi = max(0, at - REACH), min(len(text), at + LENGTH)
+                    rows.append((place["gram"], doc, lo, text[lo:hi], at - lo, 0, 0))
+        return _meeting(rows)
 
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id")
-    return map_batches(texts.select("doc_id", "text", "places"), run, "key long, doc_id long, start long, part binary, many boolean")
+    return map_batches(texts.select("doc_id", "text", "places"), run, MEETING)
+
+
+def _part(large: DataFrame) -> DataFrame:
+    """Contexts of groups too large for a shard, each by two longer keys."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = []
+        for doc, start, part, at, left, right in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            rows += [(key, doc, start + lo, part[lo:hi], at - lo, l, r) for key, lo, hi, l, r in _halves(part, at, left, right)]
+        return _meeting(rows)
+
+    return map_batches(large.select("doc_id", "start", "part", "at", "left", "right"), run, MEETING)
 
 
 def repeated_in_shard(doc: np.ndarray, start: np.ndarray, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -292,69 +319,72 @@ def repeated_in_shard(doc: np.ndarray, start: np.ndarray, parts: list[bytes]) ->
 
 
 def _meet(cut: DataFrame, shard_bytes: int) -> DataFrame:
-    """Spans that go and, with a hash, strings of groups too large for a shard."""
+    """Spans that go, and of groups too large for a shard their parts or, where the key is a whole string, its hash."""
     dealt = cut.repartition("key").sortWithinPartitions("key")
+    kinds = {"h1": pa.int64(), "h2": pa.int64(), "doc_id": pa.int64(), "start": pa.int64(), "end": pa.int64(), "part": pa.binary(), "at": pa.int32(), "left": pa.int32(), "right": pa.int32()}
+
+    def result(n: int, **columns: pa.Array | list | np.ndarray) -> pa.RecordBatch:
+        arrays = [pa.nulls(n, kind) if name not in columns else columns[name] if isinstance(columns[name], pa.Array) else pa.array(columns[name], kind) for name, kind in kinds.items()]
+        return pa.RecordBatch.from_arrays(arrays, list(kinds))
 
     def flush(keys: list[np.ndarray], held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(held)
-        doc, start = rows.column("doc_id").to_numpy(), rows.column("start").to_numpy()
-        parts = rows.column("part").to_pylist()
         key = np.concatenate(keys)
         alone = np.concatenate(([True], key[1:] != key[:-1])) & np.concatenate((key[1:] != key[:-1], [True]))
         which = np.flatnonzero(~alone)
         if len(which) > 1:
-            yield spans(*repeated_in_shard(doc[which], start[which], [parts[i] for i in which]))
-
-    def spans(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.RecordBatch:
-        none = pa.nulls(len(doc), pa.int64())
-        return pa.RecordBatch.from_arrays([none, none, pa.array(doc), pa.array(start), pa.array(end)], ["h1", "h2", "doc_id", "start", "end"])
-
-    def strings(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        out: list[list] = [[], [], [], []]
-        for doc, start, part in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
-            for i in range(len(part) - LENGTH + 1):
-                digest = hashlib.blake2b(part[i : i + LENGTH], digest_size=16).digest()
-                for column, value in zip(out, (int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True), doc, start + i), strict=True):
-                    column.append(value)
-        h1, h2, doc, start = (pa.array(c, pa.int64()) for c in out)
-        yield pa.RecordBatch.from_arrays([h1, h2, doc, start, start], ["h1", "h2", "doc_id", "start", "end"])
+            parts = rows.column("part").to_pylist()
+            doc, start, end = repeated_in_shard(rows.column("doc_id").to_numpy()[which], rows.column("start").to_numpy()[which], [parts[i] for i in which])
+            yield result(len(doc), doc_id=doc, start=start, end=end)
+
+    def lead_on(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        left, right = batch.column("left").to_numpy(), batch.column("right").to_numpy()
+        full = pa.array(left + right == REACH)
+        strings, rest = batch.filter(full), batch.filter(pa.array(left + right != REACH))
+        if rest.num_rows:
+            yield result(rest.num_rows, **{name: rest.column(name) for name in ("doc_id", "start", "part", "at", "left", "right")})
+        if strings.num_rows:
+            digests = [hashlib.blake2b(p, digest_size=16).digest() for p in strings.column("part").to_pylist()]
+            h1, h2 = ([int.from_bytes(d[i : i + 8], "little", signed=True) for d in digests] for i in (0, 8))
+            yield result(strings.num_rows, h1=h1, h2=h2, doc_id=strings.column("doc_id"), start=strings.column("start"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         keys: list[np.ndarray] = []
-        size, large = 0, None  # large: key of a group that is led on string by string
+        size, large = 0, None  # bytes held; key of a group that is led on
+        group = 0  # bytes held of the last key
         for batch in batches:
             key = batch.column(0).to_numpy()
             edges = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
-            lengths = np.concatenate(([0], np.cumsum([len(p) + 1 for p in batch.column(3).to_pylist()])))
+            lengths = np.concatenate(([0], np.cumsum([len(p) + 1 for p in batch.column("part").to_pylist()])))
             for lo, hi in zip(edges[:-1], edges[1:], strict=True):
                 if lo == hi:
                     continue
-                rows, n, this = batch.slice(lo, hi - lo), int(lengths[hi] - lengths[lo]), key[lo]
+                rows, n, this = batch.slice(lo, hi - lo), int(lengths[hi] - lengths[lo]), int(key[lo])
                 if this == large:
-                    yield from strings(rows)
+                    yield from lead_on(rows)
                     continue
-                open_key = keys[-1][-1] if keys else None
-                if size + n > shard_bytes and held and this != open_key:
-                    yield from flush(keys, held)
-                    held, keys, size, open_key = [], [], 0, None
+                if keys and int(keys[-1][-1]) == this:
+                    group += n
+                else:
+                    group = n
+                    if held and size + n > shard_bytes:
+                        yield from flush(keys, held)
+                        held, keys, size = [], [], 0
                 held.append(rows)
                 keys.append(key[lo:hi])
                 size += n
-                if size > shard_bytes and this == keys[-1][0]:
-                    # Does this group alone exceed a shard? Then all its strings go on, and the rest is done.
-                    own = [i for i, k in enumerate(keys) if k[0] == this]
-                    if sum(sum(map(len, held[i].column(3).to_pylist())) for i in own) > shard_bytes:
-                        for i in own:
-                            yield from strings(held[i])
-                        held, keys = held[: own[0]], keys[: own[0]]
-                        if held:
-                            yield from flush(keys, held)
-                        held, keys, size, large = [], [], 0, this
+                if group > shard_bytes:
+                    first = next(i for i, k in enumerate(keys) if int(k[0]) == this)
+                    for part in held[first:]:
+                        yield from lead_on(part)
+                    if first:
+                        yield from flush(keys[:first], held[:first])
+                    held, keys, size, large = [], [], 0, this
         if held:
             yield from flush(keys, held)
 
-    return dealt.mapInArrow(run, f"h1 long, h2 long, {SPAN}")
+    return dealt.mapInArrow(run, f"h1 long, h2 long, {SPAN}, part binary, at int, left int, right int")
 
 
 def repeated_spans(docs: DataFrame, work: Workspace, shard_bytes: int = SHARD_BYTES, many_contexts: int = MANY_CONTEXTS) -> DataFrame:
@@ -367,11 +397,15 @@ def repeated_spans(docs: DataFrame, work: Workspace, shard_bytes: int = SHARD_BY
         .groupBy("doc_id")
         .agg(F.collect_list(F.struct("gram", "start", F.coalesce("many", F.lit(False)).alias("many"))).alias("places"))
     )
-    met = work.put(_meet(_cut(docs, places), shard_bytes))
-    strings = met.where("h1 is not null")
+    met = [work.put(_meet(_cut(docs, places), shard_bytes))]
+    # Each round parts what is too large by half of the bytes still free; a key is a whole string after seven at most.
+    while not (large := met[-1].where("part is not null")).isEmpty():
+        met.append(work.put(_meet(_part(large), shard_bytes)))
+    done = reduce(DataFrame.unionByName, met).where("part is null")
+    strings = done.where("h1 is not null")
     first = strings.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "start")).alias("first"))
     later = strings.join(first, ["h1", "h2"]).where("struct(doc_id, start) <> first").select("doc_id", "start", (F.col("start") + LENGTH).alias("end"))
-    spans = settled.where("gram is null").select("doc_id", "start", "end").unionByName(met.where("h1 is null").select("doc_id", "start", "end")).unionByName(later)
+    spans = settled.where("gram is null").select("doc_id", "start", "end").unionByName(done.where("h1 is null").select("doc_id", "start", "end")).unionByName(later)
 
     def join(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
@@ -384,7 +418,7 @@ def repeated_spans(docs: DataFrame, work: Workspace, shard_bytes: int = SHARD_BY
 
     gathered = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     result = work.put(map_batches(gathered, join, "doc_id long, spans array<struct<start:long,end:long>>"))
-    work.drop(settled, met)
+    work.drop(settled, *met)
     return result
 
 
