@@ -6,10 +6,12 @@ and a candidate's similarity is estimated by counting equal packed cells,
 corrected for cells that agree by chance. Candidates within four standard
 errors of the limit are confirmed on the full sets.
 
-Copies share one set and are one node. Within a band's bucket, pairs are never
-listed: first every member is tested against one centre, then the confirmed
-components are formed, and only members of different components are compared
-with each other, in blocks of bounded size on the packed bits.
+Copies share one set and are one node. Pairs within a band's bucket are never
+listed: first every member is tested against one centre, and confirmed
+components are formed. Then members of different components are compared with
+each other, in blocks of bounded size: once per bucket on the packed bits, which
+joins components that may be linked to clusters, and once per cluster on the full
+sets. A block gives only the links that join components, not all pairs.
 """
 
 from __future__ import annotations
@@ -163,62 +165,86 @@ def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return map_batches(rows, run, f"a {kind}, b {kind}")
 
 
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets share so large a part of their union."""
+    both = np.sort(np.concatenate((x, y)))
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs whose full sets are similar enough."""
     a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
     b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        linked = []
-        for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = np.sort(np.concatenate((x, y)))
-            common = int((both[1:] == both[:-1]).sum())
-            linked.append(100 * common >= percent * (len(x) + len(y) - common))
+        both = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+        linked = [similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in both]
         return batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     kind = pairs.schema["a"].dataType.simpleString()
     return map_batches(pairs.join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b"), run, f"a {kind}, b {kind}")
 
 
-def _across(members: DataFrame, percent: int) -> DataFrame:
-    """Likely pairs of different components within each bucket, by blocks.
+def _dealt(members: DataFrame, by: str) -> DataFrame:
+    """Members of each group dealt as pairs of blocks, so that every pair of different components meets in one of them.
 
-    ``members`` has key, n_members, node, component, n, bits. A bucket of m blocks is dealt as its pairs
-    of blocks; a task holds one pair of blocks at a time.
+    ``members`` has the group, node and component. Members of the group's largest component only meet the
+    others, not each other. Adds the blocks x and y, and on which side of the pair the row stands.
     """
-    blocks = F.ceil(F.col("n_members") / F.lit(BLOCK)).cast("int")
-    rows = (
-        members.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), (F.col("own") > F.col("other")).alias("second"), "node", "component", "n", "bits")
-    )
-    dealt = rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+    sizes = members.groupBy(by, "component").agg(F.count("*").alias("n_part"))
+    groups = sizes.groupBy(by).agg(F.sum("n_part").alias("n_all"), F.max(F.struct("n_part", "component")).alias("top"), F.count("*").alias("n_parts")).where("n_parts > 1")
+    rows = members.join(groups, by).withColumns({
+        "big": F.col("component") == F.col("top.component"),
+        "r": F.ceil((F.col("n_all") - F.col("top.n_part")) / F.lit(BLOCK)).cast("int"),
+        "b": F.ceil(F.col("top.n_part") / F.lit(BLOCK)).cast("int"),
+    })
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.when(F.col("big"), F.col("b")).otherwise(F.col("r"))).cast("int"))
+    meets = F.expr("""
+        case when big then transform(sequence(0, r - 1), i -> named_struct('x', i, 'y', r + own, 'second', true))
+        else concat(transform(sequence(0, r - 1), j -> named_struct('x', least(own, j), 'y', greatest(own, j), 'second', own > j)),
+                    transform(sequence(0, b - 1), j -> named_struct('x', own, 'y', r + j, 'second', false))) end""")
+    rows = rows.withColumn("_meets", F.explode(meets)).select(*members.columns, "_meets.x", "_meets.y", "_meets.second")
+    return rows.repartition(by, "x", "y").sortWithinPartitions(by, "x", "y")
+
+
+def _linked(group: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
+    """Links that join components within a pair of blocks: as few as join all that can be joined.
+
+    With a column of full sets, links are confirmed on them; without, packed bits decide.
+    """
+    node, n, second = (group.column(c).to_numpy() for c in ("node", "n", "second"))
+    label = np.unique(group.column("component").to_numpy(), return_inverse=True)[1]
+    bits, floor = _matrix(group.column("bits")), floor_estimate(percent)
+    sets = [np.frombuffer(x, np.uint64) for x in group.column("shingles").to_pylist()] if "shingles" in group.column_names else None
+    whole = group.column("x")[0].as_py() == group.column("y")[0].as_py()
+    out: list[tuple[int, int]] = []
+    for i in range(len(node) - 1):
+        rest = slice(i + 1, None)
+        wanted = (label[rest] != label[i]) & (100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i]))
+        if not whole:
+            wanted &= second[rest] != second[i]
+        at = np.flatnonzero(wanted) + i + 1
+        if not len(at):
+            continue
+        near = estimate(bits[at], bits[i])
+        at = at[near >= floor][np.argsort(-near[near >= floor], kind="stable")]  # the likeliest first
+        while len(at):
+            j, at = int(at[0]), at[1:]
+            if sets is None or similar(sets[i], sets[j], percent):
+                out.append((min(node[i], node[j]), max(node[i], node[j])))
+                label[label == label[j]] = label[i]
+                at = at[label[at] != label[i]]
+    if out:
+        a, b = np.array(out).T
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+
+def _links_across(members: DataFrame, by: str, percent: int) -> DataFrame:
+    """Links between different components of each group. ``members`` has the group, node, component, n, bits and perhaps shingles."""
     kind = members.schema["node"].dataType.simpleString()
-    floor = floor_estimate(percent)
-
-    def compare(group: pa.Table) -> Iterator[pa.RecordBatch]:
-        if group.num_rows < 2:
-            return
-        node, part = group.column("node").to_numpy(), group.column("component").to_numpy()
-        n, second = group.column("n").to_numpy(), group.column("second").to_numpy()
-        bits = _matrix(group.column("bits"))
-        whole = group.column("x")[0].as_py() == group.column("y")[0].as_py()
-        out_a, out_b = [], []
-        for i in range(len(node) - 1):
-            rest = slice(i + 1, None)
-            wanted = (part[rest] != part[i]) & (100 * np.minimum(n[rest], n[i]) >= percent * np.maximum(n[rest], n[i]))
-            if not whole:
-                wanted &= second[rest] != second[i]
-            at = np.flatnonzero(wanted) + i + 1
-            if len(at):
-                at = at[estimate(bits[at], bits[i]) >= floor]
-                out_a.append(np.minimum(node[at], node[i]))
-                out_b.append(np.maximum(node[at], node[i]))
-        if out_a:
-            a, b = np.concatenate(out_a), np.concatenate(out_b)
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+    dealt = _dealt(members, by)
+    ids = [dealt.columns.index(c) for c in (by, "x", "y")]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -226,18 +252,18 @@ def _across(members: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
-            edges = np.flatnonzero(np.any([c[1:] != c[:-1] for c in ids], axis=0)) + 1
+            keys = [batch.column(i).to_numpy(zero_copy_only=False) for i in ids]
+            edges = np.flatnonzero(np.any([c[1:] != c[:-1] for c in keys], axis=0)) + 1
             bounds = [0, *edges.tolist(), batch.num_rows]
             for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
-                key = tuple(c[lo] for c in ids)
+                key = tuple(c[lo] for c in keys)
                 if key != last and held:
-                    yield from compare(pa.Table.from_batches(held).combine_chunks())
+                    yield from _linked(pa.Table.from_batches(held).combine_chunks(), percent)
                     held = []
                 held.append(batch.slice(lo, hi - lo))
                 last = key
         if held:
-            yield from compare(pa.Table.from_batches(held).combine_chunks())
+            yield from _linked(pa.Table.from_batches(held).combine_chunks(), percent)
 
     return dealt.mapInArrow(run, f"a {kind}, b {kind}").distinct()
 
@@ -276,15 +302,19 @@ def near_copies(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     centre = placed.where("node <> high").join(tops, "key").where("component <> high_component").select(F.col("node").alias("a"), F.col("high").alias("b")).distinct()
     links = links.unionByName(test(_likely(centre, nodes, percent)))
     parts = components(links, work)
-    # What is left: members of one bucket in different components.
-    placed = work.put(members.select("key", "node", "n_members").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node")))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("p"), F.max("component").alias("q")).where("p <> q").select("key")
-    rest = placed.join(mixed, "key", "left_semi").join(nodes, "node")
-    links = links.unionByName(test(_across(rest, percent)))
+    # What is left: members of one bucket in different components. The packed bits say which components may be linked at all;
+    # what they join is a cluster, and its members are brought together once, with their sets.
+    placed = members.select("key", "node").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    maybe = work.put(_links_across(placed.join(nodes, "node"), "key", percent))
+    joined = maybe.unionByName(parts.select(F.col("node").alias("a"), F.col("component").alias("b")))
+    clusters = components(joined, work).withColumnRenamed("component", "cluster")
+    clusters = clusters.unionByName(clusters.select(F.col("cluster").alias("node"), "cluster").distinct())  # their smallest nodes too
+    rest = clusters.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    links = links.unionByName(work.put(_links_across(rest.join(nodes, "node").join(sets, "node"), "cluster", percent)))
     parts = components(links, work)
     named = classes.select("h1", "h2", "node").join(parts, "node", "left").select("h1", "h2", F.coalesce("component", "node").alias("component"))
     known = signed.select("doc_id", "n_shingles", "h1", "h2").join(named, ["h1", "h2"], "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "doc_id"))
     result = work.put(known.select("doc_id", "n_shingles", component.alias("component_id")))
-    work.drop(signed, classes, members, sets, placed)
+    work.drop(signed, classes, members, sets, maybe)
     return result.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from martkit.llm import nearcopies, queries, repeats, suffixes
 from martkit.llm.frames import Workspace
@@ -82,16 +83,22 @@ def test_near_copies_query(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in rows} == want
 
 
-def test_blocks_cover_all_pairs(spark, monkeypatch):
-    """A bucket of several blocks yields every likely pair of different components once."""
+def test_blocks_join_all_that_can_be_joined(spark):
+    """Groups of several blocks: equal bits join all components of a group, of another one none; full sets have the last word."""
     rng = np.random.default_rng(3)
-    same = nearcopies.packed(rng.integers(0, 1 << 63, nearcopies.BANDS * nearcopies.ROWS, dtype=np.uint64)).tobytes()
-    rows = [(1, 1300, i, i % 7, 100, same) for i in range(1300)]
-    members = spark.createDataFrame(rows, "key long, n_members long, node long, component long, n long, bits binary")
-    got = nearcopies._across(members, 85)
-    n = [sum(i % 7 == c for i in range(1300)) for c in range(7)]
-    assert got.count() == (1300**2 - sum(x * x for x in n)) // 2
-    assert got.where("a % 7 = b % 7").count() == 0
+    bits = [nearcopies.packed(rng.integers(0, 1 << 63, nearcopies.BANDS * nearcopies.ROWS, dtype=np.uint64)).tobytes() for _ in range(3)]
+    rows = [(i % 2, i, i if i % 5 else 0, 100, bits[i % 2]) for i in range(2600)]
+    kind = "key long, node long, component long, n long, bits binary"
+    members = spark.createDataFrame(rows, kind)
+    links = nearcopies._links_across(members, "key", 85)
+    known = members.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    got = {r["node"]: r["component"] for r in components(links.unionByName(known), Workspace(spark, "t")).collect()}
+    assert {r["a"] % 2 == r["b"] % 2 for r in links.collect()} == {True}
+    assert all(got.get(i, i) == 0 for i in range(2600))  # component 0 is in both groups
+    odd = spark.createDataFrame([(9, i, i, 100, bits[2]) for i in range(700)] + [(9, 1000, 1000, 80, bits[2])], kind)
+    full = odd.withColumn("shingles", F.when(F.col("node") % 2 == 0, F.lit(np.arange(100, dtype=np.uint64).tobytes())).otherwise(F.lit(np.arange(50, 150, dtype=np.uint64).tobytes())))
+    got = {r["node"]: r["component"] for r in components(nearcopies._links_across(full, "key", 85), Workspace(spark, "t")).collect()}
+    assert got == {i: i % 2 for i in range(2, 700)}
 
 
 def test_estimate_is_unbiased():
