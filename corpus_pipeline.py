@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from martkit.llm import decontaminate, nearcopies, packing, quality, repeats
 from martkit.llm.frames import Workspace, ready, table
 
+# What is a near copy here; op3_near_copies has limits of its own.
+SHINGLE, PERCENT = 5, 80
+
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
@@ -25,7 +28,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies; all others, and rows without id, stay."""
     ready(spark)
-    gone = nearcopies.near_copies(docs).where("not kept and doc_id is not null").select("doc_id").distinct()
+    gone = nearcopies.near_copies(docs, SHINGLE, PERCENT).where("not kept and doc_id is not null").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 

@@ -1,7 +1,7 @@
 """Near-duplicate documents by b-bit MinHash.
 
-Each distinct set of word shingles gets ``BANDS * ROWS`` minima. Bands of whole
-minima give candidates; only the low bits of the minima are kept and packed,
+Each distinct set of word shingles gets ``ROWS`` minima for each band, as many
+bands as the limit of similarity asks for. Bands of whole minima give candidates; only the low bits of the minima are kept and packed,
 and a candidate's similarity is estimated by counting equal packed cells,
 corrected for cells that agree by chance. Candidates within four standard
 errors of the limit are confirmed on the full sets.
@@ -16,7 +16,9 @@ sets. A block gives only the links that join components, not all pairs.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,15 +30,32 @@ from martkit.llm.frames import Workspace, blobs, map_batches, space_words
 from martkit.llm.graph import components
 
 SHINGLE, PERCENT = 3, 85
-BANDS, ROWS, BITS = 28, 6, 4
+ROWS, BITS = 6, 4
+MISSED = 2e-6  # most pairs at the limit that may have no common band
 BLOCK = 512
 WORDS_KEPT = 400_000
 _CELLS = 64 // BITS
-_LONGS = -(-BANDS * ROWS // _CELLS)
 _LOW = np.uint64(sum(1 << BITS * i for i in range(_CELLS)))
-_RNG = np.random.default_rng(20)
-_FACTORS = _RNG.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_MASKS = _RNG.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64)
+
+
+def bands_for(percent: int) -> int:
+    """Fewest bands with which a pair at the limit is missed no oftener than ``MISSED``."""
+    return 1 if percent >= 100 else math.ceil(math.log(MISSED) / math.log(1 - (percent / 100) ** ROWS))
+
+
+BANDS = bands_for(PERCENT)
+
+
+@cache
+def _hashes(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Factors and masks of n hash functions."""
+    rng = np.random.default_rng(20)
+    factors = rng.integers(1, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return factors, rng.integers(1, 1 << 63, n, dtype=np.uint64)
+
+
+def _longs(bands: int) -> int:
+    return -(-bands * ROWS // _CELLS)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -75,47 +94,49 @@ def shingle_set(text: bytes, size: int = SHINGLE) -> np.ndarray:
     return np.unique(run)
 
 
-def minima(shingles: np.ndarray) -> np.ndarray:
-    out = np.full(len(_FACTORS), np.iinfo(np.uint64).max, np.uint64)
+def minima(shingles: np.ndarray, bands: int = BANDS) -> np.ndarray:
+    factors, masks = _hashes(bands * ROWS)
+    out = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
     for i in range(0, len(shingles), 512):
-        part = (shingles[None, i : i + 512] ^ _MASKS[:, None]) * _FACTORS[:, None]
+        part = (shingles[None, i : i + 512] ^ masks[:, None]) * factors[:, None]
         np.minimum(out, part.min(axis=1), out=out)
     return out
 
 
 def band_keys(signature: np.ndarray) -> np.ndarray:
-    keys = np.arange(BANDS, dtype=np.uint64)
-    for column in signature.reshape(BANDS, ROWS).T:
+    keys = np.arange(len(signature) // ROWS, dtype=np.uint64)
+    for column in signature.reshape(-1, ROWS).T:
         keys = _mix(keys * np.uint64(0x9E3779B97F4A7C15) + column)
     return keys.view(np.int64)
 
 
 def packed(signature: np.ndarray) -> np.ndarray:
     """The low bits of the minima, side by side in 64-bit words."""
-    low = np.zeros(_LONGS * _CELLS, np.uint64)
+    longs = _longs(len(signature) // ROWS)
+    low = np.zeros(longs * _CELLS, np.uint64)
     low[: len(signature)] = signature & np.uint64((1 << BITS) - 1)
     shifts = np.arange(_CELLS, dtype=np.uint64) * np.uint64(BITS)
-    return np.bitwise_or.reduce(low.reshape(_LONGS, _CELLS) << shifts, axis=1)
+    return np.bitwise_or.reduce(low.reshape(longs, _CELLS) << shifts, axis=1)
 
 
-def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def estimate(a: np.ndarray, b: np.ndarray, bands: int = BANDS) -> np.ndarray:
     """Similarity from packed bits: the share of equal cells, corrected for chance."""
     odd = a ^ b
     for shift in (1, 2)[: BITS.bit_length() - 1]:
         odd = odd | odd >> np.uint64(shift)
     unequal = np.bitwise_count(odd & _LOW).sum(axis=-1)
     chance = 1 / (1 << BITS)
-    return (1 - unequal / (BANDS * ROWS) - chance) / (1 - chance)
+    return (1 - unequal / (bands * ROWS) - chance) / (1 - chance)
 
 
 def floor_estimate(percent: int = PERCENT) -> float:
     """Least estimate that is still confirmed: four standard errors below the limit."""
     chance = 1 / (1 << BITS)
     equal = chance + (1 - chance) * percent / 100
-    return percent / 100 - 4 * (equal * (1 - equal) / (BANDS * ROWS)) ** 0.5 / (1 - chance)
+    return percent / 100 - 4 * (equal * (1 - equal) / (bands_for(percent) * ROWS)) ** 0.5 / (1 - chance)
 
 
-def sign(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
+def sign(docs: DataFrame, size: int = SHINGLE, bands: int = BANDS) -> DataFrame:
     """doc_id, n_shingles, key of the set (h1, h2), band keys and packed bits of every row."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -126,7 +147,7 @@ def sign(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
             digest = np.frombuffer(xxhash.xxh3_128_digest(shingles.tobytes()), np.int64)
             first.append(digest[0])
             second.append(digest[1])
-            signature = minima(shingles)
+            signature = minima(shingles, bands)
             keys.append(band_keys(signature) if len(shingles) else [])
             bits.append(packed(signature).tobytes())
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
@@ -146,8 +167,8 @@ def _full_sets(docs: DataFrame, size: int) -> DataFrame:
     return map_batches(docs.select("doc_id", "text"), run, f"node {kind}, shingles binary")
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, _LONGS)
+def _matrix(column: pa.Array, bands: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, _longs(bands))
 
 
 def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -155,10 +176,10 @@ def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     a = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
     b = nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
     rows = pairs.join(a, "a").join(b, "b").where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)").select("a", "b", "bits_a", "bits_b")
-    floor = floor_estimate(percent)
+    floor, bands = floor_estimate(percent), bands_for(percent)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        near = estimate(_matrix(batch.column(2)), _matrix(batch.column(3))) >= floor
+        near = estimate(_matrix(batch.column(2), bands), _matrix(batch.column(3), bands), bands) >= floor
         return batch.select(["a", "b"]).filter(pa.array(near))
 
     kind = pairs.schema["a"].dataType.simpleString()
@@ -215,7 +236,8 @@ def _linked(group: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
     """
     node, n, second = (group.column(c).to_numpy() for c in ("node", "n", "second"))
     label = np.unique(group.column("component").to_numpy(), return_inverse=True)[1]
-    bits, floor = _matrix(group.column("bits")), floor_estimate(percent)
+    bands, floor = bands_for(percent), floor_estimate(percent)
+    bits = _matrix(group.column("bits"), bands)
     sets = [np.frombuffer(x, np.uint64) for x in group.column("shingles").to_pylist()] if "shingles" in group.column_names else None
     whole = group.column("x")[0].as_py() == group.column("y")[0].as_py()
     out: list[tuple[int, int]] = []
@@ -227,7 +249,7 @@ def _linked(group: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
         at = np.flatnonzero(wanted) + i + 1
         if not len(at):
             continue
-        near = estimate(bits[at], bits[i])
+        near = estimate(bits[at], bits[i], bands)
         at = at[near >= floor][np.argsort(-near[near >= floor], kind="stable")]  # the likeliest first
         while len(at):
             j, at = int(at[0]), at[1:]
@@ -277,7 +299,7 @@ def near_copies(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     """
     spark = docs.sparkSession
     work = Workspace(spark, "nearcopies")
-    signed = work.put(sign(docs, size))
+    signed = work.put(sign(docs, size, bands_for(percent)))
     classes = work.put(
         signed.where("n_shingles > 0 and doc_id is not null")
         .groupBy("h1", "h2")
