@@ -5,7 +5,7 @@ pieces are dealt over tasks and packed there by bounded-space best fit. A
 task holds a fixed number of open sequences, found through a bitset keyed by
 free space: the piece goes to the open sequence with the least space that
 still holds it. When a new sequence must be opened and none is left, the
-fullest one closes first.
+fullest one closes first; there are so many tasks that this is not needed.
 """
 
 from __future__ import annotations
@@ -20,10 +20,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martkit.llm.frames import map_batches
+from martkit.llm.frames import Workspace, map_batches
 
 CAPACITY = 2048
 OPEN_SEQUENCES = 16_384
+LOAD = 0.4  # share of a task's open sequences that its tokens fill at most on average
 SPECIAL = "<|endoftext|>"
 END = bytes(4)  # id 0 after each document
 WORDS_KEPT = 400_000
@@ -166,11 +167,16 @@ class Packer:
 def pack(pieces: DataFrame, capacity: int = CAPACITY, open_sequences: int = OPEN_SEQUENCES) -> DataFrame:
     """Add sequence_id and offset to pieces of at most ``capacity`` tokens.
 
-    Pieces are dealt over the shuffle partitions by a hash of document and piece, so each task gets
+    Pieces are staged and dealt over tasks by a hash of document and piece, so each task gets
     an even share whatever the ids are, and arrive longest first; a repeated task sees the same
-    order and gives the same numbers. Equal rows are separate pieces. No piece: no sequence.
+    order and gives the same numbers. Best fit leaves at most one sequence half empty, so tokens
+    for ``LOAD`` of the open sequences never need twice as many: no sequence closes early, however
+    many pieces there are. Equal rows are separate pieces. No piece: no sequence.
     """
-    n = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = pieces.sparkSession
+    pieces = Workspace(spark, "packing").put(pieces)
+    tokens = pieces.agg(F.sum("length")).first()[0] or 0
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens // int(max(1, capacity * open_sequences * LOAD))))
     order = [F.col("length").desc(), "doc_id", "piece", "start", "ids_crc32"]
     dealt = pieces.repartition(n, "doc_id", "piece").sortWithinPartitions(*order)
 

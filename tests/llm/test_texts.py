@@ -169,6 +169,25 @@ def test_packing_query(spark):
     assert sequences <= least * 1.15
 
 
+def test_packing_does_not_get_worse_with_size(spark):
+    """Far more pieces than the open sequences of the shuffle partitions can take."""
+    rng, n = np.random.default_rng(6), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lengths = rng.choice([51, 53, 56, 60, 44, 40, 30, 20, 12, 5], 3_000 * n).tolist()
+    pieces = spark.createDataFrame([(i, 0, 0, x, 0) for i, x in enumerate(lengths)], "doc_id long, piece int, start long, length long, ids_crc32 long")
+    rows = packing.pack(pieces, capacity=100, open_sequences=250).collect()
+    places = defaultdict(list)
+    for r in rows:
+        places[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert sorted(r["length"] for r in rows) == sorted(lengths)
+    for own in places.values():
+        ends = np.cumsum([0, *(x for _, x in sorted(own))])
+        assert [a for a, _ in sorted(own)] == ends[:-1].tolist() and ends[-1] <= 100
+    free = packing.Packer(100, len(lengths))  # no sequence ever closes early
+    for x in sorted(lengths, reverse=True):
+        free.place(x)
+    assert free.made <= len(places) <= 1.03 * free.made
+
+
 def test_fullest_closes_first():
     packer = packing.Packer(10, 2)
     assert [packer.place(n) for n in (6, 7, 9, 4, 3, 1, 10)] == [(0, 0), (1, 0), (2, 0), (0, 6), (3, 0), (2, 9), (4, 0)]
