@@ -1,11 +1,11 @@
 """License scans through a positional index of rare words.
 
-Templates are indexed by word: postings of (template, position). A file looks
-up its rarest licence words only (highest inverse document frequency over all
-documents), each occurrence proposes where each template would begin, and
-proposals that agree are counted. The best-supported places are aligned with
-the template, and a template is reported only where its mandatory key phrase
-stands.
+Each template is indexed by the rarest words of its own mandatory key phrase
+(highest inverse document frequency over all documents): postings of (template,
+position). Each occurrence of such a word in a file proposes where the key phrase
+would begin, and proposals that agree are counted. Where all words of a template
+agree and the key phrase stands there, the template is reported, whatever other
+words the file has, and aligned with the words around.
 """
 
 from __future__ import annotations
@@ -31,8 +31,7 @@ TEMPLATES = (
     ("mit", "released under the mit license", "mit license"),
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0", "mozilla public license v 2 0"),
 )
-RAREST = 12  # distinct licence words looked up in a file
-AGREE = 0.5  # share of a template's looked-up words that must agree on a place
+RAREST = 2  # words of each template's key phrase that are looked up
 
 
 class LicenseIndex:
@@ -41,12 +40,16 @@ class LicenseIndex:
     def __init__(self, frequency: dict[bytes, int], n_docs: int, templates=TEMPLATES, base=BASE, rarest: int = RAREST):
         self.templates = [(label, alnum_words(text.encode()), alnum_words(key.encode())) for label, text, key in templates]
         self.base = [(alnum_words(phrase.encode()), label) for phrase, label in base.items()]
-        self.idf = {w: math.log((1 + n_docs) / (1 + frequency.get(w, 0))) + 1 for _, words, _ in self.templates for w in words}
+        self.idf = {w: math.log((1 + n_docs) / (1 + frequency.get(w, 0))) + 1 for _, words, key in self.templates for w in words + key}
         self.rarest = rarest
         self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-        for number, (_, words, _) in enumerate(self.templates):
-            for position, word in enumerate(words):
-                self.postings[word].append((number, position))
+        self.needed: list[int] = []  # agreeing words at a place of each key phrase
+        for number, (_, _, key) in enumerate(self.templates):
+            chosen = {w for _, w in sorted((-self.idf[w], w) for w in set(key))[: self.rarest]}
+            self.needed.append(sum(w in chosen for w in key))
+            for position, word in enumerate(key):
+                if word in chosen:
+                    self.postings[word].append((number, position))
 
     def base_places(self, words: list[bytes]) -> list[tuple[int, str]]:
         """Start and label of every place of a base phrase."""
@@ -61,33 +64,31 @@ class LicenseIndex:
                     found.append((first, label))
         return found
 
-    def template_scores(self, words: list[bytes], present: set[bytes]) -> dict[str, float]:
+    def template_scores(self, words: list[bytes]) -> dict[str, float]:
         """Best share of each template's idf weight that stands in its place, where its key phrase does."""
-        chosen = {w for _, w in sorted(((-self.idf[w], w) for w in present))[: self.rarest]}
         votes: Counter[tuple[int, int]] = Counter()
         for at, word in enumerate(words):
-            if word in chosen:
-                for number, position in self.postings[word]:
-                    votes[number, at - position] += 1
+            for number, position in self.postings.get(word, ()):
+                votes[number, at - position] += 1
         best: dict[str, float] = {}
         for (number, first), n in votes.items():
             label, template, key = self.templates[number]
-            looked_up = sum(w in chosen for w in template)
-            if n < max(1, math.ceil(AGREE * looked_up)):
+            if n < self.needed[number] or first < 0 or words[first : first + len(key)] != key:
                 continue
-            total = sum(self.idf[w] for w in template)
-            share = sum(self.idf[w] for i, w in enumerate(template) if 0 <= first + i < len(words) and words[first + i] == w) / total
-            around = words[max(0, first - len(key)) : first + len(template) + len(key)]
-            if any(around[i : i + len(key)] == key for i in range(len(around) - len(key) + 1)):
-                best[label] = max(best.get(label, 0.0), share)
+            # Words may be left out or put in between the key phrase and the rest, so every place around is aligned.
+            share = max(self.share(template, words, start) for start in range(first - len(template), first + len(key) + 1))
+            best[label] = max(best.get(label, 0.0), share)
         return best
 
+    def share(self, template: list[bytes], words: list[bytes], start: int) -> float:
+        there = sum(self.idf[w] for i, w in enumerate(template) if 0 <= start + i < len(words) and words[start + i] == w)
+        return there / sum(self.idf[w] for w in template)
+
     def scan(self, text: bytes) -> tuple:
         """n_words, n_base, first_word, last_word, base labels, all labels, score."""
         words = alnum_words(text)
-        present = self.postings.keys() & set(words)
         places = self.base_places(words)
-        scores = self.template_scores(words, present) if present else {}
+        scores = {} if self.postings.keys().isdisjoint(words) else self.template_scores(words)
         base = {label for _, label in places}
         score = 1.0 if base else max(scores.values(), default=0.0)
         starts = [at for at, _ in places]
@@ -117,7 +118,7 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, base=BASE, rarest: int =
     of a template found, else 0. Null and empty texts have no words, no labels
     and score 0. Rows are scanned alone, repeated ones too.
     """
-    vocabulary = {w for _, text, _ in templates for w in alnum_words(text.encode())}
+    vocabulary = {w for _, text, key in templates for w in alnum_words(f"{text} {key}".encode())}
     shared = docs.sparkSession.sparkContext.broadcast(LicenseIndex(*word_frequencies(docs, vocabulary), templates, base, rarest))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:

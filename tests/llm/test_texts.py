@@ -260,6 +260,17 @@ def test_licenses(spark, docs, texts, no_docs):
     assert licenses.scan_licenses(no_docs).collect() == []
 
 
+def test_license_labels_do_not_depend_on_other_words(spark):
+    """All notices in one text, and each beside prose that holds every licence word."""
+    prose = " x ".join(sorted({w for _, text, _ in licenses.TEMPLATES for w in text.split()}))
+    wanted = [",".join(sorted({x[0] for x in licenses.TEMPLATES}))] + [x[0] for x in licenses.TEMPLATES] * 2
+    texts = [". ".join(x[1] for x in licenses.TEMPLATES)] + [f"{prose} y {x[1]}" for x in licenses.TEMPLATES] + [f"{prose} y {x[2]}" for x in licenses.TEMPLATES]
+    filler = spark.createDataFrame([(100 + i, "mit released license public this is to the under work by") for i in range(50)], "doc_id long, text string")
+    found = licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").unionByName(filler))
+    got = {r["doc_id"]: set(r["labels"].split(",")) - set(licenses.BASE.values()) for r in found.where("doc_id < 100").collect()}
+    assert [got[i] for i in range(len(texts))] == [set(w.split(",")) for w in wanted]
+
+
 def test_licenses_query(spark):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     for r in queries.op8_license_scan(spark, SF).collect():
