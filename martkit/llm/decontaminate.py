@@ -27,7 +27,7 @@ CHUNK_BYTES = 16_000_000
 SPANS = "array<struct<first:bigint,last:bigint>>"
 
 
-def patterns_of(items: list[tuple[str, bytes]], window: int = WINDOW) -> dict[bytes, list[int]]:
+def patterns_of(items: list[tuple[str | None, bytes]], window: int = WINDOW) -> dict[bytes, list[int]]:
     """Every window with the numbers of the items that hold it."""
     found: dict[bytes, list[int]] = {}
     for number, (_, text) in enumerate(items):
@@ -44,7 +44,7 @@ def patterns_of(items: list[tuple[str, bytes]], window: int = WINDOW) -> dict[by
 class Machine:
     """The automaton over some items; built once in each worker from the plain patterns."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, bytes]], window: int = WINDOW):
         self.names, self.patterns, self._built = [name for name, _ in items], patterns_of(items, window), None
 
     def __getstate__(self) -> dict:
@@ -72,7 +72,7 @@ class Machine:
         for end, (n, _) in hits:
             last = bisect_left(ends, end) + 1
             spans.append((last - n, last))
-        return united(spans), {self.names[i] for _, (_, owners) in hits for i in owners}
+        return united(spans), {self.names[i] for _, (_, owners) in hits for i in owners if self.names[i] is not None}
 
 
 def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -86,7 +86,7 @@ def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def benchmark_chunks(benchmark: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> list[list[tuple[str, bytes]]]:
+def benchmark_chunks(benchmark: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> list[list[tuple[str | None, bytes]]]:
     """Items as (id, text), in lists whose texts stay within the bound (a single longer item stands alone)."""
     rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
@@ -95,8 +95,7 @@ def benchmark_chunks(benchmark: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> li
         parts = [rows.collect()]
     else:
         parts = [rows.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == i).collect() for i in range(n)]
-    # A null id cannot be named in a result.
-    return [sorted({(r["item_id"], r["text"].encode()) for r in part if r["item_id"] is not None}) for part in parts]
+    return [sorted({(r["item_id"], r["text"].encode()) for r in part}, key=lambda x: (x[0] or "", x[1])) for part in parts]
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -105,7 +104,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, chun
     Result per document: doc_id, n_words, spans (word ranges [first, end)),
     n_hit, items (ids found). Null and empty texts have no words. Items
     without words match nothing; items with one id are one item whose
-    windows are united. An empty benchmark leaves every document clean.
+    windows are united. Items without id count as any other for spans and
+    n_hit, but cannot be named in items. An empty benchmark leaves every document clean.
     """
     spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
     found = docs.select("doc_id", "text", F.lit(None).cast(SPANS).alias("spans"), F.lit(None).cast("array<string>").alias("items"))

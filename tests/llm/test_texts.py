@@ -107,6 +107,17 @@ def test_leaks(spark, docs, texts, no_docs):
     assert {r["n_hit"] for r in decontaminate.find_leaks(docs, bench.limit(0)).collect()} == {0}
 
 
+def test_leaks_of_items_without_id(spark):
+    """Their passages are hits like any other, only without a name."""
+    passage = " ".join(f"p{i}" for i in range(12))
+    bench = spark.createDataFrame([(None, passage), (None, None), (7, "q r s")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"a {passage} b"), (2, "a b c"), (3, f"q r s {passage}")], "doc_id long, text string")
+    for chunk in (decontaminate.CHUNK_BYTES, 30):
+        got = {r["doc_id"]: (r["n_hit"], r["items"]) for r in decontaminate.find_leaks(docs, bench, chunk_bytes=chunk).collect()}
+        assert got == {1: (12, []), 2: (0, []), 3: (15, ["7"])}
+        assert [r["doc_id"] for r in decontaminate.keep_clean(docs, bench, chunk_bytes=chunk).collect()] == [2]
+
+
 def test_leaks_query(spark):
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     texts = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
