@@ -4,11 +4,16 @@ A page is read into a light tree of elements and text blocks. Each paragraph
 passes points for its length and commas to its parent, half to the next
 ancestor and less to those above, discounted by the share of link text. The
 container with the most points wins, together with its well-scored siblings.
+
+Unwanted words of class and id names lower an element's prior points. A form, or an
+element with a name of unwanted words only, is left out unless it holds most of the
+page's text outside links: then it is a wrapper of the page.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 import pyarrow as pa
@@ -30,8 +35,8 @@ BLOCK = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-DROPPED = set("head script style noscript template svg math canvas object embed iframe nav footer aside form button select input textarea dialog menu audio video noframes title".split())
-ROLES = set("navigation banner complementary contentinfo search form dialog alert alertdialog menu menubar toolbar".split())
+DROPPED = set("head script style noscript template svg math canvas object embed iframe nav footer aside button select input textarea dialog menu audio video noframes title".split())
+ROLES = set("navigation banner complementary contentinfo search dialog alert alertdialog menu menubar toolbar".split())
 # Words of class and id names.
 UNWANTED = set(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs footer foot sidebar "
@@ -46,45 +51,54 @@ PARAGRAPH_SCOPE = set("button caption td th table article section body html div
 
 
 class Element:
-    __slots__ = ("parent", "tag", "weight", "dropped", "points", "text", "linked", "link", "order")
+    __slots__ = ("parent", "tag", "weight", "dropped", "points", "text", "linked", "link", "order", "doubts")
 
     def __init__(self, parent: Element | None, tag: str, weight: float, dropped: bool, link: bool, order: int):
         self.parent, self.tag, self.weight, self.dropped, self.link, self.order = parent, tag, weight, dropped, link, order
         self.points = 0.0
         self.text = self.linked = 0
+        self.doubts: tuple[int, ...] | None = ()  # left out on account of these elements only; None: whatever they hold
 
 
-def _judge(tag: str, rest: str, parent: Element | None, in_article: bool) -> tuple[float, bool]:
-    """Prior points of an element, and whether its subtree is left out."""
-    weight = 25.0 if tag in ("article", "main") else 0.0
+def _judge(tag: str, rest: str, in_article: bool) -> tuple[float, bool, bool]:
+    """Prior points of an element, whether its subtree is left out, and whether it is unless most of the page stands there."""
+    weight, doubtful = 25.0 if tag in ("article", "main") else 0.0, tag == "form"
     if tag in DROPPED or tag == "header" and not in_article:
-        return weight, True
+        return weight, True, False
     if "=" not in rest and "hidden" not in rest.lower():
-        return weight, False
+        return weight, False, doubtful
     for name, a, b, c in ATTRIBUTE.findall(rest):
         value, name = (a or b or c).lower(), name.lower()
         if name in ("class", "id"):
-            words = set(WORDS.findall(value))
-            if tag not in KEPT_ROOTS and words & UNWANTED:
-                return weight, True
-            if words & WANTED:
+            names = [set(WORDS.findall(x)) for x in value.split()]
+            if tag not in KEPT_ROOTS and any(words & UNWANTED for words in names):
+                weight -= 5.0
+                doubtful = doubtful or any(words and words <= UNWANTED for words in names)
+            if any(words & WANTED for words in names):
                 weight += 10.0
+        elif name == "role" and value == "form" and tag not in KEPT_ROOTS:
+            doubtful = True
         elif name == "role" and value in ROLES and tag not in KEPT_ROOTS:
-            return weight, True
+            return weight, True, False
         elif name == "role" and value in ("main", "article") or name == "itemprop" and value == "articlebody":
             weight += 25.0
         elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return weight, True
-    return weight, False
+            return weight, True, False
+    return weight, False, doubtful
+
 
+def read_blocks(html: str, wrappers: frozenset[int] = frozenset()) -> list[tuple[Element, str, int]]:
+    """Text blocks outside left-out subtrees, in page order: (element, text, characters of link text).
 
-def read_blocks(html: str) -> list[tuple[Element, str, int]]:
-    """Text blocks outside left-out subtrees, in page order: (element, text, characters of link text)."""
+    Doubtful elements are left out, but for the wrappers. If any of them holds most of the text
+    that is not left out anyway, the page is read once more with it as a wrapper.
+    """
     root = Element(None, "html", 0.0, False, False, 0)
     stack, blocks = [root], []
     pieces: list[str] = []
     linked = 0
-    order = at = 0
+    order = at = whole = 0
+    held: Counter[int] = Counter()  # characters outside links in doubtful elements
 
     def flush() -> None:
         nonlocal linked
@@ -98,10 +112,16 @@ def read_blocks(html: str) -> list[tuple[Element, str, int]]:
         linked = 0
 
     def write(text: str) -> None:
-        nonlocal linked
-        if text and not stack[-1].dropped:
+        nonlocal linked, whole
+        top = stack[-1]
+        if text and not wrappers and top.doubts is not None and not top.link:
+            n = len(" ".join(text.split()))
+            whole += n
+            for number in top.doubts:
+                held[number] += n
+        if text and not top.dropped:
             pieces.append(text)
-            if stack[-1].link:
+            if top.link:
                 linked += len(" ".join(text.split()))
 
     def close(upto: int) -> None:
@@ -147,8 +167,9 @@ def read_blocks(html: str) -> list[tuple[Element, str, int]]:
         if name in VOID:
             continue
         top = stack[-1]
-        weight, dropped = _judge(name, rest, top, any(e.tag in ("article", "main") for e in stack))
-        dropped = dropped or top.dropped
+        weight, outright, doubtful = _judge(name, rest, any(e.tag in ("article", "main") for e in stack))
+        doubtful = doubtful and order + 1 not in wrappers
+        dropped = outright or doubtful or top.dropped
         if dropped and not top.dropped:
             flush()
         if name in RAW:
@@ -159,8 +180,10 @@ def read_blocks(html: str) -> list[tuple[Element, str, int]]:
             continue
         order += 1
         stack.append(Element(top, name, weight, dropped, top.link or name == "a", order))
+        stack[-1].doubts = None if outright or top.doubts is None else (*top.doubts, order) if doubtful else top.doubts
     flush()
-    return blocks
+    found_wrappers = frozenset(number for number, n in held.items() if 2 * n > whole)
+    return read_blocks(html, found_wrappers) if found_wrappers else blocks
 
 
 def extract(html: str | None) -> str:

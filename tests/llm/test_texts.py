@@ -65,6 +65,16 @@ def test_html(spark):
     assert got == {1: (text, len(text)), 2: ("", 0), 3: ("", 0), 4: ("", 0), 5: ("plain <text>", 12), 6: ("cut of", 6)}
 
 
+@pytest.mark.parametrize("name", ["content has-sidebar", "overflow-hidden", "ad-free", "no-comments", "single-post related", "hidden", None])
+def test_html_wrappers(name):
+    """An article in a wrapper with unwanted words, or in a form round the page, is not lost."""
+    article = ["A title", *(f"Sentence {i} of the article, with some words, and a few more of them." for i in range(4))]
+    tag, attributes = ("div", f' class="{name}"') if name else ("form", "")
+    inner = f"<h1>{article[0]}</h1>" + "".join(f"<p>{x}</p>" for x in article[1:])
+    page = f'<body><nav>Home</nav><{tag}{attributes}>{inner}<div class="ad">Buy now, please.</div><div class="comments"><p>Nice, really.</p></div></{tag}><footer>(c)</footer></body>'
+    assert htmltext.extract(page) == "\n".join(article)
+
+
 def test_html_query(spark):
     """All the page generator's articles, without anything around them."""
     import html as codes
