@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkit.llm import decontaminate, htmltext, licenses, nearcopies, neighbours, packing, quality, repeats, tokencount, urlfilter
+from martkit.llm import bpe, decontaminate, htmltext, licenses, nearcopies, neighbours, packing, quality, repeats, tokencount, urlfilter
 from martkit.llm.frames import joined_sha256, ready, table
 
 
@@ -60,9 +60,19 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(table(ready(spark), sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = bpe.encode_documents(table(ready(spark), sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), decode=True)
+    return done.select(
+        "doc_id",
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_url_filter, op2_html_extraction, op3_near_copies, op4_repeated_bytes, op5_decontamination, op6_packing, op7_neighbours, op8_license_scan, op9_token_counts, op10_quality)
+    for f in (op1_url_filter, op2_html_extraction, op3_near_copies, op4_repeated_bytes, op5_decontamination, op6_packing, op7_neighbours, op8_license_scan, op9_token_counts, op10_quality, op13_byte_pairs)
 }
 
 # Twins in DuckDB, where SQL can express the query.

@@ -13,7 +13,7 @@ from tests.llm.test_texts import check_packing
 def test_registered():
     found = entry.queries()
     assert set(queries.QUERIES) <= set(found) and found["pipeline"] is corpus_pipeline.run
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_stages(spark, tmp_path):
