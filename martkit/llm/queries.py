@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkit.llm import bpe, decontaminate, htmltext, licenses, nearcopies, neighbours, packing, quality, repeats, tokencount, urlfilter
+from martkit.llm import bpe, decontaminate, htmltext, lexical, licenses, nearcopies, neighbours, packing, quality, repeats, tokencount, urlfilter
 from martkit.llm.frames import joined_sha256, ready, table
 
 
@@ -60,6 +60,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(table(ready(spark), sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(ready(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = bpe.encode_documents(table(ready(spark), sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), decode=True)
     return done.select(
@@ -72,7 +76,7 @@ def op13_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_url_filter, op2_html_extraction, op3_near_copies, op4_repeated_bytes, op5_decontamination, op6_packing, op7_neighbours, op8_license_scan, op9_token_counts, op10_quality, op13_byte_pairs)
+    for f in (op1_url_filter, op2_html_extraction, op3_near_copies, op4_repeated_bytes, op5_decontamination, op6_packing, op7_neighbours, op8_license_scan, op9_token_counts, op10_quality, op11_lexical_search, op13_byte_pairs)
 }
 
 # Twins in DuckDB, where SQL can express the query.
@@ -101,4 +105,35 @@ select page_id, host, path,
 from named
 """
 
-ORACLES = {"op1_url_filter": _URL_SQL}
+_SEARCH_SQL = """
+with words as (
+    select row_number() over () as doc, doc_id,
+        unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as term
+    from documents
+), asked as (
+    select item_id, term, count(*) as c
+    from (
+        select item_id,
+            unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as term
+        from benchmark)
+    group by item_id, term
+), total as (
+    select count(distinct doc) as big_n, count(*) as big_l from words
+), postings as (
+    select doc, doc_id, term, count(*) as tf from words group by doc, doc_id, term
+), lengths as (
+    select doc, 100 - 25 + ((25 * count(*) * any_value(big_n)) // any_value(big_l)) as m from words, total group by doc
+), weights as (
+    select term, cast(floor(1000 * ln((2 * any_value(big_n) + 2) / (2 * count(*) + 1))) as bigint) as w from postings, total group by term
+), scored as (
+    select item_id, doc, doc_id, cast(sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) as bigint) as score
+    from asked join postings using (term) join weights using (term) join lengths using (doc)
+    where doc_id is not null
+    group by item_id, doc, doc_id
+), ranked as (
+    select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank, doc_id, score from scored where score > 0
+)
+select item_id, rank, doc_id, score from ranked where rank <= 20
+"""
+
+ORACLES = {"op1_url_filter": _URL_SQL, "op11_lexical_search": _SEARCH_SQL}
