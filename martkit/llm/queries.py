@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkit.llm import bpe, decontaminate, htmltext, lexical, licenses, nearcopies, neighbours, packing, quality, repeats, tokencount, urlfilter
+from martkit.llm import bpe, decontaminate, htmltext, lexical, licenses, nearcopies, neighbours, packing, quality, repeats, tokencount, urlfilter, whitening
 from martkit.llm.frames import joined_sha256, ready, table
 
 
@@ -64,6 +64,11 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(ready(spark), sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = whitening.whiten(table(ready(spark), sf_dir, "embeddings"))
+    return done.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
+
+
 def op13_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = bpe.encode_documents(table(ready(spark), sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), decode=True)
     return done.select(
@@ -76,7 +81,7 @@ def op13_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_url_filter, op2_html_extraction, op3_near_copies, op4_repeated_bytes, op5_decontamination, op6_packing, op7_neighbours, op8_license_scan, op9_token_counts, op10_quality, op11_lexical_search, op13_byte_pairs)
+    for f in (op1_url_filter, op2_html_extraction, op3_near_copies, op4_repeated_bytes, op5_decontamination, op6_packing, op7_neighbours, op8_license_scan, op9_token_counts, op10_quality, op11_lexical_search, op12_whitening, op13_byte_pairs)
 }
 
 # Twins in DuckDB, where SQL can express the query.
