@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from itertools import filterfalse
 
 import numpy as np
 import public_tokenizers
@@ -164,6 +163,58 @@ def merge_alone(symbols: list[int], rank_of: dict[tuple[int, int], int], merged:
     return [s for s in sym if s != _DEAD]
 
 
+class _Slots(dict):
+    """Numbers of words; a new word gets the next number and is noted."""
+
+    def __init__(self) -> None:
+        self.noted: list[str] = []
+        self.count = 0
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = self.count
+        self.count += 1
+        self.noted.append(word)
+        return number
+
+
+class _Pool:
+    """Runs of ids in one growing array, and where the run of each number starts and how long it is."""
+
+    def __init__(self) -> None:
+        self.ids = np.zeros(1 << 16, np.uint32)
+        self.used = 0
+        self.starts = np.zeros(1 << 14, np.int64)
+        self.lengths = np.zeros(1 << 14, np.int64)
+
+    def add(self, ids: np.ndarray) -> int:
+        """Start of ids appended to the array."""
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate((self.ids[: self.used], np.zeros(self.used + 2 * len(ids), np.uint32)))
+        start = self.used
+        self.ids[start : start + len(ids)] = ids
+        self.used += len(ids)
+        return start
+
+    def set(self, numbers: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> None:
+        need = int(numbers.max(initial=0)) + 1
+        if need > len(self.starts):
+            more = np.zeros(need, np.int64)
+            self.starts, self.lengths = np.concatenate((self.starts, more)), np.concatenate((self.lengths, more))
+        self.starts[numbers], self.lengths[numbers] = starts, lengths
+
+    def runs(self, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The ids of all runs, one after the other."""
+        ends = np.cumsum(lengths)
+        if not len(ends):
+            return np.zeros(0, np.uint32)
+        return self.ids[np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1])]
+
+
+# First characters of noted words that no word of a regular text starts with; any other word follows a space.
+_EXACT, _HEAD, _LINE = "\t", "\r", "\n"  # one pre-token as it is; what starts a text; what follows a line feed
+_STOPS = frozenset(",.;:!?")
+
+
 class BytePairs:
     """A byte-level BPE vocabulary: texts to ids (little-endian unsigned 32-bit) and back."""
 
@@ -193,54 +244,79 @@ class BytePairs:
         self.bytes_of = [b""] * (max(tokens.values()) + 1)
         for token, i in tokens.items():
             self.bytes_of[i] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
-        self.pieces: dict[str, bytes] = {}  # pre-tokens, and in words what follows a space, each with ids
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.words, self.pool = _Slots(), _Pool()
+        self.older, self.older_pool = _Slots(), _Pool()
 
-    def merge(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pre-tokens."""
+    def merge(self, pieces: list[str], pool: _Pool) -> tuple[np.ndarray, np.ndarray]:
+        """Start and length in the pool of the ids of pre-tokens."""
         raw = [p.encode() for p in pieces]
-        out: list[bytes] = [b""] * len(raw)
-        groups: dict[int, list[int]] = {}
-        for i, piece in enumerate(raw):
-            if len(piece) > SHORT:
-                ids = merge_alone(self.first[np.frombuffer(piece, np.uint8)].tolist(), self.rank_of, self.merged_list)
-                out[i] = np.array(ids, "<u4").tobytes()
-            else:
-                groups.setdefault(max(2, 1 << (len(piece) - 1).bit_length()), []).append(i)
-        for width, members in groups.items():
-            for begin in range(0, len(members), AT_ONCE):
-                part = members[begin : begin + AT_ONCE]
-                lengths = np.array([len(raw[i]) for i in part])
-                held = np.arange(width) < lengths[:, None]
-                symbols = np.full((len(part), width), -1, np.int32)
-                symbols[held] = self.first[np.frombuffer(b"".join(raw[i] for i in part), np.uint8)]
-                done = merge_side_by_side(symbols, self.ranks, self.merged)
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        symbols = self.first[np.frombuffer(b"".join(raw), np.uint8)]
+        begins = np.cumsum(sizes) - sizes
+        starts, lengths = np.zeros(len(raw), np.int64), np.zeros(len(raw), np.int64)
+        for i in np.flatnonzero(sizes > SHORT).tolist():
+            ids = np.array(merge_alone(symbols[begins[i] : begins[i] + sizes[i]].tolist(), self.rank_of, self.merged_list), np.uint32)
+            starts[i], lengths[i] = pool.add(ids), len(ids)
+        low, width = 0, 2
+        while low < SHORT:
+            members = np.flatnonzero((sizes > low) & (sizes <= width))
+            places = np.arange(width)
+            for part in (members[i : i + AT_ONCE] for i in range(0, len(members), AT_ONCE)):
+                held = places < sizes[part][:, None]
+                table = np.full(held.shape, -1, np.int32)
+                table[held] = symbols[(begins[part][:, None] + places)[held]]
+                done = merge_side_by_side(table, self.ranks, self.merged)
                 left = (done >= 0) & held
-                data, ends = done[left].astype("<u4").tobytes(), (4 * np.cumsum(left.sum(axis=1))).tolist()
-                for i, a, b in zip(part, [0, *ends[:-1]], ends, strict=True):
-                    out[i] = data[a:b]
-        return out
-
-    def _learn_pieces(self, pieces: set[str]) -> None:
-        if len(self.pieces) > WORDS_KEPT:
-            self.pieces = {}
-        new = list(filterfalse(self.pieces.__contains__, pieces))
-        self.pieces.update(zip(new, self.merge(new), strict=True))
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        """Ids of texts without special tokens, pre-token by pre-token."""
-        cut = [self.pattern.findall(t) for t in texts]
-        wanted = {p for pieces in cut for p in pieces}
-        if len(self.pieces) > WORDS_KEPT:
-            self.pieces = {}
-        new = list(wanted.difference(self.pieces))
-        self.pieces.update(zip(new, self.merge(new), strict=True))
-        out = [b"".join(map(self.pieces.__getitem__, pieces)) for pieces in cut]
-        for piece in new:
-            if len(piece) > SHORT:  # memory is bounded in bytes, too
-                del self.pieces[piece]
-        return out
+                lengths[part] = left.sum(axis=1)
+                starts[part] = pool.add(done[left].astype(np.uint32)) + np.cumsum(lengths[part]) - lengths[part]
+            low, width = width, 2 * width
+        return starts, lengths
+
+    def _learn(self) -> None:
+        """Ids of the words noted since the last time."""
+        words, pool, noted = self.words, self.pool, self.words.noted
+        words.noted = []
+        first = words.count - len(noted)
+        numbers = np.arange(first, words.count)
+        known = np.fromiter((self.older.get(w, -1) for w in noted), np.int64, len(noted))
+        again = np.flatnonzero(known >= 0)
+        lengths = self.older_pool.lengths[known[again]]
+        start = pool.add(self.older_pool.runs(self.older_pool.starts[known[again]], lengths))
+        pool.set(numbers[again], start + np.cumsum(lengths) - lengths, lengths)
+
+        new = np.flatnonzero(known < 0)
+        pieces: dict[str, int] = {}
+        number = pieces.setdefault
+        flat: list[int] = []
+        counts: list[int] = []
+        for i in new.tolist():
+            word = noted[i]
+            kind = word[0]
+            if kind == _EXACT:
+                parts = (word[1:],)
+            else:
+                bare = word[1:] if kind == _HEAD or kind == _LINE else word
+                lead = "" if bare is not word else " "
+                if bare.isalpha():
+                    parts = (lead + bare,)
+                elif bare[:-1].isalpha() and bare[-1] in _STOPS:
+                    parts = (lead + bare[:-1], bare[-1])
+                else:
+                    parts = self.pattern.findall(lead + bare)
+                if kind == _LINE:
+                    parts = ("\n", *parts)
+            flat += [number(p, len(pieces)) for p in parts]
+            counts.append(len(parts))
+        piece_starts, piece_lengths = self.merge(list(pieces), pool)
+        parts, n_parts = np.array(flat, np.int64), np.array(counts, np.int64)
+        firsts = np.cumsum(n_parts) - n_parts
+        single = np.flatnonzero(n_parts == 1)
+        pool.set(numbers[new[single]], piece_starts[parts[firsts[single]]], piece_lengths[parts[firsts[single]]])
+        joint = np.flatnonzero(n_parts != 1)
+        wanted = parts[np.repeat(n_parts != 1, n_parts)]
+        lengths = np.add.reduceat(piece_lengths[wanted], np.cumsum(n_parts[joint]) - n_parts[joint]) if len(wanted) else np.zeros(0, np.int64)
+        start = pool.add(pool.runs(piece_starts[wanted], piece_lengths[wanted]))
+        pool.set(numbers[new[joint]], start + np.cumsum(lengths) - lengths, lengths)
 
     @staticmethod
     def regular(text: str) -> bool:
@@ -268,24 +344,28 @@ class BytePairs:
         return [done[steps[0]] if len(steps) == 1 else b"".join(done[s] if s >= 0 else (-1 - s).to_bytes(4, "little") for s in steps) for steps in plan]
 
     def _parts(self, parts: list[str]) -> list[bytes]:
-        """Pre-tokens never reach across a single space between other characters, so the words of regular texts stand alone."""
-        if len(self.words) > WORDS_KEPT:  # words not met again since the last time go
-            self.older, self.words = self.words, {}
-        words, older = self.words, self.older
-        split = [t.split(" ") if self.regular(t) else None for t in parts]
-        new: set[str] = set()
-        for s in split:
-            new.update(filterfalse(words.__contains__, s[1:] if s else ()))
-        again = [w for w in new if w in older]
-        words.update(zip(again, map(older.__getitem__, again), strict=True))
-        unknown = [w for w in new if w not in older]
-        words.update(zip(unknown, self._whole([" " + w for w in unknown]), strict=True))
-        heads = self._whole([s[0] if s else t for s, t in zip(split, parts, strict=True)])
-        out = [h + b"".join(map(words.__getitem__, s[1:])) if s else h for h, s in zip(heads, split, strict=True)]
-        for w in unknown:
-            if len(w) > SHORT:
-                del words[w]
-        return out
+        """Pre-tokens never reach across a single space or line feed between other characters, so the words of regular texts stand alone."""
+        if self.words.count > WORDS_KEPT:  # words not met again since the last time go
+            self.older, self.older_pool = self.words, self.pool
+            self.words, self.pool = _Slots(), _Pool()
+        slots: list[np.ndarray] = []
+        for text in parts:
+            if self.regular(text):
+                words = text.replace("\n", " \n").split(" ")
+                words[0] = _HEAD + words[0]
+            else:
+                words = [_EXACT + p for p in self.pattern.findall(text)]
+            slots.append(np.fromiter(map(self.words.__getitem__, words), np.int64, len(words)))
+        noted = self.words.noted
+        self._learn()
+        numbers = np.concatenate([np.zeros(0, np.int64), *slots])
+        lengths = self.pool.lengths[numbers]
+        data = self.pool.runs(self.pool.starts[numbers], lengths).astype("<u4").tobytes()
+        ends = np.r_[0, np.cumsum(lengths)][np.cumsum([0, *map(len, slots)])] * 4
+        for word in noted:
+            if len(word) > SHORT:  # memory is bounded in bytes, too
+                del self.words[word]
+        return [data[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
     def decode(self, ids: bytes) -> bytes:
         """UTF-8 text of ids; bytes that are no UTF-8 become replacement characters. Unknown ids give nothing."""
