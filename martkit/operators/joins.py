@@ -4,7 +4,9 @@ No operator here forces a broadcast: Spark compares the size estimate with
 ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-plans with the real size.
 AQE splits a skewed partition of a single sort-merge join only, not of chains on one key or of joins
 below an aggregation on it. So rows that cannot match, with a null key or a listed filler, are
-dealt out by a hash of the whole row, and hot keys that do match can be salted (``salt``).
+dealt out by a hash of the few columns named in ``spread_by`` (by default the first column, which is
+the row's own id in facts, and the key columns, which the join reads anyway). Hot keys that do match are
+salted: with a number of copies the caller names (``salt``), or found by a sketch of the key (``hot_keys``).
 """
 
 from __future__ import annotations
@@ -27,31 +29,38 @@ def code_table(df: DataFrame, mapping: Mapping, key: str, value: str) -> DataFra
     return df.sparkSession.range(1).select(F.inline(F.array(*rows)))
 
 
-SPREAD = 256  # places for the rows of a key that cannot match
+def _spread(df: DataFrame, keys: Sequence[str | Column], spread_by: Sequence[str] | None) -> Column:
+    """A 64-bit hash, never 0, that deals rows out. It reads ``spread_by``, or the first column and the plain key columns."""
+    if spread_by is None:
+        plain = [f.name for f in df.schema if f.dataType.typeName() not in ("map", "variant")]
+        spread_by = list(dict.fromkeys(plain[:1] + [k for k in keys if isinstance(k, str)]))
+    return F.xxhash64(*[F.col(f"`{c}`") for c in spread_by]).bitwiseOR(F.lit(1))
 
 
-def _place(df: DataFrame, keys: Sequence[Column], fillers: Sequence) -> Column:
-    """0 for rows whose keys may match, else a place from 1 on by a hash of the row."""
+def _place(keys: Sequence[Column], fillers: Sequence, spread: Column) -> Column:
+    """0 for rows whose keys may match, else the hash."""
     hopeless = reduce(lambda a, b: a | b, [k.isNull() for k in keys])
     for k in keys if fillers else []:
         hopeless = hopeless | F.coalesce(k.isin(list(fillers)), F.lit(False))
-    row = [f.name for f in df.schema if f.dataType.typeName() not in ("map", "variant")]
-    return F.when(hopeless, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in row]), F.lit(SPREAD)) + 1).otherwise(F.lit(0)).cast("int")
+    return F.when(hopeless, spread).otherwise(F.lit(0).cast("long"))
 
 
 def _at_zero(*keys: str) -> Column:
     """Always 0, but a column of the row: a constant would be taken out of the join's key."""
-    return F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int")
+    return F.pmod(F.xxhash64(*keys), F.lit(1).cast("long"))
 
 
 def enrich(df: DataFrame, dims: Sequence[tuple[DataFrame, Mapping[str, str | Column], Mapping[str, str]]],
-           fillers: Mapping[str, Sequence] | None = None) -> DataFrame:
+           fillers: Mapping[str, Sequence] | None = None, spread_by: Sequence[str] | None = None) -> DataFrame:
     """Left-join a chain of dimensions.
 
     Each entry is ``(dim, {dim key: fact column or expression}, {dim column: output name})``.
     A dimension must be unique on its key, otherwise facts fan out as in SQL. ``fillers`` names values of fact
     columns that stand for "none" and are in no dimension; like null keys they don't meet in one task.
     """
+    given = [v for _, keys, _ in dims for v in keys.values() if isinstance(v, str) and v in df.columns]
+    spread, hashed = F.col("_spread"), _spread(df, given, spread_by)  # once for the whole chain
+    df = df.withColumn("_spread", hashed)
     places: dict[tuple, str] = {}
     for i, (dim, keys, columns) in enumerate(dims):
         facts = [F.col(v) if isinstance(v, str) else v for v in keys.values()]
@@ -61,18 +70,72 @@ def enrich(df: DataFrame, dims: Sequence[tuple[DataFrame, Mapping[str, str | Col
         if named not in places:  # joins on one key share the column and so the shuffle
             places[named] = f"_at{i}"
             listed = [x for v in keys.values() if isinstance(v, str) for x in (fillers or {}).get(v, ())]
-            df = df.withColumn(f"_at{i}", _place(df, facts, listed))
+            df = df.withColumn(f"_at{i}", _place(facts, listed, spread))
         conds = [fact == F.col(f"_k{i}_{k}") for k, fact in zip(keys, facts, strict=True)] + [F.col(places[named]) == F.col(f"_k{i}_at")]
         df = df.join(side, all_of(conds), "left").drop(*[f"_k{i}_{k}" for k in keys], f"_k{i}_at")
-    return df.drop(*places.values())
+    return df.drop(*places.values(), "_spread")
 
 
-def enrich_salted(df: DataFrame, dim: DataFrame, keys: Mapping[str, str], columns: Mapping[str, str], salt: int) -> DataFrame:
+def hot_keys(df: DataFrame, keys: Sequence[str], tasks: int | None = None) -> DataFrame:
+    """Hashes of the keys that hold more rows than a fair task: ``_hot`` and the number of salts each needs.
+
+    One pass with a frequent-items sketch of the key's hash, merged from all map tasks; no row is shuffled. It
+    tracks enough items that none above half a task's share is missed. At most ``2 * tasks`` rows, so the
+    result may be broadcast. ``tasks`` is the session's number of shuffle partitions unless named.
+    """
+    tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    tracked = max(64, 16 * tasks)
+    sketch = df.filter(known).select(F.xxhash64(*keys).alias("_h")).agg(
+        F.count("*").alias("_n"), F.expr(f"approx_top_k(_h, {2 * tasks}, {tracked})").alias("_top"))
+    share = F.col("_n") / F.lit(2 * tasks)  # half of what a task holds if rows are dealt evenly
+    found = sketch.select("_n", F.explode("_top").alias("_item")).filter(F.col("_item.count") > share)
+    rows = found.select(F.col("_item.item").alias("_hot"), F.ceil(F.col("_item.count") / share).cast("long").alias("_salts")).collect()
+    return df.sparkSession.createDataFrame([tuple(r) for r in rows], "_hot long, _salts long")
+
+
+def _salted(df: DataFrame, side: DataFrame, keys: Mapping[str, str], spread_by: Sequence[str] | None, prefix: str,
+            hot: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """Facts with their place in ``_at``, and the keyed side with as many copies of a hot key as it has salts."""
+    hot = F.broadcast(hot_keys(df, list(keys.values())) if hot is None else hot)  # bounded by the number of tasks
+    df = df.withColumn("_at", _spread(df, list(keys.values()), spread_by)).withColumn("_h", F.xxhash64(*keys.values()))
+    hopeless = reduce(lambda a, b: a | b, [F.col(v).isNull() for v in keys.values()])
+    place = F.when(hopeless, F.col("_at")).when(F.col("_salts").isNotNull(), -F.pmod(F.col("_at"), F.col("_salts"))).otherwise(F.lit(0).cast("long"))
+    df = df.join(hot, F.col("_h") == F.col("_hot"), "left").withColumn("_at", place).drop("_h", "_hot", "_salts")
+    side = side.withColumn("_h", F.xxhash64(*[f"{prefix}{k}" for k in keys])).join(hot, F.col("_h") == F.col("_hot"), "left")
+    copies = F.transform(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("_salts"), F.lit(1)) - 1), lambda i: -i)
+    return df, side.withColumn(f"{prefix}at", F.explode(copies)).drop("_h", "_hot", "_salts")
+
+
+def enrich_hot(df: DataFrame, dim: DataFrame, keys: Mapping[str, str], columns: Mapping[str, str],
+               spread_by: Sequence[str] | None = None, hot: DataFrame | None = None) -> DataFrame:
+    """``enrich`` with one dimension for facts whose keys may be hot: no value and no number of salts is named.
+
+    Keys that ``hot_keys`` finds are salted by their size and only their dimension rows are copied; all
+    others join as they are, and rows with a null key are dealt out. The sketch is a pass of its
+    own over the key columns; a caller that has one hands it over in ``hot``.
+    """
+    side = dim.select([F.col(k).alias(f"_k_{k}") for k in keys] + [F.col(c).alias(n) for c, n in columns.items()])
+    df, side = _salted(df, side, keys, spread_by, "_k_", hot)
+    conds = [F.col(v) == F.col(f"_k_{k}") for k, v in keys.items()] + [F.col("_at") == F.col("_k_at")]
+    return df.join(side, all_of(conds), "left").drop(*[f"_k_{k}" for k in keys], "_k_at", "_at")
+
+
+def flag_exists_hot(df: DataFrame, keys_df: DataFrame, on: Mapping[str, str], name: str,
+                    spread_by: Sequence[str] | None = None, hot: DataFrame | None = None) -> DataFrame:
+    """``flag_exists`` for facts whose keys may be hot, found as in ``enrich_hot``."""
+    side = keys_df.select([F.col(k).alias(f"_e_{k}") for k in on]).distinct().withColumn("_hit", F.lit(1))
+    df, side = _salted(df, side, on, spread_by, "_e_", hot)
+    out = df.join(side, all_of([F.col(v) == F.col(f"_e_{k}") for k, v in on.items()] + [F.col("_at") == F.col("_e_at")]), "left")
+    return out.withColumn(name, F.coalesce(F.col("_hit"), F.lit(0))).drop("_hit", "_at", "_e_at", *[f"_e_{k}" for k in on])
+
+
+def enrich_salted(df: DataFrame, dim: DataFrame, keys: Mapping[str, str], columns: Mapping[str, str], salt: int,
+                  spread_by: Sequence[str] | None = None) -> DataFrame:
     """``enrich`` with one dimension for facts with hot keys that match: the dimension is copied ``salt`` times."""
     side = dim.select([F.col(k).alias(f"_k_{k}") for k in keys] + [F.col(c).alias(n) for c, n in columns.items()])
     side = side.withColumn("_k_at", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    row = [f"`{f.name}`" for f in df.schema if f.dataType.typeName() not in ("map", "variant")]
-    df = df.withColumn("_at", F.pmod(F.xxhash64(*row), F.lit(salt)).cast("int"))
+    df = df.withColumn("_at", F.pmod(_spread(df, list(keys.values()), spread_by), F.lit(salt)).cast("int"))
     conds = [F.col(v) == F.col(f"_k_{k}") for k, v in keys.items()] + [F.col("_at") == F.col("_k_at")]
     return df.join(side, all_of(conds), "left").drop(*[f"_k_{k}" for k in keys], "_k_at", "_at")
 
@@ -82,11 +145,12 @@ def enrich_roles(df: DataFrame, dim: DataFrame, key: str, roles: Mapping[str, st
     return enrich(df, [(dim, {key: fact}, {c: f"{role}_{c}" for c in columns}) for role, fact in roles.items()])
 
 
-def enrich_gated(df: DataFrame, dim: DataFrame, keys: Mapping[str, str], when: Column, columns: Mapping[str, str]) -> DataFrame:
+def enrich_gated(df: DataFrame, dim: DataFrame, keys: Mapping[str, str], when: Column, columns: Mapping[str, str],
+                 spread_by: Sequence[str] | None = None) -> DataFrame:
     """Left join whose extra one-sided condition belongs to the match, not to a filter."""
     side = dim.select([F.col(k).alias(f"_g_{k}") for k in keys] + [F.col(c).alias(n) for c, n in columns.items()])
     side = side.withColumn("_g_at", _at_zero(*[f"_g_{k}" for k in keys]))
-    df = df.withColumn("_at", _place(df, [F.col(v) for v in keys.values()], ()))
+    df = df.withColumn("_at", _place([F.col(v) for v in keys.values()], (), _spread(df, list(keys.values()), spread_by)))
     conds = [F.col(v) == F.col(f"_g_{k}") for k, v in keys.items()] + [F.col("_at") == F.col("_g_at"), when]
     return df.join(side, all_of(conds), "left").drop(*[f"_g_{k}" for k in keys], "_g_at", "_at")
 
@@ -96,7 +160,8 @@ def decode_join(df: DataFrame, codes: DataFrame, col: str, key: str, value: str,
     return enrich(df, [(codes, {key: col}, {value: name})])
 
 
-def flag_exists(df: DataFrame, keys_df: DataFrame, on: Mapping[str, str], name: str, fillers: Sequence = (), salt: int = 1) -> DataFrame:
+def flag_exists(df: DataFrame, keys_df: DataFrame, on: Mapping[str, str], name: str, fillers: Sequence = (), salt: int = 1,
+                spread_by: Sequence[str] | None = None) -> DataFrame:
     """0/1 flag for a match. The keys are made distinct first, so nothing fans out.
 
     Rows with a null key or a value in ``fillers`` match nothing and are dealt over all tasks. With ``salt`` the
@@ -105,14 +170,15 @@ def flag_exists(df: DataFrame, keys_df: DataFrame, on: Mapping[str, str], name:
     side = keys_df.select([F.col(k).alias(f"_e_{k}") for k in on]).distinct().withColumn("_hit", F.lit(1))
     if fillers:
         side = side.filter(~reduce(lambda a, b: a | b, [F.col(f"_e_{k}").isin(list(fillers)) for k in on]))
-    place = _place(df, [F.col(v) for v in on.values()], fillers)
-    if salt > 1:
-        row = [f"`{f.name}`" for f in df.schema if f.dataType.typeName() not in ("map", "variant")]
-        place = F.when(place == 0, -F.pmod(F.xxhash64(*row), F.lit(salt)).cast("int")).otherwise(place)
-        side = side.withColumn("_e_at", F.explode(F.sequence(F.lit(1 - salt), F.lit(0))))
+    out = df.withColumn("_spread", _spread(df, list(on.values()), spread_by))
+    place = _place([F.col(v) for v in on.values()], fillers, F.col("_spread"))
+    if salt > 1:  # salts are 0 and below, places of rows that cannot match are hashes
+        out = out.withColumn("_at", F.when(place == 0, -F.pmod(F.col("_spread"), F.lit(salt))).otherwise(place))
+        side = side.withColumn("_e_at", F.explode(F.sequence(F.lit(1 - salt).cast("long"), F.lit(0).cast("long"))))
     else:
+        out = out.withColumn("_at", place)
         side = side.withColumn("_e_at", _at_zero(*[f"_e_{k}" for k in on]))
-    out = df.withColumn("_at", place)
+    out = out.drop("_spread")
     out = out.join(side, all_of([F.col(v) == F.col(f"_e_{k}") for k, v in on.items()] + [F.col("_at") == F.col("_e_at")]), "left")
     return out.withColumn(name, F.coalesce(F.col("_hit"), F.lit(0))).drop("_hit", "_at", "_e_at", *[f"_e_{k}" for k in on])
 

@@ -1,6 +1,7 @@
 """What must hold at any size: results do not depend on segments, plans stay parallel, hot keys are split."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -90,6 +91,49 @@ def test_a_hot_key_that_matches_is_salted(spark, plain_joins):
     assert flagged.filter("hit = 1").count() == joined.filter("v is not null").count() == 30_000
 
 
+def test_hot_keys_are_found_and_salted(spark, plain_joins):
+    """Two keys hold most facts; neither they nor a number of salts is named. Other keys are not copied."""
+    facts = spark.range(60_000).select("id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 4 == 0, "warm").when(F.col("id") % 7 > 0, F.concat(F.lit("k"), F.col("id") % 5000)).alias("k"))
+    dim = spark.range(5000).select(F.concat(F.lit("k"), F.col("id")).alias("key"), F.col("id").alias("v")).unionByName(spark.createDataFrame([("hot", -1), ("warm", -2)], "key string, v long"))
+    hot = joins.hot_keys(facts, ["k"])
+    named = hot.join(facts.select("k", F.xxhash64("k").alias("_hot")).distinct(), "_hot")
+    assert {r["k"] for r in named.collect()} == {"hot", "warm"}
+    joined, flagged = joins.enrich_hot(facts, dim, {"key": "k"}, {"v": "v"}, hot=hot), joins.flag_exists_hot(facts, dim, {"key": "k"}, "hit", hot=hot)
+    want = joins.enrich(facts, [(dim, {"key": "k"}, {"v": "v"})])
+    assert joined.exceptAll(want).isEmpty() and want.exceptAll(joined).isEmpty()
+    assert flagged.filter("hit = 1").count() == want.filter("v is not null").count() and flagged.count() == 60_000
+    assert largest_share(joined) < 0.2 < largest_share(facts.join(dim, facts.k == dim.key, "left"))
+    side = joins._salted(facts, dim.withColumnRenamed("key", "_k_key"), {"key": "k"}, None, "_k_", hot)[1]
+    copies = {r["_k_key"]: r["count"] for r in side.groupBy("_k_key").count().collect()}
+    assert copies["hot"] > copies["warm"] > 1 and max(n for k, n in copies.items() if k.startswith("k")) == 1
+
+
+def test_no_hot_key_no_salt(spark, plain_joins):
+    facts = spark.range(1000).select("id", (F.col("id") % 500).alias("k"))
+    assert joins.hot_keys(facts, ["k"]).count() == 0 and joins.hot_keys(facts.limit(0), ["k"]).count() == 0
+    dim = spark.range(400).select(F.col("id").alias("key"), (F.col("id") * 2).alias("v"))
+    assert joins.enrich_hot(facts, dim, {"key": "k"}, {"v": "v"}).filter("v is not null").count() == 800
+    assert joins.enrich_hot(facts.limit(0), dim, {"key": "k"}, {"v": "v"}).count() == 0
+
+
+def test_enrichment_reads_only_what_is_asked_for(spark):
+    t = Tables(spark, SF)
+    for df in (joins.enrich(t.lineitem, [(t.part, {"p_partkey": "l_partkey"}, {"p_name": "p_name"})]).select("l_orderkey", "p_name"),
+               joins.flag_exists(t.lineitem, t.part, {"p_partkey": "l_partkey"}, "hit").select("l_orderkey", "hit")):
+        assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint>" in plan_of(df)
+    spread = joins.enrich(t.lineitem, [(t.part, {"p_partkey": "l_partkey"}, {"p_name": "p_name"})], spread_by=["l_shipdate"]).select("l_suppkey", "p_name")
+    read = plan_of(spread).split("ReadSchema: struct<", 1)[1].split(">")[0]
+    assert {c.split(":")[0] for c in read.split(",")} == {"l_suppkey", "l_partkey", "l_shipdate"}
+
+
+def test_long_chains_are_planned_quickly(spark):
+    wide = Tables(spark, SF).lineitem.select("*", *[(F.col("l_partkey") % n).alias(f"k{n}") for n in range(2, 22)])
+    dims = [(spark.range(50).select(F.col("id").alias("id"), F.concat(F.lit(f"{n}-"), "id").alias("name")), {"id": f"k{n}"}, {"name": f"name{n}"}) for n in range(2, 12)]
+    start = time.time()
+    plan = plan_of(joins.enrich(wide, dims).withColumn("n", F.concat_ws(",", *[f"name{n}" for n in range(2, 12)])).filter("n <> ''"))
+    assert time.time() - start < 20 and plan.count("Join") >= 10
+
+
 def test_no_task_holds_a_hot_key(hot):
     """The rows of the hot key end up in many window groups."""
     groups = hot.withColumn("seg", ordered.id_blocks("t", 50)).groupBy("k", "seg").count()
