@@ -5,98 +5,29 @@ pieces are dealt over tasks and packed there by bounded-space best fit. A
 task holds a fixed number of open sequences, found through a bitset keyed by
 free space: the piece goes to the open sequence with the least space that
 still holds it. When a new sequence must be opened and none is left, the
-fullest one closes first; there are so many tasks that this is not needed.
+fullest one closes first. Pieces come longest first and over so many tasks that this is not
+needed: what runs is best fit over a sorted stream.
+
+Ids come from the library's byte pairs (``bpe``), which gives what the tokenizers library gives.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import filterfalse
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martkit.llm.bpe import byte_pairs, in_portions
 from martkit.llm.frames import Workspace, map_batches
 
 CAPACITY = 2048
 OPEN_SEQUENCES = 16_384
 LOAD = 0.4  # share of a task's open sequences that its tokens fill at most on average
-SPECIAL = "<|endoftext|>"
 END = bytes(4)  # id 0 after each document
-WORDS_KEPT = 400_000
-
-
-class Encoder:
-    """Token ids as little-endian 32-bit bytes, the same as the library gives for the whole text.
-
-    The vocabulary's pre-tokens never reach across a single space between two characters
-    that are no white space, so the words between are encoded once and remembered; a text
-    with any other white space than single spaces and line feeds goes to the library whole.
-    """
-
-    def __init__(self, tokenizer_file: str):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.model = Tokenizer.from_file(tokenizer_file)
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-        vocabulary = self.model.get_vocab()
-        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.spaced[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
-
-    def ids(self, text: str) -> np.ndarray:
-        return np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-
-    @staticmethod
-    def regular(text: str) -> bool:
-        """Whether all white space is single spaces and line feeds between words."""
-        words, gaps = text.split(), text.count(" ") + text.count("\n")
-        return len(words) == gaps + 1 and len("".join(words)) + gaps == len(text) and "᠎" not in text
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) >= WORDS_KEPT:  # words not met again since the last time go
-            self.older, self.known = self.known, {}
-        known, older = self.known, self.older
-        split = [t.split(" ") if t and self.regular(t) else None for t in texts]
-        new: set[str] = set()
-        for words in split:
-            new.update(filterfalse(known.__contains__, words[1:] if words else ()))
-        again = [w for w in new if w in older]
-        known.update(zip(again, map(older.__getitem__, again), strict=True))
-        self.learn([w for w in new if w not in older])
-        out = []
-        for text, words in zip(texts, split, strict=True):
-            first = self.ids(words[0] if words else text).tobytes()
-            out.append(first + b"".join(map(known.__getitem__, words[1:])) if words else first)
-        return out
-
-    def learn(self, new: list[str]) -> None:
-        """Encode words after a space, many at once: each starts at the only token with a leading space."""
-        special = [w for w in new if SPECIAL in w]
-        self.known.update((w, self.ids(" " + w).tobytes()) for w in special)
-        plain = [w for w in new if SPECIAL not in w]
-        for i in range(0, len(plain), 20_000):
-            part = plain[i : i + 20_000]
-            ids = self.ids(" " + " ".join(part))
-            data, edges = ids.tobytes(), [*(np.flatnonzero(self.spaced[ids]) * 4).tolist(), len(ids) * 4]
-            self.known.update((w, data[a:b]) for w, a, b in zip(part, edges[:-1], edges[1:], strict=True))
-
-
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def encoder(tokenizer_file: str) -> Encoder:
-    if tokenizer_file not in _ENCODERS:
-        _ENCODERS[tokenizer_file] = Encoder(tokenizer_file)
-    return _ENCODERS[tokenizer_file]
 
 
 def cut_points(n: int, capacity: int) -> list[int]:
@@ -108,22 +39,27 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY,
     """Pieces of every document: doc_id, piece, start, length, ids_crc32 (and the ids themselves)."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows: list[list] = [[], [], [], [], [], []]
-        machine = encoder(tokenizer_file)
-        ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-        for begin in range(0, len(texts), 64):
-            for doc, data in zip(ids[begin : begin + 64], machine.encode(texts[begin : begin + 64]), strict=True):
+        pairs = byte_pairs(tokenizer_file)
+        numbers, pieces, begins, lengths, sums, chunks = [], [], [], [], [], []
+        at = 0
+        for some in in_portions([t or "" for t in batch.column(1).to_pylist()]):
+            for data in pairs.encode(some):
                 data += END
                 starts = cut_points(len(data) // 4, capacity)
-                for piece, (a, b) in enumerate(zip(starts, [*starts[1:], len(data) // 4], strict=True)):
-                    chunk = data[4 * a : 4 * b]
-                    for column, value in zip(rows, (doc, piece, a, b - a, zlib.crc32(chunk), chunk if keep_ids else None), strict=True):
-                        column.append(value)
-        kinds = [batch.column(0).type, pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-        arrays = [pa.array(c, k) for c, k in zip(rows, kinds, strict=True)]
-        names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
-        n = 6 if keep_ids else 5
-        return pa.RecordBatch.from_arrays(arrays[:n], names[:n])
+                ends = [*starts[1:], len(data) // 4]
+                numbers += [at] * len(starts)
+                pieces += range(len(starts))
+                begins += starts
+                lengths += map(int.__sub__, ends, starts)
+                cut = [data] if len(starts) == 1 else [data[4 * a : 4 * b] for a, b in zip(starts, ends, strict=True)]
+                sums += map(zlib.crc32, cut)
+                if keep_ids:
+                    chunks += cut
+                at += 1
+        columns = [batch.column(0).take(pa.array(numbers, pa.int64())), pa.array(pieces, pa.int32()), *(pa.array(c, pa.int64()) for c in (begins, lengths, sums))]
+        if keep_ids:
+            columns.append(pa.array(chunks, pa.binary()))
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: len(columns)])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + (", ids binary" if keep_ids else "")
