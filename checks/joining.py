@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import check
 from martkit.functions import text
-from martkit.operators import joins, latest, matching, ordered, sets
+from martkit.operators import joins, latest, matching, ordered, rules, sets
 
 
 @check("join01_enrichment_chain", """
@@ -208,6 +208,23 @@ def _(t):
                                 {"o_totalprice": "min_amount"}, ["rule_id"]).select("o_orderkey", "rule_id")
 
 
+@check("join20_rule_bitmaps", """
+    with f as (select o_orderkey, o_orderstatus, o_orderpriority, cast(month(o_orderdate) as int) as mo, c_mktsegment, c_nationkey from orders left join customer on o_custkey = c_custkey)
+    select o_orderkey, s_suppkey as offer from f cross join supplier r
+    where (not exists (select 1 from src_offer_status x where x.offer = s_suppkey) or exists (select 1 from src_offer_status x where x.offer = s_suppkey and st = o_orderstatus))
+      and (not exists (select 1 from src_offer_priority x where x.offer = s_suppkey) or exists (select 1 from src_offer_priority x where x.offer = s_suppkey and pr = o_orderpriority))
+      and (not exists (select 1 from src_offer_month x where x.offer = s_suppkey) or exists (select 1 from src_offer_month x where x.offer = s_suppkey and x.mo = f.mo))
+      and (not exists (select 1 from src_offer_segment x where x.offer = s_suppkey) or exists (select 1 from src_offer_segment x where x.offer = s_suppkey and seg = c_mktsegment))
+      and (not exists (select 1 from src_offer_nation x where x.offer = s_suppkey) or exists (select 1 from src_offer_nation x where x.offer = s_suppkey and na = c_nationkey))""")
+def _(t):
+    facts = joins.enrich(t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", F.month("o_orderdate").alias("mo")),
+                         [(t.customer, {"c_custkey": "o_custkey"}, {"c_mktsegment": "segment", "c_nationkey": "nation"})])
+    columns = {"status": "st", "priority": "pr", "month": "mo", "segment": "seg", "nation": "na"}
+    index = rules.rule_index(t.supplier.select(F.col("s_suppkey").alias("offer")), "offer", {n: (t.derived(f"src_offer_{n}"), c) for n, c in columns.items()}, t.stage)
+    tests = {"o_orderstatus": "status", "o_orderpriority": "priority", "mo": "month", "segment": "segment", "nation": "nation"}
+    return rules.match_rule_index(facts, index, tests).select("o_orderkey", "offer")
+
+
 @check("join21_latest_by_max", """
     select o_custkey, o_orderkey from orders join (select o_custkey as k, max(date_trunc('month', o_orderdate)) as m from orders group by 1) x
     on o_custkey = k and date_trunc('month', o_orderdate) = m""")

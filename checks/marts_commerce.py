@@ -137,6 +137,14 @@ def _(t):
     return campaign_parts(t)[2].withColumns(doubles("receipt_amount"))
 
 
+@check("mart_campaign_first_direct_by_index", f"with {LINKED} select * replace (cast(receipt_amount as double) as receipt_amount) from direct")
+def _(t):
+    lists = [t.derived(f"src_{n}") for n in ("spend_condition", "condition_mall", "condition_payment", "condition_shop")]
+    conv = campaign.conversions(t.derived("src_conversion"), campaign.selected(mechanism(t)))
+    direct = campaign.first_direct(campaign.campaign_spending(t.derived("src_cspend")), conv, campaign.condition_index(*lists, t.stage), amounts=lists[0])
+    return direct.withColumns(doubles("receipt_amount"))
+
+
 @check("mart_campaign_coupons", f"with {LINKED} select coupon_redemption_transaction_id, spending_campaign_id, tier_id, campaign_tier, coupon_redeem_date, coupon_used_date, cast(min_top_up_amount as double) as min_top_up_amount from given")
 def _(t):
     return campaign_parts(t)[3].select("coupon_redemption_transaction_id", "spending_campaign_id", "tier_id", "campaign_tier", "coupon_redeem_date", "coupon_used_date",

@@ -392,10 +392,13 @@ BAD = "('Suspended', 'Invalid', 'Waiting for verification', 'Marked For Deletion
 
 @check("mart_export_redemption", f"""
     with {DIM}, {CATEGORIES}, {REDEMPTION}
-    select distinct transaction_id, redemption_status_detail, redeem_type, redeem_datetime, provider_mall_id as mall_id, m.property_id, a.member_id, item_type, a.gift_id,
+    select distinct transaction_id, redemption_status_detail, redeem_type, redeem_datetime, redeem_forfeit_datetime, collected_or_used_datetime, cancel_datetime, provider_mall_id as mall_id, m.property_id, a.member_id, item_type, a.gift_id,
            trim(case when n.new_gift_type is not null then nullif(n.new_gift_type, 'NULL') else nullif(a.gift_type, 'NULL') end) as gift_type, trim(case when n.new_sub_gift_type is not null then nullif(n.new_sub_gift_type, 'NULL') else nullif(a.sub_gift_type, 'NULL') end) as sub_gift_type,
-           case when a.sub_gift_type = 'Point Dollar' then 'Point Dollar' else gift_name end as gift_name, gift_unit_cost, 1 as redeemed_qty, redeemed_bonus_points, s.shop_name as gift_used_in_shop_name
+           case when a.sub_gift_type = 'Point Dollar' then 'Point Dollar' else gift_name end as gift_name, gift_unit_cost,
+           cast(replace(replace(v.face_value, 'HK$', ''), ',', '') as double) as gift_face_unit_value, gift_redeemed_in_mall_id, m2.property_id as gift_redeemed_in_property_id, 1 as redeemed_qty, redeemed_bonus_points, parking_redeem_hour,
+           gift_used_in_mall_id, m3.property_id as gift_used_in_property_id, gift_used_in_shop_id, s.shop_name as gift_used_in_shop_name, s.lms_standard_brand_name as gift_used_in_lms_standard_brand_name
     from all_rows a left join dim d on a.member_id = d.member_id left join src_mall m on provider_mall_id = m.mall_id left join src_gift_new_category n on a.gift_id = n.gift_id left join src_shop s on a.gift_used_in_shop_id = s.mapping_shop_id
+    left join src_gift_detail v on a.gift_id = v.gift_id left join src_mall m2 on gift_redeemed_in_mall_id = m2.mall_id left join src_mall m3 on gift_used_in_mall_id = m3.mall_id
     where a.member_id <> 'M21' and redeem_datetime >= timestamp '2000-08-01' and redemption_status_detail not in ('Cancelled Redemption', 'Point + Cash Auto Cancellation') and member_status_detail not in {BAD}
       and not (redeemed_tier is not distinct from 7 and item_type in ('Free Parking', 'Mall Gift')) and cast(redeem_datetime - interval '8' hour as date) < date '2001-08-01'
       and not (redeemed_bonus_points is not distinct from 0 and redeem_type is not distinct from 'Redeem by 0 point' and m.property_id is not distinct from 'P3')""")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from martkit.functions import dates, numbers, text
 from martkit.operators import joins, latest, matching, sets
+from martkit.operators.rules import RuleIndex, match_rule_index, rule_index
 from martkit.sources.staging import Stage, recompute
 
 # Kinds of linked spending, strongest first, and the verdicts.
@@ -44,6 +45,13 @@ def conditions(condition: DataFrame, malls: DataFrame, payments: DataFrame, shop
                               [(malls, ["mall_id"]), (payments, ["payment_method"]), (shops, ["shop_id"])])
 
 
+def condition_index(condition: DataFrame, malls: DataFrame, payments: DataFrame, shops: DataFrame, stage: Stage) -> RuleIndex:
+    """The same conditions as bitmaps by value, for lists whose combinations would be too many."""
+    own = condition.select("condition_id", F.col("condition_id").alias("_id"))
+    lists = {"condition": (own, "_id"), "mall": (malls, "mall_id"), "payment": (payments, "payment_method"), "shop": (shops, "shop_id")}
+    return rule_index(condition, "condition_id", lists, stage, strict=["condition"])
+
+
 def conversions(redemption: DataFrame, chosen: DataFrame, *, offset_hours: int = 8) -> DataFrame:
     """Tier redemptions of the selected campaigns."""
     tiers = chosen.select("spending_campaign_id", "tier_id", "campaign_condition_id").distinct()
@@ -58,11 +66,13 @@ def campaign_spending(spending: DataFrame) -> DataFrame:
     return spending.withColumn("invoice_no", text.normalise_ref(F.col("invoice_no")))
 
 
-def first_direct(spending: DataFrame, conversion: DataFrame, rules: DataFrame, *, before_s: int = 19, after_s: int = 10) -> DataFrame:
+def first_direct(spending: DataFrame, conversion: DataFrame, rules: DataFrame | RuleIndex, *, amounts: DataFrame | None = None,
+                 before_s: int = 19, after_s: int = 10) -> DataFrame:
     """Counter receipts uploaded around the conversion that meet one of the campaign's conditions.
 
     The time window is joined in buckets and the conditions by open-test pattern, so neither
-    needs a comparison of all pairs of a member or campaign.
+    needs a comparison of all pairs of a member or campaign. Conditions come expanded (``conditions``), or as an
+    index (``condition_index``) with ``amounts``, the least amount of each condition.
     """
     conv = conversion.select(F.col("member_id").alias("_m"), "created_datetime", F.col("created_date").alias("_cd"), "campaign_condition_id", "spending_campaign_id", "tier_id",
                              "redemption_date", F.col("mall_id").alias("redemption_mall_id"))
@@ -71,6 +81,11 @@ def first_direct(spending: DataFrame, conversion: DataFrame, rules: DataFrame, *
     near = near.filter(F.col("receipt_upload_date") == F.col("_cd")).select(
         "receipt_id", "member_id", F.col("mall_id").alias("spending_mall_id"), F.col("receipt_transaction_date").alias("spending_transaction_date"), F.col("shop_id").alias("spending_shop_id"),
         F.col("payment_type").alias("spending_payment_type"), "receipt_amount", *LINK, "campaign_condition_id").distinct()
+    if isinstance(rules, RuleIndex):
+        tests = {"campaign_condition_id": "condition", "spending_mall_id": "mall", "spending_payment_type": "payment", "spending_shop_id": "shop"}
+        met = match_rule_index(near, rules, tests, amounts.select("condition_id", "min_receipt_amount"))
+        open_end = F.col("min_receipt_amount").isNull() | (F.col("receipt_amount") >= F.col("min_receipt_amount"))
+        return met.filter(open_end).select(*near.columns).distinct()
     met = matching.match_rules(near, rules, {"campaign_condition_id": "condition_id"},
                                {"spending_mall_id": "mall_id", "spending_payment_type": "payment_method", "spending_shop_id": "shop_id"}, {"receipt_amount": "min_receipt_amount"})
     return met.distinct()

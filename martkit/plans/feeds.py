@@ -117,10 +117,12 @@ def redemption_export(fact: DataFrame, *, as_of: date | str, months: int = 12, c
     df = filters.since_month_start(fact, "redeem_datetime", months, as_of)
     df = filters.standard_exclusions(df, drop={"redemption_status_detail": list(cancelled), "member_status_detail": list(BAD_MEMBERS)})
     df = filters.exclude_tuples(df.filter((F.col("abnormal_case") == 0) & (F.col("redeem_date") < F.lit(dates.as_date(as_of)))), ["redeemed_bonus_points", "redeem_type", "provider_property_id"], excluded)
-    out = df.select("transaction_id", "redemption_status_detail", "redeem_type", "redeem_datetime", F.col("provider_mall_id").alias("mall_id"), F.col("provider_property_id").alias("property_id"), "member_id", "item_type",
-                    "gift_id", "gift_type", "sub_gift_type", F.when(F.col("sub_gift_type") == label, label).otherwise(F.col("gift_name")).alias("gift_name"), "gift_unit_cost", F.lit(1).alias("redeemed_qty"),
-                    "redeemed_bonus_points", "gift_used_in_shop_name")
-    return out.withColumns({c: F.translate(c, '|"', "") for c in ("gift_name", "gift_used_in_shop_name")})
+    out = df.select("transaction_id", "redemption_status_detail", "redeem_type", "redeem_datetime", "redeem_forfeit_datetime", "collected_or_used_datetime", "cancel_datetime",
+                    F.col("provider_mall_id").alias("mall_id"), F.col("provider_property_id").alias("property_id"), "member_id", "item_type",
+                    "gift_id", "gift_type", "sub_gift_type", F.when(F.col("sub_gift_type") == label, label).otherwise(F.col("gift_name")).alias("gift_name"), "gift_unit_cost", "gift_face_unit_value",
+                    "gift_redeemed_in_mall_id", "gift_redeemed_in_property_id", F.lit(1).alias("redeemed_qty"), "redeemed_bonus_points", "parking_redeem_hour", "gift_used_in_mall_id",
+                    "gift_used_in_property_id", "gift_used_in_shop_id", "gift_used_in_shop_name", F.col("gift_used_in_brand_name").alias("gift_used_in_lms_standard_brand_name"))
+    return out.withColumns({c: F.translate(c, '|"', "") for c in ("gift_name", "gift_used_in_shop_name", "gift_used_in_lms_standard_brand_name")})
 
 
 def _countable_spending(fact: DataFrame, as_of: date | str, months: int) -> DataFrame:
