@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import check
 from martkit.functions import dates, numbers, text
-from martkit.operators import aggregates, joins, latest, ordered, quality, sets
+from martkit.operators import aggregates, distincts, joins, latest, ordered, quality, sets
 
 
 def money(c):
@@ -27,6 +27,19 @@ def _(t):
     return t.orders.groupBy("o_orderstatus").agg(F.count_distinct("o_custkey").alias("n_customers"), F.count_distinct("o_orderdate").alias("n_days"))
 
 
+@check("agg02_states_of_days", """
+    select event_type, cast(count(distinct user_id) as bigint) as users, cast(count(distinct case when ts >= timestamp '2024-01-10' and ts < timestamp '2024-01-20' then user_id end) as bigint) as users_in_ten_days
+    from events where ts < timestamp '2024-01-21' group by 1""")
+def _(t):
+    events = t.events.select("event_type", "user_id", F.to_date("ts").alias("day")).filter("day < '2024-01-21'")
+    users = distincts.dictionary(events, "user_id", t.stage)
+    days = t.stage(distincts.states(events, ["day", "event_type"], "user_id", users), "days")
+    before = distincts.merge_states(days.filter("day < '2024-01-20'"), ["event_type"])
+    total = distincts.advance(before, days.filter("day = '2024-01-20'"), ["event_type"])
+    ten = distincts.count_states(days.filter("day >= '2024-01-10' and day < '2024-01-20'"), ["event_type"], "users_in_ten_days")
+    return distincts.count_states(total, ["event_type"], "users").join(ten, "event_type", "left").fillna(0, ["users_in_ten_days"])
+
+
 @check("agg03_conditional_aggregates", """
     select user_id, cast(sum(case when event_type = 'purchase' then cast(value as decimal(18, 2)) else 0 end) as double) as spent,
            count(distinct case when event_type = 'click' then cast(ts as date) end) as click_days, max(case when event_type = 'error' then ts end) as last_error

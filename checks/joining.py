@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import check
 from martkit.functions import text
-from martkit.operators import joins, latest, matching, ordered, rules, sets
+from martkit.operators import joins, latest, matching, ordered, reduction, rules, sets
 
 
 @check("join01_enrichment_chain", """
@@ -22,6 +22,11 @@ def _(t):
     return out.drop("ck", "nk", "rk")
 
 
+@check("join01_hot_keys", "select event_id, c_name from events left join customer on user_id = c_custkey")
+def _(t):
+    return joins.enrich_hot(t.events.select("event_id", "user_id"), t.customer, {"c_custkey": "user_id"}, {"c_name": "c_name"}).drop("user_id")
+
+
 @check("join02_inner", "select o_orderkey, c_name from orders join customer on o_custkey = c_custkey where c_acctbal > 5000")
 def _(t):
     return t.orders.join(t.customer.filter("c_acctbal > 5000"), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_name")
@@ -77,6 +82,11 @@ def _(t):
     return joins.anti(t.orders, t.lineitem, {"l_orderkey": "o_orderkey"}).select("o_orderkey")
 
 
+@check("join08_anti_reduced", "select o_orderkey from orders where not exists (select 1 from lineitem where l_orderkey = o_orderkey and l_quantity > 49)")
+def _(t):
+    return reduction.anti_reduced(t.orders.select("o_orderkey"), t.lineitem.filter("l_quantity > 49"), {"l_orderkey": "o_orderkey"})
+
+
 @check("join09_not_in_null_aware", """
     select 'plain' as mode, count(*) as n from orders where o_orderkey not in (select l_orderkey from lineitem)
     union all select 'null on the right', count(*) from orders where o_orderkey not in (select nullif(l_orderkey, 1) from lineitem)

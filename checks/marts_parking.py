@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.marts_core import doubles
 from checks.registry import Tables, check
+from martkit.operators import distincts
 from martkit.plans import parking, registration
 
 CARPARKS = {"p3": "PC3", "Site Three": "PC3"}
@@ -164,6 +165,16 @@ def _(t):
     return parking.parking_counters(t.derived("src_gate_log"), pairs(t), parkers, pay, as_of=AS_OF)
 
 
+@check("mart_parking_entries_from_states", "select cast(count(distinct trim(lower(lpn))) as bigint) as contactless_entries_during_that_month, date '2024-01-19' as update_date from src_gate_log")
+def _(t):
+    log = t.derived("src_gate_log")
+    numbers = parking.plates(log, t.stage)
+    days = t.stage(parking.entry_states(log, numbers), "entries")
+    newest = days.agg(F.max("day")).first()[0]
+    so_far = distincts.merge_states(days.filter(F.col("day") < F.lit(newest)), [])
+    return parking.entries_so_far(so_far, days.filter(F.col("day") == F.lit(newest)), as_of=AS_OF)[0]
+
+
 @check("mart_parking_counters_by_mall", f"""
     with {PAIRS},
     act as (select distinct trim(lower(e.member_id)) as member_id, trim(lower(e.lpn)) as lpn, property_id from src_user_event e join (select member_id as m, lpn as l, max(event_time) as t from src_user_event where type = 7 group by 1, 2) x

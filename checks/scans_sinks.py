@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import check
 from martkit.functions import dates
-from martkit.operators import joins, sets
+from martkit.operators import joins, reduction, sets
 from martkit.sources import readers, writers
 from martkit.streaming import arrivals
 
@@ -205,6 +205,15 @@ def _(t):
     return t.spark.read.parquet(dst)
 
 
+@check("set04_replace_keys", """
+    select o_orderkey, o_totalprice, o_orderdate from orders where o_orderkey not in (select l_orderkey from lineitem where l_shipdate >= timestamp '1998-06-01')
+    union all select l_orderkey, cast(-1 as double), max(l_shipdate) from lineitem where l_shipdate >= timestamp '1998-06-01' group by 1""")
+def _(t):
+    late = t.lineitem.filter(F.col("l_shipdate") >= F.lit("1998-06-01").cast("timestamp_ntz")).groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_shipdate").alias("o_orderdate"))
+    delta = late.select("o_orderkey", F.lit(-1.0).alias("o_totalprice"), "o_orderdate")
+    return reduction.replace_keys(t.orders.select("o_orderkey", "o_totalprice", "o_orderdate"), delta, ["o_orderkey"])
+
+
 @check("set04_delta_overlay", """
     select distinct * from (
       select o_orderkey, o_totalprice, cast(o_orderdate as date) as day from orders where o_orderdate < timestamp '2001-05-03'

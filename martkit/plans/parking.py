@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DateType, DecimalType, LongType, StringType, StructField, StructType, TimestampNTZType
 
 from martkit.functions import codes, dates, privacy, text
-from martkit.operators import aggregates, joins, ordered, sets
+from martkit.operators import aggregates, distincts, joins, ordered, sets
+from martkit.sources.staging import Stage
 
 MIN_YEAR = 2018  # fixed value: earlier records are test data of the sources
 MIN_MINUTES = 15  # fixed value: shorter stays are passages
@@ -212,6 +213,24 @@ def parking_counters(gate_log: DataFrame, pairs: DataFrame, parkers: DataFrame,
     }, {"update_date": dates.days_before(as_of, 1)})
 
 
+def entry_states(gate_log: DataFrame, numbers: DataFrame, *, ts: str = "timestamp", offset_hours: int = 8) -> DataFrame:
+    """States of the plates that entered on each local day, stored beside the gate log. ``numbers`` is the plates' dictionary."""
+    rows = gate_log.select(F.trim(F.lower("lpn")).alias("lpn"), dates.local_date(F.col(ts), offset_hours).alias("day"))
+    return distincts.states(rows, ["day"], "lpn", numbers)
+
+
+def plates(gate_log: DataFrame, stage: Stage, known: DataFrame | None = None) -> DataFrame:
+    """The dictionary of plates, grown by those of new log rows."""
+    return distincts.dictionary(gate_log.select(F.trim(F.lower("lpn")).alias("lpn")), "lpn", stage, known)
+
+
+def entries_so_far(month_to_date: DataFrame, day: DataFrame, *, as_of: date | str) -> tuple[DataFrame, DataFrame]:
+    """(counter, state) of the month after one more day: yesterday's state and that day's, no log of earlier days."""
+    state = distincts.advance(month_to_date, day, [])
+    counter = distincts.count_states(state, [], "contactless_entries_during_that_month")
+    return counter.withColumn("update_date", F.lit(dates.days_before(as_of, 1))), state
+
+
 def counters_by_mall(pairs: DataFrame, event_log: DataFrame, merchant: DataFrame, mall: DataFrame, *, as_of: date | str, unknown: str = "Can not check") -> DataFrame:
     """Contactless members and plates by the mall of the plate's last activation."""
     from martkit.operators import latest
