@@ -328,8 +328,9 @@ ENTITIES: dict[str, str] = {
     "src_feed_ledger": """
       select event_id as bonus_points_transaction_id, case event_type when 'view' then 'D' when 'signup' then 'A' when 'error' then case when user_id % 2 = 0 then 'E' else 'Z' end else case user_id % 4 when 0 then 'C' when 1 then 'M' when 2 then 'R' else 'T' end end as action,
              cast(user_id % 25 as int) as mall_id, 'A' as status, 'M' || user_id as member_id, cast(floor(value) as bigint) as points, case when value > 20 then 'Used Point Dollar Spending' when value > 10 then 'Other' end as adjust_reason_lang1,
+             case when value > 10 then 'Grund ' || (user_id % 3) end as adjust_reason_lang2, 'Raison ' || (user_id % 3) as adjust_reason_lang3,
              case when event_type = 'signup' then 'X' || event_id when event_type = 'click' then 'GR' || event_id when event_type = 'purchase' then case user_id % 3 when 0 then 'CR' || event_id when 1 then 'ER' || event_id end end as redemption_transaction_id,
-             case when event_type in ('view', 'click') then '{"extra_offer":[{"name_lang1":"' || case when user_id % 2 = 0 then 'Point Conversion ' else 'Gift ' end || user_id || '"}]}' end as matched_rules_json, 'T' || event_id as spending_transaction_id,
+             case when event_type in ('view', 'click') then '{"extra_offer":[{"name_lang1":"' || case when user_id % 2 = 0 then 'Point Conversion ' else 'Gift ' end || user_id || case when user_id % 3 > 0 then '","name_lang2":"Angebot ' || user_id || '","name_lang3":"Offre' else '' end || '"}]}' end as matched_rules_json, 'T' || event_id as spending_transaction_id,
              ts as created_date, ts + interval '1' hour as updated_date from events""",
     "src_feed_exchange": "select 'X' || event_id as trans_id, 'PD' || event_id as point_dollar_transaction_id, 'S' as status from events where event_type = 'signup' and user_id % 5 <> 0",
     "src_feed_pd": "select 'PD' || event_id as trans_id, 'P' as trans_type, cast(user_id % 25 as int) as mall_id, user_id as shop_id, event_id as amount from events where event_type = 'signup'",
@@ -342,7 +343,7 @@ ENTITIES: dict[str, str] = {
              ts + interval '30' day as expiry_date, cast(null as timestamp) as cancel_datetime, ts + interval '3' day as used_datetime, 'Y' || event_id as payment_transaction_id, ts - interval '2' hour as updated_date from events where event_type = 'purchase'""",
     "src_feed_coupon": "select c_custkey as coupon_id, 'Coupon ' || c_custkey as name_lang1 from customer",
     "src_feed_event_redemption": "select 'ER' || event_id as event_redemption_transaction_id, user_id as event_id, 'R' as status, 'B' as redeem_type, cast(user_id % 7 as int) as mall_id, 'Show ' || user_id as event_name, ts + interval '9' day as session_end, ts + interval '9' hour as updated_date from events where event_type = 'purchase'",
-    "src_feed_event": "select c_custkey as event_id, 'Event ' || c_custkey as name_lang1 from customer where c_custkey < 100",
+    "src_feed_event": "select c_custkey as event_id, 'Event ' || c_custkey as name_lang1, 'Anlass "' || c_custkey || '"' as name_lang2, case when c_custkey % 2 = 0 then 'Fete' end as name_lang3 from customer where c_custkey < 100",
     "src_feed_payment": "select 'Y' || event_id as payment_transaction_id, 'REF' || event_id as order_reference_no, 'card' as payment_type, 'P' as status, ts + interval '5' minute as created_date from events where user_id % 3 <> 1",
     # Customer system.
     "src_crm_member": """

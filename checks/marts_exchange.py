@@ -14,7 +14,7 @@ def iso(c: str, hours: int = 16) -> str:
 
 FEED = f"""
     base as (
-      select l.*, json_extract_string(matched_rules_json, '$.extra_offer[0].name_lang1') as offer, left(redemption_transaction_id, 2) as src from src_feed_ledger l),
+      select l.*, json_extract_string(matched_rules_json, '$.extra_offer[0].name_lang1') as offer, json_extract_string(matched_rules_json, '$.extra_offer[0].name_lang2') as offer2, json_extract_string(matched_rules_json, '$.extra_offer[0].name_lang3') as offer3, left(redemption_transaction_id, 2) as src from src_feed_ledger l),
     k as (
       select b.*, case when action = 'D' and lower(offer) like '%conversion%' then 'conversion' when action = 'D' then 'promotion' when action = 'A' and adjust_reason_lang1 = 'Used Point Dollar Spending' then 'pd' when action = 'A' then 'adjustment'
         when action in ('E', 'N') then 'expiry' when src = 'GR' and lower(gn.name_lang1) like '%free parking%' then 'free' when src = 'GR' then 'gift' when src = 'CR' then 'coupon' when src = 'ER' then 'event' when redemption_transaction_id is null then 'reward' end as kind
@@ -36,6 +36,8 @@ FEED = f"""
            '' as linked_sales_amount, '' as min_spending_amount, case when kind = 'pd' then cast(p.amount as string) else '' end as point_dollar_amount, case when kind in ('gift', 'coupon') then y.status else '' end as payment_status, '' as url, '' as small_url,
            cast(bonus_points_transaction_id as string) as bp_transaction_id, action, case kind when 'conversion' then 'Conversion' when 'promotion' then 'Promotion' when 'adjustment' then 'Reward/ Point Adjustment' when 'expiry' then 'Expiry' else 'Reward' end as file_name,
            case when kind in ('conversion', 'promotion', 'free', 'gift', 'coupon') then offer when kind in ('adjustment', 'pd') then adjust_reason_lang1 when kind = 'event' then en.name_lang1 else '' end as display_name,
+           case when kind in ('conversion', 'promotion', 'free', 'gift', 'coupon') then offer2 when kind in ('adjustment', 'pd') then adjust_reason_lang2 when kind = 'event' then replace(en.name_lang2, '"', '') else '' end as display_name_lang2,
+           case when kind in ('conversion', 'promotion', 'free', 'gift', 'coupon') then offer3 when kind in ('adjustment', 'pd') then adjust_reason_lang3 when kind = 'event' then en.name_lang3 else '' end as display_name_lang3,
            case when kind in ('free', 'gift') then greatest(k.updated_date, g.updated_date) when kind = 'coupon' then greatest(k.updated_date, c.updated_date) when kind = 'event' then greatest(k.updated_date, e.updated_date) else k.updated_date end as retrieve_timestamp
     from k left join src_feed_exchange x on redemption_transaction_id = x.trans_id left join src_feed_pd p on x.point_dollar_transaction_id = p.trans_id left join src_feed_gift_redemption g on redemption_transaction_id = gift_redemption_transaction_id
     left join src_feed_gift gn on g.gift_id = gn.gift_id left join src_feed_coupon_redemption c on redemption_transaction_id = coupon_redemption_transaction_id left join src_feed_coupon cn on c.coupon_id = cn.coupon_id
@@ -53,14 +55,14 @@ def _(t):
 @check("mart_activity_receipts_delta", f"""
     select 'M' || r.mall_id as mall, r.invoice_no, cast(r.original_amount as string) as amount, r.payment_type_lang1 as payment_type, {iso('coalesce(r.receipt_datetime, r.receipt_date)')} as activity_at, 'S' || r.shop_id as shop, r.status, r.updated_by,
            t.member_id, cast(t.earned_points as string) as points, {iso('t.approval_date')} as approval_at, t.reject_reason_lang1 as reject_reason, t.type, case when t.auto_approved then 'TRUE' else 'FALSE' end as auto_approved, cast(r.receipt_id as string) as receipt_id,
-           {iso('r.created_date')} as created_at, 'B' || partner_id as partner_id, cast(b.bonus_points_transaction_id as string) as bp_transaction_id, b.action, 'Receipt' as file_name, r.updated_date as retrieve_timestamp
+           {iso('r.created_date')} as created_at, 'B' || partner_id as partner_id, cast(b.bonus_points_transaction_id as string) as bp_transaction_id, b.action, 'Receipt' as file_name, 'Upload Receipt' as display_name, '上傳單據' as display_name_lang2, '上传单据' as display_name_lang3, r.updated_date as retrieve_timestamp
     from src_transaction t left join src_receipt r on t.spending_transaction_id = r.spending_transaction_id left join src_partner_link p on t.spending_transaction_id = p.result
     join (select * from src_feed_ledger where updated_date >= timestamp '2024-01-10') b on t.spending_transaction_id = b.spending_transaction_id""")
 def _(t):
     ledger = activity.changed_ledger(t.derived("src_feed_ledger"), "delta", days=21, as_of="2024-01-31")
     out = activity.activity_feed(activity.receipt_activities(ledger, t.derived("src_transaction"), t.derived("src_receipt"), t.derived("src_partner_link")))
     return out.select("mall", "invoice_no", "amount", "payment_type", "activity_at", "shop", "status", "updated_by", "member_id", "points", "approval_at", "reject_reason", "type", "auto_approved", "receipt_id", "created_at",
-                      "partner_id", "bp_transaction_id", "action", "file_name", "retrieve_timestamp")
+                      "partner_id", "bp_transaction_id", "action", "file_name", "display_name", "display_name_lang2", "display_name_lang3", "retrieve_timestamp")
 
 
 APPS = {"store": 5001, "telco": 5004}

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from checks import marts_parking, marts_services, registry  # noqa: F401
 from checks.registry import check
 from martkit.operators import sets
 from martkit.plans import platform
@@ -77,3 +78,36 @@ def _(t):
     parts = {"shop": t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("label")), "gift_content": t.part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("label")),
              "point_lot": t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("label"))}
     return sets.union_all(*[platform.export_table(df, platform.EXPORTS[n], t.stage).select(F.lit(n).alias("name"), "id", "label") for n, df in parts.items()])
+
+
+NUMBERED = "row_number() over (order by car_in_datetime, {rest}) as row_no"
+
+
+@check("mart_platform_parking_entry", f"select *, {NUMBERED.format(rest='lpn, carparkid, operation')} from (select distinct timestamp as car_in_datetime, lpn, carparkid, operation from src_gate_log) x")
+def _(t):
+    entries = t.derived("src_gate_log").select(F.col("timestamp").alias("car_in_datetime"), "lpn", "carparkid", "operation").distinct()
+    return platform.export_table(entries, platform.EXPORTS["parking_entry"], t.stage)
+
+
+@check("mart_platform_parking_invoice", f"""
+    select *, {NUMBERED.format(rest='car_out_datetime, car_plate, member_id, property_id, invoice_no, shop_no')} from (
+      select distinct car_in_datetime, car_out_datetime, car_plate, member_id, property_id, invoice_no, shop_no from src_parking_invoice) x""")
+def _(t):
+    rows = t.derived("src_parking_invoice").select("car_in_datetime", "car_out_datetime", "car_plate", "member_id", "property_id", "invoice_no", "shop_no").distinct()
+    return platform.export_table(rows, platform.EXPORTS["parking_invoice"], t.stage)
+
+
+def handed_over(name: str, source: str, constants: str = "") -> None:
+    """The result of a registered mart in the platform's form; the twin wraps the mart's twin."""
+    def run(spark, sf_dir):
+        return platform.export_table(registry.QUERIES[source](spark, sf_dir), platform.EXPORTS[name], registry.Tables(spark, sf_dir).stage)
+
+    registry.QUERIES[f"mart_platform_{name}"] = run
+    registry.ORACLES[f"mart_platform_{name}"] = f"select *{constants} from ({registry.ORACLES[source]}) x"
+
+
+handed_over("stamp_earn", "mart_stamp_earn")
+handed_over("stamp_redemption", "mart_stamp_redemptions")
+handed_over("stamp_member_spend", "mart_stamp_member_spend")
+handed_over("coupon_content", "mart_coupon_content")
+handed_over("parker_identity", "mart_parker_identity", ", '' as card_no")

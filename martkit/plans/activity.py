@@ -12,10 +12,12 @@ from martkit.operators import filters, joins, sets
 # Columns of the feed in order. All are text but the last.
 COLUMNS = ("mall invoice_no amount payment_type activity_at shop shop_name status updated_by member_id points approval_at reject_reason type auto_approved ocr_id receipt_id created_by created_at "
            "updated_at partner_id platform channel pickup_point reward_name reward_id expiry_at reserve_at cancel_at used_at linked_sales_amount min_spending_amount point_dollar_amount payment_status "
-           "url small_url bp_transaction_id action file_name display_name").split()
+           "url small_url bp_transaction_id action file_name display_name display_name_lang2 display_name_lang3").split()
 STAMP = "retrieve_timestamp"
 SPEND_REASON = "Used Point Dollar Spending"
 REWARD_ACTIONS = ("C", "M", "R", "T")
+UPLOAD = {1: "Upload Receipt", 2: "上傳單據", 3: "上传单据"}  # in the three languages
+LANGUAGES = {1: "display_name", 2: "display_name_lang2", 3: "display_name_lang3"}
 
 
 def _feed(df: DataFrame, values: dict[str, Column], stamp: Column) -> DataFrame:
@@ -49,11 +51,12 @@ def ledger_activities(ledger: DataFrame, exchange: DataFrame, point_dollar: Data
     df = df.withColumns({"_pay": F.coalesce("g_payment_transaction_id", "c_payment_transaction_id")})
     df = joins.enrich(df, [
         (point_dollar, {"trans_id": "_pd"}, {"mall_id": "p_mall", "shop_id": "p_shop", "trans_type": "p_type", "amount": "p_amount"}),
-        (gift, {"gift_id": "g_gift_id"}, {"name_lang1": "g_name"}), (coupon, {"coupon_id": "c_coupon_id"}, {"name_lang1": "c_name"}), (event, {"event_id": "e_event_id"}, {"name_lang1": "e_name"}),
+        (gift, {"gift_id": "g_gift_id"}, {"name_lang1": "g_name"}), (coupon, {"coupon_id": "c_coupon_id"}, {"name_lang1": "c_name"}), (event, {"event_id": "e_event_id"}, {f"name_lang{n}": f"e_name{n}" for n in LANGUAGES}),
         (payment, {"payment_transaction_id": "_pay"}, {"order_reference_no": "y_ref", "payment_type": "y_type", "status": "y_status", "created_date": "y_created"})])
     df = joins.enrich(df.withColumn("_shop", F.coalesce("p_shop", "c_used_shop_id")), [(shop, {"mapping_shop_id": "_shop"}, {"shop_name": "s_name"})])
     action, source = F.col("action"), F.left(F.col("redemption_transaction_id"), F.lit(2))
-    offer = jsontext.json_path(F.col("matched_rules_json"), "$.extra_offer[0].name_lang1")
+    offers = {n: jsontext.json_path(F.col("matched_rules_json"), f"$.extra_offer[0].name_lang{n}") for n in LANGUAGES}
+    offer = offers[1]
     free = F.coalesce(F.contains(F.lower("g_name"), F.lit("free parking")), F.lit(False))
     reward = action.isin(*REWARD_ACTIONS)
     kind = codes.first_match([
@@ -78,7 +81,7 @@ def ledger_activities(ledger: DataFrame, exchange: DataFrame, point_dollar: Data
         "cancel_at": pick(gift=at("g_cancel_datetime"), coupon=at("c_cancel_datetime")), "used_at": pick(coupon=at("c_used_datetime")), "point_dollar_amount": pick(point_dollar=text_of("p_amount")),
         "payment_status": pick(gift=F.col("y_status"), coupon=F.col("y_status")), "bp_transaction_id": F.col("bonus_points_transaction_id"), "action": action,
         "file_name": codes.decode(k, {"conversion": "Conversion", "promotion": "Promotion", "adjustment": "Reward/ Point Adjustment", "expiry": "Expiry"}, "Reward"),
-        "display_name": codes.first_match([(offered, offer), (k.isin("adjustment", "point dollar"), F.col("adjust_reason_lang1")), (k == "event", _plain("e_name"))], "")}
+        **{name: codes.first_match([(offered, offers[n]), (k.isin("adjustment", "point dollar"), F.col(f"adjust_reason_lang{n}")), (k == "event", _plain(f"e_name{n}"))], "") for n, name in LANGUAGES.items()}}
     stamp = codes.first_match([(k.isin("free parking", "gift"), F.greatest("updated_date", "g_updated_date")), (k == "coupon", F.greatest("updated_date", "c_updated_date")),
                                (k == "event", F.greatest("updated_date", "e_updated_date"))], F.col("updated_date"))
     return _feed(df, values, stamp)
@@ -98,7 +101,7 @@ def receipt_activities(ledger: DataFrame, transaction: DataFrame, receipt: DataF
         "member_id": F.col("member_id"), "points": F.col("earned_points"), "approval_at": at("approval_date"), "reject_reason": F.col("reject_reason_lang1"), "type": F.col("type"),
         "auto_approved": F.when(F.col("auto_approved"), "TRUE").otherwise("FALSE"), "ocr_id": F.col("r_ocr_id"), "receipt_id": F.col("r_receipt_id"), "created_by": F.col("r_created_by"), "created_at": at("r_created_date"),
         "updated_at": at("r_updated_date"), "partner_id": F.concat(F.lit("B"), "partner_id"), "platform": F.col("platform"), "channel": F.col("channel"), "bp_transaction_id": F.col("bonus_points_transaction_id"),
-        "action": F.col("action"), "file_name": F.lit("Receipt"), "display_name": F.lit("Upload Receipt")}
+        "action": F.col("action"), "file_name": F.lit("Receipt"), **{name: F.lit(UPLOAD[n]) for n, name in LANGUAGES.items()}}
     return _feed(df, values, F.col("r_updated_date"))
 
 
