@@ -2,7 +2,7 @@
 
 A page is read into a light tree of elements and text blocks. Each paragraph
 passes points for its length and commas to its parent, half to the next
-ancestor and less to those above, discounted by the share of link text. The
+ancestor and less to those above (``LEVELS`` of them), discounted by the share of link text. The
 container with the most points wins, together with its well-scored siblings.
 
 Unwanted words of class and id names lower an element's prior points. A form, or an
@@ -13,7 +13,8 @@ page's text outside links: then it is a wrapper of the page.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from bisect import bisect_right
+from collections import defaultdict
 from html import unescape
 
 import pyarrow as pa
@@ -50,14 +51,55 @@ SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"
 PARAGRAPH_SCOPE = set("button caption td th table article section body html div li blockquote".split())
 
 
+LEVELS = 32  # ancestors that a paragraph's points reach
+
+
 class Element:
-    __slots__ = ("parent", "tag", "weight", "dropped", "points", "text", "linked", "link", "order", "doubts")
+    __slots__ = ("parent", "tag", "weight", "dropped", "outright", "points", "text", "linked", "link", "order", "block", "own")
 
-    def __init__(self, parent: Element | None, tag: str, weight: float, dropped: bool, link: bool, order: int):
-        self.parent, self.tag, self.weight, self.dropped, self.link, self.order = parent, tag, weight, dropped, link, order
+    def __init__(self, parent: Element | None, tag: str, weight: float, dropped: bool, outright: bool, link: bool, order: int):
+        self.parent, self.tag, self.weight, self.dropped, self.outright, self.link, self.order = parent, tag, weight, dropped, outright, link, order
         self.points = 0.0
         self.text = self.linked = 0
-        self.doubts: tuple[int, ...] | None = ()  # left out on account of these elements only; None: whatever they hold
+        self.block = self if parent is None or tag in BLOCK else parent.block
+        self.own = 0  # characters outside links that stand in it directly, unless left out whatever they hold
+
+
+class Stack:
+    """Open elements, with the places of each tag, of blocks and of what ends the search for a paragraph."""
+
+    def __init__(self, root: Element):
+        self.items = [root]
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.blocks: list[int] = []
+        self.scopes: list[int] = []
+
+    def push(self, element: Element) -> None:
+        for places in self._lists(element.tag):
+            places.append(len(self.items))
+        self.items.append(element)
+
+    def cut(self, upto: int) -> None:
+        for element in self.items[upto:]:
+            for places in self._lists(element.tag):
+                places.pop()
+        del self.items[upto:]
+
+    def _lists(self, tag: str) -> list[list[int]]:
+        out = [self.places[tag]]
+        if tag in BLOCK:
+            out.append(self.blocks)
+        if tag == "p" or tag in PARAGRAPH_SCOPE:
+            out.append(self.scopes)
+        return out
+
+    def last(self, tag: str) -> int:
+        """Place of the innermost element of a tag; 0 if none is open."""
+        places = self.places.get(tag)
+        return places[-1] if places else 0
+
+    def has_block(self, upto: int) -> bool:
+        return bool(self.blocks) and self.blocks[-1] >= upto
 
 
 def _judge(tag: str, rest: str, in_article: bool) -> tuple[float, bool, bool]:
@@ -91,43 +133,38 @@ def read_blocks(html: str, wrappers: frozenset[int] = frozenset()) -> list[tuple
     """Text blocks outside left-out subtrees, in page order: (element, text, characters of link text).
 
     Doubtful elements are left out, but for the wrappers. If any of them holds most of the text
-    that is not left out anyway, the page is read once more with it as a wrapper.
+    that is not left out anyway, the page is read once more with it as a wrapper. Takes time in
+    proportion to the page, however deep its elements are nested.
     """
-    root = Element(None, "html", 0.0, False, False, 0)
-    stack, blocks = [root], []
+    root = Element(None, "html", 0.0, False, False, False, 0)
+    stack, blocks, elements = Stack(root), [], [root]
+    doubted: list[Element] = []
     pieces: list[str] = []
     linked = 0
-    order = at = whole = 0
-    held: Counter[int] = Counter()  # characters outside links in doubtful elements
+    at = 0
 
     def flush() -> None:
         nonlocal linked
         text = " ".join(unescape("".join(pieces)).split())
         if text:
-            holder = stack[-1]
-            while holder.tag not in BLOCK and holder.parent is not None:
-                holder = holder.parent
-            blocks.append((holder, text, min(linked, len(text))))
+            blocks.append((stack.items[-1].block, text, min(linked, len(text))))
         pieces.clear()
         linked = 0
 
     def write(text: str) -> None:
-        nonlocal linked, whole
-        top = stack[-1]
-        if text and not wrappers and top.doubts is not None and not top.link:
-            n = len(" ".join(text.split()))
-            whole += n
-            for number in top.doubts:
-                held[number] += n
+        nonlocal linked
+        top = stack.items[-1]
+        if text and not wrappers and not top.outright and not top.link:
+            top.own += len(" ".join(text.split()))
         if text and not top.dropped:
             pieces.append(text)
             if top.link:
                 linked += len(" ".join(text.split()))
 
     def close(upto: int) -> None:
-        if any(e.tag in BLOCK for e in stack[upto:]) or stack[-1].dropped != stack[upto - 1].dropped:
+        if stack.has_block(upto) or stack.items[-1].dropped != stack.items[upto - 1].dropped:
             flush()
-        del stack[upto:]
+        stack.cut(upto)
 
     while True:
         found = TAG.search(html, at)
@@ -142,9 +179,9 @@ def read_blocks(html: str, wrappers: frozenset[int] = frozenset()) -> list[tuple
         if not name:
             continue
         if found["close"] or found["close2"]:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == name), 0)
+            depth = stack.last(name)
             # An inline end tag does not close blocks opened after it.
-            if depth and (name in BLOCK or not any(e.tag in BLOCK for e in stack[depth:])):
+            if depth and (name in BLOCK or not stack.has_block(depth)):
                 close(depth)
             elif name == "p":
                 flush()
@@ -155,20 +192,19 @@ def read_blocks(html: str, wrappers: frozenset[int] = frozenset()) -> list[tuple
             continue
         if name in BLOCK:
             flush()
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p" or stack[i].tag in PARAGRAPH_SCOPE), 0)
-            if depth and stack[depth].tag == "p":
+            depth = stack.scopes[-1] if stack.scopes else 0
+            if depth and stack.items[depth].tag == "p":
                 close(depth)
             if name in CLOSED_BY:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].tag in SCOPES[name]:
-                        break
-                    if stack[i].tag in CLOSED_BY[name]:
-                        close(i)
+                scope = max(stack.last(tag) for tag in SCOPES[name])
+                inner = [places[bisect_right(places, scope)] for tag in CLOSED_BY[name] if (places := stack.places.get(tag)) and places[-1] > scope]
+                if inner:
+                    close(min(inner))
         if name in VOID:
             continue
-        top = stack[-1]
-        weight, outright, doubtful = _judge(name, rest, any(e.tag in ("article", "main") for e in stack))
-        doubtful = doubtful and order + 1 not in wrappers
+        top = stack.items[-1]
+        weight, outright, doubtful = _judge(name, rest, bool(stack.places.get("article") or stack.places.get("main")))
+        doubtful = doubtful and len(elements) not in wrappers
         dropped = outright or doubtful or top.dropped
         if dropped and not top.dropped:
             flush()
@@ -178,11 +214,21 @@ def read_blocks(html: str, wrappers: frozenset[int] = frozenset()) -> list[tuple
             continue
         if rest.endswith("/") and name in ("svg", "path"):
             continue
-        order += 1
-        stack.append(Element(top, name, weight, dropped, top.link or name == "a", order))
-        stack[-1].doubts = None if outright or top.doubts is None else (*top.doubts, order) if doubtful else top.doubts
+        element = Element(top, name, weight, dropped, outright or top.outright, top.link or name == "a", len(elements))
+        stack.push(element)
+        elements.append(element)
+        if doubtful and not element.outright:
+            doubted.append(element)
     flush()
-    found_wrappers = frozenset(number for number, n in held.items() if 2 * n > whole)
+    if wrappers or not doubted:
+        return blocks
+    whole = 0
+    for element in reversed(elements):  # children come after their parents
+        if element.parent is not None:
+            element.parent.own += element.own
+        else:
+            whole = element.own
+    found_wrappers = frozenset(e.order for e in doubted if 2 * e.own > whole)
     return read_blocks(html, found_wrappers) if found_wrappers else blocks
 
 
@@ -191,44 +237,61 @@ def extract(html: str | None) -> str:
     blocks = read_blocks(html or "")
     if not blocks:
         return ""
-    scored: dict[int, Element] = {}
+    holders: dict[int, Element] = {}
     for element, text, linked in blocks:
-        up, holder = element, []
-        while up is not None:
-            up.text += len(text)
-            up.linked += linked
-            holder.append(up)
+        element.text += len(text)
+        element.linked += linked
+        up: Element | None = element
+        while up is not None and up.order not in holders:
+            holders[up.order] = up
             up = up.parent
+    for order in sorted(holders, reverse=True):  # children before their parents
+        element = holders[order]
+        if element.parent is not None:
+            element.parent.text += element.text
+            element.parent.linked += element.linked
+    scored: dict[int, Element] = {}
+    for element, text, linked in blocks:
         points = (1 + text.count(",") + min(len(text) / 100, 3.0)) * (1 - linked / len(text))
         # A block that is a container itself keeps its points; a paragraph passes them on.
         paragraph = element.tag in ("p", "pre", "blockquote", "li", "td", "dd", "dt", "figcaption") or element.tag[0] == "h" and element.tag != "html"
-        ancestors = holder[1:] if paragraph and len(holder) > 1 else holder
-        for level, e in enumerate(ancestors):
-            e.points += points / (1 if level == 0 else 2 if level == 1 else 3 * level)
-            scored[id(e)] = e
+        up = element.parent if paragraph and element.parent is not None else element
+        for level in range(LEVELS):
+            if up is None:
+                break
+            up.points += points / (1 if level == 0 else 2 if level == 1 else 3 * level)
+            scored[up.order] = up
+            up = up.parent
     best = max(scored.values(), key=lambda e: (_total(e), -e.order))
     while best.parent is not None and best.tag in ("ul", "ol", "dl", "table", "tbody", "tr", "blockquote", "p"):
         best = best.parent  # a list or table is a part of its article
     floor = max(10.0, 0.2 * _total(best))
+    # For each element the one below the best's parent that it stands in: the best, a sibling of it, or none.
+    branch: dict[int, Element | None] = {best.order: best}
+
+    def branch_of(element: Element) -> Element | None:
+        path, up = [], element
+        while up.order not in branch and up.parent is not None and up.parent is not best.parent:
+            path.append(up)
+            up = up.parent
+        if up.order not in branch:
+            branch[up.order] = up if up.parent is not None and up.parent is best.parent else None
+        for e in path:
+            branch[e.order] = branch[up.order]
+        return branch[up.order]
 
-    def kept(element: Element, text: str, linked: int) -> bool:
-        below, up = element, element.parent
-        if element is best:
+    def kept(element: Element, text: str) -> bool:
+        below = branch_of(element)
+        if below is None or below is best:
+            return below is best
+        density = below.linked / max(1, below.text)
+        if below.tag in ("h1", "h2") and below.order < best.order:
             return True
-        while up is not None:
-            if up is best:
-                return True
-            if up is best.parent:
-                density = below.linked / max(1, below.text)
-                if below.tag in ("h1", "h2") and below.order < best.order:
-                    return True
-                if below.tag == "p":
-                    return density < 0.25 and (below.text > 80 or density == 0 and text[-1:] in ".!?")
-                return below.points > 0 and _total(below) >= floor and density < 0.25
-            below, up = up, up.parent
-        return False
-
-    return "\n".join(text for element, text, linked in blocks if kept(element, text, linked))
+        if below.tag == "p":
+            return density < 0.25 and (below.text > 80 or density == 0 and text[-1:] in ".!?")
+        return below.points > 0 and _total(below) >= floor and density < 0.25
+
+    return "\n".join(text for element, text, _ in blocks if kept(element, text))
 
 
 def _total(e: Element) -> float:
@@ -238,7 +301,8 @@ def _total(e: Element) -> float:
 def extract_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page.
 
-    Null, empty or text-free html gives '' and 0. Pages are read alone; repeated rows stay repeated.
+    Null, empty or text-free html gives '' and 0. Pages are read alone; repeated rows stay repeated. Very long and
+    very deeply nested pages take time in proportion to their length. No rows: no result.
     """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:

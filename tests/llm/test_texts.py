@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -45,6 +46,25 @@ def test_urls(spark):
     assert urlfilter.judge_urls(df.limit(0)).collect() == []
 
 
+def test_html_of_great_depth():
+    """Work grows with the page, not with the square of its depth."""
+    shapes = ("<div>t, ", "<form>t, ", "<b><div>", "<div></b>", "<div><li>x</li>", "<p><b><i>")
+    for shape in shapes:
+        begin = time.process_time()
+        htmltext.extract(shape * 4_000)
+        short = time.process_time() - begin
+        begin = time.process_time()
+        text = htmltext.extract(shape * 32_000 + "x")
+        assert time.process_time() - begin < 24 * max(short, 0.05) and text
+    deep = htmltext.extract("<div>" * 50_000 + "<p>A text, of a page, that is deep.</p><p>Another, like it, follows.</p>")
+    assert deep == "A text, of a page, that is deep.\nAnother, like it, follows."
+
+
+def test_html_of_no_pages(spark):
+    pages = spark.createDataFrame([], "page_id long, url string, html string, text string")
+    assert htmltext.extract_pages(pages).collect() == []
+
+
 def test_automaton_over_many_words():
     globs = tuple(f"*{i}x*/**y{i}" for i in range(40))
     machine = urlfilter.Automaton(globs)
