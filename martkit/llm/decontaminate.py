@@ -5,14 +5,15 @@ are the patterns of one automaton. A document is normalised to its words with
 single spaces between them and scanned once; each hit's end is mapped back to
 word numbers and, through the words' offsets, to the original text.
 
-The automaton is broadcast, so its text is bounded: a benchmark above
-``chunk_bytes`` is split by item into several automata, each run over the
+The automaton is broadcast, so its windows are bounded: a benchmark whose windows take
+more than ``chunk_bytes`` is split into several automata, each collected and run over the
 documents in turn, and the spans of one document are united.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections.abc import Iterator
 from itertools import accumulate
 
 import ahocorasick
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from martkit.llm.frames import Workspace, alnum_words, blobs, map_batches
 
 WINDOW = 10
-CHUNK_BYTES = 16_000_000
+CHUNK_BYTES = 64_000_000  # of windows in one automaton
 SPANS = "array<struct<first:bigint,last:bigint>>"
 
 
@@ -86,16 +87,19 @@ def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def benchmark_chunks(benchmark: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> list[list[tuple[str | None, bytes]]]:
-    """Items as (id, text), in lists whose texts stay within the bound (a single longer item stands alone)."""
+def benchmark_chunks(benchmark: DataFrame, window: int, chunk_bytes: int = CHUNK_BYTES) -> Iterator[tuple[list[tuple[str | None, bytes]], bool]]:
+    """Items as (id, text) in lists whose windows stay within the bound, and whether the list is the last.
+
+    A word starts a window of so many words, so windows take about ``window`` times the bytes of a text. Rows are dealt by
+    a hash of id and text: an item of many texts is spread, a single longer text stands alone. One list is
+    on the driver at a time.
+    """
     rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
+    size = rows.agg(F.sum((F.octet_length("text") + 16) * window)).first()[0] or 0
     n = -(-size // chunk_bytes) or 1
-    if n == 1:
-        parts = [rows.collect()]
-    else:
-        parts = [rows.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == i).collect() for i in range(n)]
-    return [sorted({(r["item_id"], r["text"].encode()) for r in part}, key=lambda x: (x[0] or "", x[1])) for part in parts]
+    for i in range(n):
+        part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i)
+        yield sorted({(r["item_id"], r["text"].encode()) for r in part.collect()}, key=lambda x: (x[0] or "", x[1])), i == n - 1
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -109,10 +113,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, chun
     """
     spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
     found = docs.select("doc_id", "text", F.lit(None).cast(SPANS).alias("spans"), F.lit(None).cast("array<string>").alias("items"))
-    chunks = benchmark_chunks(benchmark, chunk_bytes)
-    for i, items in enumerate(chunks):
+    for items, last in benchmark_chunks(benchmark, window, chunk_bytes):
         shared = spark.sparkContext.broadcast(Machine(items, window))
-        last = i == len(chunks) - 1
         found = map_batches(found, _scanner(shared, last), f"doc_id {kind}, {'n_words long' if last else 'text string'}, spans {SPANS}, items array<string>")
         if not last:  # one automaton in memory at a time
             found = Workspace(spark, "leaks").put(found)
@@ -146,14 +148,13 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, chun
     """The rows, with all their columns, whose text holds no window of any item."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     at, kept = docs.columns.index("text"), docs
-    chunks = benchmark_chunks(benchmark, chunk_bytes)
-    for i, items in enumerate(chunks):
+    for items, last in benchmark_chunks(benchmark, window, chunk_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(Machine(items, window))
 
         def run(batch: pa.RecordBatch, shared=shared) -> pa.RecordBatch:
             return batch.filter(pa.array([not shared.value.scan(alnum_words(t))[0] for t in blobs(batch.column(at))], pa.bool_()))
 
         kept = map_batches(kept, run, schema)
-        if i < len(chunks) - 1:  # one automaton in memory at a time
+        if not last:  # one automaton in memory at a time
             kept = Workspace(docs.sparkSession, "clean").put(kept)
     return kept

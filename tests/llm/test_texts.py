@@ -1,6 +1,7 @@
 """Row-wise operators, packing, search and classifier against the libraries and brute force."""
 
 import hashlib
+import random
 import re
 import time
 import zlib
@@ -126,7 +127,7 @@ def test_leaks(spark, docs, texts, no_docs):
     items = [(1, " ".join(alnum(texts[14])[20:45])), (2, "A"), (3, None), (4, "--"), (5, texts[-1 % len(texts)][500:800]), (5, "q"), (12, "éà  Ü")]
     bench = spark.createDataFrame(items, "item_id long, text string")
     want = brute_leaks(texts.items(), items)
-    for chunk in (decontaminate.CHUNK_BYTES, 60):
+    for chunk in (decontaminate.CHUNK_BYTES, 900):
         rows = decontaminate.find_leaks(docs, bench, chunk_bytes=chunk).collect()
         assert len(rows) == len(texts) + 1
         for r in rows:
@@ -142,7 +143,7 @@ def test_leaks_of_items_without_id(spark):
     passage = " ".join(f"p{i}" for i in range(12))
     bench = spark.createDataFrame([(None, passage), (None, None), (7, "q r s")], "item_id long, text string")
     docs = spark.createDataFrame([(1, f"a {passage} b"), (2, "a b c"), (3, f"q r s {passage}")], "doc_id long, text string")
-    for chunk in (decontaminate.CHUNK_BYTES, 30):
+    for chunk in (decontaminate.CHUNK_BYTES, 450):
         got = {r["doc_id"]: (r["n_hit"], r["items"]) for r in decontaminate.find_leaks(docs, bench, chunk_bytes=chunk).collect()}
         assert got == {1: (12, []), 2: (0, []), 3: (15, ["7"])}
         assert [r["doc_id"] for r in decontaminate.keep_clean(docs, bench, chunk_bytes=chunk).collect()] == [2]
@@ -168,6 +169,18 @@ def test_leaks_query(spark):
         assert (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) == (len(w), len(hit), len(found), sha, bool(hit))
 
 
+def test_one_item_of_many_texts_is_spread(spark):
+    rng = random.Random(6)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(12)) for _ in range(60)]
+    bench = spark.createDataFrame([("one", t) for t in texts], "item_id string, text string")
+    chunks = list(decontaminate.benchmark_chunks(bench, 10, 20_000))
+    assert len(chunks) > 2 and [last for _, last in chunks] == [False] * (len(chunks) - 1) + [True]
+    assert sorted(t.decode() for items, _ in chunks for _, t in items) == sorted(texts) and max(len(items) for items, _ in chunks) < 40
+    docs = spark.createDataFrame([(0, "clean words only"), (1, f"a {texts[5]} b {texts[40]} c")], "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_hit"], r["items"]) for r in decontaminate.find_leaks(docs, bench, chunk_bytes=20_000).collect()}
+    assert got == {0: (0, []), 1: (24, ["one"])}
+
+
 def check_packing(rows, texts):
     from tokenizers import Tokenizer
 
@@ -260,6 +273,8 @@ def test_neighbours(spark):
     few = spark.createDataFrame(rows[:4], df.schema)
     assert [r["vec_id"] for r in neighbours.search(few).orderBy("rank").collect()] == [j for _, j in brute_neighbours([(i, np.float32(v)) for i, v in rows[:4]], 100, 10)[0]]
     assert neighbours.search(df.limit(0)).collect() == []
+    rows = lambda out: sorted(map(tuple, out.collect()))
+    assert rows(neighbours.search(df, every=2, query_rows=7)) == rows(neighbours.search(df, every=2))  # parts of the queries
 
 
 def test_neighbours_query(spark):
