@@ -27,6 +27,7 @@ LEAF_ROWS = 64  # of the sample
 TARGET_RECALL = 0.98
 CALIBRATION_QUERIES = 256
 BLOCK_ROWS = 4096
+QUERY_ROWS = 16_384  # about so many queries meet a block of stored rows at once
 K = 10
 
 
@@ -146,7 +147,8 @@ def matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 1))
 
 
-def search(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", every: int = 100, k: int = K, fit_rows: int = FIT_ROWS, target: float = TARGET_RECALL) -> DataFrame:
+def search(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", every: int = 100, k: int = K, fit_rows: int = FIT_ROWS, target: float = TARGET_RECALL,
+           query_rows: int = QUERY_ROWS) -> DataFrame:
     """The k nearest found of every row whose id is divisible by ``every``.
 
     Result: query_id, rank (from 1), vec_id, score (Euclidean distance in double precision), nearest
@@ -173,6 +175,7 @@ def search(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", e
     counts = {r["leaf"]: r["n"] for r in placed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}  # at most the leaves of the tree
     blocks = {leaf: -(-n // BLOCK_ROWS) for leaf, n in counts.items()}
     plan = spark.sparkContext.broadcast((counts, blocks))
+    parts = -(-rows.where(F.col("vec_id") % every == 0).count() // query_rows) or 1
 
     def walk(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, (counts, blocks) = shared.value, plan.value
@@ -194,7 +197,11 @@ def search(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", e
     asked = rows.where(F.col("vec_id") % every == 0).mapInArrow(walk, "query_id long, query array<double>, leaf long, salt long")
     size = F.create_map(*[F.lit(x) for pair in blocks.items() for x in pair]) if blocks else F.create_map(F.lit(0), F.lit(1))
     stored = placed.withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.coalesce(size[F.col("leaf")], F.lit(1)).cast("long")))
-    near = asked.groupBy("leaf", "salt").cogroup(stored.groupBy("leaf", "salt")).applyInArrow(_block(k), "query_id long, vec_id long, score double")
+    # Both sides of a group are bounded: stored rows by their blocks, queries by parts, to each of which a block goes.
+    asked = asked.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(parts)))
+    stored = stored.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+    meet = ("leaf", "salt", "part")
+    near = asked.groupBy(*meet).cogroup(stored.groupBy(*meet)).applyInArrow(_block(k), "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
