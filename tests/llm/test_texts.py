@@ -385,3 +385,32 @@ def test_quality_edges(spark, docs, no_docs):
     assert quality.judge_quality(no_docs, labels).collect() == []
     kept = quality.score_documents(docs, quality.train(docs, labels, fit_rows=3))
     assert sorted(kept.columns) == sorted(docs.columns)
+
+
+def test_quality_fit_against_plain_solvers():
+    """Log-count ratios by plain counting, and the dual against projected gradient steps on its whole matrix."""
+    rng = np.random.default_rng(11)
+    labels = rng.integers(0, 2, 60)
+    rows = [np.unique(rng.integers(0, 40, 12) + (0 if y else 25)).astype(np.uint32) for y in labels]
+    ratios = quality.log_count_ratios(rows, labels)
+    counts = {y: np.ones(quality.BUCKETS) for y in (0, 1)}
+    for r, y in zip(rows, labels, strict=True):
+        for f in r:
+            counts[int(y)][f] += 1
+    assert np.allclose(ratios, np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum()))
+    signs = np.where(labels > 0, 1.0, -1.0)
+    dense = np.zeros((60, 70))
+    for i, r in enumerate(rows):
+        dense[i, r] = ratios[r] / np.linalg.norm(ratios[r])
+    upper = np.array([60 / (2 * (signs == s).sum()) for s in signs])
+    gram = (signs[:, None] * dense) @ (signs[:, None] * dense).T
+    alpha = np.zeros(60)
+    step = 1 / np.linalg.eigvalsh(gram).max()
+    for _ in range(60_000):
+        alpha = np.clip(alpha - step * (gram @ alpha - 1), 0, upper)
+    plain = dense.T @ (alpha * signs)
+    model = quality.fit(rows, labels, passes=400)
+    weight = np.divide(model.products, ratios, out=np.zeros_like(ratios), where=ratios != 0)[:70]
+    value = lambda w: 0.5 * w @ w + (upper * np.maximum(0, 1 - signs * (dense @ w))).sum()
+    assert abs(value(weight) - value(plain)) < 1e-3 * value(plain)
+    assert np.allclose(dense @ weight, dense @ plain, atol=0.01)
