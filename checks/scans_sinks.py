@@ -8,7 +8,7 @@ from checks.registry import check
 from martkit.functions import dates
 from martkit.operators import joins, reduction, sets
 from martkit.sources import readers, writers
-from martkit.streaming import arrivals
+from martkit.streaming import arrivals, pairing
 
 CUSTOMER = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
 ORDERS = "select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority from orders"
@@ -205,6 +205,22 @@ def _(t):
     return t.spark.read.parquet(dst)
 
 
+@check("str02_gate_pairing_stream", """
+    select g.lpn, g.carparkid, g.timestamp, min(o.timestamp) as out_ts from (select distinct * from src_gate_log where operation = 'in') g
+    left join src_gate_log o on o.operation = 'out' and o.lpn = g.lpn and o.carparkid = g.carparkid and o.timestamp > g.timestamp and o.timestamp <= g.timestamp + interval '3' day group by 1, 2, 3""")
+def _(t):
+    src, dst, state = t.scratch("gates"), t.scratch("paired"), t.scratch("open")
+    log = t.derived("src_gate_log")
+    # Files in any order of time, two a batch; a last event of each kind closes the log.
+    log.repartition(5, F.xxhash64("lpn", "timestamp") % 101).write.parquet(src)
+    closing = log.agg((F.max("timestamp") + F.expr("interval 200 days")).alias("timestamp")).select(F.lit("end").alias("lpn"), F.lit(0).cast(log.schema["carparkid"].dataType).alias("carparkid"), "timestamp", F.explode(F.array(F.lit("in"), F.lit("out"))).alias("operation"))
+    args = dict(keys=["lpn", "carparkid"], ts="timestamp", op="operation", first="in", second="out", name="out_ts", longest="3 days", delay="90 days")
+    pairing.pair_new_files(t.spark, src, dst, log.schema, state, max_files=2, **args)
+    closing.write.mode("append").parquet(src)
+    pairing.pair_new_files(t.spark, src, dst, log.schema, state, **args)
+    return t.spark.read.parquet(dst)
+
+
 @check("set04_replace_keys", """
     select o_orderkey, o_totalprice, o_orderdate from orders where o_orderkey not in (select l_orderkey from lineitem where l_shipdate >= timestamp '1998-06-01')
     union all select l_orderkey, cast(-1 as double), max(l_shipdate) from lineitem where l_shipdate >= timestamp '1998-06-01' group by 1""")
