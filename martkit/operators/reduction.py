@@ -40,25 +40,28 @@ def key_filter(keys: DataFrame, bits: int) -> DataFrame:
 def split_by_filter(df: DataFrame, keys: DataFrame, on: Mapping[str, str], max_keys: int = MAX_KEYS) -> tuple[DataFrame, DataFrame | None]:
     """(rows that may match, rows that surely don't). With more keys than the limit all rows may match.
 
-    The number of keys is estimated by a sketch in a pass over their columns.
+    The number of keys is estimated by a sketch in a pass over their columns; they are cast to the types of ``df``.
     """
-    side = keys.select(*on)
+    side = keys.select(*[F.col(k).cast(df.schema[v].dataType).alias(k) for k, v in on.items()])
     n = side.agg(F.approx_count_distinct(F.struct(*on))).first()[0]
     if n > max_keys:
         return df, None
     bits = 1 << max(10, (BITS_PER_KEY * n).bit_length())
-    df = df.withColumn("_words", key_filter(side, bits).scalar())
-    tests = [F.element_at("_words", (F.expr("1") + F.shiftright(p, 6)).cast("int")).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), (p % 64).cast("int"))) != 0
+    words = "_words"
+    while words in df.columns:
+        words += "_"
+    df = df.withColumn(words, key_filter(side, bits).scalar())
+    tests = [F.element_at(words, (F.expr("1") + F.shiftright(p, 6)).cast("int")).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), (p % 64).cast("int"))) != 0
              for p in _places([F.col(v) for v in on.values()], bits)]
     known = [F.col(v).isNotNull() for v in on.values()]
     hit = reduce(lambda a, b: a & b, known + tests)
-    return df.filter(hit).drop("_words"), df.filter(~hit).drop("_words")
+    return df.filter(hit).drop(words), df.filter(~hit).drop(words)
 
 
 def anti_reduced(df: DataFrame, other: DataFrame, on: Mapping[str, str], max_keys: int = MAX_KEYS) -> DataFrame:
     """Rows of a large ``df`` without a match in a small ``other``; rows with a null key are kept.
 
-    ``on`` maps columns of ``other`` to columns of ``df`` of the same type. The same rows as ``anti``, in any
+    ``on`` maps columns of ``other`` to columns of ``df``. The same rows as ``anti``, in any
     order: rows that cannot match are read in a branch of their own, without a shuffle.
     """
     maybe, never = split_by_filter(df, other, on, max_keys)
