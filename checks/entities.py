@@ -20,11 +20,11 @@ ENTITIES: dict[str, str] = {
       union all
       select 100 + n_nationkey, n_nationkey, 'P', cast(null as string), 50000.0e0 from nation where n_nationkey > 10""",
     # Lists of accepted values of many rules; a rule without rows in a list accepts all.
-    "src_offer_status": "select s_suppkey as offer, st from supplier join (select distinct o_orderstatus as st from orders) x on (s_suppkey + ascii(st)) % 4 = 0",
-    "src_offer_priority": "select s_suppkey as offer, pr from supplier join (select distinct o_orderpriority as pr from orders) x on (s_suppkey * 7 + ascii(pr)) % 5 = 0 and s_suppkey % 9 > 0",
-    "src_offer_month": "select s_suppkey as offer, mo from supplier join (select distinct cast(month(o_orderdate) as int) as mo from orders) x on (s_suppkey + mo) % 12 < 4",
-    "src_offer_segment": "select s_suppkey as offer, seg from supplier join (select distinct c_mktsegment as seg from customer) x on (s_suppkey + length(seg)) % 3 = 0",
-    "src_offer_nation": "select s_suppkey as offer, n_nationkey as na from supplier join nation on (s_suppkey + n_nationkey) % 4 = 0 and s_suppkey % 3 > 0",
+    "src_offer_status": "select s_suppkey as offer, st from supplier join (select distinct o_orderstatus as st from orders) x on ascii(st) % 4 = (4 - s_suppkey % 4) % 4",
+    "src_offer_priority": "select s_suppkey as offer, pr from supplier join (select distinct o_orderpriority as pr from orders) x on ascii(pr) % 5 = (5 - s_suppkey * 7 % 5) % 5 where s_suppkey % 9 > 0",
+    "src_offer_month": "select s_suppkey as offer, mo from supplier join (select distinct cast(month(o_orderdate) as int) as mo from orders) x on mo % 3 = (3 - s_suppkey % 3) % 3",
+    "src_offer_segment": "select s_suppkey as offer, seg from supplier join (select distinct c_mktsegment as seg from customer) x on length(seg) % 3 = (3 - s_suppkey % 3) % 3",
+    "src_offer_nation": "select s_suppkey as offer, n_nationkey as na from supplier join nation on n_nationkey % 4 = (4 - s_suppkey % 4) % 4 where s_suppkey % 3 > 0",
     # Members and their attributes.
     "src_member": """
       select 'M' || c_custkey as member_id, c_custkey as member_no,

@@ -113,12 +113,15 @@ HISTORY = f"""{INVOICES},
       join (select upper(member_id) as mid, status from src_member) m on upper(e.member_id) = m.mid)"""
 
 
-def history(t: Tables):
+def evidence(t: Tables):
     inv = invoices(t)
-    parts = [parking.invoice_evidence(spending_side(t), inv, member_prefix="M"), parking.vehicle_evidence(t.derived("src_vehicle")),
-             parking.app_evidence(t.derived("src_tid_log"), t.derived("src_activity_log"), t.derived("src_app_redemption")), parking.parking_evidence(inv, member_prefix="M"),
-             parking.charging_evidence(t.derived("src_session"))]
-    return parking.identity_history(parts, t.derived("src_member"))
+    return [parking.invoice_evidence(spending_side(t), inv, member_prefix="M"), parking.vehicle_evidence(t.derived("src_vehicle")),
+            parking.app_evidence(t.derived("src_tid_log"), t.derived("src_activity_log"), t.derived("src_app_redemption")), parking.parking_evidence(inv, member_prefix="M"),
+            parking.charging_evidence(t.derived("src_session"))]
+
+
+def history(t: Tables):
+    return parking.identity_history(evidence(t), t.derived("src_member"))
 
 
 @check("mart_parker_identity_history", f"with {HISTORY} select * replace (cast(receipt_amount as double) as receipt_amount, cast(receipt_amount_parking as double) as receipt_amount_parking) from history")
@@ -132,7 +135,7 @@ def _(t):
            max(case when identify_type in ('identify by Invoice', 'identify by Inapp Free Parking Redemption', 'identify by member parking') then 1 else 0 end) as is_member_parking_carplate,
            max(case when identify_type = 'identify by EV Charging' then 1 else 0 end) as is_ev_charging_carplate from history group by 1, 2""")
 def _(t):
-    return parking.parker_identity(history(t))
+    return parking.parker_identity_of(evidence(t), t.derived("src_member"))
 
 
 AS_OF = "2024-01-20"

@@ -109,9 +109,13 @@ def coupons_redeemed(coupon: DataFrame, chosen: DataFrame, conversion: DataFrame
 
 
 def linked_spending(spending: DataFrame, direct: DataFrame, coupons: DataFrame) -> DataFrame:
-    """All receipts tied to a campaign, with their kind."""
+    """All receipts tied to a campaign, with their kind. ``spending`` is unique on the receipt.
+
+    Links are found and made distinct on the few columns that decide them; whole receipts are joined once, at the end.
+    """
+    slim = spending.select("receipt_id", "member_id", "mall_id", "receipt_transaction_date", "shop_id", "receipt_upload_date")
     keys = direct.select("member_id", F.col("spending_mall_id").alias("mall_id"), F.col("spending_transaction_date").alias("receipt_transaction_date"), *LINK).distinct()
-    first = spending.join(keys, ["member_id", "mall_id", "receipt_transaction_date"])
+    first = slim.join(keys, ["member_id", "mall_id", "receipt_transaction_date"])
     hits = direct.select("receipt_id", *LINK)
     first = joins.flag_exists(first, hits, {c: c for c in ("receipt_id", *LINK)}, "_direct")
     same_day = coupons.filter("coupon_used_date = coupon_redeem_date")
@@ -122,11 +126,12 @@ def linked_spending(spending: DataFrame, direct: DataFrame, coupons: DataFrame)
     later = coupons.filter("coupon_used_date <> coupon_redeem_date")
     malls = later.select(F.col("redeem_coupon_member_id").alias("member_id"), F.col("coupon_used_in_mall_id").alias("mall_id"), F.col("coupon_used_date").alias("receipt_transaction_date"),
                          "spending_campaign_id", "tier_id", F.col("coupon_redeem_date").alias("redemption_date"), F.col("coupon_redeemed_mall_id").alias("redemption_mall_id")).distinct()
-    second = spending.join(malls, ["member_id", "mall_id", "receipt_transaction_date"])
+    second = slim.join(malls, ["member_id", "mall_id", "receipt_transaction_date"])
     second = joins.flag_exists(second, later, {"redeem_coupon_member_id": "member_id", "coupon_used_in_shop_id": "shop_id", "coupon_used_date": "receipt_transaction_date",
                                                "spending_campaign_id": "spending_campaign_id", "tier_id": "tier_id"}, "_shop")
     second = second.withColumn("linked_spend_type", F.when(F.col("_shop") == 1, SECOND).otherwise(SECOND_INDIRECT)).drop("_shop")
-    return sets.union_distinct(first, second)
+    links = sets.union_distinct(*[df.select("receipt_id", *LINK, "linked_spend_type") for df in (first, second)])
+    return spending.join(links, "receipt_id")
 
 
 def without_repeats(linked: DataFrame) -> DataFrame:

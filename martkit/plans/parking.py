@@ -162,8 +162,12 @@ def charging_evidence(sessions: DataFrame, *, offset_hours: int = 8) -> DataFram
 
 def identity_history(parts: Sequence[DataFrame], member: DataFrame, *, hidden_status: str = "V") -> DataFrame:
     """All evidence of known members; plates of deleted members are pseudonyms."""
+    return _known(sets.union_evidence(parts, EVIDENCE).distinct(), member, hidden_status)
+
+
+def _known(df: DataFrame, member: DataFrame, hidden_status: str) -> DataFrame:
     known = member.select(F.upper("member_id").alias("_mid"), "status")
-    df = sets.union_evidence(parts, EVIDENCE).distinct().join(known, F.upper("member_id") == F.col("_mid"))
+    df = df.join(known, F.upper("member_id") == F.col("_mid"))
     return df.withColumn("car_plate", privacy.hash_when(F.col("car_plate"), F.col("status") == hidden_status)).drop("_mid", "status")
 
 
@@ -175,6 +179,13 @@ def parker_identity(history: DataFrame) -> DataFrame:
         aggregates.ever(kind == BY_CHARGING).alias("is_ev_charging_carplate"))
 
 
+def parker_identity_of(parts: Sequence[DataFrame], member: DataFrame, *, hidden_status: str = "V") -> DataFrame:
+    """``parker_identity`` straight from the evidence: three columns of it, summed up to one row a pair before the members are joined."""
+    pairs = parker_identity(sets.union_all(*[p.select("member_id", "car_plate", "identify_type") for p in parts]))
+    flags = [c for c in pairs.columns if c.startswith("is_")]
+    return _known(pairs, member, hidden_status).groupBy("member_id", "car_plate").agg(*[F.max(c).alias(c) for c in flags])
+
+
 def contactless_pairs(vehicles: DataFrame, event_log: DataFrame, *, as_of: date | str) -> DataFrame:
     """Member and plate pairs registered up to yesterday: today's adds are taken out, today's removals put back."""
     low = lambda c: F.trim(F.lower(c))
