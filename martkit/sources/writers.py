@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import DateType
 
 from martkit.functions import dates
 from martkit.operators import projection
 from martkit.operators.sets import split_by
-from martkit.sources.staging import Stage
+from martkit.sources.staging import Stage, recompute
 
 
 def write_snapshot(df: DataFrame, path: str, by: Sequence[str] = (), spread: int | None = None) -> None:
@@ -129,10 +129,21 @@ def write_split(df: DataFrame, cond: Column, first: str, second: str, stage: Sta
 
 
 def backup_and_replace(df: DataFrame, path: str, backup: str, by: str, first: date | str, stage: Stage,
-                       check: Callable[[DataFrame], bool] | None = None) -> None:
-    """Copy the days about to change, then replace them from ``first`` on. The new rows are computed once."""
-    df = stage(df, "new")
+                       check: Callable[[DataFrame], bool] | None = None, metrics: Mapping[str, Column] | None = None,
+                       expect: Callable[[dict], bool] | None = None) -> None:
+    """Copy the days about to change, then replace them from ``first`` on. The new rows are computed once.
+
+    ``metrics`` are aggregates gathered while the new rows are staged, without a scan of their own; ``expect`` is
+    handed their values and says whether the load goes on. ``check`` looks at the staged rows instead. Either
+    stops the load before the target is touched; ``stage`` must write.
+    """
     spark = df.sparkSession
+    if metrics and stage is recompute:
+        raise ValueError("metrics are gathered by a stage that writes")
+    seen = Observation() if metrics else None
+    df = stage(df.observe(seen, *[c.alias(n) for n, c in metrics.items()]) if metrics else df, "new")
+    if seen is not None and expect is not None and not expect(seen.get):
+        raise ValueError(f"the new rows are not as expected: {seen.get}; nothing was replaced")
     old = spark.read.parquet(path).filter(F.col(by) >= F.lit(dates.as_date(first)))
     write_snapshot(old, backup, [by])
     if check is not None and not check(df):

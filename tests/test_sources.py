@@ -142,3 +142,36 @@ def test_stream_loads_each_file_once_and_archives(spark, tmp_path):
     out = spark.read.parquet(dst)
     assert sorted(r.id for r in out.collect()) == list(range(10))
     assert {str(r.dt) for r in out.select("dt").distinct().collect()} == {"2023-12-31"}
+
+
+def test_checks_in_flight_stop_a_load(spark, tmp_path):
+    """Totals are gathered while the rows are staged: each row is computed once, and a load that looks wrong changes nothing."""
+    path, backup = f"{tmp_path}/facts", f"{tmp_path}/backup"
+    old = spark.range(40).selectExpr("id", "id * 10 as amount", "date_add(date '2024-01-01', cast(id div 10 as int)) as day")
+    writers.write_snapshot(old, path, ["day"])
+    computed = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            computed.add(batch.num_rows)
+            yield batch
+
+    fresh = spark.range(20, 45).selectExpr("id", "id * 11 as amount", "date_add(date '2024-01-01', cast(id div 10 as int)) as day").mapInArrow(seen, "id long, amount long, day date")
+    metrics = {"n": F.count(F.lit(1)), "total": F.sum("amount"), "unplaced": F.count_if(F.col("day").isNull())}
+    got = {}
+
+    def expect(values, least):
+        got.update(values)
+        return values["n"] >= least and not values["unplaced"]
+
+    with staging.StagedTables(spark, f"{tmp_path}/stage") as stage:
+        with pytest.raises(ValueError, match="nothing was replaced"):
+            writers.backup_and_replace(fresh, path, backup, "day", "2024-01-03", stage, metrics=metrics, expect=lambda v: expect(v, 100))
+        assert got == {"n": 25, "total": sum(11 * i for i in range(20, 45)), "unplaced": 0} and computed.value == 25
+        assert spark.read.parquet(path).agg(F.sum("amount")).first()[0] == 10 * sum(range(40))
+        writers.backup_and_replace(fresh, path, backup, "day", "2024-01-03", stage, metrics=metrics, expect=lambda v: expect(v, 20))
+        with pytest.raises(ValueError):
+            writers.backup_and_replace(fresh, path, backup, "day", "2024-01-03", staging.recompute, metrics=metrics)
+    assert computed.value == 50
+    assert spark.read.parquet(path).agg(F.sum("amount")).first()[0] == 10 * sum(range(20)) + 11 * sum(range(20, 45))
+    assert spark.read.parquet(backup).count() == 20
