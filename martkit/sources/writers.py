@@ -28,6 +28,17 @@ def write_snapshot(df: DataFrame, path: str, by: Sequence[str] = (), spread: int
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, by: Sequence[str], buckets: int, path: str | None = None) -> None:
+    """Overwrite a table of the catalog whose files are bucketed and sorted by ``by``.
+
+    Joins and aggregations on these columns of tables with as many buckets need no exchange. The rows are dealt
+    as the buckets are, so each bucket is one file. A key's rows stay
+    together, so bucket facts by their own id. ``path`` keeps the files outside the warehouse.
+    """
+    writer = df.repartition(buckets, *by).write.mode("overwrite").format("parquet").bucketBy(buckets, *by).sortBy(*by)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
 def append_log(df: DataFrame, path: str, by: str, stamp: date | str) -> None:
     """Append a snapshot to a log partitioned by its day.
 

@@ -175,3 +175,23 @@ def test_checks_in_flight_stop_a_load(spark, tmp_path):
     assert computed.value == 50
     assert spark.read.parquet(path).agg(F.sum("amount")).first()[0] == 10 * sum(range(20)) + 11 * sum(range(20, 45))
     assert spark.read.parquet(backup).count() == 20
+
+
+def test_bucketed_facts_meet_without_exchange(spark, tmp_path):
+    from martkit.operators import joins
+
+    receipts = spark.range(5000).selectExpr("id as receipt_id", "id % 70 as member", "id % 13 as amount")
+    points = spark.range(0, 5000, 3).selectExpr("id as receipt_id", "id % 7 as points")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        writers.write_bucketed(receipts, "receipts_b", ["receipt_id"], 6, f"{tmp_path}/receipts")
+        writers.write_bucketed(points, "points_b", ["receipt_id"], 6, f"{tmp_path}/points")
+        facts, side = spark.table("receipts_b"), spark.table("points_b")
+        for df in (facts.join(side, "receipt_id", "left"), joins.anti(facts, side, {"receipt_id": "receipt_id"}), facts.join(side.groupBy("receipt_id").agg(F.sum("points").alias("p")), "receipt_id")):
+            assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+        assert facts.join(side, "receipt_id", "left").count() == 5000 and joins.anti(facts, side, {"receipt_id": "receipt_id"}).count() == 5000 - points.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql("drop table if exists receipts_b")
+        spark.sql("drop table if exists points_b")
