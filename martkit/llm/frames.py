@@ -6,6 +6,7 @@ import os
 import shutil
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -48,6 +49,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
 
 
 _SHIPPED: set[str] = set()
+BATCH_BYTES = str(16 << 20)  # Arrow batches are bounded by bytes, not only by rows
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -58,6 +60,7 @@ def ready(spark: SparkSession) -> SparkSession:
         root = os.path.dirname(os.path.abspath(martkit.__file__))
         archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "martkit_code"), "zip", os.path.dirname(root), os.path.basename(root))
         spark.sparkContext.addPyFile(archive)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return prepare(spark)
 
 
@@ -71,25 +74,54 @@ def joined_sha256(items: str) -> F.Column:
     return F.sha2(F.array_join(F.array_sort(F.col(items).cast("array<string>")), ",").cast("binary"), 256)
 
 
+_SCOPES: list[list[Workspace]] = []
+
+
+@contextmanager
+def scratch_scope() -> Iterator[None]:
+    """Delete the tables of all workspaces opened inside when it ends; results must be written by then."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for work in _SCOPES.pop():
+            work.close()
+
+
 class Workspace:
     """Tables written to the cluster's shared folder to cut lineage, dropped once nothing reads them.
 
-    A lost executor costs a re-read of the files, never the whole chain.
+    A lost executor costs a re-read of the files, never the whole chain. What is still there when
+    the surrounding ``scratch_scope`` ends, or at the latest when the driver's JVM does, is deleted then.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root, self.made = spark, scratch_path(spark, name), 0
+        if _SCOPES:
+            _SCOPES[-1].append(self)
+
+    def _folder(self, path: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
     def put(self, df: DataFrame) -> DataFrame:
+        if not self.made:
+            files, root = self._folder(self.root)
+            files.mkdirs(root)
+            files.deleteOnExit(root)
         self.made += 1
         path = f"{self.root}/{self.made}"
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def close(self) -> None:
+        """Delete all tables; later reads of them fail."""
+        files, root = self._folder(self.root)
+        files.delete(root, True)
+
     def drop(self, *frames: DataFrame) -> None:
         """Delete the files below tables made by ``put``; later reads of them fail."""
-        jvm = self.spark._jvm
         for df in frames:
             for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
-                path = jvm.org.apache.hadoop.fs.Path(folder)
-                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+                files, path = self._folder(folder)
+                files.delete(path, True)

@@ -33,7 +33,7 @@ SHINGLE, PERCENT = 3, 85
 ROWS, BITS = 6, 4
 MISSED = 2e-6  # most pairs at the limit that may have no common band
 BLOCK = 512
-WORDS_KEPT = 400_000
+WORDS_KEPT = 60_000
 _CELLS = 64 // BITS
 _LOW = np.uint64(sum(1 << BITS * i for i in range(_CELLS)))
 

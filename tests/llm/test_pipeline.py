@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from martkit.llm import decontaminate, nearcopies, queries, quality
 from tests.llm.conftest import SF
-from tests.llm.test_dedup import brute_links, brute_repeats
+from tests.llm.test_dedup import brute_repeats
 from tests.llm.test_texts import check_packing
 
 
@@ -16,34 +16,6 @@ def test_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
-def test_stages(spark, tmp_path):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    for number, (name, stage) in enumerate(corpus_pipeline.STAGES):
-        before = {r["doc_id"]: r for r in docs.collect()}
-        stage(spark, docs, SF).write.parquet(f"{tmp_path}/{number}")
-        after = spark.read.parquet(f"{tmp_path}/{number}")
-        rows = after.collect()
-        texts = {i: r["text"] for i, r in before.items()}
-        if number < 4:
-            assert after.columns == docs.columns
-        if number == 0:
-            good = {r["doc_id"] for r in quality.judge_quality(docs, spark.read.parquet(f"{SF}/labels.parquet")).collect() if r["predicted"]}
-            assert {r["doc_id"] for r in rows} == good and 0 < len(good) < len(before)
-        if number == 1:
-            assert {r["doc_id"] for r in rows} == {i for i, x in brute_links(texts).items() if x[2]}
-        if number == 2:
-            want = brute_repeats(texts)
-            for r in rows:
-                assert 0 <= len(r["text"].encode()) - (want[r["doc_id"]][0] - want[r["doc_id"]][1]) <= 6 * want[r["doc_id"]][2] and r["n_chars"] == len(r["text"])
-        if number == 3:
-            hit = {r["doc_id"] for r in decontaminate.find_leaks(docs, spark.read.parquet(f"{SF}/benchmark.parquet")).collect() if r["n_hit"]}
-            assert {r["doc_id"] for r in rows} == set(before) - hit
-        if number == 4:
-            check_packing(rows, texts)
-        docs = after
-    assert corpus_pipeline.run(spark, SF).count() == len(rows)
-
-
 def test_stages_on_odd_rows(spark, docs, no_docs, tmp_path):
     for some, folder in ((docs, "odd"), (no_docs, "none")):
         for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
@@ -91,14 +63,20 @@ def test_bands_follow_the_limit():
     assert [nearcopies.bands_for(p) for p in (100, 85, 80)] == [1, 28, 44]
 
 
-def test_stages_in_turn(spark, tmp_path):
-    """All stages in turn, the near copies by the stage's own rule."""
+def test_stages(spark, tmp_path):
+    """All stages in turn, each against what it should keep of its own input."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
-        texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+        before = {r["doc_id"]: r for r in docs.collect()}
+        texts = {i: r["text"] for i, r in before.items()}
         stage(spark, docs, SF).write.parquet(f"{tmp_path}/{number}")
-        docs = spark.read.parquet(f"{tmp_path}/{number}")
-        rows = docs.collect()
+        after = spark.read.parquet(f"{tmp_path}/{number}")
+        rows = after.collect()
+        if number < 4:
+            assert after.columns == docs.columns
+        if number == 0:
+            good = {r["doc_id"] for r in quality.judge_quality(docs, spark.read.parquet(f"{SF}/labels.parquet")).collect() if r["predicted"]}
+            assert {r["doc_id"] for r in rows} == good and 0 < len(good) < len(before)
         if number == 1:
             assert {r["doc_id"] for r in rows} == kept_of_near_copies(texts)
         if number == 2:
@@ -106,5 +84,10 @@ def test_stages_in_turn(spark, tmp_path):
             assert {r["doc_id"] for r in rows} == set(texts)
             for r in rows:
                 assert 0 <= len(r["text"].encode()) - (want[r["doc_id"]][0] - want[r["doc_id"]][1]) <= 6 * want[r["doc_id"]][2] and r["n_chars"] == len(r["text"])
+        if number == 3:
+            hit = {r["doc_id"] for r in decontaminate.find_leaks(docs, spark.read.parquet(f"{SF}/benchmark.parquet")).collect() if r["n_hit"]}
+            assert {r["doc_id"] for r in rows} == set(before) - hit
         if number == 4:
             check_packing(rows, texts)
+        docs = after
+    assert corpus_pipeline.run(spark, SF).count() == len(rows)
