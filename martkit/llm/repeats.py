@@ -36,6 +36,8 @@ from pyspark.sql import functions as F
 
 from martkit.llm.frames import Workspace, blobs, map_batches
 from martkit.llm.suffixes import common_prefixes, suffix_array
+from martkit.operators.joins import hot_keys
+from martkit.operators.reduction import split_by_filter
 
 LENGTH = 100
 GRAM = 24
@@ -181,20 +183,26 @@ def _anchor_rows(docs: DataFrame) -> DataFrame:
 
 
 def _settle(rows: DataFrame) -> DataFrame:
-    """One pass over anchors sorted by gram, context and place.
+    """One pass over staged anchors sorted by gram, context and place.
 
-    Gives spans that go (null gram) and, for grams with several contexts, the first place of each.
+    Gives spans that go (null gram) and, for grams with several contexts, the first place of each. Grams that a
+    sketch finds in more rows than a fair task are dealt by gram and context: equal contexts still meet,
+    and as such a gram's contexts no longer all do, it counts as one with several.
     """
-    dealt = rows.repartition("gram").sortWithinPartitions("gram", "context", "doc_id", "start")
+    hot = F.broadcast(hot_keys(rows.where("context is not null"), ["gram"]))  # at most two rows a task
+    parted = rows.join(hot, F.xxhash64("gram") == F.col("_hot"), "left")
+    parted = parted.withColumn("piece", F.when(F.col("_salts").isNotNull(), F.pmod("context", "_salts"))).drop("_hot", "_salts")
+    dealt = parted.repartition("gram", "piece").sortWithinPartitions("gram", "piece", "context", "doc_id", "start")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple | None = None  # gram, context of the last anchor
         pending: tuple | None = None  # the only context so far of the last gram
         for batch in batches:
             spans = batch.column(1).is_null().to_numpy(zero_copy_only=False)
-            table = [c.to_numpy(zero_copy_only=False) for c in batch.filter(pa.array(~spans)).columns]
-            gram, context, doc, start, right = (c.astype(np.int64) for c in table)
-            gone = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.filter(pa.array(spans)).columns[2:]]
+            table = batch.filter(pa.array(~spans))
+            split = table.column(5).is_valid().to_numpy(zero_copy_only=False)
+            gram, context, doc, start, right = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in table.columns[:5])
+            gone = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.filter(pa.array(spans)).columns[2:5]]
             if len(gram):
                 same_gram = np.concatenate(([last is not None and gram[0] == last[0]], gram[1:] == gram[:-1]))
                 again = same_gram & np.concatenate(([last is not None and context[0] == last[1]], context[1:] == context[:-1]))
@@ -204,11 +212,12 @@ def _settle(rows: DataFrame) -> DataFrame:
                 gone = [np.concatenate(p) for p in zip(gone, (doc[goes], np.maximum(start[goes] - REACH, 0), start[goes] + right[goes]), strict=True)]
                 new = np.flatnonzero(~again)
                 g, d, s, r, later = gram[new], doc[new], start[new], right[new], same_gram[new]
+                cut = split[new]
                 if pending is not None:
                     g, d, s, r = (np.concatenate(([p], c)) for p, c in zip(pending, (g, d, s, r), strict=True))
-                    later = np.concatenate(([False], later))
+                    later, cut = np.concatenate(([False], later)), np.concatenate(([False], cut))
                 followed = np.concatenate((later[1:], [False])) if len(later) else later
-                shared = later | followed
+                shared = later | followed | cut
                 # The last context stays open while it is the only one of its gram.
                 pending = (g[-1], d[-1], s[-1], r[-1]) if len(g) and not shared[-1] else None
                 if len(g) and not shared[-1]:
@@ -389,7 +398,9 @@ def _meet(cut: DataFrame, shard_bytes: int) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, work: Workspace, shard_bytes: int = SHARD_BYTES, many_contexts: int = MANY_CONTEXTS) -> DataFrame:
     """doc_id and spans (sorted, disjoint) of the bytes that go, for documents that have any."""
-    settled = work.put(_settle(_anchor_rows(docs)))
+    anchored = work.put(_anchor_rows(docs))
+    settled = work.put(_settle(anchored))
+    work.drop(anchored)
     wanted = settled.where("gram is not null")
     many = wanted.groupBy("gram").agg(F.count("*").alias("n")).where(f"n > {many_contexts}").select("gram", F.lit(True).alias("many"))
     places = (
@@ -422,6 +433,14 @@ def repeated_spans(docs: DataFrame, work: Workspace, shard_bytes: int = SHARD_BY
     return result
 
 
+def _with_spans(docs: DataFrame, spans: DataFrame, name: str) -> DataFrame:
+    """The rows with their spans; rows whose document surely has none are not shuffled."""
+    spans = spans.withColumnRenamed("spans", name)
+    some, none = split_by_filter(docs, spans, {"doc_id": "doc_id"})
+    found = some.join(spans, "doc_id", "left").select(*docs.columns, name)
+    return found if none is None else found.unionByName(none.withColumn(name, F.lit(None).cast(spans.schema[name].dataType)))
+
+
 def _kept(text: bytes, spans: list[dict]) -> bytes:
     out, at = [], 0
     for span in spans:
@@ -447,7 +466,7 @@ def repeated_bytes(docs: DataFrame, shard_bytes: int = SHARD_BYTES, many_context
         columns = [pa.array([r[i] for r in rows], pa.string() if i == 3 else pa.int64()) for i in range(4)]
         return pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    rows = docs.select("doc_id", "text").join(spans, "doc_id", "left").select("doc_id", "text", "spans")
+    rows = _with_spans(docs.select("doc_id", "text"), spans, "spans")
     return map_batches(rows, run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
@@ -456,7 +475,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     A character of several bytes goes only if all its bytes do. ``n_chars``, if there, follows the text.
     """
-    spans = repeated_spans(docs, Workspace(docs.sparkSession, "repeats")).withColumnRenamed("spans", "__spans")
+    spans = repeated_spans(docs, Workspace(docs.sparkSession, "repeats"))
     at, n = docs.columns.index("text"), len(docs.columns)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
@@ -480,5 +499,5 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         columns[at] = pa.array(texts, pa.string())
         return pa.RecordBatch.from_arrays(columns, batch.schema.names[:n])
 
-    out = map_batches(docs.join(spans, "doc_id", "left").select(*docs.columns, "__spans"), run, schema)
+    out = map_batches(_with_spans(docs, spans, "__spans"), run, schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

@@ -3,7 +3,7 @@
 import hashlib
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -127,6 +127,28 @@ def test_repeated_bytes_query(spark):
     assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in rows} == brute_repeats(read(spark, SF))
 
 
+def test_a_gram_of_most_documents_is_split(spark):
+    """A header stands in all documents, in as many contexts: its anchors are dealt over tasks, and results stay exact."""
+    rng = random.Random(9)
+    own = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    header = "-- a common header, of seventy letters or more, stands above every page --"
+    passage = own(130)
+    texts = {i: own(90) + header + own(90) + (passage if i % 50 == 7 else "") for i in range(3000)}
+    texts |= {5000 + i: texts[3 * i] for i in range(200)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    anchored = repeats._anchor_rows(docs).cache()
+    hottest = anchored.groupBy("gram").count().agg(F.max("count")).first()[0]
+    assert repeats.hot_keys(anchored, ["gram"]).count() > 0 and hottest > 1000
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rows = repeats._settle(anchored).where("gram is not null").withColumn("task", F.spark_partition_id()).collect()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    top = Counter(r["gram"] for r in rows).most_common(1)[0][0]
+    assert len({r["task"] for r in rows if r["gram"] == top}) > 2
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in repeats.repeated_bytes(docs).collect()}
+    assert got == brute_repeats(texts)
+    anchored.unpersist()
+
+
 def test_without_repeats_keeps_characters_whole(spark):
     rng = random.Random(2)
     shared = "".join(rng.choice("äöüß€") for _ in range(90))
