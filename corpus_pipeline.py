@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martkit.llm import decontaminate, nearcopies, packing, quality, repeats
-from martkit.llm.frames import Workspace, ready, table
+from martkit.llm.frames import Workspace, ready, scratch_scope, table
+from martkit.operators.reduction import anti_reduced
 
 # What is a near copy here; op3_near_copies has limits of its own.
 SHINGLE, PERCENT = 5, 80
@@ -29,7 +30,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies; all others, and rows without id, stay."""
     ready(spark)
     gone = nearcopies.near_copies(docs, SHINGLE, PERCENT).where("not kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return anti_reduced(docs, gone, {"doc_id": "doc_id"})  # texts that surely stay are not shuffled
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,7 +65,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = Workspace(ready(spark), "pipeline")
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        done = work.put(stage(spark, docs, sf_dir))
+        with scratch_scope():
+            done = work.put(stage(spark, docs, sf_dir))
         if work.made > 1:
             work.drop(docs)
         docs = done
