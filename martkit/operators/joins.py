@@ -83,7 +83,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], tasks: int | None = None) -> Da
     tracks enough items that none above half a task's share is missed. At most ``2 * tasks`` rows, so the
     result may be broadcast. ``tasks`` is the session's number of shuffle partitions unless named.
     """
-    tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = min(tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 60_000)  # the sketch tracks a million items at most
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     tracked = max(64, 16 * tasks)
     sketch = df.filter(known).select(F.xxhash64(*keys).alias("_h")).agg(
