@@ -44,7 +44,7 @@ GRAM = 24
 REACH = LENGTH - GRAM  # bytes that a string can have on one side of its gram
 WIDE = REACH + LENGTH
 CHUNK_BYTES = 1 << 17
-SHARD_BYTES = 1_000_000
+SHARD_BYTES = 600_000
 MANY_CONTEXTS = 2_000  # contexts of one gram beyond which they are parted at once
 END = 255  # a byte that no UTF-8 text holds
 
