@@ -1,5 +1,6 @@
 """What must hold at any size: results do not depend on segments, plans stay parallel, hot keys are split."""
 
+import re
 import random
 import time
 
@@ -203,3 +204,19 @@ def test_a_trusted_history_is_not_shuffled(spark):
     assert plan.count("Arguments: hashpartitioning") == 1
     assert plan.index("Union") < plan.index("HashAggregate")  # only one branch below the union is aggregated
     assert df.count() == rows.count()
+
+
+def test_receipts_are_shuffled_once_a_key(spark):
+    """Joins of whole receipts on one key, and the removal of repeated rows after them, share a shuffle."""
+    import __spark_entry__ as entry
+
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = entry.queries()["mart_spending_full_variant"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    shuffles = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert shuffles and not any(s.count("#") > 5 for s in shuffles)  # none for the distinct rows alone
+    assert sum(s.startswith("receipt_id") for s in shuffles) <= 3  # before and after food orders are left out, and of the duplicates' keys
+    assert sum(s.startswith("spending_transaction_id") and "_at" in s for s in shuffles) <= 2  # those of the allocated points
