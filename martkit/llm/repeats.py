@@ -20,7 +20,9 @@ A gram with very many contexts (a common line, the edges of a common passage)
 is not led to one shard. Each string holds more than half of its bytes besides
 the gram on one side, so its contexts go once by a key that is longer to the
 left and once by one longer to the right. What is still too large for a shard
-is parted again in the same way, until a key is a whole string.
+is parted again in the same way, until a key is a whole string. A part is shorter
+than its context, so parts of differing contexts are often equal; of those only the first
+goes on, so that a hot gram costs its distinct parts in each round.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -328,14 +331,28 @@ def repeated_in_shard(doc: np.ndarray, start: np.ndarray, parts: list[bytes]) ->
 
 
 def _meet(cut: DataFrame, shard_bytes: int) -> DataFrame:
-    """Spans that go, and of groups too large for a shard their parts or, where the key is a whole string, its hash."""
-    dealt = cut.repartition("key").sortWithinPartitions("key")
+    """Spans that go, and of groups too large for a shard their parts or, where the key is a whole string, its hash.
+
+    Of equal parts of a group only the first is compared or led on: the others go whole.
+    """
+    dealt = cut.repartition("key").sortWithinPartitions("key", "left", "right", "at", "part", "doc_id", "start")
     kinds = {"h1": pa.int64(), "h2": pa.int64(), "doc_id": pa.int64(), "start": pa.int64(), "end": pa.int64(), "part": pa.binary(), "at": pa.int32(), "left": pa.int32(), "right": pa.int32()}
 
     def result(n: int, **columns: pa.Array | list | np.ndarray) -> pa.RecordBatch:
         arrays = [pa.nulls(n, kind) if name not in columns else columns[name] if isinstance(columns[name], pa.Array) else pa.array(columns[name], kind) for name, kind in kinds.items()]
         return pa.RecordBatch.from_arrays(arrays, list(kinds))
 
+    def followers(batch: pa.RecordBatch, before: pa.RecordBatch | None) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each row has the part of the row before it, and whether it is that very place, of a document given twice."""
+        rows = batch if before is None else pa.Table.from_batches([before, batch]).combine_chunks().to_batches()[0]
+        n = rows.num_rows
+
+        def same(*names: str) -> np.ndarray:
+            equal = [pc.equal(rows.column(c).slice(1), rows.column(c).slice(0, n - 1)).to_numpy(zero_copy_only=False) for c in names]
+            return np.concatenate(([False] * (before is None), reduce(np.logical_and, equal))).astype(bool)
+
+        return same("key", "left", "right", "at", "part"), same("doc_id", "start")
+
     def flush(keys: list[np.ndarray], held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(held)
         key = np.concatenate(keys)
@@ -362,10 +379,20 @@ def _meet(cut: DataFrame, shard_bytes: int) -> DataFrame:
         keys: list[np.ndarray] = []
         size, large = 0, None  # bytes held; key of a group that is led on
         group = 0  # bytes held of the last key
+        before: pa.RecordBatch | None = None  # the last row
         for batch in batches:
+            if not batch.num_rows:
+                continue
+            again, itself = followers(batch, before)
+            before = batch.slice(batch.num_rows - 1)
+            gone = batch.filter(pa.array(again & ~itself))
+            if gone.num_rows:
+                start = gone.column("start").to_numpy()
+                yield result(gone.num_rows, doc_id=gone.column("doc_id"), start=start, end=start + pc.binary_length(gone.column("part")).to_numpy())
+            batch = batch.filter(pa.array(~again))
             key = batch.column(0).to_numpy()
             edges = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
-            lengths = np.concatenate(([0], np.cumsum([len(p) + 1 for p in batch.column("part").to_pylist()])))
+            lengths = np.concatenate(([0], np.cumsum(pc.binary_length(batch.column("part")).to_numpy() + 1)))
             for lo, hi in zip(edges[:-1], edges[1:], strict=True):
                 if lo == hi:
                     continue
