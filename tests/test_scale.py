@@ -220,3 +220,34 @@ def test_receipts_are_shuffled_once_a_key(spark):
     assert shuffles and not any(s.count("#") > 5 for s in shuffles)  # none for the distinct rows alone
     assert sum(s.startswith("receipt_id") for s in shuffles) <= 3  # before and after food orders are left out, and of the duplicates' keys
     assert sum(s.startswith("spending_transaction_id") and "_at" in s for s in shuffles) <= 2  # those of the allocated points
+
+
+def test_dimensions_come_to_where_rows_lie(spark):
+    """``enrich_at`` gives what ``enrich`` gives, also for null keys, hot places and equal rows, and shuffles whole rows once."""
+    data = [(None if i % 11 == 0 else f"t{0 if i % 3 else i % 7}", None if i % 5 == 0 else i % 9, f"r{i % 40}", i // 2 % 50) for i in range(300)]
+    facts = spark.createDataFrame(data, "at string, shop long, ref string, payload long")
+    shops = spark.createDataFrame([(i, f"s{i}", None if i == 3 else i * 2) for i in range(0, 8)], "id long, name string, area long")
+    refs = spark.createDataFrame([(f"r{i}", 1) for i in range(0, 40, 3)], "ref string, hit int")
+    dims = [(shops, {"id": "shop"}, {"name": "shop_name", "area": "area"}), (refs, {"ref": "ref"}, {"hit": "hit"})]
+    known = facts.filter("at is not null")
+    names = [*facts.columns, "shop_name", "area", "hit"]
+    key = lambda rows: sorted(rows, key=str)
+    want = key(tuple(r) for r in joins.enrich(known, dims).select(*names).collect())
+    got = joins.enrich_at(facts, "at", dims)
+    assert key(tuple(r) for r in got.filter("at is not null").select(*names).collect()) == want
+    lost = got.filter("at is null")
+    assert lost.count() == facts.filter("at is null").count() and lost.filter("shop_name is not null or hit is not null").count() == 0
+
+
+def test_spending_leads_whole_receipts_to_their_transaction_only(spark):
+    """The abnormal list, members and shops come to the transaction; a mall is met there, with broadcasts off in a shuffle of its own."""
+    import __spark_entry__ as entry
+
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = entry.queries()["mart_spending"](spark, SF)._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    wide = {m[1] for line, child in zip(lines, lines[1:]) if "invoice_no" in child and (m := re.search(r"Exchange hashpartitioning\((\w+)#", line))}
+    assert wide and wide <= {"spending_transaction_id", "mall_id"}
