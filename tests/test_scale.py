@@ -251,3 +251,18 @@ def test_spending_leads_whole_receipts_to_their_transaction_only(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     wide = {m[1] for line, child in zip(lines, lines[1:]) if "invoice_no" in child and (m := re.search(r"Exchange hashpartitioning\((\w+)#", line))}
     assert wide and wide <= {"spending_transaction_id", "mall_id"}
+
+
+def test_redemptions_are_led_to_their_gift_and_their_member_only(spark):
+    """Tables on a gift are met with its content; members, shops and the abnormal list where repeated rows are removed."""
+    import __spark_entry__ as entry
+
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = entry.queries()["mart_redemption"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    shuffles = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert not any(s.count("#") > 5 for s in shuffles)  # none for the distinct rows alone
+    assert not any(s.startswith(("transaction_id", "gift_used_in_shop_id")) and "_at" in s for s in shuffles)  # whole rows do not go there
