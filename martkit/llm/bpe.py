@@ -23,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from martkit.llm.frames import map_batches
+from martkit.llm.frames import HELD, map_batches
 
 SHORT = 64  # most bytes of a pre-token that shares arrays with others
 WORDS_KEPT = 250_000  # in each of two generations
@@ -244,6 +244,10 @@ class BytePairs:
         self.bytes_of = [b""] * (max(tokens.values()) + 1)
         for token, i in tokens.items():
             self.bytes_of[i] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
+        self.forget()
+
+    def forget(self) -> None:
+        """Forget all words met so far."""
         self.words, self.pool = _Slots(), _Pool()
         self.older, self.older_pool = _Slots(), _Pool()
 
@@ -389,8 +393,16 @@ def in_portions(texts: list[str]) -> Iterator[list[str]]:
 _LOADED: dict[str, BytePairs] = {}
 
 
+def _forget() -> None:
+    for pairs in _LOADED.values():
+        pairs.forget()
+
+
+HELD.append(_forget)
+
+
 def byte_pairs(tokenizer_file: str) -> BytePairs:
-    """The vocabulary, loaded once in each worker."""
+    """The vocabulary, loaded once in each worker; its words are remembered for one task."""
     if tokenizer_file not in _LOADED:
         _LOADED.clear()
         _LOADED[tokenizer_file] = BytePairs(tokenizer_file)

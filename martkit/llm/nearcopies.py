@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martkit.llm.frames import Workspace, blobs, map_batches, space_words
+from martkit.llm.frames import Workspace, blobs, map_batches, map_stream, space_words
 from martkit.llm.graph import components
 
 SHINGLE, PERCENT = 3, 85
@@ -287,7 +287,7 @@ def _links_across(members: DataFrame, by: str, percent: int) -> DataFrame:
         if held:
             yield from _linked(pa.Table.from_batches(held).combine_chunks(), percent)
 
-    return dealt.mapInArrow(run, f"a {kind}, b {kind}").distinct()
+    return map_stream(dealt, run, f"a {kind}, b {kind}").distinct()
 
 
 def near_copies(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martkit.llm.bpe import byte_pairs, in_portions
-from martkit.llm.frames import Workspace, map_batches
+from martkit.llm.frames import Workspace, map_batches, map_stream
 
 CAPACITY = 2048
 OPEN_SEQUENCES = 16_384
@@ -125,7 +125,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, open_sequences: int = OPEN
             yield pa.RecordBatch.from_arrays([*batch.columns, sequences, offsets], [*batch.schema.names, "sequence_id", "offset"])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema]
-    return dealt.mapInArrow(run, ", ".join([*fields, "sequence_id long", "offset long"]))
+    return map_stream(dealt, run, ", ".join([*fields, "sequence_id long", "offset long"]))
 
 
 def pack_documents(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, open_sequences: int = OPEN_SEQUENCES, keep_ids: bool = False) -> DataFrame:

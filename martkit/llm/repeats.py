@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martkit.llm.frames import Workspace, blobs, map_batches
+from martkit.llm.frames import Workspace, blobs, map_batches, map_stream
 from martkit.llm.suffixes import common_prefixes, suffix_array
 from martkit.operators.joins import hot_keys
 from martkit.operators.reduction import split_by_filter
@@ -240,7 +240,7 @@ def _settle(rows: DataFrame) -> DataFrame:
                 ["gram", "doc_id", "start", "end"],
             )
 
-    return dealt.mapInArrow(run, f"gram long, {SPAN}")
+    return map_stream(dealt, run, f"gram long, {SPAN}")
 
 
 MEETING = "key long, doc_id long, start long, part binary, at int, left int, right int"
@@ -420,7 +420,7 @@ def _meet(cut: DataFrame, shard_bytes: int) -> DataFrame:
         if held:
             yield from flush(keys, held)
 
-    return dealt.mapInArrow(run, f"h1 long, h2 long, {SPAN}, part binary, at int, left int, right int")
+    return map_stream(dealt, run, f"h1 long, h2 long, {SPAN}, part binary, at int, left int, right int")
 
 
 def repeated_spans(docs: DataFrame, work: Workspace, shard_bytes: int = SHARD_BYTES, many_contexts: int = MANY_CONTEXTS) -> DataFrame:

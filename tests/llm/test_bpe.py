@@ -5,10 +5,11 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from martkit.llm import bpe, queries
+from martkit.llm import bpe, frames, queries
 from tests.llm.conftest import SF
 
 FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -104,6 +105,25 @@ def test_memory_is_bounded(pairs, library, monkeypatch):
         assert len(some.words) <= 50 + 180 and some.pool.used <= (50 + 180) * 4
 
 
+def test_a_worker_hands_back_its_memory_after_a_task(library):
+    """Workers outlive tasks and stages: words and Arrow's free memory go with the task, and the next task gives the same ids."""
+
+    class Frame:
+        mapInArrow = staticmethod(lambda task, schema: task)
+
+    texts = [" ".join(f"w{i}x{j}" for j in range(500)) for i in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    task = frames.map_batches(Frame, lambda b: pa.RecordBatch.from_arrays([pa.array(bpe.byte_pairs(FILE).encode(b.column(0).to_pylist()))], ["ids"]), "ids binary")
+    want = [w.ids for w in library.encode_batch(texts, add_special_tokens=False)]
+    for _ in range(2):
+        running = task([batch])
+        assert [ids(x) for x in next(running).column(0).to_pylist()] == want
+        assert bpe.byte_pairs(FILE).words.count > 10_000
+        assert list(running) == []
+        held = bpe.byte_pairs(FILE)
+        assert not held.words and not held.older and not held.words.noted and held.pool.used == held.older_pool.used == 0
+
+
 def test_other_vocabularies_are_refused():
     with pytest.raises(ValueError):
         bpe.BytePairs(public_tokenizers.path("word_bpe_49k.json"))
