@@ -1,4 +1,4 @@
-"""Anti joins and upserts that shuffle only the rows that may be hit.
+"""Semi and anti joins and upserts that shuffle only the rows that may be hit.
 
 The keys of the small side are hashed into the bits of a Bloom filter: one array of 64-bit words, built by
 OR-ing bits in an aggregation and handed to every task as the value of a scalar subquery. A row of the large
@@ -14,7 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from martkit.operators.joins import anti
+from martkit.operators.joins import anti, semi
 
 BITS_PER_KEY = 16
 PROBES = 4
@@ -69,6 +69,11 @@ def anti_reduced(df: DataFrame, other: DataFrame, on: Mapping[str, str], max_key
     return rest if never is None else never.unionByName(rest)
 
 
+def semi_reduced(df: DataFrame, other: DataFrame, on: Mapping[str, str], max_keys: int = MAX_KEYS) -> DataFrame:
+    """Rows of a large ``df`` with a match in a small ``other``, as ``semi``: rows that cannot match are not shuffled."""
+    return semi(split_by_filter(df, other, on, max_keys)[0], other, on)
+
+
 def replace_keys(history: DataFrame, delta: DataFrame, key: Sequence[str], max_keys: int = MAX_KEYS) -> DataFrame:
     """History rows whose key the delta does not hold, and all rows of the delta.
 

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, Window
 
 from martkit.functions import dates, numbers, text
 from martkit.operators import joins, latest, matching, sets
+from martkit.operators.reduction import semi_reduced
 from martkit.operators.rules import RuleIndex, match_rule_index, rule_index
 from martkit.sources.staging import Stage, recompute
 
@@ -108,14 +109,21 @@ def coupons_redeemed(coupon: DataFrame, chosen: DataFrame, conversion: DataFrame
     return sets.union_distinct(by_time.select(*columns), by_map.select(*columns))
 
 
-def linked_spending(spending: DataFrame, direct: DataFrame, coupons: DataFrame) -> DataFrame:
+def linked_spending(spending: DataFrame, direct: DataFrame, coupons: DataFrame, stage: Stage = recompute) -> DataFrame:
     """All receipts tied to a campaign, with their kind. ``spending`` is unique on the receipt.
 
-    Links are found and made distinct on the few columns that decide them; whole receipts are joined once, at the end.
+    Only receipts of a member, mall and day that a link names are led anywhere, once. Links are found and made
+    distinct on the few columns that decide them; whole receipts are joined once, at the end.
     """
-    slim = spending.select("receipt_id", "member_id", "mall_id", "receipt_transaction_date", "shop_id", "receipt_upload_date")
+    day = ["member_id", "mall_id", "receipt_transaction_date"]
     keys = direct.select("member_id", F.col("spending_mall_id").alias("mall_id"), F.col("spending_transaction_date").alias("receipt_transaction_date"), *LINK).distinct()
-    first = slim.join(keys, ["member_id", "mall_id", "receipt_transaction_date"])
+    later = coupons.filter("coupon_used_date <> coupon_redeem_date")
+    malls = later.select(F.col("redeem_coupon_member_id").alias("member_id"), F.col("coupon_used_in_mall_id").alias("mall_id"), F.col("coupon_used_date").alias("receipt_transaction_date"),
+                         "spending_campaign_id", "tier_id", F.col("coupon_redeem_date").alias("redemption_date"), F.col("coupon_redeemed_mall_id").alias("redemption_mall_id")).distinct()
+    days = stage(sets.union_distinct(keys.select(*day), malls.select(*day)), "linked-days")
+    receipts = stage(semi_reduced(spending, days, {c: c for c in day}), "linked-receipts")
+    slim = receipts.select("receipt_id", *day, "shop_id", "receipt_upload_date")
+    first = slim.join(keys, day)
     hits = direct.select("receipt_id", *LINK)
     first = joins.flag_exists(first, hits, {c: c for c in ("receipt_id", *LINK)}, "_direct")
     same_day = coupons.filter("coupon_used_date = coupon_redeem_date")
@@ -123,31 +131,31 @@ def linked_spending(spending: DataFrame, direct: DataFrame, coupons: DataFrame)
                                                 "coupon_redeemed_mall_id": "redemption_mall_id", "redeem_coupon_member_id": "member_id", "coupon_used_in_shop_id": "shop_id"}, "_same")
     kind = F.when(F.col("_direct") == 1, FIRST).when((F.col("_same") == 1) & (F.col("receipt_upload_date") == F.col("receipt_transaction_date")), SECOND).otherwise(FIRST_INDIRECT)
     first = first.withColumn("linked_spend_type", kind).drop("_direct", "_same")
-    later = coupons.filter("coupon_used_date <> coupon_redeem_date")
-    malls = later.select(F.col("redeem_coupon_member_id").alias("member_id"), F.col("coupon_used_in_mall_id").alias("mall_id"), F.col("coupon_used_date").alias("receipt_transaction_date"),
-                         "spending_campaign_id", "tier_id", F.col("coupon_redeem_date").alias("redemption_date"), F.col("coupon_redeemed_mall_id").alias("redemption_mall_id")).distinct()
-    second = slim.join(malls, ["member_id", "mall_id", "receipt_transaction_date"])
+    second = slim.join(malls, day)
     second = joins.flag_exists(second, later, {"redeem_coupon_member_id": "member_id", "coupon_used_in_shop_id": "shop_id", "coupon_used_date": "receipt_transaction_date",
                                                "spending_campaign_id": "spending_campaign_id", "tier_id": "tier_id"}, "_shop")
     second = second.withColumn("linked_spend_type", F.when(F.col("_shop") == 1, SECOND).otherwise(SECOND_INDIRECT)).drop("_shop")
     links = sets.union_distinct(*[df.select("receipt_id", *LINK, "linked_spend_type") for df in (first, second)])
-    return spending.join(links, "receipt_id")
+    return receipts.join(links, "receipt_id")
 
 
 def without_repeats(linked: DataFrame) -> DataFrame:
-    """One receipt per invoice and kind; an indirect copy of a direct invoice is dropped; weaker kinds of an invoice already counted in the campaign are marked."""
+    """One receipt per invoice and kind; an indirect copy of a direct invoice is dropped; weaker kinds of an invoice already counted in the campaign are marked.
+
+    Rows are shuffled once, to their campaign, member and invoice; a null there or in the other keys equals nothing. No row is given twice.
+    """
     same = [*LINK, "member_id", "invoice_no", "shop_id"]
-    direct = linked.filter(F.col("linked_spend_type") == FIRST)
-    copies = direct.select(*same).distinct().withColumn("linked_spend_type", F.lit(FIRST_INDIRECT))
-    kept = joins.anti(linked, copies, {c: c for c in (*same, "linked_spend_type")})
-    kept = latest.first_ranked(kept, [*same, "linked_spend_type"], ["receipt_id"])
     invoice = ["spending_campaign_id", "member_id", "invoice_no"]
-    # Strength of the strongest kind an invoice has in the campaign, before cleaning, in one aggregation.
-    strength = F.when(F.col("linked_spend_type") == FIRST, 1).when(F.col("linked_spend_type") == SECOND, 2).when(F.col("linked_spend_type") == FIRST_INDIRECT, 3).otherwise(4)
-    best = linked.groupBy(*[F.col(c).alias(f"_b_{c}") for c in invoice]).agg(F.min(strength).alias("_best"))
-    out = kept.join(best, joins.all_of([F.col(c) == F.col(f"_b_{c}") for c in invoice]), "left").withColumn(
-        "spending_filter", F.when(F.col("_best") < strength, REPEATED).otherwise(VALID))
-    return out.drop("_best", *[f"_b_{c}" for c in invoice])
+    kind = F.col("linked_spend_type")
+    # Strength of the strongest kind an invoice has in the campaign, before cleaning.
+    strength = F.when(kind == FIRST, 1).when(kind == SECOND, 2).when(kind == FIRST_INDIRECT, 3).otherwise(4)
+    best = F.min(strength).over(Window.partitionBy(*invoice))
+    direct = F.max(kind == FIRST).over(Window.partitionBy(*same))
+    rows = linked.repartition(*invoice).withColumn("_best", best).withColumn("_direct", direct)
+    copy = (kind == FIRST_INDIRECT) & F.col("_direct") & joins.all_of([F.col(c).isNotNull() for c in same])
+    kept = latest.first_ranked(rows.filter(~copy), [*same, "linked_spend_type"], ["receipt_id"])
+    repeated = (F.col("_best") < strength) & joins.all_of([F.col(c).isNotNull() for c in invoice])
+    return kept.withColumn("spending_filter", F.when(repeated, REPEATED).otherwise(VALID)).drop("_best", "_direct").distinct()
 
 
 def used_without_invoice(coupons: DataFrame, linked: DataFrame, shop: DataFrame, like: DataFrame, *, used_status: str) -> DataFrame:
@@ -164,13 +172,13 @@ def used_without_invoice(coupons: DataFrame, linked: DataFrame, shop: DataFrame,
         F.col("coupon_redeemed_mall_id").alias("redemption_mall_id"), F.lit(NO_INVOICE).alias("linked_spend_type"), F.lit(MISSING).alias("spending_filter"))
     from martkit.operators.projection import pad_to
 
-    return pad_to(rows, like.schema)
+    return pad_to(rows.distinct(), like.schema)
 
 
 def campaign_transactions(parts: Sequence[DataFrame], mechanism: DataFrame, mall: DataFrame) -> DataFrame:
-    """Linked spending and missing invoices with tier, campaign and redemption place."""
+    """Linked spending and missing invoices with tier, campaign and redemption place. ``parts`` have distinct rows and no kind of spending in common."""
     tiers = mechanism.select("tier_id", "campaign_tier", "campaign_name", "campaign_start_date", "campaign_end_date").distinct()
-    return joins.enrich(sets.union_distinct(*parts), [
+    return joins.enrich(sets.union_all(*parts), [
         (tiers, {"tier_id": "tier_id"}, {c: c for c in tiers.columns if c != "tier_id"}), (mall, {"mall_id": "redemption_mall_id"}, {"property_id": "redemption_property_id"})])
 
 
@@ -182,7 +190,7 @@ def campaign_linked_spending(spending: DataFrame, mechanism: DataFrame, redempti
     conversion = conversions(redemption, chosen)
     direct = stage(first_direct(receipts, conversion, rules), "first-direct")
     given = stage(coupons_redeemed(coupon, chosen, conversion, mapping, switch=switch), "campaign-coupons")
-    linked = stage(linked_spending(receipts, direct, given), "linked-spending")
+    linked = stage(linked_spending(receipts, direct, given, stage), "linked-spending")
     cleaned = stage(without_repeats(linked), "linked-spending-clean")
     missing = used_without_invoice(given, cleaned, shop, cleaned, used_status=used_status)
     return campaign_transactions([cleaned, missing], mechanism, mall)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from martkit.operators import distincts, joins, reduction
+from martkit.plans import campaign
 from martkit.sources.staging import StagedTables
 from tests.test_oracle import plan_of
 
@@ -71,3 +72,20 @@ def test_states_over_many_buckets(spark, stage):
     same(distincts.count_states(parts, ["g"], "n"), df.groupBy("g").agg(F.count_distinct("v").alias("n")))
     empty = distincts.states(df.limit(0), ["g"], "v", numbers)
     assert distincts.count_states(empty, [], "n").first()["n"] == 0 and distincts.count_states(empty, ["g"], "n").count() == 0
+
+
+def test_semi_reduced_is_semi(spark):
+    df = spark.range(20_000).selectExpr("id % 7000 as a", "case when id % 11 > 0 then concat('k', id % 13) end as b", "id")
+    other = spark.range(900).selectExpr("id * 3 as x", "case when id % 5 > 0 then concat('k', id % 13) end as y")
+    for limit in (reduction.MAX_KEYS, 10):
+        same(reduction.semi_reduced(df, other, {"x": "a", "y": "b"}, limit), joins.semi(df, other, {"x": "a", "y": "b"}))
+
+
+def test_linked_receipts_are_cleaned_in_one_shuffle(spark):
+    """Whole linked receipts move once, nulls equal nothing, and a row given twice comes once."""
+    cols = "receipt_id int, invoice_no string, member_id string, shop_id int, spending_campaign_id int, tier_id int, redemption_date string, redemption_mall_id int, linked_spend_type string"
+    base = ("m", 1, 7, 70, "d", 3)
+    data = [(1, "i1", *base, campaign.FIRST), (2, "i1", *base, campaign.FIRST_INDIRECT), (3, None, *base, campaign.FIRST), (4, None, *base, campaign.FIRST_INDIRECT), (5, "i5", *base, campaign.SECOND), (5, "i5", *base, campaign.SECOND)]
+    out = campaign.without_repeats(spark.createDataFrame(data, cols))
+    assert plan_of(out).count("hashpartitioning(") == 1
+    assert sorted((r["receipt_id"], r["spending_filter"]) for r in out.collect()) == [(1, campaign.VALID), (3, campaign.VALID), (4, campaign.VALID), (5, campaign.VALID)]
