@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martkit.llm.frames import Workspace, blobs, map_batches, map_stream, space_words
-from martkit.llm.graph import components
+from martkit.llm.graph import components, extended
 
 SHINGLE, PERCENT = 3, 85
 ROWS, BITS = 6, 4
@@ -317,23 +317,20 @@ def near_copies(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
 
     # Every member against one centre of each of its buckets; then against another one where components still differ.
     centre = members.where("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
-    links = test(_likely(centre, nodes, percent))
-    parts = components(links, work)
+    parts = components(test(_likely(centre, nodes, percent)), work)
     placed = members.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     tops = placed.where("node = high").select("key", F.col("component").alias("high_component")).distinct()
     centre = placed.where("node <> high").join(tops, "key").where("component <> high_component").select(F.col("node").alias("a"), F.col("high").alias("b")).distinct()
-    links = links.unionByName(test(_likely(centre, nodes, percent)))
-    parts = components(links, work)
+    parts = extended(parts, test(_likely(centre, nodes, percent)), work)
     # What is left: members of one bucket in different components. The packed bits say which components may be linked at all;
     # what they join is a cluster, and its members are brought together once, with their sets.
     placed = members.select("key", "node").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     maybe = work.put(_links_across(placed.join(nodes, "node"), "key", percent))
-    joined = maybe.unionByName(parts.select(F.col("node").alias("a"), F.col("component").alias("b")))
-    clusters = components(joined, work).withColumnRenamed("component", "cluster")
-    clusters = clusters.unionByName(clusters.select(F.col("cluster").alias("node"), "cluster").distinct())  # their smallest nodes too
-    rest = clusters.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    links = links.unionByName(work.put(_links_across(rest.join(nodes, "node").join(sets, "node"), "cluster", percent)))
-    parts = components(links, work)
+    if not maybe.isEmpty():
+        clusters = extended(parts, maybe, work).withColumnRenamed("component", "cluster")
+        clusters = clusters.unionByName(clusters.select(F.col("cluster").alias("node"), "cluster").distinct())  # their smallest nodes too
+        rest = clusters.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        parts = extended(parts, work.put(_links_across(rest.join(nodes, "node").join(sets, "node"), "cluster", percent)), work)
     named = classes.select("h1", "h2", "node").join(parts, "node", "left").select("h1", "h2", F.coalesce("component", "node").alias("component"))
     known = signed.select("doc_id", "n_shingles", "h1", "h2").join(named, ["h1", "h2"], "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "doc_id"))

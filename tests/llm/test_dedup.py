@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from martkit.llm import nearcopies, queries, repeats, suffixes
 from martkit.llm.frames import Workspace
-from martkit.llm.graph import components
+from martkit.llm.graph import components, extended
 from tests.llm.conftest import SF
 
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -205,6 +205,18 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long"), Workspace(spark, "t")).count() == 0
 
 
+def test_components_take_no_needless_rounds(spark):
+    """Edges that are stars already take no round, and without more links the components stay as they are."""
+    work = Workspace(spark, "t")
+    parts = components(spark.createDataFrame([(1, 2), (3, 1), (7, 9), (4, 4)], "a long, b long"), work)
+    assert work.made == 1 and {tuple(r) for r in parts.collect()} == {(2, 1), (3, 1), (9, 7)}
+    assert extended(parts, spark.createDataFrame([], "a long, b long"), work) is parts and work.made == 1
+    more = work.put(spark.createDataFrame([(9, 3), (5, 6)], "a long, b long"))
+    assert {tuple(r) for r in extended(parts, more, work).collect()} == {(2, 1), (3, 1), (7, 1), (9, 1), (6, 5)}
+    chain = spark.createDataFrame([(i, i + 1) for i in range(50)], "a long, b long")
+    assert {tuple(r) for r in components(chain, Workspace(spark, "t")).collect()} == {(i, 0) for i in range(1, 51)}
+
+
 @pytest.mark.parametrize("text", [b"", b"a", b"a b", b"A B c d"])
 def test_shingles(text):
     assert len(nearcopies.shingle_set(text)) == {0: 0, 1: 1, 2: 1, 4: 2}[len(text.split())]
