@@ -266,3 +266,12 @@ def test_redemptions_are_led_to_their_gift_and_their_member_only(spark):
     shuffles = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
     assert not any(s.count("#") > 5 for s in shuffles)  # none for the distinct rows alone
     assert not any(s.startswith(("transaction_id", "gift_used_in_shop_id")) and "_at" in s for s in shuffles)  # whole rows do not go there
+
+
+def test_full_variant_shuffles_the_wanted_columns_only(spark):
+    """Rows are distinct in the columns asked for, so others are not read, and food orders are left out before lines are built."""
+    import __spark_entry__ as entry
+
+    plan = entry.queries()["mart_spending_full_variant"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "ocr_id" not in plan and "updated_by" not in plan
+    assert plan.index("Join Inner, (spending_transaction_id") < plan.index("Join LeftAnti")
