@@ -275,3 +275,17 @@ def test_full_variant_shuffles_the_wanted_columns_only(spark):
     plan = entry.queries()["mart_spending_full_variant"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "ocr_id" not in plan and "updated_by" not in plan
     assert plan.index("Join Inner, (spending_transaction_id") < plan.index("Join LeftAnti")
+
+
+def test_tasks_follow_the_rows_they_sort(spark, monkeypatch):
+    """Where rows are sorted whole, there are more tasks than the session's shuffle partitions once there are more rows than those hold."""
+    import __spark_entry__ as entry
+
+    monkeypatch.setattr(joins, "ROWS_A_TASK", 100)
+    facts = spark.range(1500).selectExpr("cast(id % 400 as string) as at", "id % 9 as shop", "id")
+    shops = spark.range(8).selectExpr("id as k", "'s' || id as name")
+    few, many = (joins.enrich_at(facts, "at", [(shops, {"k": "shop"}, {"name": "name"})], rows=n) for n in (800, 1500))
+    assert "REPARTITION_BY_NUM" not in plan_of(few) and "15), REPARTITION_BY_NUM" in plan_of(many)
+    assert many.count() == 1500 and many.exceptAll(few).isEmpty()
+    plan = entry.queries()["mart_spending"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(spending_transaction_id#\d+, [0-9]+\), REPARTITION_BY_NUM", plan)
