@@ -277,6 +277,19 @@ def test_full_variant_shuffles_the_wanted_columns_only(spark):
     assert plan.index("Join Inner, (spending_transaction_id") < plan.index("Join LeftAnti")
 
 
+def test_categories_come_to_the_content(spark):
+    """A redemption finds its category with its gift or coupon, not in a shuffle of its own, and the fact takes as many tasks as its rows ask for."""
+    import __spark_entry__ as entry
+
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = entry.queries()["mart_redemption"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert not re.search(r"Exchange hashpartitioning\(_cat#", plan)
+
+
 def test_tasks_follow_the_rows_they_sort(spark, monkeypatch):
     """Where rows are sorted whole, there are more tasks than the session's shuffle partitions once there are more rows than those hold."""
     import __spark_entry__ as entry
