@@ -403,7 +403,8 @@ BAD = "('Suspended', 'Invalid', 'Waiting for verification', 'Marked For Deletion
       and not (redeemed_tier is not distinct from 7 and item_type in ('Free Parking', 'Mall Gift')) and cast(redeem_datetime - interval '8' hour as date) < date '2001-08-01'
       and not (redeemed_bonus_points is not distinct from 0 and redeem_type is not distinct from 'Redeem by 0 point' and m.property_id is not distinct from 'P3')""")
 def _(t):
-    out = feeds.redemption_export(redemption_fact(t), as_of="2001-08-01", cancelled=["Cancelled Redemption", "Point + Cash Auto Cancellation"], excluded=[(0, "Redeem by 0 point", "P3")])
+    of = {"as_of": "2001-08-01", "cancelled": ["Cancelled Redemption", "Point + Cash Auto Cancellation"]}
+    out = feeds.redemption_export(redemption_fact(t, keep=lambda rows: feeds.recent_redemptions(rows, **of)), **of, excluded=[(0, "Redeem by 0 point", "P3")])
     return out.withColumns(doubles("gift_unit_cost"))
 
 

@@ -112,6 +112,13 @@ def delivery_log(raw: DataFrame, types: Mapping[str, str], formats: Mapping[str,
     return filters.between_dates(df, ts, day, day).withColumn("dt", F.to_date(ts))
 
 
+def recent_redemptions(rows: DataFrame, *, as_of: date | str, months: int = 12, cancelled: Sequence[str] = (), offset_hours: int = 8) -> DataFrame:
+    """Rows of redemptions that ``redemption_export`` may count by their own columns, before anything is joined to them."""
+    df = filters.since_month_start(rows, "redeem_datetime", months, as_of)
+    df = filters.standard_exclusions(df, drop={"redemption_status_detail": list(cancelled)})
+    return df.filter(dates.local_date(F.col("redeem_datetime"), offset_hours) < F.lit(dates.as_date(as_of)))
+
+
 def redemption_export(fact: DataFrame, *, as_of: date | str, months: int = 12, cancelled: Sequence[str] = (), excluded: Sequence[tuple] = (), label: str = "Point Dollar") -> DataFrame:
     """Countable redemptions of the last months for the marketing tool."""
     df = filters.since_month_start(fact, "redeem_datetime", months, as_of)

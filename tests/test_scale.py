@@ -277,6 +277,20 @@ def test_full_variant_shuffles_the_wanted_columns_only(spark):
     assert plan.index("Join Inner, (spending_transaction_id") < plan.index("Join LeftAnti")
 
 
+def test_redemption_export_leads_recent_rows_only(spark):
+    """What the export leaves out by a redemption's own columns is left out before any row is led to its gift or member."""
+    import __spark_entry__ as entry
+    from checks import marts_core
+    from martkit.plans import feeds
+
+    plan = entry.queries()["mart_export_redemption"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "2000-08-01" in plan[plan.index("Window"):]
+    t = Tables(spark, SF)
+    keep = lambda rows: feeds.recent_redemptions(rows, as_of="2001-08-01", cancelled=["Cancelled Redemption"])
+    early, late = marts_core.redemption_fact(t, keep), keep(marts_core.redemption_fact(t))
+    assert early.count() == late.count() > 0 and early.exceptAll(late).isEmpty()
+
+
 def test_categories_come_to_the_content(spark):
     """A redemption finds its category with its gift or coupon, not in a shuffle of its own, and the fact takes as many tasks as its rows ask for."""
     import __spark_entry__ as entry
